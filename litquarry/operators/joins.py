@@ -70,3 +70,11 @@ def top_level_group(
         .withColumn(alias, F.coalesce("_group", F.lit(default)))
         .drop("_main", "_group")
     )
+
+
+def union_all(*parts: DataFrame) -> DataFrame:
+    """Rows of all parts; their columns must agree."""
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from litquarry.functions import fuzzy
 from litquarry.functions.text import clean_indication
-from litquarry.operators.joins import apply_mapping, top_level_group
+from litquarry.operators.joins import apply_mapping, top_level_group, union_all
+from litquarry.operators.sampling import global_rank
 
 # The scoring code travels with the task, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(fuzzy)
@@ -53,7 +54,7 @@ def match_candidates(ontology: DataFrame, case_insensitive: bool = False) -> Dat
         F.struct(F.lit(1).alias("kind"), F.col("mainType").alias("text")),
     )
     rows = ontology.select("ordinal", tumor.alias("_tumor"), F.explode(forms).alias("_form")).select(
-        "ordinal",
+        F.col("ordinal").cast("bigint").alias("ordinal"),
         F.col("_form.kind").alias("kind"),
         (F.lower("_form.text") if case_insensitive else F.col("_form.text")).alias("text"),
         match_record(F.col("_form.kind"), F.col("_tumor")).alias("match"),
@@ -135,36 +136,35 @@ def _weighted_matches(texts: DataFrame, candidates: DataFrame, on: str, threshol
     A slice is held in memory, hence its fixed bound; an ontology beyond the bound is
     scored slice by slice, with no candidate left out.
     """
-    spark = texts.sparkSession
-    spread = texts.repartition(4 * spark.sparkContext.defaultParallelism)
-    last = candidates.agg(F.max("ordinal")).first()[0]
-    tumors = CANDIDATES_PER_SLICE // 2
-    found = [
-        _score_slice(spread, candidates.filter(F.col("ordinal").between(low, low + tumors - 1)), on, threshold)
-        for low in range(0, (last if last is not None else 0) + 1, tumors)
-    ]
-    scored = found[0]
-    for more in found[1:]:
-        scored = scored.unionByName(more)
+    spread = texts.repartition(4 * texts.sparkSession.sparkContext.defaultParallelism)
+    plain = candidates.select("text", "ordinal", "kind")
+    n_candidates = plain.count()
+    if n_candidates <= CANDIDATES_PER_SLICE:
+        scored = _score_slice(spread, plain, on, threshold)
+    else:
+        ranked = global_rank(plain, "text", alias="_rank")
+        slices = [
+            ranked.filter(F.col("_rank").between(low + 1, low + CANDIDATES_PER_SLICE)).drop("_rank")
+            for low in range(0, n_candidates, CANDIDATES_PER_SLICE)
+        ]
+        scored = union_all(*[_score_slice(spread, part, on, threshold) for part in slices])
     return scored.join(candidates.select("ordinal", "kind", "match"), ["ordinal", "kind"])
 
 
 def _score_slice(texts: DataFrame, candidates: DataFrame, on: str, threshold: int) -> DataFrame:
-    rows = candidates.select("text", "ordinal", "kind").limit(CANDIDATES_PER_SLICE + 1).collect()
-    if len(rows) > CANDIDATES_PER_SLICE:
-        raise ValueError("ontology ordinals must be unique")
-    rows = sorted(rows, key=lambda r: (r["ordinal"], r["kind"]))
+    rows = [tuple(r) for r in candidates.limit(CANDIDATES_PER_SLICE).collect()]
+    rows.sort(key=lambda r: r[1:])
 
     def score(batches):
-        best = fuzzy.Candidates([r["text"] for r in rows]).best
+        best = fuzzy.Candidates([text for text, _, _ in rows]).best
         for batch in batches:
             hits = [(text, best(text, threshold)) for text in batch[on]]
             yield pd.DataFrame(
-                [(text, rows[hit[0]]["ordinal"], rows[hit[0]]["kind"], float(hit[1])) for text, hit in hits if hit],
+                [(text, *rows[hit[0]][1:], float(hit[1])) for text, hit in hits if hit],
                 columns=[on, "ordinal", "kind", "score"],
             )
 
-    return texts.mapInPandas(score, f"`{on}` string, ordinal int, kind int, score double")
+    return texts.mapInPandas(score, f"`{on}` string, ordinal bigint, kind int, score double")
 
 
 def map_indications(

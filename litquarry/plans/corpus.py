@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from litquarry.operators.filters import (
-    DISEASE_TYPE, GENE_TYPE, HUMAN_NAMES, disease_area_filter, is_species, literature_filter, species_filter,
+    ABSTRACT_CATEGORIES, CANCER_AREA, DISEASE_TYPE, GENE_TYPE, HUMAN_NAMES,
+    disease_area_filter, is_species, literature_filter, species_filter,
 )
-from litquarry.operators.joins import attach_abstracts, attach_dimension, combine_evidence, restrict_to
+from litquarry.operators.joins import attach_abstracts, attach_dimension, combine_evidence, restrict_to, union_all
 from litquarry.operators.rollups import distinct_keys, distinct_organisms, joined_labels, rollup_labels
 from litquarry.operators.sampling import MAX_PER_LABEL, SAMPLE_TARGET, SEED, cap_per_group, stratified_sample
 from litquarry.session import materialize
@@ -59,7 +62,7 @@ def labelled_pmids(
     symbols: DataFrame,
     disease_type: str = DISEASE_TYPE,
     gene_type: str = GENE_TYPE,
-    names=tuple(HUMAN_NAMES),
+    names: Sequence[str] = tuple(HUMAN_NAMES),
 ) -> DataFrame:
     """pmid, gene, disease_name of pmids with both labels and a species of interest.
 
@@ -67,9 +70,10 @@ def labelled_pmids(
     one shuffle on pmid: both dimensions are one lookup table, and the species is a
     flag per pmid instead of a joined list.
     """
-    lookup = diseases.select(F.lit(disease_type).alias("_type"), F.col("id").alias("_id"), F.col("name").alias("_label")).unionByName(
-        symbols.select(F.lit(gene_type).alias("_type"), F.col("ENSG").alias("_id"), F.col("HUGO").alias("_label"))
-    )
+    lookup = union_all(
+        diseases.select(F.lit(disease_type).alias("_type"), F.col("id").alias("_id"), F.col("name").alias("_label")),
+        symbols.select(F.lit(gene_type).alias("_type"), F.col("ENSG").alias("_id"), F.col("HUGO").alias("_label")),
+    ).distinct()
     facts = matches.filter(F.col("pmid").isNotNull()).select(
         "pmid", "type", "keywordId", is_species("organisms", names).alias("_species")
     )
@@ -107,19 +111,28 @@ def build_corpus(
     cap: int = MAX_PER_LABEL,
     seed: int = SEED,
     parity: bool = False,
+    section: str = "abstract",
+    disease_type: str = DISEASE_TYPE,
+    gene_type: str = GENE_TYPE,
+    area: str = CANCER_AREA,
+    exclude_names: Sequence[str] = tuple(ABSTRACT_CATEGORIES),
+    species: Sequence[str] = tuple(HUMAN_NAMES),
 ) -> DataFrame:
     """Labelled abstracts from raw tables: filter, evidence, sample, title and abstract.
 
+    The labelled pmids are written once, because sampling reads them several times.
     ``parity`` keeps an unfiltered result with its organism lists when the combined
     evidence has fewer rows than the target.
     """
-    matches = literature_filter(matches)
-    diseases = disease_area_filter(diseases)
+    matches = literature_filter(matches, section, (disease_type, gene_type))
+    diseases = disease_area_filter(diseases, area, exclude_names=exclude_names)
     if parity:
-        combined = materialize(combined_evidence(matches, diseases, symbols), "combined")
+        combined = materialize(combined_evidence(matches, diseases, symbols, disease_type, gene_type), "combined")
         if combined.count() < target:
             return attach_abstracts(combined, pubmed)
-        labelled = materialize(species_filter(combined), "labelled")
+        labelled = materialize(species_filter(combined, "organisms", species), "labelled")
     else:
-        labelled = materialize(labelled_pmids(matches, diseases, symbols), "labelled")
+        labelled = materialize(
+            labelled_pmids(matches, diseases, symbols, disease_type, gene_type, species), "labelled"
+        )
     return attach_abstracts(sample_evidence(labelled, target, cap, seed), pubmed)

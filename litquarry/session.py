@@ -18,6 +18,7 @@ def local_session(app: str = "litquarry", cpus: str | int = "*", shuffle_partiti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from litquarry import schemas
 from litquarry.functions.text import MISSING, join_sections
 from litquarry.operators.filters import clean_gene_symbols
+from litquarry.operators.joins import union_all
 
 CSV_OPTIONS = {
     "header": "true",
@@ -47,14 +48,6 @@ def union_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return union_all(*found)
 
 
-def union_all(*parts: DataFrame) -> DataFrame:
-    """Rows of all parts; their columns must agree."""
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
-
-
 def read_diseases(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read.option("pathGlobFilter", "*.parquet").schema(schemas.DISEASES)
     return reader.parquet(path)
