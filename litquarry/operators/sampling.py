@@ -59,19 +59,16 @@ def _shares(counts: DataFrame, quota: Column) -> DataFrame:
     return counts.withColumn("_take", F.least(quota - F.col("_before"), F.col("_rows"))).filter("_take > 0")
 
 
-def _first_by_share(
-    df: DataFrame, shares: DataFrame, group: str, key: str, seed: int | str
-) -> DataFrame:
-    """The first rows of each group in seeded order, as many as its shares add up to.
+def _ranked(df: DataFrame, shares: DataFrame, group: str, key: str, seed: int | str) -> DataFrame:
+    """Rows with their `_rank` inside (group, bucket) and the rows to `_take` there, null beyond the quota.
 
     Joining and ranking on (group, bucket) spreads a hot group over all its buckets
     and needs one shuffle for both.
     """
     hashed = _with_buckets(df, key, seed)
     shares = shares.select(F.col(group).alias("_group"), F.col("_bucket").alias("_in"), "_take")
-    near = hashed.join(shares, hashed[group].eqNullSafe(shares["_group"]) & (hashed["_bucket"] == shares["_in"]))
-    ranked = near.withColumn("_rank", _rank_in_bucket([group], key))
-    return ranked.filter(F.col("_rank") <= F.col("_take")).select(*df.columns)
+    near = hashed[group].eqNullSafe(shares["_group"]) & (hashed["_bucket"] == shares["_in"])
+    return hashed.join(shares, near, "left").withColumn("_rank", _rank_in_bucket([group], key))
 
 
 def cap_per_group(
@@ -79,7 +76,7 @@ def cap_per_group(
 ) -> DataFrame:
     """The first n rows of each group in seeded order."""
     shares = _shares(_bucket_counts(df, [group], key, seed), F.lit(n))
-    return _first_by_share(df, shares, group, key, seed)
+    return _ranked(df, shares, group, key, seed).filter(F.col("_rank") <= F.col("_take")).select(*df.columns)
 
 
 def take_first(df: DataFrame, n: int | Column, key: str, seed: int | str = SEED) -> DataFrame:
@@ -114,9 +111,10 @@ def stratified_sample(
     total = counts.agg(F.sum("_rows")).scalar()
     fraction = F.lit(float(target)) / total.cast("double")
     shares = _shares(counts, F.floor(F.col("_size").cast("double") * fraction))
-    sampled = _first_by_share(df, shares, group, key, seed)
+    ranked = _ranked(df, shares, group, key, seed)
+    sampled = ranked.filter(F.col("_rank") <= F.col("_take")).select(*df.columns)
+    rest = ranked.filter(~F.coalesce(F.col("_rank") <= F.col("_take"), F.lit(False))).select(*df.columns)
     taken = shares.agg(F.coalesce(F.sum("_take"), F.lit(0))).scalar()
-    rest = remaining_rows(df, sampled, key)
     return sampled.unionByName(take_first(rest, F.lit(target) - taken, key, seed))
 
 

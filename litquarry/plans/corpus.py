@@ -98,8 +98,9 @@ def labelled_pmids(
 def sample_evidence(
     labelled: DataFrame, target: int = SAMPLE_TARGET, cap: int = MAX_PER_LABEL, seed: int = SEED
 ) -> DataFrame:
-    """The capped, proportional sample of labelled pmids."""
-    return stratified_sample(cap_per_group(labelled, "disease_name", cap, "pmid", seed), "disease_name", target, "pmid", seed)
+    """The capped, proportional sample of labelled pmids; the capped rows are written once."""
+    capped = materialize(cap_per_group(labelled, "disease_name", cap, "pmid", seed), "capped")
+    return stratified_sample(capped, "disease_name", target, "pmid", seed)
 
 
 def build_corpus(

@@ -8,6 +8,7 @@ from litquarry.functions.answers import chat_line
 from litquarry.operators.chat import build_chat, repair_chat
 from litquarry.operators.sampling import SEED, TRAIN_SHARE, mix_corpora, number_copies, train_val_split
 from litquarry.schemas import MESSAGE
+from litquarry.session import materialize
 
 
 def chat_samples(df: DataFrame, template: str, disease: str, gene: str, origin: str) -> DataFrame:
@@ -40,10 +41,13 @@ def build_training_set(
     frac: float = TRAIN_SHARE,
     seed: int = SEED,
 ) -> DataFrame:
-    """Mixed, split and repaired chat samples: key, origin, messages, raw, tools, split."""
-    real = chat_samples(labelled, template, "disease_name", "gene", "real")
-    synthetic = chat_samples(negatives, template, "disease", "genes", "synthetic")
-    mixed = mix_corpora(real, synthetic, n_real, n_synth, "key", seed)
+    """Mixed, split and repaired chat samples: key, origin, messages, raw, tools, split.
+
+    The samples and their mix are written once, as taking and splitting read them twice.
+    """
+    real = materialize(chat_samples(labelled, template, "disease_name", "gene", "real"), "real")
+    synthetic = materialize(chat_samples(negatives, template, "disease", "genes", "synthetic"), "synthetic")
+    mixed = materialize(mix_corpora(real, synthetic, n_real, n_synth, "key", seed), "mixed")
     split = train_val_split(mixed, "key", frac, f"{seed}:split")
     repaired = repair_chat(full_messages(split.withColumn("functions", F.lit(None).cast("array<string>"))), "key", seed)
     return repaired.select("key", "origin", "messages", "raw", "tools", "split")
