@@ -126,20 +126,23 @@ def negatives(spark, folder):
 
 
 @query(f"""WITH {s.LABELLED_DOCUMENTS},
-real_lines AS (SELECT 'real' AS origin, {line_sql(PROMPT_SQL, 'disease_name', 'gene')} AS raw
+real AS (SELECT 'real' AS origin, 'real:' || doc_id AS key, abstract, disease_name, gene
   FROM labelled WHERE abstract <> chr(32) || chr(9)),
-negatives AS (SELECT text AS abstract, 'topic ' || item_id AS disease FROM benchmark),
-all_lines AS (SELECT * FROM real_lines UNION ALL
-  SELECT 'synthetic', {line_sql(PROMPT_SQL, 'disease', 'NULL')} FROM negatives),
-keyed AS (SELECT *, origin || ':' || md5(raw) || ':' || row_number() OVER (PARTITION BY origin, raw) AS key FROM all_lines),
-picked AS (SELECT *, row_number() OVER (PARTITION BY origin ORDER BY md5('123:' || key), key) AS rn FROM keyed),
+negatives AS (SELECT text AS abstract, 'topic ' || item_id AS disease_name, 'n/a' AS gene FROM benchmark),
+synthetic AS (SELECT 'synthetic' AS origin, 'synthetic:' || md5(md5(abstract) || md5(disease_name) || md5(gene)) || ':' ||
+  row_number() OVER (PARTITION BY abstract, disease_name, gene) AS key, abstract, disease_name, gene FROM negatives),
+picked AS (SELECT *, row_number() OVER (PARTITION BY origin ORDER BY md5('123:' || key), key) AS rn
+  FROM (SELECT * FROM real UNION ALL SELECT * FROM synthetic)),
 mixed AS (SELECT * FROM picked WHERE rn <= CASE origin WHEN 'real' THEN 8000 ELSE 4000 END)
-SELECT key, origin, raw, CASE WHEN row_number() OVER (ORDER BY md5('123:split:' || key), key)
+SELECT key, origin, {line_sql(PROMPT_SQL, 'disease_name', 'gene')} AS line,
+  CASE WHEN row_number() OVER (ORDER BY md5('123:split:' || key), key)
   <= floor(0.95::DOUBLE * count(*) OVER ()) THEN 'train' ELSE 'validation' END AS split FROM mixed""")
 def training_set(spark, folder):
     """Labelled and negative abstracts to mixed, split and repaired samples."""
-    built = build_training_set(s.labelled_documents(spark, folder), negatives(spark, folder), EXTRACTION_PROMPT)
-    return built.select("key", "origin", chat_line("messages").alias("raw"), "split")
+    built = build_training_set(
+        s.labelled_documents(spark, folder), negatives(spark, folder), EXTRACTION_PROMPT, real_key="doc_id"
+    )
+    return built.select("key", "origin", chat_line("messages").alias("line"), "split")
 
 
 def topics(spark, folder):

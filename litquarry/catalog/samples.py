@@ -8,6 +8,7 @@ from litquarry.catalog import evidence, stand_ins as s
 from litquarry.catalog.registry import query
 from litquarry.operators import sampling
 from litquarry.plans import corpus
+from litquarry.session import materialize
 
 
 def orders(spark, folder):
@@ -38,7 +39,8 @@ def cap_per_group(spark, folder):
 @query(f"WITH {CAPPED}, {sample_sql('capped', 'o_orderkey', 'o_orderpriority', 1003)} "
        "SELECT o_orderkey, o_orderpriority, o_orderstatus FROM sample")
 def stratified_sample(spark, folder):
-    return sampling.stratified_sample(cap_per_group(spark, folder), "o_orderpriority", 1003, "o_orderkey")
+    capped = materialize(cap_per_group(spark, folder), "capped")
+    return sampling.stratified_sample(capped, "o_orderpriority", 1003, "o_orderkey")
 
 
 @query(f"WITH {CAPPED} SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM capped)")

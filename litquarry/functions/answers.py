@@ -4,27 +4,56 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from litquarry.functions.binding import bind
+
 # Short escapes of JSON strings.
 _SHORT_ESCAPES = [
     ("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"),
     ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f"),
 ]
 
+_OTHER_CONTROL = r"[\x00-\x07\x0b\x0e-\x1f]"
+
 STRICT_JSON = {"allowSingleQuotes": "false"}
 
 
+MANY_SPECIAL = 64
+
+
+def _escape(char: Column) -> Column:
+    return F.regexp_replace(F.lower(F.hex(F.encode(char, "UTF-16BE"))), "(.{4})", r"\\u$1")
+
+
+def _ascii(text: Column) -> Column:
+    """Text with each character outside printable ASCII as \\uXXXX.
+
+    Usually a text has few different ones, each replaced in one go; a text with many
+    is rewritten character by character.
+    """
+    special = F.array_distinct(F.split(F.regexp_replace(text, "[ -~]+", ""), ""))
+    each = F.transform(F.split(text, ""), lambda c: F.when(c.rlike("^[ -~]$"), c).otherwise(_escape(c)))
+    return bind(
+        special,
+        lambda found: F.when(F.size(found) > MANY_SPECIAL, F.array_join(each, "")).otherwise(
+            F.aggregate(found, text, lambda done, c: F.replace(done, c, _escape(c)))
+        ),
+    )
+
+
 def json_text(col: Column | str) -> Column:
     """A JSON string literal in ASCII, other characters as lower-case \\uXXXX; null gives ``null``."""
-    body = F.col(col) if isinstance(col, str) else col
+    text = F.col(col) if isinstance(col, str) else col
+    # Spark's own writer gives the short escapes, but other control characters in upper case.
+    written = bind(
+        F.to_json(F.struct(text.alias("t"))), lambda j: F.substr(j, F.lit(len('{"t":') + 1), F.length(j) - len('{"t":}'))
+    )
+    by_hand = text
     for raw, escaped in _SHORT_ESCAPES:
-        body = F.replace(body, F.lit(raw), F.lit(escaped))
-    escape = lambda c: F.when(
-        c.rlike("^[ -~]$"), c
-    ).otherwise(F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1"))
-    ascii_body = F.when(
-        body.rlike("[^ -~]"), F.array_join(F.transform(F.split(body, ""), escape), "")
-    ).otherwise(body)
-    return F.coalesce(F.concat(F.lit('"'), ascii_body, F.lit('"')), F.lit("null"))
+        by_hand = F.replace(by_hand, F.lit(raw), F.lit(escaped))
+    by_hand = F.concat(F.lit('"'), by_hand, F.lit('"'))
+    literal = F.when(text.rlike(_OTHER_CONTROL), by_hand).otherwise(written)
+    ascii_literal = bind(literal, lambda t: F.when(t.rlike("[^ -~]"), _ascii(t)).otherwise(t))
+    return F.when(text.isNull(), F.lit("null")).otherwise(ascii_literal)
 
 
 def encode_answer(disease: Column | str, genes: Column | str) -> Column:
@@ -55,8 +84,7 @@ def strict_object(col: Column | str) -> Column:
     text = F.col(col) if isinstance(col, str) else col
     listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,variant>>", STRICT_JSON)
     field = F.from_json(F.concat(F.lit('{"r":'), text, F.lit("}")), "r string", STRICT_JSON)
-    fields = F.get(listed, F.lit(0))
-    return F.when((F.size(listed) == 1) & fields.isNotNull() & field["r"].isNotNull(), fields)
+    return bind(listed, lambda found: F.when((F.size(found) == 1) & field["r"].isNotNull(), F.get(found, F.lit(0))))
 
 
 def variant_string(value: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from litquarry.functions.answers import STRICT_JSON, encode_answer
+from litquarry.functions.binding import bind, keep_where
 from litquarry.functions.hashing import seeded_hash
 from litquarry.functions.text import null_to_na, render_prompt
 from litquarry.operators.filters import drop_blank
@@ -132,6 +133,33 @@ def _other_tool(messages: Column):
     return check
 
 
+def _finished(called: Column, named: Column, linked: Column) -> Column:
+    """A sample's status, and its messages up to the last one by the assistant."""
+    from_end = F.array_position(F.reverse(F.transform(linked, lambda m: m["role"])), "assistant")
+    length = F.when(from_end > 0, F.size(linked) - from_end + 1).otherwise(0).cast("int")
+    other_tool = F.exists(F.transform(named, _other_tool(named)), lambda bad: bad)
+    no_text = F.exists(linked, lambda m: _is_empty(m["content"]) & _is_empty(m["text"]))
+    status = (
+        F.when(F.exists(called, _bad_call) | other_tool, F.lit(REJECTED))
+        .when(no_text | (length == 0), F.lit(SKIPPED))
+        .otherwise(F.lit(KEPT))
+    )
+    return F.struct(
+        F.when(linked.isNull(), F.lit(KEPT)).otherwise(status).alias("status"),
+        F.slice(linked, F.lit(1), length).alias("messages"),
+    )
+
+
+def repaired(messages: Column, key: Column, seed: int | str = SEED) -> Column:
+    """Struct of a sample's `status` and its repaired `messages`."""
+    return bind(
+        F.transform(F.transform(messages, _without_call), _named_tool(key, seed)),
+        lambda named: bind(
+            F.transform(named, _linked_call(named)), lambda linked: _finished(messages, named, linked)
+        ),
+    )
+
+
 def repair_outcomes(df: DataFrame, key: str, seed: int | str = SEED) -> DataFrame:
     """Every sample, repaired, with its `status`.
 
@@ -140,33 +168,20 @@ def repair_outcomes(df: DataFrame, key: str, seed: int | str = SEED) -> DataFram
     message. kept: the rest, ending on its last assistant message; a sample without
     a message list is kept as it is.
     """
-    original = F.col("messages")
-    out = functions_to_tools(df) if "functions" in df.columns else df
-    out = out.withColumn("_bad_call", F.exists(original, _bad_call))
-    out = out.withColumn("messages", F.transform(original, _without_call))
-    out = out.withColumn("messages", F.transform("messages", _named_tool(F.col(key), seed)))
-    messages = F.col("messages")
-    out = out.withColumn("_other_tool", F.exists(F.transform("messages", _other_tool(messages)), lambda bad: bad))
-    out = out.withColumn("messages", F.transform("messages", _linked_call(messages)))
-
-    from_end = F.array_position(F.reverse(F.transform("messages", lambda m: m["role"])), "assistant")
-    length = F.when(from_end > 0, F.size("messages") - from_end + 1).otherwise(0).cast("int")
-    no_text = F.exists("messages", lambda m: _is_empty(m["content"]) & _is_empty(m["text"]))
-    status = (
-        F.when(F.col("_bad_call") | F.col("_other_tool"), F.lit(REJECTED))
-        .when(no_text | (length == 0), F.lit(SKIPPED))
-        .otherwise(F.lit(KEPT))
-    )
-    return (
-        out.withColumn("status", F.when(messages.isNull(), F.lit(KEPT)).otherwise(status))
-        .withColumn("messages", F.slice("messages", F.lit(1), length))
-        .drop("_bad_call", "_other_tool")
-    )
+    return _repaired_samples(df, key, seed, lambda r: r["status"].isNotNull())
 
 
 def repair_chat(df: DataFrame, key: str, seed: int | str = SEED) -> DataFrame:
     """The samples that are kept, repaired."""
-    return repair_outcomes(df, key, seed).filter(F.col("status") == KEPT).drop("status")
+    return _repaired_samples(df, key, seed, lambda r: r["status"] == KEPT).drop("status")
+
+
+def _repaired_samples(df: DataFrame, key: str, seed: int | str, condition) -> DataFrame:
+    tools = functions_to_tools(df) if "functions" in df.columns else df
+    done = keep_where(tools, repaired(F.col("messages"), F.col(key), seed), condition, "_repaired")
+    return done.withColumns({"messages": F.col("_repaired.messages"), "status": F.col("_repaired.status")}).drop(
+        "_repaired"
+    )
 
 
 def repair_turns(

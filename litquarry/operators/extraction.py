@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from litquarry.functions.answers import strict_object, variant_string
+from litquarry.functions.binding import keep_where
 from litquarry.functions.text import MISSING, SESSION_HEADER, abstract_number, header_pieces, na_to_null, strip
 
 # Fixed value: the response of a row whose answer function failed.
@@ -44,9 +45,9 @@ def extract_batch(
 
 def parse_responses(df: DataFrame, abstract: str = "Abstract", response: str = "response") -> DataFrame:
     """Extractions from the responses that are one JSON object; `Genes` keeps its JSON shape."""
-    fields = df.withColumn("_fields", strict_object(response)).filter(F.col("_fields").isNotNull())
+    parsed = keep_where(df, strict_object(response), lambda fields: fields.isNotNull(), "_fields")
     field = lambda name: F.try_element_at("_fields", F.lit(name))
-    return fields.select(
+    return parsed.select(
         F.col(abstract).alias("abstract"),
         variant_string(field("Disease")).alias("Disease"),
         field("Genes").alias("Genes"),

@@ -94,13 +94,15 @@ def popular_genes(
     )
 
 
-def group_indications(mapping: DataFrame, indication: str = "Disease", main_type: str = "Main_Type") -> DataFrame:
+def group_indications(
+    mapping: DataFrame, indication: str = "Disease", main_type: str = "mainType", matched: str = "matched_name"
+) -> DataFrame:
     """Indications under their main type, one row each; unmapped indications are left out.
 
     Rows rather than one list per type: a frequent type may have more indications
     than one task should hold.
     """
-    return mapping.filter(F.col(main_type).isNotNull()).select(main_type, indication).distinct()
+    return mapping.filter(F.col(matched).isNotNull()).select(main_type, indication).distinct()
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -4,29 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from litquarry.functions.answers import chat_line
+from litquarry.functions.text import null_to_na
 from litquarry.operators.chat import build_chat, repair_chat
+from litquarry.operators.filters import drop_blank
 from litquarry.operators.sampling import SEED, TRAIN_SHARE, mix_corpora, number_copies, train_val_split
 from litquarry.schemas import MESSAGE
 from litquarry.session import materialize
 
 
-def chat_samples(df: DataFrame, template: str, disease: str, gene: str, origin: str) -> DataFrame:
-    """Chat samples with their origin and a unique key: the line's digest and its copy number."""
-    lines = build_chat(df, template, "abstract", disease, gene).select("messages", chat_line("messages").alias("raw"))
-    numbered = number_copies(lines)
-    key = F.concat_ws(":", F.lit(origin), F.md5("raw"), F.col("copy"))
-    return numbered.select(key.alias("key"), F.lit(origin).alias("origin"), "messages", "raw")
+def keyed_examples(df: DataFrame, disease: str, gene: str, origin: str, key: str | None = None) -> DataFrame:
+    """Examples with an abstract: key, origin, abstract, disease_name, gene.
+
+    Without a unique ``key`` column the key is a digest of the example and its number
+    among equal examples; counting those moves the texts once, so they are written.
+    """
+    named = drop_blank(df, "abstract").select(
+        *([F.concat_ws(":", F.lit(origin), F.col(key).cast("string")).alias("key")] if key else []),
+        "abstract",
+        null_to_na(disease).alias("disease_name"),
+        null_to_na(gene).alias("gene"),
+    )
+    if not key:
+        digest = F.md5(F.concat(F.md5("abstract"), F.md5("disease_name"), F.md5("gene")))
+        numbered = number_copies(named).withColumn("key", F.concat_ws(":", F.lit(origin), digest, F.col("copy")))
+        named = materialize(numbered.drop("copy"), origin)
+    return named.select("key", F.lit(origin).alias("origin"), "abstract", "disease_name", "gene")
 
 
 def full_messages(df: DataFrame) -> DataFrame:
     """Messages with every field of the chat schema, null where the sample has none."""
     present = {f.name for f in df.schema["messages"].dataType.elementType.fields}
-    fields = [f for f in MESSAGE.fields]
     full = F.transform(
         "messages",
         lambda m: F.struct(
-            *[(m[f.name] if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+            *[(m[f.name] if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in MESSAGE.fields]
         ),
     )
     return df.withColumn("messages", full)
@@ -40,14 +51,17 @@ def build_training_set(
     n_synth: int = 4000,
     frac: float = TRAIN_SHARE,
     seed: int = SEED,
+    real_key: str | None = "pmid",
+    synthetic_key: str | None = None,
 ) -> DataFrame:
-    """Mixed, split and repaired chat samples: key, origin, messages, raw, tools, split.
+    """Mixed, split and repaired chat samples: key, origin, messages, split.
 
-    The samples and their mix are written once, as taking and splitting read them twice.
+    Samples are taken before their texts are rendered, and the mix is written once
+    because splitting reads it several times.
     """
-    real = materialize(chat_samples(labelled, template, "disease_name", "gene", "real"), "real")
-    synthetic = materialize(chat_samples(negatives, template, "disease", "genes", "synthetic"), "synthetic")
+    real = keyed_examples(labelled, "disease_name", "gene", "real", real_key)
+    synthetic = keyed_examples(negatives, "disease", "genes", "synthetic", synthetic_key)
     mixed = materialize(mix_corpora(real, synthetic, n_real, n_synth, "key", seed), "mixed")
     split = train_val_split(mixed, "key", frac, f"{seed}:split")
-    repaired = repair_chat(full_messages(split.withColumn("functions", F.lit(None).cast("array<string>"))), "key", seed)
-    return repaired.select("key", "origin", "messages", "raw", "tools", "split")
+    samples = full_messages(build_chat(split, template))
+    return repair_chat(samples, "key", seed).select("key", "origin", "messages", "split")
