@@ -1 +1,184 @@
+"""Sources and sinks: tables written in each format and read back, and the file stream."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from litquarry import schemas
+from litquarry.catalog import ontologies, stand_ins as s
+from litquarry.catalog.chats import tool_samples
+from litquarry.catalog.registry import query
+from litquarry.functions.answers import chat_line
+from litquarry.functions.templates import EXTRACTION_PROMPT
+from litquarry.operators import chat, extraction, filters
+from litquarry.operators.sampling import train_val_split
+from litquarry.session import scratch_path
+from litquarry.sources import sinks, tables
+from litquarry.streaming import ingest
+
+
+@query("SELECT l_orderkey AS pmid, l_partkey AS part, l_returnflag AS type FROM lineitem")
+def match_files(spark, folder):
+    """A folder of match files, read as one table."""
+    path = scratch_path(spark, "matches")
+    lines = s.table(spark, folder, "lineitem")
+    sinks.write_table(
+        lines.select(
+            F.col("l_orderkey").alias("pmid"), F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("type")
+        ),
+        path,
+    )
+    return tables.read_matches(spark, path)
+
+
+@query("SELECT 'EFO_' || p_partkey AS id, p_name AS name, p_type || '|' || p_brand AS areas FROM part")
+def disease_files(spark, folder):
+    path = scratch_path(spark, "diseases")
+    part = s.table(spark, folder, "part")
+    sinks.write_table(
+        part.select(
+            F.concat(F.lit("EFO_"), "p_partkey").alias("id"),
+            F.col("p_name").alias("name"),
+            F.array("p_type", "p_brand").alias("therapeuticAreas"),
+            "p_size",
+        ),
+        path,
+    )
+    found = tables.read_diseases(spark, path)
+    return found.select("id", "name", F.array_join("therapeuticAreas", "|").alias("areas"))
+
+
+@query(f'WITH {s.SYMBOLS} SELECT "ENSG", "HUGO" FROM symbols')
+def symbol_files(spark, folder):
+    path = scratch_path(spark, "symbols")
+    s.symbol_lines(spark, folder).write.text(path)
+    return tables.read_gene_symbols(spark, path)
+
+
+@query("""SELECT doc_id::VARCHAR AS pmid, source AS title, CASE WHEN lang = 'es' THEN 'No abstract available'
+  ELSE replace(text, chr(10), ' ') END AS abstract
+  FROM documents""")
+def pubmed_files(spark, folder):
+    """Articles as XML: several sections, some without abstract, each id twice with the last one complete."""
+    path = scratch_path(spark, "pubmed")
+    sections = F.struct(F.split("text", "\n").alias("AbstractText"))
+    pmid = F.struct(F.col("doc_id").cast("string").alias("_VALUE"), F.lit("1").alias("_Version"))
+
+    def citation(title, abstract):
+        article = F.struct(title.alias("ArticleTitle"), abstract.alias("Abstract"))
+        return F.struct(pmid.alias("PMID"), article.alias("Article"))
+
+    early = citation(F.lit("early"), F.when(F.lit(False), sections))
+    complete = citation(F.col("source"), F.when(F.col("lang") != "es", sections))
+    records = s.table(spark, folder, "documents").select(F.explode(F.array(early, complete)).alias("MedlineCitation"))
+    records.write.format("xml").option("rootTag", "PubmedArticleSet").option("rowTag", "PubmedArticle").save(path)
+    return tables.read_pubmed_xml(spark, path)
+
+
+@query("SELECT doc_id::VARCHAR AS doc_id, 0 AS page_no, text FROM documents")
+def page_files(spark, folder):
+    path = scratch_path(spark, "pages")
+    docs = s.table(spark, folder, "documents")
+    pages = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.lit(0).alias("page_no"), "text")
+    sinks.write_table(pages, path)
+    return tables.read_pages(spark, path)
+
+
+@query("""SELECT doc_id, text AS abstract, source AS disease, NULL::VARCHAR AS genes FROM documents""")
+def csv_files(spark, folder):
+    """Texts with newlines, quotes and commas, and the missing-value text, through CSV."""
+    path = scratch_path(spark, "csv")
+    docs = s.table(spark, folder, "documents")
+    sinks.write_csv_table(
+        docs.select("doc_id", F.col("text").alias("abstract"), F.col("source").alias("disease"), F.lit("n/a").alias("genes")),
+        path,
+    )
+    return tables.read_csv_table(spark, path, "doc_id bigint, abstract string, disease string, genes string")
+
+
+@query(f"""WITH {s.LABELLED_DOCUMENTS} SELECT doc_id, abstract, disease_name, gene FROM labelled""")
+def jsonl_files(spark, folder):
+    path = scratch_path(spark, "jsonl")
+    rows = s.labelled_documents(spark, folder)
+    sinks.write_jsonl(rows, path)
+    return tables.read_jsonl(spark, path, rows.schema).drop("raw")
+
+
+@query(f"""WITH {s.LABELLED_DOCUMENTS} SELECT
+  replace('{EXTRACTION_PROMPT}', '[[[abstract]]]', abstract) AS user_text, 2 AS n_messages
+  FROM labelled WHERE abstract <> chr(32) || chr(9)""")
+def chat_files(spark, folder):
+    path = scratch_path(spark, "chat")
+    built = chat.build_chat(s.labelled_documents(spark, folder), EXTRACTION_PROMPT)
+    sinks.write_chat_lines(built, path)
+    read = tables.read_jsonl(spark, path)
+    return read.select(
+        F.col("messages")[0]["content"].alias("user_text"), F.size("messages").alias("n_messages")
+    )
+
+
+@query("""SELECT text, CASE WHEN row_number() OVER (ORDER BY md5('123:' || doc_id), doc_id)
+  <= floor(0.95::DOUBLE * count(*) OVER ()) THEN 'train' ELSE 'validation' END AS split FROM documents""")
+def split_files(spark, folder):
+    """Train and validation splits exported as JSON lines and reloaded."""
+    path = scratch_path(spark, "splits")
+    message = F.struct(F.lit("assistant").alias("role"), F.col("text").alias("content"))
+    split = train_val_split(s.table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    sinks.export_splits(split.withColumn("messages", F.array(message)), path)
+    return tables.read_splits(spark, path).select(F.col("messages")[0]["content"].alias("text"), "split")
+
+
+@query("""SELECT p_partkey, p_name, p_type FROM part""")
+def json_array_files(spark, folder):
+    """Rows exported twice as a JSON array; read back line by line without the array's punctuation."""
+    paths = [scratch_path(spark, "array"), scratch_path(spark, "array")]
+    part = s.table(spark, folder, "part").select("p_partkey", "p_name", "p_type")
+    sinks.write_json_array(part, *paths, key="p_partkey")
+    lines = spark.read.text(paths[1]).filter(~F.col("value").isin("[", "]"))
+    row = F.from_json(F.rtrim(F.col("value"), F.lit(",")), part.schema)
+    return lines.select(row.alias("row")).select("row.*")
+
+
+@query(f'WITH {ontologies.ROWS} SELECT * FROM gene_rows')
+def extraction_files(spark, folder):
+    """Extractions with polymorphic genes through JSON."""
+    path = scratch_path(spark, "extractions")
+    ontologies.extractions(spark, folder).write.json(path)
+    rows = extraction.explode_genes(tables.read_extractions(spark, path, lines=True))
+    return filters.drop_if_all_null(rows, ["Disease", "Genes"])
+
+
+@query(f'WITH {ontologies.TUMORS} SELECT name, code, "mainType" FROM tumors')
+def ontology_files(spark, folder):
+    """The ontology as a JSON array document; its position is kept."""
+    path = scratch_path(spark, "ontology")
+    types = ontologies.tumor_types(spark, folder).orderBy("ordinal")
+    document = types.agg(F.to_json(F.array_sort(F.collect_list(F.struct("ordinal", "name", "code", "mainType")))))
+    document.write.text(path)
+    return tables.read_ontology(spark, path).select(*schemas.TUMOR_TYPES.names)
+
+
+@query("""SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag IN ('A', 'R')""")
+def incremental_ingest(spark, folder):
+    """Line items as a file stream, filtered into a table; a second run finds nothing new."""
+    out, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "progress")
+    schema = s.table(spark, folder, "lineitem").schema
+
+    def wanted(lines):
+        return filters.literature_filter(
+            lines, s.SECTION, (s.DISEASE, s.GENE), "l_linestatus", "l_returnflag",
+            ["l_orderkey", "l_partkey", "l_returnflag"],
+        )
+
+    for _ in range(2):
+        found = ingest.ingest_new_files(
+            spark, folder, out, checkpoint, schema=schema, pattern="lineitem.parquet", transform=wanted
+        )
+    return found
+
+
+@query("""SELECT count(*) AS rows_in FROM documents""")
+def chat_outcomes(spark, folder):
+    """Counts of kept, skipped and rejected samples add up to the samples."""
+    outcomes = chat.repair_outcomes(tool_samples(spark, folder), "doc_id").groupBy("status")
+    return outcomes.agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("rows_in"))

@@ -72,4 +72,4 @@ def render_prompt(template: str, col: Column | str, marker: str = PROMPT_MARKER)
 
 def join_sections(sections: Column | str, default: str = NO_ABSTRACT) -> Column:
     """Abstract sections joined with a space; the default where there is no section list."""
-    return F.coalesce(F.array_join(_column(sections), " "), F.lit(default))
+    return F.coalesce(F.array_join(_column(sections), " ", ""), F.lit(default))

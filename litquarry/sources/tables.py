@@ -63,9 +63,8 @@ def read_gene_symbols(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
     """One row per article: pmid, title, abstract. The last record of a repeated id counts."""
-    articles = (
-        spark.read.format("xml").option("rowTag", "PubmedArticle").schema(schemas.PUBMED_ARTICLE).load(path)
-    )
+    reader = spark.read.format("xml").option("rowTag", "PubmedArticle").option("ignoreSurroundingSpaces", "false")
+    articles = reader.schema(schemas.PUBMED_ARTICLE).load(path)
     citation = F.col("MedlineCitation")
     records = articles.select(
         citation["PMID"]["_VALUE"].alias("pmid"),
