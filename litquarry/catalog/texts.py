@@ -155,24 +155,26 @@ def split_gene_text(spark, folder):
     return rows.select("doc_id", F.explode(extraction.gene_list(F.col("genes"))).alias("gene"))
 
 
-def answer_prompt(prompt: str) -> str:
+def model():
     """A stand-in for a model: fails on an e-mail sign, else answers with the length."""
-    if "@" in prompt:
-        raise ValueError("refused")
-    return f'{{"Disease": "n/a", "Genes": "{len(prompt)}"}}'
+
+    def answer(prompt):
+        if "@" in prompt:
+            raise ValueError("refused")
+        return f'{{"Disease": "n/a", "Genes": "{len(prompt)}"}}'
+
+    return answer
 
 
 @query("""SELECT doc_id, CASE WHEN contains(text, '@') THEN 'Error querying model'
   ELSE '{"Disease": "n/a", "Genes": "' || length(text) || '"}' END AS response FROM documents""")
 def extract_batch(spark, folder):
-    fn = lambda prompt: answer_prompt(prompt)
-    return extraction.extract_batch(documents(spark, folder), fn, "text").select("doc_id", "response")
+    return extraction.extract_batch(documents(spark, folder), model(), "text").select("doc_id", "response")
 
 
 @query(f"""WITH {PIECES} SELECT "Abstract" AS abstract, 'n/a' AS "Disease",
   '"' || (length("Abstract") + {len('Text: ')}) || '"' AS "Genes" FROM pieces WHERE NOT contains("Abstract", '@')""")
 def page_extraction(spark, folder):
     """Pages to parsed extractions: segments, prompts, answers, strict parsing."""
-    fn = lambda prompt: answer_prompt(prompt)
-    found = extract_from_pages(documents(spark, folder), "Text: [[[abstract]]]", fn, "text", HEADER)
+    found = extract_from_pages(documents(spark, folder), "Text: [[[abstract]]]", model(), "text", HEADER)
     return found.select("abstract", "Disease", F.to_json("Genes").alias("Genes"))

@@ -41,8 +41,12 @@ def combine_evidence(genes: DataFrame, diseases: DataFrame, organisms: DataFrame
 
 
 def attach_abstracts(df: DataFrame, pubmed: DataFrame, on: str = "pmid") -> DataFrame:
-    """Rows with title and abstract, null where there is no record."""
-    return df.join(pubmed, on, "left")
+    """Rows with title and abstract, null where there is no record.
+
+    The records are first cut down to the wanted keys: where those are few they are
+    broadcast, and the texts of all other records are never shuffled.
+    """
+    return df.join(restrict_to(pubmed, df.select(on), on), on, "left")
 
 
 def apply_mapping(df: DataFrame, mapping: DataFrame, on: str) -> DataFrame:

@@ -82,7 +82,8 @@ def labelled_pmids(
     )
     label = lambda kind: F.when(F.col("type") == kind, F.col("_label"))
     return (
-        labelled.groupBy("pmid")
+        labelled.filter(F.col("_label").isNotNull() | F.col("_species"))  # the others add nothing
+        .groupBy("pmid")
         .agg(
             joined_labels(label(gene_type)).alias("gene"),
             joined_labels(label(disease_type)).alias("disease_name"),
@@ -121,7 +122,8 @@ def build_corpus(
 ) -> DataFrame:
     """Labelled abstracts from raw tables: filter, evidence, sample, title and abstract.
 
-    The labelled pmids are written once, because sampling reads them several times.
+    The labelled pmids are written once, because sampling reads them several times,
+    and so is the sample, whose size lets Spark look up its abstracts without moving all.
     ``parity`` keeps an unfiltered result with its organism lists when the combined
     evidence has fewer rows than the target.
     """
@@ -136,4 +138,5 @@ def build_corpus(
         labelled = materialize(
             labelled_pmids(matches, diseases, symbols, disease_type, gene_type, species), "labelled"
         )
-    return attach_abstracts(sample_evidence(labelled, target, cap, seed), pubmed)
+    sample = materialize(sample_evidence(labelled, target, cap, seed), "sample")
+    return attach_abstracts(sample, pubmed)
