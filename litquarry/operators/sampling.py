@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from litquarry.functions.hashing import seeded_hash
+from litquarry.operators.joins import union_all
 
 # Rows per stratum, sample size, seed, train share, rows per batch.
 MAX_PER_LABEL = 2000
@@ -34,16 +35,21 @@ def _with_buckets(df: DataFrame, key: str, seed: int | str) -> DataFrame:
 
 
 def _bucket_counts(df: DataFrame, group: Sequence[str], key: str, seed: int | str) -> DataFrame:
-    """Rows before and up to the end of each bucket, and rows of the whole group.
+    """Rows of each (group, bucket), with the running numbers of ``_running``."""
+    hashed = df.select(*group, F.substring(seeded_hash(seed, key), 1, BUCKET_DIGITS).alias("_bucket"))
+    return _running(hashed, group, F.count(F.lit(1)))
+
+
+def _running(rows: DataFrame, group: Sequence[str], total: Column) -> DataFrame:
+    """Per (group, bucket): `_rows`, the rows `_before` and `_upto` its end, and the group's `_size`.
 
-    The windows run over bucket counts, at most 4096 per group.
+    The windows run over buckets, at most 4096 per group.
     """
-    hashed = df.select(*group, F.substring(seeded_hash(seed, key), 1, BUCKET_DIGITS).alias("_bucket"))
     whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     ordered = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        hashed.groupBy(*group, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        rows.groupBy(*group, "_bucket")
+        .agg(total.alias("_rows"))
         .withColumn("_upto", F.sum("_rows").over(ordered))
         .withColumn("_before", F.col("_upto") - F.col("_rows"))
         .withColumn("_size", F.sum("_rows").over(whole))
@@ -59,24 +65,33 @@ def _shares(counts: DataFrame, quota: Column) -> DataFrame:
     return counts.withColumn("_take", F.least(quota - F.col("_before"), F.col("_rows"))).filter("_take > 0")
 
 
-def _ranked(df: DataFrame, shares: DataFrame, group: str, key: str, seed: int | str) -> DataFrame:
-    """Rows with their `_rank` inside (group, bucket) and the rows to `_take` there, null beyond the quota.
+def _with_ranks(hashed: DataFrame, shares: DataFrame, group: str, key: str, how: str) -> DataFrame:
+    """Bucketed rows with their `_rank` inside (group, bucket) and the rows to `_take` there.
 
     Joining and ranking on (group, bucket) spreads a hot group over all its buckets
     and needs one shuffle for both.
     """
-    hashed = _with_buckets(df, key, seed)
     shares = shares.select(F.col(group).alias("_group"), F.col("_bucket").alias("_in"), "_take")
     near = hashed[group].eqNullSafe(shares["_group"]) & (hashed["_bucket"] == shares["_in"])
-    return hashed.join(shares, near, "left").withColumn("_rank", _rank_in_bucket([group], key))
+    return hashed.join(shares, near, how).withColumn("_rank", _rank_in_bucket([group], key))
 
 
 def cap_per_group(
     df: DataFrame, group: str, n: int = MAX_PER_LABEL, key: str = "pmid", seed: int | str = SEED
 ) -> DataFrame:
-    """The first n rows of each group in seeded order."""
-    shares = _shares(_bucket_counts(df, [group], key, seed), F.lit(n))
-    return _ranked(df, shares, group, key, seed).filter(F.col("_rank") <= F.col("_take")).select(*df.columns)
+    """The first n rows of each group in seeded order.
+
+    Groups of at most n rows are passed on whole; only larger ones, at most one per n
+    rows, are ranked.
+    """
+    sizes = df.groupBy(F.col(group).alias("_large")).agg(F.count(F.lit(1)).alias("_size"))
+    large = sizes.filter(F.col("_size") > n).select("_large")
+    is_large = df[group].eqNullSafe(large["_large"])
+    rows = df.join(large, is_large, "left_semi")
+    shares = _shares(_bucket_counts(rows, [group], key, seed), F.lit(n))
+    ranked = _with_ranks(_with_buckets(rows, key, seed), shares, group, key, "inner")
+    first = ranked.filter(F.col("_rank") <= F.col("_take")).select(*df.columns)
+    return df.join(large, is_large, "left_anti").unionByName(first)
 
 
 def take_first(df: DataFrame, n: int | Column, key: str, seed: int | str = SEED) -> DataFrame:
@@ -91,8 +106,11 @@ def take_first(df: DataFrame, n: int | Column, key: str, seed: int | str = SEED)
 
 def _cut(df: DataFrame, n: int | Column, key: str, seed: int | str) -> Column:
     """Scalar subquery: the bucket in which row n lies and its rows to take; n may use ``_size``."""
-    counts = _bucket_counts(df, [], key, seed)
-    quota = F.least(F.lit(n) if isinstance(n, int) else n, F.col("_size"))
+    return _cut_of(_bucket_counts(df, [], key, seed), F.lit(n) if isinstance(n, int) else n)
+
+
+def _cut_of(counts: DataFrame, n: Column) -> Column:
+    quota = F.least(n, F.col("_size"))
     cut = counts.filter((F.col("_before") < quota) & (quota <= F.col("_upto")))
     return cut.select(
         F.struct(F.col("_bucket").alias("bucket"), (quota - F.col("_before")).alias("take"))
@@ -104,18 +122,36 @@ def stratified_sample(
 ) -> DataFrame:
     """A sample of exactly ``target`` rows, or all rows where there are fewer.
 
-    Each stratum gives ``floor(size * target / total)`` rows; the rest comes from the
-    rows not yet taken. Both follow the seeded order.
+    Each stratum gives its first ``floor(size * target / total)`` rows; the first of
+    all other rows fill up to the target. Both follow the seeded order.
+
+    The bucket in which the filling ends follows from the counts alone. All rows of
+    earlier buckets are in the sample, later buckets give only the strata's shares,
+    and just that one bucket needs both.
     """
     counts = _bucket_counts(df, [group], key, seed)
     total = counts.agg(F.sum("_rows")).scalar()
-    fraction = F.lit(float(target)) / total.cast("double")
-    shares = _shares(counts, F.floor(F.col("_size").cast("double") * fraction))
-    ranked = _ranked(df, shares, group, key, seed)
-    sampled = ranked.filter(F.col("_rank") <= F.col("_take")).select(*df.columns)
-    rest = ranked.filter(~F.coalesce(F.col("_rank") <= F.col("_take"), F.lit(False))).select(*df.columns)
+    quota = F.floor(F.col("_size").cast("double") * (F.lit(float(target)) / total.cast("double")))
+    shares = _shares(counts, quota)
     taken = shares.agg(F.coalesce(F.sum("_take"), F.lit(0))).scalar()
-    return sampled.unionByName(take_first(rest, F.lit(target) - taken, key, seed))
+    left = F.col("_rows") - F.greatest(F.least(quota - F.col("_before"), F.col("_rows")), F.lit(0))
+    others = _running(counts.select("_bucket", left.alias("_left")), [], F.sum("_left"))
+    end = _cut_of(others, F.lit(target) - taken)
+
+    hashed = _with_buckets(df, key, seed).withColumn("_end", end)
+    bucket, last = F.col("_bucket"), F.col("_end.bucket")
+    before = hashed.filter(bucket < last)
+    after = _with_ranks(hashed.filter(F.coalesce(bucket > last, F.lit(True))), shares, group, key, "inner")
+    both = _with_ranks(hashed.filter(bucket == last), shares, group, key, "left").withColumn(
+        "_other", F.coalesce(F.col("_rank") > F.col("_take"), F.lit(True))
+    )
+    place = F.row_number().over(Window.partitionBy("_bucket", "_other").orderBy("_hash", key))
+    parts = [
+        before,
+        after.filter(F.col("_rank") <= F.col("_take")),
+        both.withColumn("_place", place).filter(~F.col("_other") | (F.col("_place") <= F.col("_end.take"))),
+    ]
+    return union_all(*[part.select(*df.columns) for part in parts])
 
 
 def remaining_rows(df: DataFrame, sampled: DataFrame, key: str) -> DataFrame:
