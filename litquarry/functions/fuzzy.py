@@ -78,15 +78,25 @@ def weighted_ratio(a: str, b: str) -> int:
     return round(max(scores))
 
 
+def _forms(text: str) -> list[str]:
+    """The three texts that the ratios compare: whole, tokens in order, distinct tokens in order."""
+    tokens = text.split()
+    return [text, " ".join(sorted(tokens)), " ".join(sorted(set(tokens)))]
+
+
 class Candidates:
-    """Candidate texts in order, with letter counts that bound the score from above."""
+    """Candidate texts in order, with letter counts that bound each ratio from above.
+
+    A ratio is at most what the letters common to both texts allow. Candidates are
+    scored in the order of their bounds, until no bound reaches the best score.
+    """
 
     def __init__(self, texts: list[str]):
         self.texts = [normalise(t) for t in texts]
         self.letters = {c: i for i, c in enumerate(sorted(set("".join(self.texts))))}
-        self.counts = np.stack([self._count(t) for t in self.texts]) if texts else np.zeros((0, 0))
-        self.lengths = np.array([len(t) for t in self.texts], dtype=float)
-        self.repeats = np.array([self._repeats(t) for t in self.texts])
+        forms = list(zip(*map(_forms, self.texts)))
+        self.counts = [np.stack([self._count(t) for t in form]) for form in forms]
+        self.lengths = [np.array([len(t) for t in form], dtype=float) for form in forms]
         self.by_token: dict[str, list[int]] = {}
         for position, text in enumerate(self.texts):
             for token in set(text.split()):
@@ -99,26 +109,29 @@ class Candidates:
                 row[self.letters[c]] += 1
         return row
 
-    @staticmethod
-    def _repeats(text: str) -> bool:
-        """True where the token forms are shorter than the text itself."""
-        return len(" ".join(set(text.split()))) < len(text)
-
     def _bounds(self, text: str) -> np.ndarray:
-        """No candidate scores above its bound: common letters limit every ratio."""
-        common = np.minimum(self.counts, self._count(text)).sum(axis=1)
-        shorter = np.maximum(np.minimum(self.lengths, len(text)), 1)
-        longer = np.maximum(self.lengths, len(text))
-        whole = 200 * common / np.maximum(self.lengths + len(text), 1)
-        window = 200 * common / np.maximum(shorter + common, 1)
-        partial = longer / shorter >= PARTIAL_FROM
+        """No candidate scores above its bound."""
+        whole_text, *_, distinct = _forms(text)
+        longer = np.maximum(self.lengths[0], len(whole_text))
+        shorter = np.maximum(np.minimum(self.lengths[0], len(whole_text)), 1)
+        windows = longer / shorter >= PARTIAL_FROM
         weight = np.where(longer / shorter > LONG_PARTIAL_ABOVE, LONG_PARTIAL_WEIGHT, PARTIAL_WEIGHT)
-        # + 1 covers the rounding inside each form.
-        bound = np.where(partial, np.maximum(whole, window * weight), whole) + 1
-        bound[self.repeats | self._repeats(text)] = 100
+
+        whole, window = [], []
+        for counts, lengths, form in zip(self.counts, self.lengths, _forms(text)):
+            common = np.minimum(counts, self._count(form)).sum(axis=1)
+            whole.append(200 * common / np.maximum(lengths + len(form), 1))
+            window.append(200 * common / np.maximum(np.minimum(lengths, len(form)) + common, 1))
+
+        shared = np.zeros(len(self.texts))  # length of the shared tokens, joined
         for token in set(text.split()):
-            bound[self.by_token.get(token, [])] = 100
-        return bound
+            shared[self.by_token.get(token, [])] += len(token) + 1
+        shared = np.maximum(shared - 1, 0)
+        with_shared = 200 * shared / np.maximum(shared + np.minimum(self.lengths[2], len(distinct)), 1)
+        in_whole = np.maximum.reduce([whole[1], whole[2], with_shared]) * TOKEN_WEIGHT
+        in_window = np.maximum.reduce([window[1], window[2], np.where(shared > 0, 100, 0)]) * TOKEN_WEIGHT
+        bound = np.where(windows, np.maximum(window[0], in_window) * weight, in_whole)
+        return np.maximum(bound, whole[0]) + 1  # for the rounding inside each form
 
     def best(self, text: str, threshold: int) -> tuple[int, int] | None:
         """(position, score) of the earliest best candidate above the threshold."""

@@ -81,6 +81,8 @@ def match_fuzzy(
 ) -> DataFrame:
     """Distinct texts with the best `match` scoring above the threshold; the earliest wins a tie."""
     texts = indications.select(F.col(on)).filter(F.col(on) != "").distinct()
+    # Few bytes but much work per text: without a number of its own the stage would shrink to few tasks.
+    texts = texts.repartition(4 * texts.sparkSession.sparkContext.defaultParallelism, on)
     candidates = match_candidates(ontology)
     scored = {"wratio": _weighted_matches, "levenshtein": _levenshtein_matches}[method](
         texts, candidates, on, threshold
@@ -93,9 +95,11 @@ def _levenshtein_matches(texts: DataFrame, candidates: DataFrame, on: str, thres
     """All (text, candidate) pairs above the threshold, found by shared segments.
 
     A score above t leaves fewer than ``len * (100 - t) / t`` edits to a candidate of
-    that length. Cut into as many segments, the candidate has at least one that no
-    edit touches: it stands unchanged in the text, shifted by less than that number.
-    So an equi-join on segments finds every such pair, and few others.
+    that length. Cut into as many segments, the candidate has one that no edit
+    touches, so that it stands unchanged in the text. Among these is one with at most
+    as many edits before it as segments before it, and likewise after it, which limits
+    how far it is shifted. An equi-join on segments within these limits finds every
+    pair, and few others.
     """
     if not 50 <= threshold < 100:
         raise ValueError("levenshtein matching needs a threshold from 50 to 99")
@@ -119,10 +123,13 @@ def _levenshtein_matches(texts: DataFrame, candidates: DataFrame, on: str, thres
         .withColumn("_part", F.substring(F.col(on), F.col("_at") + 1, F.col("_gram")))
     )
     longest = F.greatest("_length", "_size")
+    shift = F.col("_at") - F.col("_start")
+    difference = F.col("_length") - F.col("_size")
     near = (
         (F.col("_part") == F.col("_segment"))
-        & (F.abs(F.col("_at") - F.col("_start")) < F.col("_pieces"))
-        & (F.abs(F.col("_length") - F.col("_size")) * 100 < longest * miss)
+        & (F.abs(shift) <= F.col("_piece"))
+        & (F.abs(shift - difference) <= F.col("_pieces") - 1 - F.col("_piece"))
+        & (F.abs(difference) * 100 < longest * miss)
     )
     pairs = grams.join(segments, near).select(on, "text", "ordinal", "kind", "match")
     scored = pairs.withColumn("score", fuzzy.levenshtein_score(F.col(on), F.col("text")))
@@ -136,18 +143,17 @@ def _weighted_matches(texts: DataFrame, candidates: DataFrame, on: str, threshol
     A slice is held in memory, hence its fixed bound; an ontology beyond the bound is
     scored slice by slice, with no candidate left out.
     """
-    spread = texts.repartition(4 * texts.sparkSession.sparkContext.defaultParallelism)
     plain = candidates.select("text", "ordinal", "kind")
     n_candidates = plain.count()
     if n_candidates <= CANDIDATES_PER_SLICE:
-        scored = _score_slice(spread, plain, on, threshold)
+        scored = _score_slice(texts, plain, on, threshold)
     else:
         ranked = global_rank(plain, "text", alias="_rank")
         slices = [
             ranked.filter(F.col("_rank").between(low + 1, low + CANDIDATES_PER_SLICE)).drop("_rank")
             for low in range(0, n_candidates, CANDIDATES_PER_SLICE)
         ]
-        scored = union_all(*[_score_slice(spread, part, on, threshold) for part in slices])
+        scored = union_all(*[_score_slice(texts, part, on, threshold) for part in slices])
     return scored.join(candidates.select("ordinal", "kind", "match"), ["ordinal", "kind"])
 
 
