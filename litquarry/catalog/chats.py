@@ -83,22 +83,22 @@ def tool_samples(spark, folder):
 ID_SQL = "substr(md5('123:' || doc_id || ':' || {}), 1, 9)"
 
 
-@query(f"""WITH lines AS (SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS line,
+REPAIRED = f"""lines AS (SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS line,
     unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
 turns AS (SELECT *, i % 4 AS place, max(i) OVER (PARTITION BY doc_id) AS final FROM lines),
-state AS (SELECT doc_id,
-    max(i) FILTER (place IN (1, 3)) AS last,
-    bool_or((place = 1 AND source = 'src3') OR (place = 2 AND source = 'src4')) AS rejected,
-    bool_or(place IN (0, 3) AND line = '') AS skipped FROM turns GROUP BY doc_id),
+state AS (SELECT doc_id, max(i) FILTER (place IN (1, 3)) AS last, CASE
+    WHEN bool_or((place = 1 AND source = 'src3') OR (place = 2 AND source = 'src4')) THEN 'rejected'
+    WHEN bool_or(place IN (0, 3) AND line = '') OR max(i) FILTER (place IN (1, 3)) IS NULL THEN 'skipped'
+    ELSE 'kept' END AS status FROM turns GROUP BY doc_id),
 messages AS (SELECT doc_id, i, CASE place
     WHEN 0 THEN 'user;' || line || ';;'
     WHEN 1 THEN 'assistant;#' || line || ';;' || lang || '(' || '{{"n":' || length(line) || '}})' ||
       CASE WHEN i < final THEN {ID_SQL.format('(i + 1)')} ELSE '' END
     WHEN 2 THEN 'tool;#' || line || ';' || {ID_SQL.format('i')} || ';'
-    ELSE 'assistant;' || line || ';;' END AS message FROM turns)
-SELECT doc_id, '{{"function": {{"name": "tool"}}}}' AS tool,
-  CASE WHEN rejected THEN 'rejected' WHEN skipped OR last IS NULL THEN 'skipped' ELSE 'kept' END AS status,
-  CASE WHEN NOT rejected AND NOT skipped AND last IS NOT NULL THEN
+    ELSE 'assistant;' || line || ';;' END AS message FROM turns)"""
+
+
+@query(f"""WITH {REPAIRED} SELECT doc_id, '{{"function": {{"name": "tool"}}}}' AS tool, status, CASE status WHEN 'kept' THEN
     (SELECT string_agg(message, chr(10) ORDER BY i) FROM messages m WHERE m.doc_id = state.doc_id AND i <= last) END AS body
 FROM state""")
 def repair_tool_calls(spark, folder):
@@ -118,6 +118,13 @@ def repair_tool_calls(spark, folder):
     )
 
 
+@query(f"WITH {REPAIRED} SELECT status, count(*) AS samples FROM state GROUP BY status")
+def repair_counts(spark, folder):
+    """How many samples are kept, skipped and rejected."""
+    outcomes = chat.repair_outcomes(tool_samples(spark, folder), "doc_id")
+    return outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("samples"))
+
+
 def negatives(spark, folder):
     return s.table(spark, folder, "benchmark").select(
         F.col("text").alias("abstract"), F.concat(F.lit("topic "), "item_id").alias("disease"),

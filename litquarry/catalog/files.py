@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from litquarry import schemas
 from litquarry.catalog import ontologies, stand_ins as s
-from litquarry.catalog.chats import tool_samples
 from litquarry.catalog.registry import query
 from litquarry.functions.answers import chat_line
 from litquarry.functions.templates import EXTRACTION_PROMPT
@@ -175,10 +174,3 @@ def incremental_ingest(spark, folder):
             spark, folder, out, checkpoint, schema=schema, pattern="lineitem.parquet", transform=wanted
         )
     return found
-
-
-@query("""SELECT count(*) AS rows_in FROM documents""")
-def chat_outcomes(spark, folder):
-    """Counts of kept, skipped and rejected samples add up to the samples."""
-    outcomes = chat.repair_outcomes(tool_samples(spark, folder), "doc_id").groupBy("status")
-    return outcomes.agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("rows_in"))

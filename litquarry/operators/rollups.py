@@ -105,5 +105,6 @@ def group_indications(
     return mapping.filter(F.col(matched).isNotNull()).select(main_type, indication).distinct()
 
 
-def distinct_values(df: DataFrame, col: str) -> DataFrame:
-    return df.select(col).distinct()
+def distinct_values(df: DataFrame, col: str, ordered: bool = False) -> DataFrame:
+    values = df.select(col).distinct()
+    return values.orderBy(col) if ordered else values

@@ -42,7 +42,7 @@ def gene_mart(
         "rows": rows,
         "mapping": mapping,
         "indications": rollups.group_indications(mapping, "Disease", "mainType"),
-        "main_types": rollups.distinct_values(with_gene, "Main_Type"),
+        "main_types": rollups.distinct_values(with_gene, "Main_Type", ordered=True),
         "gene_counts": rollups.gene_counts(with_gene),
         "totals": totals,
         "most_common": rollups.most_common_type(totals),
