@@ -1,7 +1,7 @@
 """Text similarity scores from 0 to 100.
 
-``levenshtein_score`` is a Column function. ``weighted_ratio`` is the reference
-score for ontology matching: the best of several difflib ratios, each with a weight.
+``levenshtein_score`` is a Column function. ``weighted_ratio`` is the best of several
+difflib ratios, each with a weight.
 """
 
 from __future__ import annotations

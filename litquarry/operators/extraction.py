@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from litquarry.functions.answers import strict_object, variant_string
 from litquarry.functions.binding import keep_where
 from litquarry.functions.text import MISSING, SESSION_HEADER, abstract_number, header_pieces, na_to_null, strip
+from litquarry.operators.sampling import take_first
 
 # Fixed value: the response of a row whose answer function failed.
 QUERY_ERROR = "Error querying model"
@@ -22,12 +23,20 @@ def split_at_headers(df: DataFrame, text: str = "text", header: str = SESSION_HE
 
 
 def extract_batch(
-    df: DataFrame, fn: Callable[[str], str], prompt: str = "prompt", response: str = "response"
+    df: DataFrame,
+    fn: Callable[[str], str],
+    prompt: str = "prompt",
+    response: str = "response",
+    limit: int | None = None,
+    key: str | None = None,
 ) -> DataFrame:
     """Rows with the caller's answer to their prompt; a failing call gives the error text.
 
-    Marked non-deterministic, so that Spark never evaluates a costly call twice.
+    Marked non-deterministic, so that Spark never evaluates a costly call twice in a
+    plan. For a trial run, ``limit`` takes that many rows in the seeded order of ``key``.
     """
+    if limit is not None:
+        df = take_first(df, limit, key)
     failed = QUERY_ERROR
 
     def answer(text):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,11 @@ def local_session(app: str = "litquarry", cpus: str | int = "*", shuffle_partiti
     )
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="litquarry-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -32,8 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="litquarry-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_folder()
     return folder.rstrip("/")
 
 

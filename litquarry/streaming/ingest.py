@@ -1,11 +1,14 @@
-"""Incremental ingest of match files as a file stream."""
+"""File streams: incremental ingest of matches, and answers saved as they come."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from litquarry import schemas
+from litquarry.operators.extraction import extract_batch
 from litquarry.operators.filters import literature_filter
 
 # Fixed value: files taken outside production.
@@ -54,3 +57,25 @@ def ingest_new_files(
     )
     query.awaitTermination()
     return spark.read.parquet(out)
+
+
+def answer_new_prompts(
+    spark: SparkSession,
+    src: str,
+    out: str,
+    checkpoint: str,
+    fn: Callable[[str], str],
+    schema: T.StructType,
+    prompt: str = "prompt",
+    response: str = "response",
+    files_per_batch: int = 100,
+) -> DataFrame:
+    """Answer the prompt files not yet answered into the table at ``out`` and return that table.
+
+    Answers are costly: they are saved after every batch of files, and a run that was
+    lost goes on after the last saved batch.
+    """
+    return ingest_new_files(
+        spark, src, out, checkpoint, schema=schema, files_per_batch=files_per_batch,
+        transform=lambda prompts: extract_batch(prompts, fn, prompt, response),
+    )

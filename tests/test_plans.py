@@ -9,7 +9,7 @@ from litquarry.operators import joins
 
 FOLDER = "/root/testdata/sf0.001"
 WRITES = {name for name in queries if name.endswith("_files")} | {
-    "incremental_ingest", "corpus_build", "training_set", "stratified_sample",
+    "incremental_ingest", "saved_answers", "corpus_build", "training_set", "stratified_sample",
 }
 PYTHON = {"extract_batch", "page_extraction", "ontology_fuzzy_weighted"}
 

@@ -20,26 +20,26 @@ def strata(spark):
     return spark.createDataFrame(data, "id bigint, label string").repartition(7).cache()
 
 
-def reference_order(spark, df, seed):
+def ordered_rows(spark, df, seed):
     got = df.select("id", "label", seeded_hash(seed, "id").alias("h")).collect()
     return [(r["id"], r["label"]) for r in sorted(got, key=lambda r: (r["h"], r["id"]))]
 
 
 def test_ranks_are_a_permutation_in_seeded_order(spark, strata):
     ranked = {r["rank"]: r["id"] for r in sampling.global_rank(strata, "id", 11).collect()}
-    assert [ranked[i + 1] for i in range(len(ranked))] == [i for i, _ in reference_order(spark, strata, 11)]
+    assert [ranked[i + 1] for i in range(len(ranked))] == [i for i, _ in ordered_rows(spark, strata, 11)]
 
 
 @pytest.mark.parametrize("n", [0, 1, 37, 5999, 6000, 10**9])
 def test_take_first(spark, strata, n):
     assert sorted(r[0] for r in sampling.take_first(strata, n, "id", 3).collect()) == sorted(
-        i for i, _ in reference_order(spark, strata, 3)[:n]
+        i for i, _ in ordered_rows(spark, strata, 3)[:n]
     )
 
 
 def test_cap_per_group(spark, strata):
     expected, seen = [], Counter()
-    for i, label in reference_order(spark, strata, 123):
+    for i, label in ordered_rows(spark, strata, 123):
         seen[label] += 1
         if seen[label] <= 50:
             expected.append((i, label))
@@ -48,7 +48,7 @@ def test_cap_per_group(spark, strata):
 
 @pytest.mark.parametrize("target", [1, 500, 1003, 6000, 7000])
 def test_stratified_sample(spark, strata, target):
-    ordered = reference_order(spark, strata, 123)
+    ordered = ordered_rows(spark, strata, 123)
     sizes = Counter(label for _, label in ordered)
     quota = {label: min(int(size * (target / 6000)), size) for label, size in sizes.items()}
     picked, rest = [], []

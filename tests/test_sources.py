@@ -130,6 +130,40 @@ def test_ingest_of_the_first_files(spark, tmp_path):
 def test_written_tables_go_to_the_shared_folder(spark):
     folder = shared_folder(spark)
     assert scratch_path(spark, "x").startswith(folder)
-    assert spark.conf.get("spark.checkpoint.dir").rstrip("/") == folder
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert configured is None or configured.rstrip("/") == folder
     df = materialize(spark.range(5), "x")
     assert df.count() == 5 and all(f.split("://")[-1].removeprefix("file:").startswith(folder) for f in df.inputFiles())
+
+
+class _Session:
+    """A session without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: default)})
+
+
+def test_only_a_local_session_gets_a_folder_of_its_own():
+    assert shared_folder(_Session("local[2]")) == shared_folder(_Session("local[*]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"))
+
+
+def test_answers_are_saved_and_not_asked_again(spark, tmp_path):
+    src, out, progress, log = (str(tmp_path / p) for p in ("in", "out", "progress", "log"))
+
+    def fn(prompt):
+        with open(log, "a") as file:
+            file.write(prompt + "\n")
+        if prompt == "p3":
+            raise RuntimeError
+        return prompt.upper()
+
+    schema = "id bigint, prompt string"
+    for numbers in ([1, 2], [3]):
+        spark.createDataFrame([(i, f"p{i}") for i in numbers], schema).write.mode("append").parquet(src)
+        got = ingest.answer_new_prompts(spark, src, out, progress, fn, schema)
+    assert rows(got) == [(1, "p1", "P1"), (2, "p2", "P2"), (3, "p3", "Error querying model")]
+    with open(log) as file:
+        assert sorted(file.read().split()) == ["p1", "p2", "p3"]
