@@ -12,7 +12,7 @@ from litquarry.functions.templates import (
     CANCER_PHRASES, EXTRACTION_PROMPT, GENERAL_PHRASES, GENERAL_TOPICS, NEGATIVE_PROMPT,
 )
 from litquarry.operators import chat, synthesis
-from litquarry.plans.training import build_training_set, full_messages
+from litquarry.plans.training import build_training_set, full_messages, negative_examples
 
 PROMPT_SQL = f"replace({quoted(EXTRACTION_PROMPT)}, '[[[abstract]]]', abstract)"
 
@@ -190,8 +190,24 @@ def prompt_sql(phrases: list[str]) -> str:
     return "printf(" + ", ".join(quoted(p) for p in [NEGATIVE_PROMPT]) + ", topic, " + ", ".join(map(quoted, phrases)) + ")"
 
 
-@query(f"""WITH {PLAN} SELECT id, CASE WHEN is_cancer THEN {prompt_sql(CANCER_PHRASES)}
-  ELSE {prompt_sql(GENERAL_PHRASES)} END AS prompt FROM plan""")
+PROMPTS = f"""{PLAN}, prompts AS (SELECT plan.*, CASE WHEN is_cancer THEN {prompt_sql(CANCER_PHRASES)}
+  ELSE {prompt_sql(GENERAL_PHRASES)} END AS prompt FROM plan)"""
+
+
+@query(f"WITH {PROMPTS} SELECT id, prompt FROM prompts")
 def negative_prompt(spark, folder):
     rendered = synthesis.render_negative_prompt(plan(spark, folder))
     return rendered.select("id", F.col("messages")[1]["content"].alias("prompt"))
+
+
+@query(f"""WITH {PROMPTS} SELECT id, 'A text of ' || length(prompt) || ' characters' AS abstract, disease, genes FROM prompts
+  WHERE NOT contains(topic, 'anvil')""")
+def generated_negatives(spark, folder):
+    """Negative examples from a stand-in for a model, which fails on some topics."""
+
+    def write(prompt):
+        if "anvil" in prompt:
+            raise ValueError("refused")
+        return f"\nA text of {len(prompt)} characters "
+
+    return negative_examples(plan(spark, folder), write)

@@ -136,7 +136,7 @@ RESPONSES = """responses AS (SELECT event_id::VARCHAR AS "Abstract", event_type,
 
 
 @query(f"""WITH {RESPONSES} SELECT "Abstract" AS abstract, response::JSON ->> 'Disease' AS "Disease",
-  CAST(response::JSON -> 'Genes' AS VARCHAR) AS "Genes", response::JSON ->> 'comment' AS comment
+  CAST(response::JSON -> 'Genes' AS VARCHAR) AS "Genes", response::JSON ->> 'comment' AS comment, response
   FROM responses WHERE event_type IN ('view', 'click', 'purchase')""")
 def parse_responses(spark, folder):
     parsed = extraction.parse_responses(responses(spark, folder))

@@ -53,7 +53,10 @@ def extract_batch(
 
 
 def parse_responses(df: DataFrame, abstract: str = "Abstract", response: str = "response") -> DataFrame:
-    """Extractions from the responses that are one JSON object; `Genes` keeps its JSON shape."""
+    """Extractions from the responses that are one JSON object; `Genes` keeps its JSON shape.
+
+    The response stays beside them, with whatever other fields it has.
+    """
     parsed = keep_where(df, strict_object(response), lambda fields: fields.isNotNull(), "_fields")
     field = lambda name: F.try_element_at("_fields", F.lit(name))
     return parsed.select(
@@ -61,6 +64,7 @@ def parse_responses(df: DataFrame, abstract: str = "Abstract", response: str = "
         variant_string(field("Disease")).alias("Disease"),
         field("Genes").alias("Genes"),
         variant_string(field("comment")).alias("comment"),
+        F.col(response).alias("response"),
     )
 
 

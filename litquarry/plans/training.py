@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
-from litquarry.functions.text import null_to_na
+from litquarry.functions.text import null_to_na, strip
 from litquarry.operators.chat import build_chat, repair_chat
+from litquarry.operators.extraction import QUERY_ERROR, extract_batch
 from litquarry.operators.filters import drop_blank
 from litquarry.operators.sampling import SEED, TRAIN_SHARE, mix_corpora, number_copies, train_val_split
+from litquarry.operators.synthesis import render_negative_prompt
 from litquarry.schemas import MESSAGE
 from litquarry.session import materialize
 
 
+def negative_examples(plan: DataFrame, fn: Callable[[str], str], key: str = "id") -> DataFrame:
+    """The plan's abstracts from the caller's function: key, abstract, disease, genes.
+
+    A failed one is left out, so that a plan over the remaining keys asks for it again.
+    """
+    prompted = render_negative_prompt(plan).withColumn("prompt", F.element_at("messages", -1)["content"])
+    answered = extract_batch(prompted, fn)
+    return answered.filter(F.col("response") != QUERY_ERROR).select(
+        key, strip("response").alias("abstract"), "disease", "genes"
+    )
+
+
 def keyed_examples(df: DataFrame, disease: str, gene: str, origin: str, key: str | None = None) -> DataFrame:
     """Examples with an abstract: key, origin, abstract, disease_name, gene.
 
