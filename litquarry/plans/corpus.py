@@ -73,7 +73,7 @@ def labelled_pmids(
     lookup = union_all(
         diseases.select(F.lit(disease_type).alias("_type"), F.col("id").alias("_id"), F.col("name").alias("_label")),
         symbols.select(F.lit(gene_type).alias("_type"), F.col("ENSG").alias("_id"), F.col("HUGO").alias("_label")),
-    ).distinct()
+    )
     facts = matches.filter(F.col("pmid").isNotNull()).select(
         "pmid", "type", "keywordId", is_species("organisms", names).alias("_species")
     )
