@@ -5,4 +5,4 @@ say it, the SQL. Nothing else in the library imports this subpackage.
 """
 
 from litquarry.llm.registry import oracles, queries  # noqa: F401
-from litquarry.llm import exact_dedup, packing, sharding  # noqa: F401
+from litquarry.llm import exact_dedup, packing, sharding, simhash  # noqa: F401
