@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from litquarry.llm.common import documents, fold, text_or_empty
 from litquarry.llm.registry import query
+from litquarry.llm.texts import code_points, parts
 
 REFERENCE_CHARS = 60_000
 """Lower-cased letters and spaces of labelled text per language that an automaton is built from."""
@@ -24,9 +25,6 @@ BLOCK = 512
 BATCH_BLOCKS = 4_096
 UNKNOWN = "und"
 
-BATCH_CHARS = 4_000_000
-"""Characters of a batch of texts, unless a single one has more."""
-
 Reference = tuple[tuple[str, str], ...]
 _OTHER = regex.compile(r"\P{L}+")
 
@@ -165,7 +163,7 @@ def scores(texts: list[str], model: Automata) -> tuple[list[str], list[float]]:
             owner.append(i)
             lengths.append(min(BLOCK, len(text) - low))
     total = np.zeros((len(texts), len(model.languages)), np.int64)
-    codes = model.codes[np.frombuffer("".join(joined).encode("utf-32-le", "surrogatepass"), np.uint32)]
+    codes = model.codes[code_points("".join(joined))]
     owners, sizes = np.asarray(owner, np.int64), np.asarray(lengths, np.int64)
     ends = np.cumsum(sizes)
     for low in range(0, len(owners), BATCH_BLOCKS):
@@ -187,18 +185,6 @@ def scores(texts: list[str], model: Automata) -> tuple[list[str], list[float]]:
     return names, values
 
 
-def parts(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for text in texts:
-        if part and size + len(text) > BATCH_CHARS:
-            yield part
-            part, size = [], 0
-        part.append(text)
-        size += len(text)
-    if part:
-        yield part
-
-
 RESULT = "lang_pred string, score double"
 
 

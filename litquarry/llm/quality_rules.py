@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from litquarry.llm.common import documents, text_or_empty
 from litquarry.llm.crf import Crf, fit
 from litquarry.llm.registry import query
+from litquarry.llm.texts import BLANK, DIGIT, LOWER, MARK, SPACE, SYMBOL, SYMBOLS, UPPER, character_kinds, code_points, kind_counts, parts
 
 LEAST_WORDS = 10
 REPEATED_PERCENT = 20
@@ -23,32 +23,16 @@ TRAIN_DOCS = 1_500
 """Documents of each quality label that the field is fitted on."""
 TRAIN_LINES = 40
 """Lines of such a document that it is fitted on, from its first."""
-BATCH_CHARS = 4_000_000
-"""Characters of a batch of texts, unless a single one has more."""
+TRAIN_CHARS = 20_000
+"""Characters of such a document that it is fitted on."""
 
 BOILERPLATE, CONTENT = 0, 1
 
-# The symbols counted, and words of notices.
-SYMBOLS = "#*$%&|<>"
+# Words of notices.
 NOTICE = re.compile(
     r"licen[cs]e|copyright|rights reserved|terms of (?:use|service)|privacy policy|cookie|subscribe|sign up|log ?in|click here|read more",
     re.IGNORECASE,
 )
-_BLANK = " \t\n\x0b\x0c\r"
-UPPER, LOWER, DIGIT, SYMBOL, MARK, SPACE = 1, 2, 3, 4, 5, 6
-
-
-@functools.cache
-def character_kinds() -> np.ndarray:
-    """Kind of every code point; caseless letters and all else are 0."""
-    kinds = np.zeros(0x110000, np.uint8)
-    for i in range(0x3000):
-        c = chr(i)
-        kinds[i] = UPPER if c.isupper() else LOWER if c.islower() else DIGIT if c.isdigit() else 0
-    for kind, chars in ((SYMBOL, SYMBOLS), (MARK, "!?@=+~^_\\"), (SPACE, _BLANK)):
-        kinds[[ord(c) for c in chars]] = kind
-    return kinds
-
 
 FEATURES = [
     "bias", "no word", "1 or 2 words", "3 to 5 words", "6 or more words", "symbols over 0", "symbols over 2 %", "symbols over 5 %",
@@ -64,12 +48,11 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """(features, characters in words, line count of each text) of all lines of the texts, in order."""
     joined = "\n".join(texts) + "\n"
     counts = np.array([t.count("\n") + 1 for t in texts])
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = code_points(joined)
     ends = np.flatnonzero(codes == 10)
     starts = np.concatenate([[0], ends[:-1] + 1])
     kinds = character_kinds()[codes]
-    total = np.concatenate([np.zeros((1, 7), np.int64), np.cumsum(np.stack([kinds == k for k in range(7)], axis=1), axis=0)])
-    per_line = total[ends] - total[starts]
+    per_line = kind_counts(kinds, starts, ends)
     spaces = np.concatenate([[True], kinds == SPACE])
     word_starts = np.concatenate([[0], np.cumsum(spaces[:-1] & ~spaces[1:])])
     words = word_starts[ends] - word_starts[starts]
@@ -99,7 +82,7 @@ def repeated(texts: list[str]) -> np.ndarray:
     for text in texts:
         seen: set[str] = set()
         for line in text.split("\n"):
-            out.append(line in seen and bool(line.strip(_BLANK)))
+            out.append(line in seen and bool(line.strip(BLANK)))
             seen.add(line)
     return np.array(out, bool)
 
@@ -122,23 +105,11 @@ def base_measures(text: str) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     words = text.encode("utf-8", "surrogatepass").split()
     return (
-        len(words), len(text) - sum(map(text.count, _BLANK)), sum(map(text.count, SYMBOLS)),
+        len(words), len(text) - sum(map(text.count, BLANK)), sum(map(text.count, SYMBOLS)),
         int(repeated([text]).sum()), repeated_words(words),
     )
 
 
-def parts(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for text in texts:
-        if part and size + len(text) > BATCH_CHARS:
-            yield part
-            part, size = [], 0
-        part.append(text)
-        size += len(text)
-    if part:
-        yield part
-
-
 def content_shares(texts: list[str], field: Crf) -> list[float]:
     """Share of each text's word characters in lines that the best path marks as content; 0 without a word."""
     rows, ink, counts = line_features(texts)
@@ -156,8 +127,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
     """The field, fitted on the lines of a bounded sample of labelled documents.
 
     A line is boilerplate if its document's label is 0 and it bears a sign that it is no prose, and
-    a notice is boilerplate anywhere. The sample is TRAIN_DOCS documents of each label in the order of a hash of the id, without those that
-    the base rules drop, and TRAIN_LINES lines of each.
+    a notice is boilerplate anywhere. The sample is TRAIN_DOCS documents of each label in the order of a hash of the id, and the first TRAIN_LINES lines and TRAIN_CHARS characters of each.
     """
     judged = labels.filter(F.col("quality").isNotNull()).select("doc_id", "quality")
     chains = []
@@ -166,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
             judged.filter(F.col("quality") == quality).withColumn("order", F.xxhash64("doc_id"))
             .orderBy("order", "doc_id").limit(TRAIN_DOCS)
         )
-        lines = F.slice(F.split(text_or_empty(), "\n"), 1, TRAIN_LINES)
+        lines = F.slice(F.split(F.substring(text_or_empty(), 1, TRAIN_CHARS), "\n"), 1, TRAIN_LINES)
         sample = docs.select("doc_id", F.array_join(lines, "\n").alias("text")).join(F.broadcast(chosen), "doc_id")
         texts = [r["text"] for r in sample.orderBy("order", "doc_id", "text").limit(TRAIN_DOCS).collect()]
         if not texts:
