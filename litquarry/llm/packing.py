@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import functools
+import json
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,10 +25,12 @@ CELL_PIECES = 30_000
 """Pieces packed by one task, on average."""
 ROUNDS = 4
 """Most rounds in which cells without a certificate exchange documents."""
-WORDS_HELD = 400_000
+WORDS_HELD = 500_000
 """Entries a worker's word table may reach before it starts anew."""
 
 _BREAK = re.compile("[\x20\x09-\x0d]+")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+"""Characters that str.split takes for white space and the tokenizer does not."""
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -35,28 +39,77 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+# The rules of the tokenizer file, for words of printable ASCII and Latin-1 letters.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SIMPLE = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+_UNIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\x20a-z\xdf-\xf6\xf8-\xff0-9]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Ids of whole texts from the ids of their words.
 
     The tokenizer drops white space and none of its rules looks across it, so a text's ids are
-    those of its words in order. Each distinct word is encoded once and kept as bytes.
+    those of its words in order. Each distinct word is encoded once and kept as bytes. A word of
+    printable ASCII and Latin-1 letters is lower-cased and split by the tokenizer's rule here, so
+    that the tokenizer's model sees each distinct part once; any other word, and every word of a
+    file with other rules, goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [_BREAK.split(t) for t in texts]
-        if len(self.words) > WORDS_HELD:
-            self.words.clear()
-        new = list({w for words in split for w in words if w not in self.words})
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.words[word] = np.asarray(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        self.model = self.tokenizer.model
+        rules = json.loads(self.tokenizer.to_str())
+        steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.split = (
+            [n.get("type") for n in (rules.get("normalizer") or {}).get("normalizers", [])] == NORMALIZERS
+            and [n.get("type") for n in steps] == ["Split", "ByteLevel"]
+            and steps[0]["pattern"] == {"Regex": SPLIT}
+            and steps[0]["invert"]
+            and not steps[1]["add_prefix_space"]
+            and not steps[1]["use_regex"]
+        )
+        self.letters = byte_letters()
+        self.words = Learned(self._word)
+        self.units = Learned(self._unit)
+
+    def _unit(self, unit: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: str) -> bytes:
+        if self.split and _SIMPLE.fullmatch(word) and "<|" not in word:
+            return b"".join(map(self.units.__getitem__, _UNIT.findall(word.lower())))
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of the text."""
+        for held in (self.words, self.units):
+            if len(held) > WORDS_HELD:
+                held.clear()
+        words = _BREAK.split(text) if any(c in text for c in _SEPARATORS) else text.split()
+        return b"".join(map(self.words.__getitem__, words))
+
+
+class Learned(dict):
+    """A table that works a missing entry out once."""
+
+    def __init__(self, work_out: Callable[[str], bytes]):
+        self.work_out = work_out
+
+    def __missing__(self, key: str) -> bytes:
+        found = self[key] = self.work_out(key)
+        return found
 
 
 @functools.lru_cache(maxsize=2)
@@ -76,16 +129,15 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, keep: tuple[
         encode = encoder(path)
         for frame in frames:
             at, piece, start, length, crc = [], [], [], [], []
-            for first in range(0, len(frame), 256):
-                for i, ids in enumerate(encode.encode_all(frame["text"].iloc[first:first + 256].tolist()), first):
-                    ids += end
-                    for k, low in enumerate(range(0, len(ids), width)):
-                        part = ids[low:low + width]
-                        at.append(i)
-                        piece.append(k)
-                        start.append(low // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
+            for i, text in enumerate(frame["text"]):
+                ids = encode.encode(text) + end
+                for k, low in enumerate(range(0, len(ids), width)):
+                    part = ids[low:low + width]
+                    at.append(i)
+                    piece.append(k)
+                    start.append(low // 4)
+                    length.append(len(part) // 4)
+                    crc.append(zlib.crc32(part))
             out = frame[list(keep)].iloc[at].reset_index(drop=True)
             yield out.assign(piece=piece, start=start, length=length, ids_crc32=crc)
 
