@@ -5,4 +5,4 @@ say it, the SQL. Nothing else in the library imports this subpackage.
 """
 
 from litquarry.llm.registry import oracles, queries  # noqa: F401
-from litquarry.llm import exact_dedup, language, packing, quality_classifier, quality_rules, secrets, sharding, simhash  # noqa: F401
+from litquarry.llm import exact_dedup, language, line_dedup, packing, quality_classifier, quality_rules, secrets, sentencepieces, sharding, simhash  # noqa: F401

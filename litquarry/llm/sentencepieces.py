@@ -60,7 +60,9 @@ class Pieces:
         self.codes = np.full(0x110000, UNKNOWN, np.uint16)
         self.codes[[ord(c) for c in letters]] = np.arange(FIRST_CODE, FIRST_CODE + len(letters))
         own = [p for p in self.rank if self.merge(p) == [p]]
-        self.own = {p: self.rank[p][1] for p in own}
+        self.single = np.zeros(0x110000, bool)
+        self.single[[ord(p) for p in own if len(p) == 1]] = True
+        self.length_of = np.array([len(t) for t in self.texts])
         self.ids = np.array([self.rank[p][1] for p in own])
         self.lengths = np.array([len(p) for p in own])
         grid = np.zeros((len(own), DEPTH), np.uint16)
@@ -70,7 +72,7 @@ class Pieces:
         grid[np.arange(DEPTH) >= self.lengths[:, None]] = 0xFFFF
         self.high = _keys(grid)
         self.units: dict[str, bytes] = {}
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.apart: dict[int, bool] = {}
 
     def _cuts_at_letters(self) -> bool:
         """Whether no piece has a Latin letter beside another character, but for a blank before it."""
@@ -93,16 +95,13 @@ class Pieces:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def stay_apart(self, a: str, b: str) -> bool:
-        found = self.apart.get((a, b))
-        if found is None:
-            found = self.apart[a, b] = self.merge(a + b) == [a, b]
-        return found
+    def edges(self, points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, end, token) of every occurrence of a piece in the concatenated units, by position.
 
-    def edges(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(position, row of the piece) of every occurrence in the concatenated units, by position."""
-        codes = self.codes[np.frombuffer("\0".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)]
-        bounds = np.cumsum([len(u) + 1 for u in units[:-1]]).astype(np.int64) - 1
+        ``points`` are code points, ``bounds`` the places between units. A character that is no
+        piece is an edge of its own, its token beyond the vocabulary.
+        """
+        codes = self.codes[points]
         codes[bounds] = SEPARATOR
         padded = np.zeros(len(codes) + DEPTH, np.uint16)
         padded[:len(codes)] = codes
@@ -117,49 +116,84 @@ class Pieces:
         many = high - low
         piece = np.repeat(np.arange(len(self.low)), many)
         inside = np.arange(len(piece)) - np.repeat(np.cumsum(many) - many, many)
-        position = suffixes[np.repeat(low, many) + inside]
+        alone = ~self.single[points]
+        alone[bounds] = False
+        alone = np.flatnonzero(alone)
+        position = np.concatenate([suffixes[np.repeat(low, many) + inside], alone])
+        end = position + np.concatenate([self.lengths[piece], np.ones(len(alone), np.int64)])
+        token = np.concatenate([self.ids[piece], len(self.texts) + points[alone].astype(np.int64)])
         order = np.argsort(position, kind="stable")
-        return position[order], piece[order]
+        return position[order], end[order], token[order]
+
+    def name(self, token: int) -> str:
+        return self.texts[token] if token < len(self.texts) else chr(token - len(self.texts))
+
+    def apart_from(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Whether the rule leaves each two tokens apart; distinct pairs are worked out once."""
+        pairs, where = np.unique((before << 32) | after, return_inverse=True)
+        found = []
+        for pair in pairs.tolist():
+            known = self.apart.get(pair)
+            if known is None:
+                a, b = self.name(pair >> 32), self.name(pair & 0xFFFFFFFF)
+                known = self.apart[pair] = self.merge(a + b) == [a, b]
+            found.append(known)
+        return np.array(found, bool)[where]
 
     def learn(self, units: list[str]) -> None:
-        """Encode units that are not in the table yet."""
+        """Encode units that are not in the table yet.
+
+        The edges of all units are relaxed together, from the first characters of the units on;
+        ``last`` holds the piece that ends at each position. Then all units are traced back from
+        their ends together.
+        """
         if not units:
             return
-        position, piece = self.edges(units)
-        ends = (position + self.lengths[piece]).tolist()
-        names = self.ids[piece].tolist()
-        position = position.tolist()
-        total, at, base = len(position), 0, 0
-        texts, apart = self.texts, self.apart
-        for unit in units:
-            size = len(unit)
-            last: list = [None] * (size + 1)
-            last[0] = ""
-            stop = base + size
-            for s, c in enumerate(unit):
-                here = last[s]
-                if here is None:
-                    while at < total and position[at] == base + s:
-                        at += 1
-                    continue
-                if c not in self.own and last[s + 1] is None and (here == "" or self.stay_apart(here, c)):
-                    last[s + 1] = c
-                while at < total and position[at] == base + s:
-                    e = ends[at] - base
-                    if last[e] is None:
-                        text = texts[names[at]]
-                        known = apart.get((here, text)) if here else True
-                        if known or known is None and self.stay_apart(here, text):
-                            last[e] = text
-                    at += 1
-            found: list[int] = []
-            while size:
-                text = last[size]
-                size -= len(text)
-                known = self.own.get(text)
-                found += [known] if known is not None else [self.bytes[b] for b in reversed(text.encode("utf-8", "surrogatepass"))]
-            self.units[unit] = np.array(found[::-1], "<u4").tobytes()
-            base = stop + 1
+        sizes = np.array([len(u) for u in units])
+        points = np.frombuffer("\0".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        bases = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+        position, end, token = self.edges(points, bases[1:] - 1)
+        offset = position - bases[np.searchsorted(bases, position, "right") - 1]
+        order = np.argsort(offset, kind="stable")
+        position, end, token, offset = position[order], end[order], token[order], offset[order]
+        last = np.full(len(points) + 1, -1, np.int64)
+        steps = np.searchsorted(offset, np.arange(int(sizes.max()) + 1))
+        for step, (low, high) in enumerate(zip(steps[:-1].tolist(), steps[1:].tolist())):
+            ends, tokens = end[low:high], token[low:high]
+            if step:
+                before = last[position[low:high]]
+                open_ = np.flatnonzero((before >= 0) & (last[ends] < 0))
+                open_ = open_[self.apart_from(before[open_], tokens[open_])]
+                ends, tokens = ends[open_], tokens[open_]
+            last[ends] = tokens
+        at, unit = bases + sizes, np.arange(len(units))
+        found, owners = [], []
+        while len(unit):
+            tokens = last[at]
+            found.append(tokens)
+            owners.append(unit)
+            at = at - self.token_length(tokens)
+            more = at > bases[unit]
+            at, unit = at[more], unit[more]
+        owner, tokens = np.concatenate(owners)[::-1], np.concatenate(found)[::-1]
+        order = np.argsort(owner, kind="stable")
+        tokens = tokens[order]
+        stops = np.searchsorted(owner[order], np.arange(len(units) + 1))
+        odd = set(owner[order][tokens >= len(self.texts)].tolist())
+        blob = tokens.astype("<u4").tobytes()
+        for i, (unit_text, low, high) in enumerate(zip(units, stops[:-1].tolist(), stops[1:].tolist())):
+            if i in odd:
+                self.units[unit_text] = np.array([k for t in tokens[low:high].tolist() for k in self.fall_back(t)], "<u4").tobytes()
+            else:
+                self.units[unit_text] = blob[4 * low:4 * high]
+
+    def token_length(self, tokens: np.ndarray) -> np.ndarray:
+        return np.where(tokens < len(self.texts), self.length_of[np.minimum(tokens, len(self.texts) - 1)], 1)
+
+    def fall_back(self, token: int) -> list[int]:
+        if token < len(self.texts):
+            return [token]
+        return [self.bytes[b] for b in self.name(token).encode("utf-8", "surrogatepass")]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
