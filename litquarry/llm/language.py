@@ -23,6 +23,8 @@ MAX_LANGUAGES = 64
 BLOCK = 512
 """Characters parsed on their own: a phrase ends at the end of a block."""
 BATCH_BLOCKS = 4_096
+SALTS = 256
+"""Parts of a language in each of which the sample is drawn before it is drawn from the parts' samples."""
 UNKNOWN = "und"
 
 Reference = tuple[tuple[str, str], ...]
@@ -138,12 +140,12 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, chars: int = REFERENC
     Rows without a text or a language teach nothing.
     """
     labelled = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = [F.xxhash64("doc_id"), "doc_id", "text"]
     share = -(-chars // sample_docs) * 8
-    sample = (
-        labelled.select("doc_id", "lang", F.substring("text", 1, share).alias("text"))
-        .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample_docs)
-    )
+    sample = labelled.select("doc_id", "lang", F.substring("text", 1, share).alias("text"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    for key in (["lang", "salt"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+        sample = sample.withColumn("place", place).filter(F.col("place") <= sample_docs)
     frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
     rows = sample.join(frequent, "lang").select("count", "lang", "place", "text").collect()
     texts: dict[str, str] = {}
