@@ -64,7 +64,7 @@ class Automata:
         """Phrases of the greedy parse of each block, a row, by each language, a column.
 
         All blocks advance by one character together; where a match ends, a phrase is counted and
-        the character starts the next one at the root. A character that no reference has is a
+        the character starts the next one at the root. A character that the reference lacks is a
         phrase of its own.
         """
         width = self.step.shape[1]
@@ -84,10 +84,11 @@ class Automata:
                 at = self.flat[state[:n] * width + c]
                 ended = np.flatnonzero(at < 0)
                 again = start[c[ended]]
-                at[ended] = np.where(again < 0, root, again)
-                count[ended] += 1
+                unread = again < 0
+                count[ended] += (state[ended] != root) + unread.astype(np.int32)
+                at[ended] = np.where(unread, root, again)
                 state[:n] = at
-            count += 1
+            count += state != root
         found = np.empty((len(lengths), len(self.roots)), np.int32)
         found[order] = out.T
         return found
