@@ -12,7 +12,7 @@ from litquarry.functions.templates import (
     CANCER_PHRASES, EXTRACTION_PROMPT, GENERAL_PHRASES, GENERAL_TOPICS, NEGATIVE_PROMPT,
 )
 from litquarry.operators import chat, synthesis
-from litquarry.plans.training import build_training_set, full_messages, negative_examples
+from litquarry.plans.training import build_training_set, negative_examples
 
 PROMPT_SQL = f"replace({quoted(EXTRACTION_PROMPT)}, '[[[abstract]]]', abstract)"
 
@@ -39,7 +39,7 @@ def build_chat(spark, folder):
   FROM labelled WHERE abstract <> chr(32) || chr(9)""")
 def chat_lines(spark, folder):
     built = chat.build_chat(s.labelled_documents(spark, folder), EXTRACTION_PROMPT)
-    return built.select("doc_id", chat_line("messages").alias("line"))
+    return built.select("doc_id", chat_line(built).alias("line"))
 
 
 @query("""WITH state AS (SELECT conv_id, max(turn) FILTER (role = 'assistant') AS last,
@@ -76,11 +76,15 @@ def tool_samples(spark, folder):
 
     lines = F.split("text", "\n")
     with_messages = docs.select("doc_id", F.transform(lines, message).alias("messages"))
-    declared = full_messages(with_messages)
+    declared = chat.full_messages(with_messages)
     return declared.withColumn("functions", F.array(F.lit('{"name": "tool"}')))
 
 
-ID_SQL = "substr(md5('123:' || doc_id || ':' || {}), 1, 9)"
+def id_sql(place: str) -> str:
+    """SQL of a generated call id."""
+    digest = f"md5('123:' || doc_id || ':' || {place})"
+    letters = [f"substr('{chat.CALL_ID_LETTERS}', CAST(CAST('0x' || substr({digest}, {3 * i + 1}, 3) AS BIGINT) % 62 + 1 AS BIGINT), 1)" for i in range(9)]
+    return "(" + " || ".join(letters) + ")"
 
 
 REPAIRED = f"""lines AS (SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS line,
@@ -92,27 +96,28 @@ state AS (SELECT doc_id, max(i) FILTER (place IN (1, 3)) AS last, CASE
     ELSE 'kept' END AS status FROM turns GROUP BY doc_id),
 messages AS (SELECT doc_id, i, CASE place
     WHEN 0 THEN 'user;' || line || ';;'
-    WHEN 1 THEN 'assistant;#' || line || ';;' || lang || '(' || '{{"n":' || length(line) || '}})' ||
-      CASE WHEN i < final THEN {ID_SQL.format('(i + 1)')} ELSE '' END
-    WHEN 2 THEN 'tool;#' || line || ';' || {ID_SQL.format('i')} || ';'
+    WHEN 1 THEN 'assistant;#' || line || ';;' || lang || '(' || '{{"n":  ' || length(line) || '}})' ||
+      CASE WHEN i < final THEN {id_sql('(i + 1)')} ELSE '' END
+    WHEN 2 THEN 'tool;#' || line || ';' || {id_sql('i')} || ';'
     ELSE 'assistant;' || line || ';;' END AS message FROM turns)"""
 
 
+def flat_message(m):
+    """Role, text, call id and call of a message as one text."""
+    blank = F.lit("")
+    call = F.get(m["tool_calls"], F.lit(0))
+    called = F.concat(call["function"]["name"], F.lit("("), call["function"]["arguments"], F.lit(")"), F.coalesce(call["id"], blank))
+    parts = [m["role"], F.coalesce(m["content"], m["text"]), F.coalesce(m["tool_call_id"], blank), F.coalesce(called, blank)]
+    return F.concat_ws(";", *parts)
+
+
 @query(f"""WITH {REPAIRED} SELECT doc_id, '{{"function": {{"name": "tool"}}}}' AS tool, status, CASE status WHEN 'kept' THEN
     (SELECT string_agg(message, chr(10) ORDER BY i) FROM messages m WHERE m.doc_id = state.doc_id AND i <= last) END AS body
 FROM state""")
 def repair_tool_calls(spark, folder):
     """Samples with calls and replies, repaired; the body lists role, text, call id and call of each message."""
-    blank = F.lit("")
-
-    def flat(m):
-        call = F.get(m["tool_calls"], F.lit(0))
-        called = F.concat(call["function"]["name"], F.lit("("), call["function"]["arguments"], F.lit(")"), F.coalesce(call["id"], blank))
-        parts = [m["role"], F.coalesce(m["content"], m["text"]), F.coalesce(m["tool_call_id"], blank), F.coalesce(called, blank)]
-        return F.concat_ws(";", *parts)
-
     repaired = chat.repair_outcomes(tool_samples(spark, folder), "doc_id")
-    body = F.array_join(F.transform("messages", flat), "\n")
+    body = F.array_join(F.transform("messages", flat_message), "\n")
     return repaired.select(
         "doc_id", F.col("tools")[0].alias("tool"), "status", F.when(F.col("status") == chat.KEPT, body).alias("body")
     )
@@ -125,6 +130,34 @@ def repair_counts(spark, folder):
     return outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("samples"))
 
 
+ARGUMENTS = """samples AS (SELECT event_id, event_type, CASE event_type
+    WHEN 'view' THEN '{"b": 1.0, "a": [' || user_id || ', 2e5, NaN]}' WHEN 'click' THEN '{"a": 1, "a": ' || user_id || '}'
+    WHEN 'purchase' THEN ' {"n": 12345678901234567890123456789012345678901234567890}' || chr(10)
+    WHEN 'error' THEN '{"a": 1} ' || user_id ELSE '[' || user_id || ', "x"]' END AS arguments FROM events)"""
+
+
+@query(f"""WITH {ARGUMENTS} SELECT event_id, CASE event_type WHEN 'error' THEN 'rejected' ELSE 'kept' END AS status,
+  CASE WHEN event_type <> 'error' THEN trim(arguments, ' ' || chr(10)) END AS arguments FROM samples""")
+def call_arguments(spark, folder):
+    """Arguments of calls stay as they stand: order and repeats of keys, floats, long integers."""
+    event, user = F.col("event_type"), F.col("user_id").cast("string")
+    arguments = (
+        F.when(event == "view", F.concat(F.lit('{"b": 1.0, "a": ['), user, F.lit(", 2e5, NaN]}")))
+        .when(event == "click", F.concat(F.lit('{"a": 1, "a": '), user, F.lit("}")))
+        .when(event == "purchase", F.lit(' {"n": 12345678901234567890123456789012345678901234567890}\n'))
+        .when(event == "error", F.concat(F.lit('{"a": 1} '), user))
+        .otherwise(F.concat(F.lit("["), user, F.lit(', "x"]')))
+    )
+    call = F.struct(
+        F.lit("assistant").alias("role"), F.lit("calling").alias("text"),
+        F.struct(F.lit("f").alias("name"), arguments.alias("arguments")).alias("function_call"),
+    )
+    samples = s.table(spark, folder, "events").select("event_id", F.array(call).alias("messages"))
+    outcomes = chat.repair_outcomes(samples, "event_id")
+    made = F.col("messages")[0]["tool_calls"][0]["function"]["arguments"]
+    return outcomes.select("event_id", "status", F.when(F.col("status") == chat.KEPT, made).alias("arguments"))
+
+
 def negatives(spark, folder):
     return s.table(spark, folder, "benchmark").select(
         F.col("text").alias("abstract"), F.concat(F.lit("topic "), "item_id").alias("disease"),
@@ -138,9 +171,7 @@ real AS (SELECT 'real' AS origin, 'real:' || doc_id AS key, abstract, disease_na
 negatives AS (SELECT text AS abstract, 'topic ' || item_id AS disease_name, 'n/a' AS gene FROM benchmark),
 synthetic AS (SELECT 'synthetic' AS origin, 'synthetic:' || md5(md5(abstract) || md5(disease_name) || md5(gene)) || ':' ||
   row_number() OVER (PARTITION BY abstract, disease_name, gene) AS key, abstract, disease_name, gene FROM negatives),
-picked AS (SELECT *, row_number() OVER (PARTITION BY origin ORDER BY md5('123:' || key), key) AS rn
-  FROM (SELECT * FROM real UNION ALL SELECT * FROM synthetic)),
-mixed AS (SELECT * FROM picked WHERE rn <= CASE origin WHEN 'real' THEN 8000 ELSE 4000 END)
+mixed AS (SELECT * FROM real UNION ALL SELECT * FROM synthetic)
 SELECT key, origin, {line_sql(PROMPT_SQL, 'disease_name', 'gene')} AS line,
   CASE WHEN row_number() OVER (ORDER BY md5('123:split:' || key), key)
   <= floor(0.95::DOUBLE * count(*) OVER ()) THEN 'train' ELSE 'validation' END AS split FROM mixed""")
@@ -149,7 +180,7 @@ def training_set(spark, folder):
     built = build_training_set(
         s.labelled_documents(spark, folder), negatives(spark, folder), EXTRACTION_PROMPT, real_key="doc_id"
     )
-    return built.select("key", "origin", chat_line("messages").alias("line"), "split")
+    return built.select("key", "origin", chat_line(built).alias("line"), "split")
 
 
 def topics(spark, folder):

@@ -29,8 +29,8 @@ def ascii_sql(column: str) -> str:
     )
     return f"""array_to_string(list_transform(string_split({body}, ''), lambda c: CASE
       WHEN unicode(c) BETWEEN 32 AND 126 THEN c
-      WHEN unicode(c) < 65536 THEN printf('\\u%04x', unicode(c))
-      ELSE printf('\\u%04x\\u%04x', 55296 + (unicode(c) - 65536) // 1024, 56320 + (unicode(c) - 65536) % 1024)
+      WHEN unicode(c) < 65536 THEN printf('\\u%04X', unicode(c))
+      ELSE printf('\\u%04X\\u%04X', 55296 + (unicode(c) - 65536) // 1024, 56320 + (unicode(c) - 65536) % 1024)
       END), '')"""
 
 
@@ -143,6 +143,16 @@ def parse_responses(spark, folder):
     return parsed.withColumn("Genes", F.to_json("Genes"))
 
 
+@query("""SELECT event_id, 'u' || user_id AS "Disease", '["' || event_type || '"]' AS "Genes" FROM events""")
+def repeated_keys(spark, folder):
+    """Responses with repeated keys: the last one counts, and those of other fields change nothing."""
+    response = F.concat(
+        F.lit('{"Genes": "A", "Disease": "early", "x": {"a": 1, "a": 2}, "Disease": "u'), "user_id", F.lit('", "Genes": ["'), "event_type", F.lit('"]}')
+    )
+    rows = s.table(spark, folder, "events").select(F.col("event_id").alias("Abstract"), response.alias("response"))
+    return extraction.parse_responses(rows).select(F.col("abstract").alias("event_id"), "Disease", F.to_json("Genes").alias("Genes"))
+
+
 @query(f"""WITH {RESPONSES} SELECT "Abstract", response FROM responses WHERE event_type IN ('error', 'signup')""")
 def rejected_responses(spark, folder):
     return extraction.rejected_responses(responses(spark, folder))

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
-from litquarry.functions.answers import STRICT_JSON, encode_answer
+from litquarry.functions.answers import btrim_json, encode_answer, is_json
 from litquarry.functions.binding import bind, keep_where
 from litquarry.functions.hashing import seeded_hash
 from litquarry.functions.text import null_to_na, render_prompt
 from litquarry.operators.filters import drop_blank
 from litquarry.operators.sampling import SEED
+from litquarry.schemas import FULL_MESSAGE
 
-# Roles that become `tool`, length of a generated call id.
+# Roles that become `tool`, characters and length of a generated call id.
 TOOL_ROLES = ["function", "tool"]
+CALL_ID_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 CALL_ID_LENGTH = 9
 
-KEPT, SKIPPED, REJECTED = "kept", "skipped", "rejected"
+KEPT, SKIPPED, REJECTED, MALFORMED = "kept", "skipped", "rejected", "malformed"
 
 
 def build_chat(
@@ -35,11 +38,24 @@ def functions_to_tools(df: DataFrame) -> DataFrame:
     return df.withColumn("tools", tools).drop("functions")
 
 
-def _json_value(text: Column) -> Column:
-    """A text that is exactly one JSON value, written anew; null otherwise."""
-    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<variant>", STRICT_JSON)
-    field = F.from_json(F.concat(F.lit('{"r":'), text, F.lit("}")), "r variant", STRICT_JSON)
-    return F.when((F.size(listed) == 1) & field["r"].isNotNull(), F.to_json(F.get(listed, F.lit(0))))
+def conform(value: Column, given: T.DataType, wanted: T.DataType) -> Column:
+    """A value with the fields of the wanted type, null where it has none."""
+    if isinstance(wanted, T.StructType):
+        present = {f.name: f.dataType for f in given.fields}
+        fields = [
+            (conform(value[f.name], present[f.name], f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(wanted, T.ArrayType):
+        return F.transform(value, lambda v: conform(v, given.elementType, wanted.elementType))
+    return value.cast(wanted)
+
+
+def full_messages(df: DataFrame) -> DataFrame:
+    """Messages with every field of the chat schema, null where the sample has none."""
+    given, wanted = df.schema["messages"].dataType, T.ArrayType(FULL_MESSAGE)
+    return df if given == wanted else df.withColumn("messages", conform(F.col("messages"), given, wanted))
 
 
 def _is_empty(text: Column) -> Column:
@@ -53,7 +69,8 @@ def _without_call(message: Column) -> Column:
         call.isNotNull(),
         F.array(F.struct(
             F.lit(None).cast("string").alias("id"),
-            F.struct(call["name"].alias("name"), _json_value(call["arguments"]).alias("arguments")).alias("function"),
+            F.struct(call["name"].alias("name"), F.when(is_json(call["arguments"]), btrim_json(call["arguments"])).alias("arguments")).alias("function"),
+            F.lit(None).cast("map<string,string>").alias("rest"),
         )),
     ).otherwise(message["tool_calls"])
     content = F.when(call.isNull(), message["content"])
@@ -65,14 +82,20 @@ def _without_call(message: Column) -> Column:
         message["name"].alias("name"),
         message["tool_call_id"].alias("tool_call_id"),
         calls.alias("tool_calls"),
+        message["rest"].alias("rest"),
     )
 
 
-def _bad_call(message: Column) -> Column:
-    """A function call that carries a text, or whose arguments are not JSON."""
-    call = message["function_call"]
-    bad_text = ~_is_empty(message["content"])
-    return call.isNotNull() & (bad_text | _json_value(call["arguments"]).isNull())
+def _bad_call(message: Column, fixed: Column) -> Column:
+    """A function call that carries a text, or whose arguments are not JSON and so were not taken over."""
+    arguments = F.get(fixed["tool_calls"], F.lit(0))["function"]["arguments"]
+    return message["function_call"].isNotNull() & (~_is_empty(message["content"]) | arguments.isNull())
+
+
+def _call_id(digest: Column) -> Column:
+    """Letters and digits, each from three hex digits of a digest."""
+    number = lambda i: F.conv(F.substring(digest, 3 * i + 1, 3), 16, 10).cast("int") % len(CALL_ID_LETTERS)
+    return F.concat(*[F.substr(F.lit(CALL_ID_LETTERS), number(i) + 1, F.lit(1)) for i in range(CALL_ID_LENGTH)])
 
 
 def _named_tool(key: Column, seed: int | str):
@@ -80,7 +103,7 @@ def _named_tool(key: Column, seed: int | str):
 
     def fix(message: Column, position: Column) -> Column:
         is_tool = message["role"].isin(*TOOL_ROLES)
-        new_id = F.substring(seeded_hash(seed, F.concat_ws(":", key.cast("string"), position)), 1, CALL_ID_LENGTH)
+        new_id = bind(seeded_hash(seed, F.concat_ws(":", key.cast("string"), position)), _call_id)
         return F.struct(
             F.when(is_tool, F.lit("tool")).otherwise(message["role"]).alias("role"),
             message["content"].alias("content"),
@@ -90,6 +113,7 @@ def _named_tool(key: Column, seed: int | str):
             .otherwise(message["tool_call_id"])
             .alias("tool_call_id"),
             message["tool_calls"].alias("tool_calls"),
+            message["rest"].alias("rest"),
         )
 
     return fix
@@ -113,6 +137,7 @@ def _linked_call(messages: Column):
             lambda call, i: F.struct(
                 F.when(i == 0, following["tool_call_id"]).otherwise(call["id"]).alias("id"),
                 call["function"].alias("function"),
+                call["rest"].alias("rest"),
             ),
         )
         return message.withField(
@@ -140,7 +165,7 @@ def _finished(called: Column, named: Column, linked: Column) -> Column:
     other_tool = F.exists(F.transform(named, _other_tool(named)), lambda bad: bad)
     no_text = F.exists(linked, lambda m: _is_empty(m["content"]) & _is_empty(m["text"]))
     status = (
-        F.when(F.exists(called, _bad_call) | other_tool, F.lit(REJECTED))
+        F.when(F.exists(F.zip_with(called, named, _bad_call), lambda bad: bad) | other_tool, F.lit(REJECTED))
         .when(no_text | (length == 0), F.lit(SKIPPED))
         .otherwise(F.lit(KEPT))
     )
@@ -163,6 +188,7 @@ def repaired(messages: Column, key: Column, seed: int | str = SEED) -> Column:
 def repair_outcomes(df: DataFrame, key: str, seed: int | str = SEED) -> DataFrame:
     """Every sample, repaired, with its `status`.
 
+    malformed: a line that is no JSON object, where the reader has marked it so.
     rejected: a function call with a text, with arguments that are not JSON, or
     answered by another tool. skipped: a message without any text, or no assistant
     message. kept: the rest, ending on its last assistant message; a sample without
@@ -173,12 +199,19 @@ def repair_outcomes(df: DataFrame, key: str, seed: int | str = SEED) -> DataFram
 
 def repair_chat(df: DataFrame, key: str, seed: int | str = SEED) -> DataFrame:
     """The samples that are kept, repaired."""
-    return _repaired_samples(df, key, seed, lambda r: r["status"] == KEPT).drop("status")
+    return _repaired_samples(df, key, seed, lambda r: r["status"] == KEPT).drop("status", "malformed")
 
 
 def _repaired_samples(df: DataFrame, key: str, seed: int | str, condition) -> DataFrame:
-    tools = functions_to_tools(df) if "functions" in df.columns else df
-    done = keep_where(tools, repaired(F.col("messages"), F.col(key), seed), condition, "_repaired")
+    tools = full_messages(functions_to_tools(df) if "functions" in df.columns else df)
+    outcome = repaired(F.col("messages"), F.col(key), seed)
+    if "malformed" in df.columns:
+        malformed = F.col("malformed")
+        outcome = bind(outcome, lambda r: F.struct(
+            F.when(malformed, F.lit(MALFORMED)).otherwise(r["status"]).alias("status"),
+            F.when(~malformed, r["messages"]).alias("messages"),
+        ))
+    done = keep_where(tools, outcome, condition, "_repaired")
     return done.withColumns({"messages": F.col("_repaired.messages"), "status": F.col("_repaired.status")}).drop(
         "_repaired"
     )

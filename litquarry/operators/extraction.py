@@ -7,10 +7,9 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from litquarry.functions.answers import strict_object, variant_string
+from litquarry.functions.answers import strict_object
 from litquarry.functions.binding import keep_where
 from litquarry.functions.text import MISSING, SESSION_HEADER, abstract_number, header_pieces, na_to_null, strip
-from litquarry.operators.sampling import take_first
 
 # Fixed value: the response of a row whose answer function failed.
 QUERY_ERROR = "Error querying model"
@@ -27,16 +26,12 @@ def extract_batch(
     fn: Callable[[str], str],
     prompt: str = "prompt",
     response: str = "response",
-    limit: int | None = None,
-    key: str | None = None,
 ) -> DataFrame:
     """Rows with the caller's answer to their prompt; a failing call gives the error text.
 
     Marked non-deterministic, so that Spark never evaluates a costly call twice in a
-    plan. For a trial run, ``limit`` takes that many rows in the seeded order of ``key``.
+    plan; the flows write the answers before they use them more than once.
     """
-    if limit is not None:
-        df = take_first(df, limit, key)
     failed = QUERY_ERROR
 
     def answer(text):
@@ -58,12 +53,8 @@ def parse_responses(df: DataFrame, abstract: str = "Abstract", response: str = "
     The response stays beside them, with whatever other fields it has.
     """
     parsed = keep_where(df, strict_object(response), lambda fields: fields.isNotNull(), "_fields")
-    field = lambda name: F.try_element_at("_fields", F.lit(name))
     return parsed.select(
-        F.col(abstract).alias("abstract"),
-        variant_string(field("Disease")).alias("Disease"),
-        field("Genes").alias("Genes"),
-        variant_string(field("comment")).alias("comment"),
+        F.col(abstract).alias("abstract"), "_fields.Disease", "_fields.Genes", "_fields.comment",
         F.col(response).alias("response"),
     )
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from litquarry.functions.text import MISSING, is_blank, strip
+from litquarry.schemas import NO_SECTION
 
 # Match types, kept columns, excluded disease names, cancer area, species names.
 DISEASE_TYPE = "DS"
@@ -29,9 +30,12 @@ def literature_filter(
     type_col: str = "type",
     columns: Sequence[str] = tuple(MATCH_COLUMNS),
 ) -> DataFrame:
-    """Disease and gene matches from abstracts; the section is tested only where the column exists."""
+    """Disease and gene matches from abstracts.
+
+    The section is tested only where the column exists: in the table, and in the file a match comes from.
+    """
     if section_col in df.columns:
-        df = df.filter(F.col(section_col) == section)
+        df = df.filter(F.col(section_col).isin(section, NO_SECTION))
     return df.filter(F.col(type_col).isin(*types)).select(*columns)
 
 

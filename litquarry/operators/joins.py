@@ -30,11 +30,6 @@ def restrict_to(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> Data
     return df.join(keys, on, "left_semi")
 
 
-def exclude(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key does not occur in ``keys``."""
-    return df.join(keys, on, "left_anti")
-
-
 def combine_evidence(genes: DataFrame, diseases: DataFrame, organisms: DataFrame, on: str = "pmid") -> DataFrame:
     """Gene evidence with the diseases and each organism list of its key."""
     return genes.join(diseases, on, "left").join(organisms, on, "left")

@@ -190,32 +190,24 @@ def seeded_order(df: DataFrame, key: str, seed: int | str = SEED) -> DataFrame:
 def number_copies(df: DataFrame, alias: str = "copy") -> DataFrame:
     """Rows with a number, from 1, among their exact copies.
 
-    Copies are counted, not gathered; a row with very many copies is handed out in
-    chunks to several tasks.
+    Copies are counted, not gathered, and handed out in chunks, so no list of numbers is
+    longer than a chunk.
     """
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    few = counted.filter(F.col("_copies") <= COPIES_PER_CHUNK).withColumn(
-        alias, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
-    )
-    first = F.col("_chunk") * COPIES_PER_CHUNK + 1
-    last = F.least(F.col("_copies"), F.col("_chunk") * COPIES_PER_CHUNK + COPIES_PER_CHUNK)
     last_chunk = F.floor((F.col("_copies") - 1) / COPIES_PER_CHUNK)
-    many = (
-        counted.filter(F.col("_copies") > COPIES_PER_CHUNK)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
-        .repartition("_chunk")
-        .withColumn(alias, F.explode(F.sequence(first, last)))
-        .drop("_chunk")
-    )
-    return few.unionByName(many).drop("_copies")
+    first = F.col("_chunk") * COPIES_PER_CHUNK + 1
+    last = F.least(F.col("_copies"), (F.col("_chunk") + 1) * COPIES_PER_CHUNK)
+    chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    return chunks.withColumn(alias, F.explode(F.sequence(first, last))).drop("_copies", "_chunk")
 
 
 def mix_corpora(
-    real: DataFrame, synthetic: DataFrame, n_real: int = 8000, n_synth: int = 4000, key: str = "key",
+    real: DataFrame, synthetic: DataFrame, n_real: int | None = None, n_synth: int | None = None, key: str = "key",
     seed: int | str = SEED,
 ) -> DataFrame:
-    """The first rows of both corpora. Their common order is the seeded order of the key."""
-    return take_first(real, n_real, key, seed).unionByName(take_first(synthetic, n_synth, key, seed))
+    """Both corpora, or the first rows of each; ``seeded_order`` and the sinks put them in one order."""
+    parts = [(real, n_real), (synthetic, n_synth)]
+    return union_all(*[part if n is None else take_first(part, n, key, seed) for part, n in parts])
 
 
 def train_val_split(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from litquarry.operators.filters import (
     ABSTRACT_CATEGORIES, CANCER_AREA, DISEASE_TYPE, GENE_TYPE, HUMAN_NAMES,
-    disease_area_filter, is_species, literature_filter, species_filter,
+    disease_area_filter, is_species, literature_filter,
 )
 from litquarry.operators.joins import attach_abstracts, attach_dimension, combine_evidence, restrict_to, union_all
 from litquarry.operators.rollups import distinct_keys, distinct_organisms, joined_labels, rollup_labels
@@ -112,7 +112,6 @@ def build_corpus(
     target: int = SAMPLE_TARGET,
     cap: int = MAX_PER_LABEL,
     seed: int = SEED,
-    parity: bool = False,
     section: str = "abstract",
     disease_type: str = DISEASE_TYPE,
     gene_type: str = GENE_TYPE,
@@ -124,19 +123,9 @@ def build_corpus(
 
     The labelled pmids are written once, because sampling reads them several times,
     and so is the sample, whose size lets Spark look up its abstracts without moving all.
-    ``parity`` keeps an unfiltered result with its organism lists when the combined
-    evidence has fewer rows than the target.
     """
     matches = literature_filter(matches, section, (disease_type, gene_type))
     diseases = disease_area_filter(diseases, area, exclude_names=exclude_names)
-    if parity:
-        combined = materialize(combined_evidence(matches, diseases, symbols, disease_type, gene_type), "combined")
-        if combined.count() < target:
-            return attach_abstracts(combined, pubmed)
-        labelled = materialize(species_filter(combined, "organisms", species), "labelled")
-    else:
-        labelled = materialize(
-            labelled_pmids(matches, diseases, symbols, disease_type, gene_type, species), "labelled"
-        )
+    labelled = materialize(labelled_pmids(matches, diseases, symbols, disease_type, gene_type, species), "labelled")
     sample = materialize(sample_evidence(labelled, target, cap, seed), "sample")
     return attach_abstracts(sample, pubmed)

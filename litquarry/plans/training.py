@@ -12,7 +12,6 @@ from litquarry.operators.extraction import QUERY_ERROR, extract_batch
 from litquarry.operators.filters import drop_blank
 from litquarry.operators.sampling import SEED, TRAIN_SHARE, mix_corpora, number_copies, train_val_split
 from litquarry.operators.synthesis import render_negative_prompt
-from litquarry.schemas import MESSAGE
 from litquarry.session import materialize
 
 
@@ -47,24 +46,12 @@ def keyed_examples(df: DataFrame, disease: str, gene: str, origin: str, key: str
     return named.select("key", F.lit(origin).alias("origin"), "abstract", "disease_name", "gene")
 
 
-def full_messages(df: DataFrame) -> DataFrame:
-    """Messages with every field of the chat schema, null where the sample has none."""
-    present = {f.name for f in df.schema["messages"].dataType.elementType.fields}
-    full = F.transform(
-        "messages",
-        lambda m: F.struct(
-            *[(m[f.name] if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in MESSAGE.fields]
-        ),
-    )
-    return df.withColumn("messages", full)
-
-
 def build_training_set(
     labelled: DataFrame,
     negatives: DataFrame,
     template: str,
-    n_real: int = 8000,
-    n_synth: int = 4000,
+    n_real: int | None = None,
+    n_synth: int | None = None,
     frac: float = TRAIN_SHARE,
     seed: int = SEED,
     real_key: str | None = "pmid",
@@ -72,12 +59,13 @@ def build_training_set(
 ) -> DataFrame:
     """Mixed, split and repaired chat samples: key, origin, messages, split.
 
-    Samples are taken before their texts are rendered, and the mix is written once
-    because splitting reads it several times.
+    All examples are used unless ``n_real`` or ``n_synth`` bounds them, as for a costly
+    fine-tune. Samples are taken before their texts are rendered, and the mix is written
+    once because splitting reads it several times. ``export_splits`` writes the result in
+    the seeded order of its keys.
     """
     real = keyed_examples(labelled, "disease_name", "gene", "real", real_key)
     synthetic = keyed_examples(negatives, "disease", "genes", "synthetic", synthetic_key)
     mixed = materialize(mix_corpora(real, synthetic, n_real, n_synth, "key", seed), "mixed")
     split = train_val_split(mixed, "key", frac, f"{seed}:split")
-    samples = full_messages(build_chat(split, template))
-    return repair_chat(samples, "key", seed).select("key", "origin", "messages", "split")
+    return repair_chat(build_chat(split, template), "key", seed).select("key", "origin", "messages", "split")

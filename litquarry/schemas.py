@@ -9,10 +9,17 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(name, T.StringType()) for name in names]
 
 
+# What a match of a file without a section column reads as; a null section is one of a file that has it.
+NO_SECTION = "(no section column)"
+
+_IF_ABSENT = {"EXISTS_DEFAULT": f"'{NO_SECTION}'", "CURRENT_DEFAULT": f"'{NO_SECTION}'"}
+
 MATCHES = T.StructType(
     _strings("pmid", "text", "keywordId", "type")
-    + [T.StructField("organisms", T.ArrayType(T.StringType()))]
-    + _strings("section")
+    + [
+        T.StructField("organisms", T.ArrayType(T.StringType())),
+        T.StructField("section", T.StringType(), True, _IF_ABSENT),
+    ]
 )
 
 DISEASES = T.StructType(
@@ -23,8 +30,6 @@ GENE_SYMBOLS = T.StructType(_strings("ENSG", "HUGO"))
 
 SYNTHETIC = T.StructType(_strings("abstract", "disease", "genes"))
 
-ABSTRACTS = T.StructType(_strings("Abstract"))
-
 # AbstractText is read as plain strings so that inline tags stay inside the text.
 PUBMED_ARTICLE = T.StructType([
     T.StructField("MedlineCitation", T.StructType([
@@ -40,17 +45,25 @@ PUBMED_ARTICLE = T.StructType([
 
 TOOL_FUNCTION = T.StructType(_strings("name", "arguments"))
 
+TOOL_CALL = T.StructType([T.StructField("id", T.StringType()), T.StructField("function", TOOL_FUNCTION)])
+
 MESSAGE = T.StructType(
     _strings("role", "content", "text", "name", "tool_call_id")
     + [
         T.StructField("function_call", TOOL_FUNCTION),
-        T.StructField("tool_calls", T.ArrayType(T.StructType([
-            T.StructField("id", T.StringType()),
-            T.StructField("function", TOOL_FUNCTION),
-        ]))),
+        T.StructField("tool_calls", T.ArrayType(TOOL_CALL)),
     ]
 )
 
+# Fields beside the declared ones, by name, as JSON texts.
+REST = T.StructField("rest", T.MapType(T.StringType(), T.StringType()))
+
+FULL_CALL = T.StructType(TOOL_CALL.fields + [REST])
+
+FULL_MESSAGE = T.StructType([
+    T.StructField(f.name, T.ArrayType(FULL_CALL)) if f.name == "tool_calls" else f for f in MESSAGE.fields
+] + [REST])
+
 # `functions` and `tools` hold each element's JSON text, so no field of it is lost.
 CHAT_SAMPLE = T.StructType([
     T.StructField("messages", T.ArrayType(MESSAGE)),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +34,7 @@ def _own_folder() -> str:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without that setting, as in tests, gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
@@ -42,9 +44,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_given_paths: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
-    return f"{shared_folder(spark)}/litquarry/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/litquarry/{name}-{uuid.uuid4().hex}"
+    _given_paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediate tables written inside, once their results are no longer needed."""
+    before = len(_given_paths)
+    try:
+        yield
+    finally:
+        for path in _given_paths[before:]:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        del _given_paths[before:]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

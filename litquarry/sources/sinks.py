@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from litquarry.functions.answers import chat_line
-from litquarry.operators.sampling import global_rank
+from litquarry.functions.hashing import seeded_hash
+from litquarry.operators.sampling import SEED
+from litquarry.session import materialize
 from litquarry.sources.tables import CSV_OPTIONS
 
 
@@ -23,35 +28,48 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_chat_lines(df: DataFrame, path: str, messages: str = "messages", mode: str = "overwrite") -> None:
-    """Chat samples as JSONL with spaced separators and ASCII escapes."""
-    df.select(chat_line(messages).alias("value")).write.mode(mode).text(path)
+def _shuffled_lines(df: DataFrame, key: str, seed: int | str, first: list[str], messages: str) -> DataFrame:
+    """Chat lines in the seeded order of the key, after the columns of ``first``: files in name order follow it."""
+    rows = df.select(chat_line(df, messages).alias("value"), *first, seeded_hash(seed, key).alias("_hash"), F.col(key).alias("_key"))
+    return rows.orderBy(*first, "_hash", "_key").select("value", *first)
+
+
+def write_chat_lines(
+    df: DataFrame, path: str, key: str, messages: str = "messages", seed: int | str = SEED, mode: str = "overwrite"
+) -> None:
+    """Chat samples as JSON lines with all their fields, shuffled: in the seeded order of ``key``."""
+    _shuffled_lines(df, key, seed, [], messages).write.mode(mode).text(path)
 
 
-def export_splits(df: DataFrame, path: str, messages: str = "messages", split: str = "split") -> None:
-    """One folder of JSONL files per split."""
-    lines = df.select(chat_line(messages).alias("value"), F.col(split).alias("split"))
+def export_splits(
+    df: DataFrame, path: str, key: str = "key", messages: str = "messages", split: str = "split", seed: int | str = SEED
+) -> None:
+    """One folder of JSON lines per split, each shuffled like ``write_chat_lines``."""
+    lines = _shuffled_lines(df.withColumnRenamed(split, "split"), key, seed, ["split"], messages)
     lines.write.mode("overwrite").partitionBy("split").text(path)
 
 
-def write_json_array(df: DataFrame, *paths: str, key: str) -> None:
-    """The rows as one JSON array: the part files in name order, put together, are the document.
+def _as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The JSON texts of a task as one array, a line each; the last line is held back to close it."""
+    opening, held = "[", "[]"
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lines = batch.column(0).to_pylist()
+        before = [] if held == "[]" else [held + ","]
+        lines[0] = opening + lines[0]
+        opening, held = "", lines.pop()
+        yield pa.RecordBatch.from_pydict({"value": pa.array(before + [line + "," for line in lines], pa.string())})
+    yield pa.RecordBatch.from_pydict({"value": pa.array([held if held == "[]" else held + "]"], pa.string())})
+
+
+def write_json_array(df: DataFrame, *paths: str, mode: str = "overwrite") -> None:
+    """The rows as JSON arrays: every part file is one array, so ``read_extractions`` reads the folder.
 
-    The order is that of ``global_rank`` over ``key``, which must be unique per row.
+    For several copies the rows are computed once.
     """
-    spark = df.sparkSession
-    last = df.agg(F.count(F.lit(1))).scalar()
-    rows = global_rank(df, key, alias="_at").select(
-        "_at",
-        F.concat(
-            F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}),
-            F.when(F.col("_at") < last, F.lit(",")).otherwise(F.lit("")),
-        ).alias("value"),
-    )
-    edges = spark.range(2).select(
-        F.when(F.col("id") == 0, F.lit(0)).otherwise(last + 1).cast("bigint").alias("_at"),
-        F.when(F.col("id") == 0, F.lit("[")).otherwise(F.lit("]")).alias("value"),
-    )
-    ordered = rows.unionByName(edges).orderBy("_at").select("value")
+    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    if len(paths) > 1:
+        rows = materialize(rows, "array")
     for path in paths:
-        ordered.write.mode("overwrite").text(path)
+        rows.mapInArrow(_as_array, "value string").write.mode(mode).text(path)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from litquarry import schemas
+from litquarry.functions.answers import STRICT_JSON, is_json_object, other_fields
+from litquarry.functions.binding import bind
 from litquarry.functions.text import MISSING, join_sections
 from litquarry.operators.filters import clean_gene_symbols
 from litquarry.operators.joins import union_all
@@ -20,18 +22,18 @@ CSV_OPTIONS = {
 }
 
 
-def read_matches(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+def read_matches(spark: SparkSession, path: str | list[str], schema: T.StructType | str = schemas.MATCHES) -> DataFrame:
     """Literature matches of all Parquet files under the path; no such file is an error.
 
-    Files without the suffix are ignored. The schema comes from the files unless given,
-    because `section` is optional.
+    Files without the suffix are ignored. The schema is declared, so it does not depend on
+    which file is looked at first; `section` is optional file by file, and matches of a
+    file without it have ``NO_SECTION`` there.
     """
     paths = [path] if isinstance(path, str) else list(path)
     names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths)
     if names.select("path").isEmpty():
         raise ValueError(f"no Parquet files under {paths}")
-    reader = spark.read.option("pathGlobFilter", "*.parquet")
-    return (reader.schema(schema) if schema is not None else reader).parquet(*paths)
+    return spark.read.option("pathGlobFilter", "*.parquet").schema(schema).parquet(*paths)
 
 
 def union_files(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -44,7 +46,7 @@ def union_files(spark: SparkSession, paths: list[str]) -> DataFrame:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     if not found:
-        raise ValueError("No valid files found to combine.")
+        raise ValueError("none of the paths exists")
     return union_all(*found)
 
 
@@ -93,12 +95,18 @@ def read_extractions(spark: SparkSession, path: str, lines: bool = False) -> Dat
 
 
 def read_ontology(spark: SparkSession, path: str) -> DataFrame:
-    """Tumour types of one JSON array document, with their position in it as `ordinal`."""
-    array = T.ArrayType(schemas.TUMOR_TYPES)
-    document = spark.read.text(path, wholetext=True)
-    return document.select(F.posexplode(F.from_json("value", array)).alias("ordinal", "tumor")).select(
-        "ordinal", "tumor.*"
+    """Tumour types of a JSON array document, with their position in it, from 0, as `ordinal`.
+
+    Several documents count in the order of their names, each from a number of its own on.
+    """
+    rows = spark.read.schema(schemas.TUMOR_TYPES).json(path, multiLine=True)
+    placed = rows.select(
+        F.monotonically_increasing_id().alias("_at"), F.input_file_name().alias("_file"), *schemas.TUMOR_TYPES.names
     )
+    first = placed.groupBy("_file").agg(F.min("_at").alias("_first"))
+    files = first.withColumn("_number", F.row_number().over(Window.orderBy("_file")).cast("bigint") - 1)
+    ordinal = F.shiftleft("_number", 33) + F.col("_at") - F.col("_first")
+    return placed.join(files, "_file").select(ordinal.alias("ordinal"), *schemas.TUMOR_TYPES.names)
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -106,16 +114,57 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -
     return spark.read.schema(schema).csv(path, nullValue=MISSING, **CSV_OPTIONS)
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str = schemas.CHAT_SAMPLE) -> DataFrame:
-    """JSON lines with the declared fields, and each line's text as `raw`, so nothing is lost."""
-    options = {"allowSingleQuotes": "false"}
+def _json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with a text as `raw`; `malformed` where a line is not exactly one JSON object."""
     line = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
-    return line.select(F.from_json("value", schema, options).alias("_row"), F.col("value").alias("raw")).select(
-        "_row.*", "raw"
+    columns = [F.col("value").alias("raw"), (~is_json_object(F.col("value"))).alias("malformed")]
+    columns += [F.col("split")] if "split" in line.columns else []
+    return line.select(*columns)
+
+
+def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str = schemas.CHAT_SAMPLE) -> DataFrame:
+    """JSON lines with the declared fields, `raw` and `malformed`; a malformed line has null fields."""
+    row = F.when(~F.col("malformed"), F.from_json("raw", schema, STRICT_JSON))
+    return _json_lines(spark, path).select(row.alias("_row"), "raw", "malformed").select("_row.*", "raw", "malformed")
+
+
+def read_chat_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Chat samples of JSON lines: messages, functions, tools, rest, raw and malformed.
+
+    Sample, messages and calls keep fields that are not declared in `rest`, by name and as
+    JSON texts; functions and tools are JSON texts. A folder of splits gives `split` too.
+    """
+
+    def call(text):
+        return _with_rest(text, schemas.TOOL_CALL)
+
+    def message(text):
+        calls = F.from_json(text, "tool_calls array<string>", STRICT_JSON)["tool_calls"]
+        return bind(
+            _with_rest(text, schemas.MESSAGE),
+            lambda m: F.struct(*[
+                (F.transform(calls, call) if f == "tool_calls" else m[f]).alias(f) for f in schemas.FULL_MESSAGE.names
+            ]),
+        )
+
+    lines = _json_lines(spark, path)
+    parts = F.from_json("raw", "messages array<string>, functions array<string>, tools array<string>", STRICT_JSON)
+    parsed = lines.withColumn("_parts", F.when(~F.col("malformed"), parts))
+    return parsed.select(
+        F.transform("_parts.messages", message).alias("messages"), "_parts.functions", "_parts.tools",
+        F.when(~F.col("malformed"), other_fields(F.col("raw"), schemas.CHAT_SAMPLE.names)).alias("rest"),
+        *[c for c in lines.columns],
+    )
+
+
+def _with_rest(text, schema: T.StructType):
+    """The declared fields of a JSON object and the others as `rest`."""
+    return bind(
+        F.from_json(text, schema, STRICT_JSON),
+        lambda known: F.struct(*[known[f].alias(f) for f in schema.names], other_fields(text, schema.names).alias("rest")),
     )
 
 
-def read_splits(spark: SparkSession, path: str, schema: T.StructType = schemas.CHAT_SAMPLE) -> DataFrame:
+def read_splits(spark: SparkSession, path: str) -> DataFrame:
     """Splits written by ``export_splits``, with their name as `split`."""
-    declared = T.StructType(schema.fields + [T.StructField("split", T.StringType())])
-    return spark.read.schema(declared).json(path)
+    return read_chat_lines(spark, path)

@@ -4,30 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from litquarry import schemas
 from litquarry.operators.extraction import extract_batch
 from litquarry.operators.filters import literature_filter
 
-# Fixed value: files taken outside production.
-DEVELOPMENT_FILES = 5
-
-
-def first_files(spark: SparkSession, src: str, n: int, pattern: str = "*.parquet") -> list[str]:
-    """Names of the first n files; the folder is listed, no content is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(src).select("path")
-    names = files.select(F.element_at(F.split("path", "/"), -1).alias("name")).orderBy("name").limit(n)
-    return [row["name"] for row in names.collect()]
-
-
 def ingest_new_files(
     spark: SparkSession,
     src: str,
     out: str,
     checkpoint: str,
-    max_files: int | None = None,
     schema: T.StructType = schemas.MATCHES,
     pattern: str = "*.parquet",
     files_per_batch: int = 1000,
@@ -36,11 +24,8 @@ def ingest_new_files(
     """Filter the files not yet processed into the table at ``out`` and return that table.
 
     The checkpoint remembers the processed files, and a batch is committed as a whole,
-    so a run that was lost is repeated without gaps or repeats. ``max_files`` restricts
-    the source to its first files by name.
+    so a run that was lost is repeated without gaps or repeats.
     """
-    if max_files is not None:
-        pattern = "{" + ",".join(first_files(spark, src, max_files, pattern)) + "}"
     stream = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", pattern)
@@ -56,7 +41,7 @@ def ingest_new_files(
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.schema(transform(spark.createDataFrame([], schema)).schema).parquet(out)
 
 
 def answer_new_prompts(

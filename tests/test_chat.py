@@ -1,11 +1,13 @@
 import json
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from litquarry import schemas
 from litquarry.functions.templates import EXTRACTION_PROMPT
 from litquarry.operators import chat
+from litquarry.sources import sinks, tables
 
 
 def samples(spark, *values):
@@ -80,6 +82,68 @@ def test_given_call_id_is_kept(spark):
     assert out[1]["tool_calls"][0]["id"] == out[2]["tool_call_id"] == "abc"
 
 
+LINES = [
+    {
+        "messages": [
+            {"role": "user", "content": "q é\u2028\"", "weight": 0, "meta": {"b": 1.0, "a": [1, None, "x"]}, "tag": "1"},
+            {"role": "assistant", "content": "", "text": "calling", "function_call": {"name": "f", "arguments": '{"z": 1.0, "a": {"y": NaN}}'}},
+            {"role": "function", "name": "f", "content": "found"},
+            {"role": "assistant", "tool_calls": [{"id": "abcdefghi", "type": "function", "function": {"name": "g", "arguments": "{}"}}], "text": "t"},
+            {"role": "tool", "name": "g", "content": "x", "tool_call_id": "abcdefghi"},
+            {"role": "assistant", "content": "done", "refusal": None},
+        ],
+        "functions": [{"name": "f", "parameters": {"type": "object", "required": []}}, {"name": "g"}],
+        "source": "made", "number": 12345678901234567890123, "flag": True,
+    },
+    {"messages": [{"role": "user", "content": "only"}, {"role": "assistant", "content": "a"}]},
+    {"other": [1, 2]},
+]
+
+
+def test_written_samples_lose_nothing(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text("\n".join(json.dumps(x) for x in LINES) + '\n{"messages": []} junk\n{"broken": \n[1]\n')
+    read = tables.read_chat_lines(spark, str(tmp_path / "in.jsonl"))
+    assert sorted(r["raw"] for r in read.filter("malformed").collect()) == ['[1]', '{"broken": ', '{"messages": []} junk']
+    sinks.write_chat_lines(read.filter("not malformed"), str(tmp_path / "same"), "raw")
+    again = [json.loads(line) for p in sorted((tmp_path / "same").glob("part-*")) for line in p.read_text().splitlines()]
+    without_null = lambda x: {k: [without_null(v) if isinstance(v, dict) else v for v in x[k]] if k == "messages" else x[k] for k in x}
+    assert sorted(map(repr, again)) == sorted(map(repr, map(without_null, again)))
+    by_number = {str(x.get("number")) + str(x.get("other")): x for x in again}
+    first = by_number["12345678901234567890123None"]
+    expected = json.loads(json.dumps(LINES[0]))
+    for message in [*first["messages"], *expected["messages"]]:
+        call = message.get("function_call")
+        if call:
+            call["arguments"] = repr(json.loads(call["arguments"]))
+    assert first == expected
+
+    outcomes = chat.repair_outcomes(read, "raw")
+    assert sorted(r["status"] for r in outcomes.collect()) == ["kept"] * 3 + ["malformed"] * 3
+    sinks.write_chat_lines(chat.repair_chat(read, "raw"), str(tmp_path / "repaired"), "raw")
+    lines = [json.loads(line) for p in sorted((tmp_path / "repaired").glob("part-*")) for line in p.read_text().splitlines()]
+    (made,) = [x for x in lines if x.get("source") == "made"]
+    assert [t["function"] for t in made["tools"]] == LINES[0]["functions"] and "functions" not in made
+    assert made["number"] == 12345678901234567890123 and made["flag"] is True
+    messages = made["messages"]
+    assert messages[0] == LINES[0]["messages"][0]
+    assert messages[1]["tool_calls"][0]["function"]["arguments"] == '{"z": 1.0, "a": {"y": NaN}}'
+    assert messages[1]["tool_calls"][0]["id"] == messages[2]["tool_call_id"]
+    assert messages[3]["tool_calls"][0] == LINES[0]["messages"][3]["tool_calls"][0]
+    assert messages[5] == {"role": "assistant", "content": "done", "refusal": None}
+
+
+@pytest.mark.parametrize("arguments, good", [
+    ('{"b": 1.0, "a": 12345678901234567890123456789012345678901234567890}', True), ('{"a": 1, "a": 2}', True), ("null", True),
+    (" [1] ", True), ('"text"', True), ("{} {}", False), ("{}, {}", False), ("{}] [{}", False), ("01", False), ("", False), ("{'a': 1}", False),
+])
+def test_arguments_stay_as_they_are(spark, arguments, good):
+    messages = [user("q"), call("f", arguments, text="t"), assistant("a")]
+    ((status, out, _),) = repaired(spark, {"messages": messages})
+    assert status == ("kept" if good else "rejected")
+    if good:
+        assert json.loads(out[1]["tool_calls"][0]["function"]["arguments"]) == json.loads(arguments)
+
+
 def test_rejected_samples(spark):
     got = repaired(
         spark,

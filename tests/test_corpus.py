@@ -56,13 +56,6 @@ def test_corpus_has_the_target_size(raw):
         assert all((r["abstract"] == f"abstract {r['pmid']}") or (r["abstract"] is None) for r in built)
 
 
-def test_parity_keeps_a_small_input_unfiltered(raw):
-    combined = corpus.combined_evidence(*filtered(raw))
-    built = corpus.build_corpus(*raw, target=10**6, parity=True)
-    assert "organisms" in built.columns and built.count() == combined.count()
-    assert rows(corpus.build_corpus(*raw, target=10, parity=True)) == rows(corpus.build_corpus(*raw, target=10))
-
-
 def test_training_set(spark):
     labelled = spark.createDataFrame(
         [(str(i), f"abstract {i}" if i % 10 else " ", None if i % 3 else "d", "G1") for i in range(100)],
@@ -76,6 +69,8 @@ def test_training_set(spark):
     for r in built:
         question, answer = r["messages"]
         assert question["role"] == "user" and set(json.loads(answer["content"])) == {"Disease", "Genes"}
+    everything = build_training_set(labelled, negatives, EXTRACTION_PROMPT)
+    assert everything.count() == 90 + 30
     again = build_training_set(labelled.repartition(7), negatives, EXTRACTION_PROMPT, n_real=60, n_synth=28)
     assert rows(again.select("key", "split")) == sorted(((r["key"], r["split"]) for r in built), key=repr)
 

@@ -1,11 +1,15 @@
+import contextlib
+import hashlib
 import json
+import os
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from litquarry import schemas
-from litquarry.session import materialize, scratch_path, shared_folder
+from litquarry.operators.filters import literature_filter
+from litquarry.session import materialize, scratch_path, scratch_tables, shared_folder
 from litquarry.sources import sinks, tables
 from litquarry.streaming import ingest
 
@@ -13,7 +17,7 @@ from litquarry.streaming import ingest
 def test_match_files_need_the_suffix(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "a"))
     (tmp_path / "a" / "notes.txt").write_text("x")
-    assert tables.read_matches(spark, str(tmp_path / "a")).count() == 3
+    assert tables.read_matches(spark, str(tmp_path / "a"), "id long").count() == 3
     (tmp_path / "empty").mkdir()
     (tmp_path / "empty" / "notes.txt").write_text("x")
     with pytest.raises(ValueError):
@@ -87,13 +91,40 @@ def test_jsonl_keeps_the_raw_line(spark, tmp_path):
     assert row["raw"] == line and row["messages"][0]["content"] == "q" and row["functions"] == ['{"a":1}']
 
 
-@pytest.mark.parametrize("n", [0, 1, 250])
-def test_json_array_document(spark, tmp_path, n):
-    df = spark.range(n).repartition(5).selectExpr("id", "concat('t', id) AS t", "CAST(NULL AS STRING) AS none")
-    path = tmp_path / "array"
-    sinks.write_json_array(df, str(path), key="id")
-    document = json.loads("".join(p.read_text() for p in sorted(path.glob("part-*"))))
-    assert sorted(document, key=lambda d: d["id"]) == [{"id": i, "t": f"t{i}", "none": None} for i in range(n)]
+@pytest.mark.parametrize("n", [0, 1, 7, 25_000])
+def test_json_arrays_are_read_back(spark, tmp_path, n):
+    df = spark.range(n).repartition(5).selectExpr("concat('t', id) AS abstract", "CAST(NULL AS STRING) AS Disease", "parse_json('[1]') AS Genes")
+    paths = [str(tmp_path / "one"), str(tmp_path / "two")]
+    with no_coalescing(spark):
+        sinks.write_json_array(df, *paths)
+    parts = [json.loads(p.read_text()) for p in sorted((tmp_path / "two").glob("part-*"))]
+    assert sum(map(len, parts)) == n and (n < 100 or len([p for p in parts if p]) >= 4)
+    for path in paths:
+        got = tables.read_extractions(spark, path)
+        assert sorted(r["abstract"] for r in got.collect()) == sorted(f"t{i}" for i in range(n))
+
+
+@contextlib.contextmanager
+def no_coalescing(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_splits_are_written_in_shuffled_order(spark, tmp_path):
+    made = spark.range(3000).selectExpr(
+        "id AS key", "CASE WHEN id % 3 = 0 THEN 'validation' ELSE 'train' END AS split",
+        "array(named_struct('role', 'assistant', 'content', CAST(id AS STRING))) AS messages",
+    )
+    with no_coalescing(spark):
+        sinks.export_splits(made, str(tmp_path / "out"), seed=5)
+    for split, keys in (("validation", range(0, 3000, 3)), ("train", [i for i in range(3000) if i % 3])):
+        lines = [line for p in sorted((tmp_path / "out" / f"split={split}").glob("part-*")) for line in p.read_text().splitlines()]
+        order = sorted(keys, key=lambda i: hashlib.md5(f"5:{i}".encode()).hexdigest())
+        assert [int(json.loads(line)["messages"][0]["content"]) for line in lines] == order
+    assert tables.read_splits(spark, str(tmp_path / "out")).groupBy("split").count().count() == 2
 
 
 def test_pages_from_text_files(spark, tmp_path):
@@ -120,11 +151,34 @@ def test_ingest_processes_each_file_once(spark, tmp_path):
     assert rows(ingest.ingest_new_files(spark, *paths).select("pmid")) == [("a",), ("b",), ("c",), ("d",)]
 
 
-def test_ingest_of_the_first_files(spark, tmp_path):
-    for name in "cab":
-        write_matches(spark, tmp_path, name, name)
-    paths = [str(tmp_path / p) for p in ("in", "out", "progress")]
-    assert rows(ingest.ingest_new_files(spark, *paths, max_files=2).select("pmid")) == [("a",), ("b",)]
+def test_section_is_tested_file_by_file(spark, tmp_path):
+    bare = spark.createDataFrame([("1", "t", "k", "DS", ["h"])], "pmid string, text string, keywordId string, type string, organisms array<string>")
+    for order in ("ab", "ba"):
+        folder = tmp_path / order
+        full = spark.createDataFrame([("2", "t", "k", "DS", ["h"], "body"), ("9", "t", "k", "DS", ["h"], "abstract"), ("3", "t", "k", "DS", ["h"], None)], schemas.MATCHES)
+        for name, df in zip(order, (bare, full)):
+            df.coalesce(1).write.parquet(str(folder / f"made-{name}"))
+            (part,) = (folder / f"made-{name}").glob("part-*")
+            (folder / "both").mkdir(exist_ok=True)
+            (folder / "both" / f"{name}.parquet").write_bytes(part.read_bytes())
+        read = literature_filter(tables.read_matches(spark, str(folder / "both")))
+        stream = ingest.ingest_new_files(spark, *(str(folder / p) for p in ("both", "out", "progress")))
+        for found in (read, stream):
+            assert sorted(r["pmid"] for r in found.collect()) == ["1", "9"]
+
+
+def test_ingest_of_an_empty_folder(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    found = ingest.ingest_new_files(spark, *(str(tmp_path / p) for p in ("in", "out", "progress")))
+    assert found.columns == ["pmid", "text", "keywordId", "type", "organisms"] and found.count() == 0
+
+
+def test_tables_of_a_flow_can_be_removed(spark):
+    with scratch_tables(spark):
+        df = materialize(spark.range(5), "x")
+        (file, *_) = df.inputFiles()
+        assert df.count() == 5
+    assert not os.path.exists(file.removeprefix("file://"))
 
 
 def test_written_tables_go_to_the_shared_folder(spark):
