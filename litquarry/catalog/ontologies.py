@@ -160,11 +160,22 @@ def ontology_fuzzy_levenshtein(spark, folder):
     return found.select("cleaned", "score", "match.*")
 
 
-@query()
+@query("""WITH names AS (SELECT p_name, min(p_partkey) AS ordinal FROM part GROUP BY p_name),
+  words AS (SELECT *, string_split(p_name, ' ')[1] AS first, string_split(p_name, ' ')[2] AS second FROM names)
+  SELECT second || ' ' || first AS cleaned, 95.0::DOUBLE AS score, p_name AS matched_name, 'C' || ordinal AS code FROM words
+  UNION ALL SELECT upper(first) || '-' || second || ' !', 100.0::DOUBLE, p_name, 'C' || ordinal FROM words""")
 def ontology_fuzzy_weighted(spark, folder):
-    """No SQL: the weighted ratio comes from difflib. Tested against brute force on a fixture."""
-    found = ontology.match_fuzzy(altered_names(spark, folder), tumor_types(spark, folder), method="wratio")
-    return found.select("cleaned", "score", "match.*")
+    """Scores with a closed form: tokens in another order, punctuation and case only, and names far from all others."""
+    names = s.table(spark, folder, "part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("ordinal"))
+    tumors = names.select("ordinal", "name", F.concat(F.lit("C"), "ordinal").alias("code"), F.lit(None).cast("string").alias("mainType"))
+    words = F.split("name", " ")
+    texts = names.select(F.explode(F.array(
+        F.concat_ws(" ", words[1], words[0]),
+        F.concat(F.upper(words[0]), F.lit("-"), words[1], F.lit(" !")),
+        F.concat(F.lit("qqxx"), F.reverse("name"), F.lit("zz")),
+    )).alias("cleaned"))
+    found = ontology.match_fuzzy(texts, tumors, method="wratio")
+    return found.select("cleaned", "score", "match.matched_name", "match.code")
 
 
 @query(f'WITH {NEAR} SELECT "Disease", matched_name, code, "mainType" FROM mapping')

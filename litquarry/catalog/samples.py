@@ -19,12 +19,12 @@ CAPPED = """capped AS (SELECT o_orderkey, o_orderpriority, o_orderstatus FROM or
   QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('123:' || o_orderkey), o_orderkey) <= 2000)"""
 
 
-def sample_sql(source: str, key: str, group: str, target: int) -> str:
+def sample_sql(source: str, key: str, group: str, target: int | str) -> str:
     """SQL of a proportional sample with top-up, as table ``sample`` over ``source``."""
     return f"""ranked AS (SELECT *, md5('123:' || {key}) AS h,
   row_number() OVER (PARTITION BY {group} ORDER BY md5('123:' || {key}), {key}) AS rn,
   count(*) OVER (PARTITION BY {group}) AS size, count(*) OVER () AS total FROM {source}),
-flagged AS (SELECT *, rn <= floor(size::DOUBLE * ({target}.0::DOUBLE / total::DOUBLE)) AS first_pick FROM ranked),
+flagged AS (SELECT *, rn <= floor(size::DOUBLE * ({target}::DOUBLE / total::DOUBLE)) AS first_pick FROM ranked),
 rest AS (SELECT *, row_number() OVER (ORDER BY h, {key}) AS rest_rank FROM flagged WHERE NOT first_pick),
 sample AS (SELECT * EXCLUDE (rest_rank) FROM rest
   WHERE rest_rank <= {target} - (SELECT count(*) FROM flagged WHERE first_pick)
@@ -108,19 +108,21 @@ def mix_corpora(spark, folder):
 
 LABELLED_SAMPLE = f"""{evidence.LABELLED}, capped AS (SELECT * FROM labelled
   QUALIFY row_number() OVER (PARTITION BY disease_name ORDER BY md5('123:' || pmid), pmid) <= 3),
-  {sample_sql('capped', 'pmid', 'disease_name', 90)}"""
+  aim AS (SELECT count(*) // 2 + 1 AS aim FROM labelled),
+  {sample_sql('capped', 'pmid', 'disease_name', '(SELECT aim FROM aim)')}"""
 
 
-@query(f"""WITH {LABELLED_SAMPLE} SELECT s.pmid, gene, disease_name, source AS title, text AS abstract
-  FROM sample s LEFT JOIN documents d ON s.pmid = d.doc_id""")
-def corpus_build(spark, folder):
-    """Raw tables to labelled, sampled abstracts."""
+def corpus_of(spark, folder, **options):
+    """The corpus of the given tables, half of all labelled rows."""
+    labelled = corpus.labelled_pmids(
+        evidence.full_matches(spark, folder), evidence.diseases(spark, folder), evidence.symbols(spark, folder), s.DISEASE, s.GENE, s.SPECIES
+    )
     return corpus.build_corpus(
         s.raw_matches(spark, folder, organisms=True),
         s.raw_diseases(spark, folder),
         evidence.symbols(spark, folder),
         s.pubmed(spark, folder),
-        target=90,
+        target=labelled.count() // 2 + 1,
         cap=3,
         section=s.SECTION,
         disease_type=s.DISEASE,
@@ -128,4 +130,22 @@ def corpus_build(spark, folder):
         area=s.AREA,
         exclude_names=s.EXCLUDED,
         species=s.SPECIES,
+        **options,
     )
+
+
+@query(f"""WITH {LABELLED_SAMPLE} SELECT s.pmid, gene, disease_name, source AS title, text AS abstract
+  FROM sample s LEFT JOIN documents d ON s.pmid = d.doc_id""")
+def corpus_build(spark, folder):
+    """Raw tables to labelled, sampled abstracts."""
+    return corpus_of(spark, folder)
+
+
+@query(f"""WITH {LABELLED_SAMPLE} SELECT 'matches' AS stage, count(*) AS rows FROM raw_matches
+  UNION ALL SELECT 'filtered', count(*) FROM matches UNION ALL SELECT 'labelled', count(*) FROM labelled
+  UNION ALL SELECT 'sampled', count(*) FROM sample""")
+def corpus_funnel(spark, folder):
+    """Rows of each stage of a corpus build, counted as they pass."""
+    funnel = {}
+    corpus_of(spark, folder, funnel=funnel)
+    return corpus.funnel_table(spark, funnel)

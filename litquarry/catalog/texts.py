@@ -69,6 +69,15 @@ def split_at_headers(spark, folder):
     return extraction.split_at_headers(documents(spark, folder), "text", HEADER)
 
 
+@query(f"""WITH joined AS (SELECT doc_id // 5 AS doc, string_agg(text, chr(10) ORDER BY doc_id) AS text FROM documents GROUP BY 1),
+  cut AS (SELECT doc, string_split(regexp_replace(text, '({HEADER})', chr(57344) || '\\1', 'g'), chr(57344))[2:] AS pieces FROM joined)
+  SELECT doc, unnest(range(len(pieces)))::INT AS piece_no, trim(unnest(pieces), {TRIM}) AS "Abstract" FROM cut""")
+def split_across_pages(spark, folder):
+    """Five documents as the pages of one: a piece goes on to the next header, on whichever page that is."""
+    pages = documents(spark, folder).select(F.floor(F.col("doc_id") / 5).alias("doc"), F.col("doc_id").alias("page"), "text")
+    return extraction.split_at_headers(pages, "text", HEADER, across_pages=True, doc="doc", page="page")
+
+
 @query(f"""SELECT doc_id, trim(chr(160) || text || chr(9), {TRIM}) AS stripped,
   array_to_string(string_split(text, chr(10)), ' ') AS joined FROM documents""")
 def strip_and_join(spark, folder):

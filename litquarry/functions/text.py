@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from litquarry.functions.binding import bind
+
 # The characters Python's str.strip() removes.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -20,6 +22,8 @@ MISSING = "n/a"
 PROMPT_MARKER = "[[[abstract]]]"
 NO_ABSTRACT = "No abstract available"
 
+_MARK = "\uffff"
+
 
 def _column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -56,13 +60,25 @@ def abstract_number(col: Column | str) -> Column:
     return F.nullif(F.regexp_extract(_column(col), r"(?U)^(\d+)", 1), F.lit(""))
 
 
+def marked_pieces(col: Column | str, header: str = SESSION_HEADER) -> Column:
+    """Array of the text before the first header and of the pieces, as they stand, from one header to the next.
+
+    Headers are marked and the text is split at the marks; a text that holds the mark itself,
+    which is no character, is cut by the pattern alone.
+    """
+    text = _column(col)
+    marked = F.split(F.regexp_replace(text, f"(?U)({header})", f"{_MARK}$1"), _MARK, -1)
+    lead = F.regexp_extract(text, rf"(?Us)^(.*?)(?:(?:{header})|\z)", 1)
+    found = F.regexp_extract_all(text, F.lit(rf"(?Us)((?:{header}).*?)(?=(?:{header})|\z)"), F.lit(1))
+    return F.when(F.contains(text, F.lit(_MARK)), F.concat(F.array(lead), found)).otherwise(marked)
+
+
 def header_pieces(col: Column | str, header: str = SESSION_HEADER) -> Column:
     """Array of stripped pieces, each from one header up to the next header or the end.
 
     Text before the first header belongs to no piece.
     """
-    piece = rf"(?Us)((?:{header}).*?)(?=(?:{header})|\z)"
-    return F.transform(F.regexp_extract_all(_column(col), F.lit(piece), F.lit(1)), strip)
+    return bind(marked_pieces(col, header), lambda parts: F.transform(F.slice(parts, F.lit(2), F.size(parts)), strip))
 
 
 def render_prompt(template: str, col: Column | str, marker: str = PROMPT_MARKER) -> Column:

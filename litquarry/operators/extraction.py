@@ -5,22 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from litquarry.functions.answers import strict_object
 from litquarry.functions.binding import keep_where
-from litquarry.functions.text import MISSING, SESSION_HEADER, abstract_number, header_pieces, na_to_null, strip
+from litquarry.functions.text import MISSING, SESSION_HEADER, abstract_number, header_pieces, marked_pieces, na_to_null, strip
 
 # Fixed value: the response of a row whose answer function failed.
 QUERY_ERROR = "Error querying model"
 
 
-def split_at_headers(df: DataFrame, text: str = "text", header: str = SESSION_HEADER, alias: str = "Abstract") -> DataFrame:
-    """One row per piece of the text, with its position from 0."""
+def split_at_headers(
+    df: DataFrame, text: str = "text", header: str = SESSION_HEADER, alias: str = "Abstract", across_pages: bool = False,
+    doc: str = "doc_id", page: str = "page_no",
+) -> DataFrame:
+    """One row per piece of the text, with its position from 0.
+
+    Pieces end with their page, or with ``across_pages`` at the next header of their
+    document: rows are (doc, piece_no, piece). Headers are numbered over a document's pages
+    from their counts alone, and only the parts of one piece come together in a row.
+    """
+    if across_pages:
+        return _pieces_across_pages(df, text, header, alias, doc, page)
     others = [c for c in df.columns if c != text]
     return df.select(*others, F.posexplode(header_pieces(text, header)).alias("piece_no", alias))
 
 
+def _pieces_across_pages(df: DataFrame, text: str, header: str, alias: str, doc: str, page: str) -> DataFrame:
+    parts = df.select(doc, page, marked_pieces(text, header).alias("_parts"))
+    counts = parts.select(F.col(doc).alias("_doc"), F.col(page).alias("_page"), (F.size("_parts") - 1).alias("_headers"))
+    before = Window.partitionBy("_doc").orderBy("_page").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = counts.select("_doc", "_page", F.coalesce(F.sum("_headers").over(before), F.lit(0)).cast("int").alias("_before"))
+    placed = parts.join(numbered, F.col(doc).eqNullSafe(F.col("_doc")) & (F.col(page) == F.col("_page")))
+    pieces = placed.select(doc, page, "_before", F.posexplode("_parts").alias("_at", "_part"))
+    number = F.col("_before") + F.col("_at") - 1
+    grouped = pieces.withColumn("piece_no", number).filter("piece_no >= 0").groupBy(doc, "piece_no").agg(
+        F.array_sort(F.collect_list(F.struct(F.col(page).alias("page"), F.col("_part").alias("part")))).alias("_found")
+    )
+    return grouped.select(doc, "piece_no", strip(F.array_join(F.transform("_found", lambda p: p["part"]), "\n")).alias(alias))
+
+
 def extract_batch(
     df: DataFrame,
     fn: Callable[[str], str],

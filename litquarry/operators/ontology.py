@@ -9,12 +9,11 @@ import math
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from litquarry.functions import fuzzy
-from litquarry.functions.text import clean_indication
-from litquarry.operators.joins import apply_mapping, top_level_group, union_all
-from litquarry.operators.sampling import global_rank
+from litquarry.functions.text import clean_indication, strip
+from litquarry.operators.joins import apply_mapping, top_level_group
 
 # The scoring code travels with the task, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(fuzzy)
@@ -23,7 +22,11 @@ cloudpickle.register_pickle_by_value(fuzzy)
 THRESHOLD = 80
 NOT_NAMED = "NA"
 
-CANDIDATES_PER_SLICE = 20_000
+# Segments of a name beyond those that edits can touch: so many of its commonest are not looked up.
+SPARE_SEGMENTS = 6
+
+# Texts and candidates that one task compares by the weighted ratio, on average.
+BLOCK = 1_000
 
 
 def match_record(kind: Column, tumor: Column) -> Column:
@@ -59,8 +62,15 @@ def match_candidates(ontology: DataFrame, case_insensitive: bool = False) -> Dat
         (F.lower("_form.text") if case_insensitive else F.col("_form.text")).alias("text"),
         match_record(F.col("_form.kind"), F.col("_tumor")).alias("match"),
     )
-    first = F.min_by(F.struct("ordinal", "kind", "match"), F.struct("ordinal", "kind"))
-    return rows.filter(F.col("text").isNotNull()).groupBy("text").agg(first.alias("_first")).select("text", "_first.*")
+    rows = rows.filter(F.col("text").isNotNull()).withColumn("_place", _place())
+    first = rows.groupBy(F.col("text").alias("_text")).agg(F.min("_place").alias("_first"))
+    chosen = rows.join(first, (F.col("text") == F.col("_text")) & (F.col("_place") == F.col("_first")))
+    return chosen.select("text", "ordinal", "kind", "match")
+
+
+def _place() -> Column:
+    """Order of candidates as one number: by tumour, its name before its main type."""
+    return F.col("ordinal") * 2 + F.col("kind")
 
 
 def match_exact(
@@ -77,100 +87,106 @@ def match_fuzzy(
     ontology: DataFrame,
     on: str = "cleaned",
     threshold: int = THRESHOLD,
-    method: str = "wratio",
+    method: str = "levenshtein",
 ) -> DataFrame:
-    """Distinct texts with the best `match` scoring above the threshold; the earliest wins a tie."""
+    """Distinct texts with the best `match` scoring above the threshold; the earliest wins a tie.
+
+    ``levenshtein`` finds pairs by an index that misses none. ``wratio`` is the weighted ratio of
+    difflib; a shared letter pair is all that a score above the threshold implies, so no index
+    spares comparisons: every text is compared with every candidate, in blocks. Use it for small
+    vocabularies.
+    """
     texts = indications.select(F.col(on)).filter(F.col(on) != "").distinct()
-    # Few bytes but much work per text: without a number of its own the stage would shrink to few tasks.
-    texts = texts.repartition(4 * texts.sparkSession.sparkContext.defaultParallelism, on)
     candidates = match_candidates(ontology)
-    scored = {"wratio": _weighted_matches, "levenshtein": _levenshtein_matches}[method](
-        texts, candidates, on, threshold
+    scored = {"wratio": _weighted_scores, "levenshtein": _levenshtein_scores}[method](
+        texts, candidates.select("text", _place().alias("_place")), on, threshold
     )
-    best = F.min_by(F.struct("score", "match"), F.struct((-F.col("score")).alias("s"), "ordinal", "kind"))
-    return scored.groupBy(on).agg(best.alias("_best")).select(on, "_best.*")
+    top = scored.groupBy(F.col(on).alias("_on")).agg(F.max("score").alias("_top"))
+    tied = scored.join(top, (F.col(on) == F.col("_on")) & (F.col("score") == F.col("_top")))
+    first = tied.groupBy(on, "score").agg(F.min("_place").alias("_first"))
+    return first.join(candidates, F.col("_first") == _place()).select(on, "score", "match")
+
+
+def normal_form(text: Column) -> Column:
+    """A candidate as indications are cleaned: lower case, without special characters."""
+    return strip(F.lower(F.regexp_replace(text, r"(?U)[^a-zA-Z0-9\s\x1c-\x1f]", "")))
 
 
-def _levenshtein_matches(texts: DataFrame, candidates: DataFrame, on: str, threshold: int) -> DataFrame:
-    """All (text, candidate) pairs above the threshold, found by shared segments.
+def _levenshtein_scores(texts: DataFrame, candidates: DataFrame, on: str, threshold: int) -> DataFrame:
+    """Text, score and place of all (text, candidate) pairs above the threshold, found by shared segments.
 
-    A score above t leaves fewer than ``len * (100 - t) / t`` edits to a candidate of
-    that length. Cut into as many segments, the candidate has one that no edit
-    touches, so that it stands unchanged in the text. Among these is one with at most
-    as many edits before it as segments before it, and likewise after it, which limits
-    how far it is shifted. An equi-join on segments within these limits finds every
-    pair, and few others.
+    A score above t leaves a candidate of length n at most k edits, k being the largest whole
+    number below ``n * (100 - t) / t``. Cut into k + 2 + s segments, the candidate has s + 2 that
+    no edit touches, which stand unchanged in the text. So its s most frequent segments need not
+    be looked up, and two of the others must be found: a common ending such as a word that most
+    names share brings no pairs together. An unchanged
+    segment is shifted by some edits before it and the rest of the length's difference after
+    it, k in all at most. Texts are cut at the places this allows, for each candidate length they
+    can match, and an equi-join on (length, number of the segment, segment) finds every pair.
     """
     if not 50 <= threshold < 100:
         raise ValueError("levenshtein matching needs a threshold from 50 to 99")
     miss = 100 - threshold
-    longest_segment = math.ceil(threshold / miss)
-    pieces = F.greatest(F.lit(1), F.floor((F.col("_size") * miss + (threshold - 1)) / threshold)).cast("int")
-    start = F.floor(F.col("_piece") * F.col("_size") / F.col("_pieces")).cast("int")
-    end = F.floor((F.col("_piece") + 1) * F.col("_size") / F.col("_pieces")).cast("int")
-    segments = (
-        candidates.filter(F.col("text") != "")
-        .withColumn("_size", F.length("text"))
-        .withColumn("_pieces", pieces)
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
-        .withColumn("_start", start)
-        .withColumn("_segment", F.substring(F.col("text"), F.col("_start") + 1, end - F.col("_start")))
+    size, piece, pieces, edits, length = (F.col(c) for c in ("_size", "_piece", "_pieces", "_edits", "_length"))
+    most_edits = F.floor((size * miss + (threshold - 1)) / threshold).cast("int") - 1
+
+    def with_pieces(df: DataFrame) -> DataFrame:
+        counted = df.withColumn("_edits", F.greatest(F.lit(0), most_edits))
+        counted = counted.withColumn("_pieces", F.least(size, edits + 2 + SPARE_SEGMENTS))
+        counted = counted.withColumn("_need", F.least(F.lit(2), pieces - edits))
+        return counted.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+
+    start = F.floor(piece * size / pieces).cast("int")
+    width = F.floor((piece + 1) * size / pieces).cast("int") - start
+    key = ["_size", "_piece", "_segment"]
+    names = candidates.withColumn("_name", normal_form(F.col("text"))).filter(F.col("_name") != "")
+    named = names.select("_name").distinct().withColumn("_size", F.length("_name"))
+    segments = with_pieces(named).withColumn("_segment", F.substring(F.col("_name"), start + 1, width))
+    frequent = segments.groupBy(*key).agg(F.count(F.lit(1)).alias("_names"))
+    by_count = Window.partitionBy("_name").orderBy("_names", "_piece")
+    segments = segments.join(frequent, key).withColumn("_rank", F.row_number().over(by_count))
+    segments = segments.filter(F.col("_rank") <= edits + F.col("_need")).select("_name", "_need", *key)
+
+    longest = named.agg(F.max("_size")).scalar()
+    near = F.abs(length - size) * 100 < F.greatest(length, size) * miss
+    low, high = F.greatest(F.lit(1), F.floor(length * threshold / 100).cast("int")), F.ceil(length * 100 / threshold).cast("int")
+    fitting = texts.withColumn("_length", F.length(on)).filter(length * threshold < F.coalesce(longest, F.lit(0)) * 100 + 100)
+    sized = fitting.withColumn("_size", F.explode(F.sequence(low, F.greatest(low, F.least(high, longest))))).filter(near)
+    sized = sized.join(named.select("_size").distinct(), "_size")
+    difference = length - size
+    allowed = F.ceil(F.greatest(length, size) * miss / 100).cast("int") - 1  # edits between these two lengths
+    slack = F.floor((allowed - F.abs(difference)) / 2).cast("int")
+    cuts = (
+        with_pieces(sized).filter(F.abs(difference) <= allowed)
+        .withColumn("_shift", F.explode(F.sequence(F.least(F.lit(0), difference) - slack, F.greatest(F.lit(0), difference) + slack)))
+        .withColumn("_at", start + F.col("_shift")).filter((F.col("_at") >= 0) & (F.col("_at") + width <= length))
+        .select(on, "_size", "_piece", F.substring(F.col(on), F.col("_at") + 1, width).alias("_segment")).distinct()
     )
-    grams = (
-        texts.withColumn("_length", F.length(on))
-        .withColumn("_gram", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest_segment), F.col("_length")))))
-        .withColumn("_at", F.explode(F.sequence(F.lit(0), F.col("_length") - F.col("_gram"))))
-        .withColumn("_part", F.substring(F.col(on), F.col("_at") + 1, F.col("_gram")))
-    )
-    longest = F.greatest("_length", "_size")
-    shift = F.col("_at") - F.col("_start")
-    difference = F.col("_length") - F.col("_size")
-    near = (
-        (F.col("_part") == F.col("_segment"))
-        & (F.abs(shift) <= F.col("_piece"))
-        & (F.abs(shift - difference) <= F.col("_pieces") - 1 - F.col("_piece"))
-        & (F.abs(difference) * 100 < longest * miss)
-    )
-    pairs = grams.join(segments, near).select(on, "text", "ordinal", "kind", "match")
-    scored = pairs.withColumn("score", fuzzy.levenshtein_score(F.col(on), F.col("text")))
-    return scored.filter(F.col("score") > threshold)
+    found = cuts.join(segments, key).groupBy(on, "_name", "_need").agg(F.count(F.lit(1)).alias("_found"))
+    pairs = found.filter(F.col("_found") >= F.col("_need")).select(on, "_name")
+    scored = pairs.withColumn("score", fuzzy.levenshtein_score(F.col(on), F.col("_name"))).filter(F.col("score") > threshold)
+    return scored.join(names, "_name").select(on, "score", "_place")
 
 
-def _weighted_matches(texts: DataFrame, candidates: DataFrame, on: str, threshold: int) -> DataFrame:
-    """The best candidate of each text, by the weighted ratio of ``fuzzy``.
+def _weighted_scores(texts: DataFrame, candidates: DataFrame, on: str, threshold: int) -> DataFrame:
+    """Text, score and place of each text's best candidate in each block of candidates."""
+    n_texts = F.greatest(F.lit(1), F.ceil(texts.agg(F.count(F.lit(1))).scalar() / BLOCK))
+    n_names = F.greatest(F.lit(1), F.ceil(candidates.agg(F.count(F.lit(1))).scalar() / BLOCK))
+    of_text = F.pmod(F.xxhash64(on), n_texts)
+    of_name = F.pmod(F.xxhash64("text"), n_names)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    left = texts.select(on, of_text.alias("_text_block"), every(n_names).alias("_name_block"))
+    right = candidates.select("text", "_place", of_name.alias("_name_block"), every(n_texts).alias("_text_block"))
 
-    Each task scores its share of the distinct texts against a slice of the candidates.
-    A slice is held in memory, hence its fixed bound; an ontology beyond the bound is
-    scored slice by slice, with no candidate left out.
-    """
-    plain = candidates.select("text", "ordinal", "kind")
-    n_candidates = plain.count()
-    if n_candidates <= CANDIDATES_PER_SLICE:
-        scored = _score_slice(texts, plain, on, threshold)
-    else:
-        ranked = global_rank(plain, "text", alias="_rank")
-        slices = [
-            ranked.filter(F.col("_rank").between(low + 1, low + CANDIDATES_PER_SLICE)).drop("_rank")
-            for low in range(0, n_candidates, CANDIDATES_PER_SLICE)
-        ]
-        scored = union_all(*[_score_slice(texts, part, on, threshold) for part in slices])
-    return scored.join(candidates.select("ordinal", "kind", "match"), ["ordinal", "kind"])
-
-
-def _score_slice(texts: DataFrame, candidates: DataFrame, on: str, threshold: int) -> DataFrame:
-    rows = [tuple(r) for r in candidates.limit(CANDIDATES_PER_SLICE).collect()]
-    rows.sort(key=lambda r: r[1:])
-
-    def score(batches):
-        best = fuzzy.Candidates([text for text, _, _ in rows]).best
-        for batch in batches:
-            hits = [(text, best(text, threshold)) for text in batch[on]]
-            yield pd.DataFrame(
-                [(text, *rows[hit[0]][1:], float(hit[1])) for text, hit in hits if hit],
-                columns=[on, "ordinal", "kind", "score"],
-            )
-
-    return texts.mapInPandas(score, f"`{on}` string, ordinal bigint, kind int, score double")
+    def score(block: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
+        names = names.sort_values("_place", ignore_index=True)
+        best = fuzzy.Candidates(names["text"].tolist()).best
+        hits = [(text, best(text, threshold)) for text in block[on]]
+        found = [(text, float(hit[1]), int(names["_place"][hit[0]])) for text, hit in hits if hit]
+        return pd.DataFrame(found, columns=[on, "score", "_place"])
+
+    grouped = left.groupBy("_text_block", "_name_block").cogroup(right.groupBy("_text_block", "_name_block"))
+    return grouped.applyInPandas(score, f"`{on}` string, score double, _place bigint")
 
 
 def map_indications(
@@ -178,10 +194,13 @@ def map_indications(
     ontology: DataFrame,
     disease: str = "Disease",
     threshold: int = THRESHOLD,
-    method: str = "wratio",
+    method: str = "levenshtein",
     case_insensitive: bool = False,
 ) -> DataFrame:
-    """One row per distinct indication: matched_name, code and mainType, null where unmapped."""
+    """One row per distinct indication: matched_name, code and mainType, null where unmapped.
+
+    ``case_insensitive`` concerns the exact match; the fuzzy one compares normal forms anyway.
+    """
     indications = df.select(disease).distinct().withColumn("cleaned", clean_indication(disease))
     exact = match_exact(indications, ontology, "cleaned", case_insensitive)
     near = match_fuzzy(exact.filter(F.col("match").isNull()), ontology, "cleaned", threshold, method)

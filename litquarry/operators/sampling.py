@@ -2,8 +2,9 @@
 
 The seeded order of rows is the order of ``md5(seed:key)``, ties by key. The first
 hex digits of the digest cut that order into equal buckets, so an exact cut at n
-rows needs only the bucket counts: buckets before the cut are taken whole, and rows
-are ranked inside the one bucket that holds the cut.
+rows needs only the bucket counts: buckets before the cut are taken whole. The bucket
+that holds the cut is counted again by its next digits, and rows are ranked only inside
+the part that holds it, one in 16 million of all rows.
 
 Every operator here needs a key that is unique per row; ``number_copies`` makes one
 for rows that have none.
@@ -26,30 +27,32 @@ TRAIN_SHARE = 0.95
 BATCH_SIZE = 100
 
 BUCKET_DIGITS = 3  # 4096 buckets
+RANK_DIGITS = 4  # 65536 buckets, each ranked by one task
+GROUP_DIGITS = 2  # parts of a group that are cut first
 COPIES_PER_CHUNK = 1 << 20
 
 
-def _with_buckets(df: DataFrame, key: str, seed: int | str) -> DataFrame:
+def _with_buckets(df: DataFrame, key: str, seed: int | str, digits: int | None = None) -> DataFrame:
     digest = seeded_hash(seed, key)
-    return df.withColumn("_hash", digest).withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
+    return df.withColumn("_hash", digest).withColumn("_bucket", F.substring("_hash", 1, digits or BUCKET_DIGITS))
 
 
-def _bucket_counts(df: DataFrame, group: Sequence[str], key: str, seed: int | str) -> DataFrame:
+def _bucket_counts(df: DataFrame, group: Sequence[str], key: str, seed: int | str, digits: int | None = None) -> DataFrame:
     """Rows of each (group, bucket), with the running numbers of ``_running``."""
-    hashed = df.select(*group, F.substring(seeded_hash(seed, key), 1, BUCKET_DIGITS).alias("_bucket"))
+    hashed = df.select(*group, F.substring(seeded_hash(seed, key), 1, digits or BUCKET_DIGITS).alias("_bucket"))
     return _running(hashed, group, F.count(F.lit(1)))
 
 
-def _running(rows: DataFrame, group: Sequence[str], total: Column) -> DataFrame:
+def _running(rows: DataFrame, group: Sequence[str], total: Column, *more: Column) -> DataFrame:
     """Per (group, bucket): `_rows`, the rows `_before` and `_upto` its end, and the group's `_size`.
 
-    The windows run over buckets, at most 4096 per group.
+    The windows run over buckets, at most 16 to the number of their digits per group.
     """
     whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     ordered = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         rows.groupBy(*group, "_bucket")
-        .agg(total.alias("_rows"))
+        .agg(total.alias("_rows"), *more)
         .withColumn("_upto", F.sum("_rows").over(ordered))
         .withColumn("_before", F.col("_upto") - F.col("_rows"))
         .withColumn("_size", F.sum("_rows").over(whole))
@@ -79,34 +82,44 @@ def _with_ranks(hashed: DataFrame, shares: DataFrame, group: str, key: str, how:
 def cap_per_group(
     df: DataFrame, group: str, n: int = MAX_PER_LABEL, key: str = "pmid", seed: int | str = SEED
 ) -> DataFrame:
-    """The first n rows of each group in seeded order.
+    """The first n rows of each group in seeded order, from one scan.
 
-    Groups of at most n rows are passed on whole; only larger ones, at most one per n
-    rows, are ranked.
+    Each task cuts the parts of its groups to n rows before any row moves; the parts of a
+    group, by the first digits of the order, are then cut one by one, and a group only gets
+    what is left of its parts. So a group with a third of all rows is spread over 256 parts.
     """
-    sizes = df.groupBy(F.col(group).alias("_large")).agg(F.count(F.lit(1)).alias("_size"))
-    large = sizes.filter(F.col("_size") > n).select("_large")
-    is_large = df[group].eqNullSafe(large["_large"])
-    rows = df.join(large, is_large, "left_semi")
-    shares = _shares(_bucket_counts(rows, [group], key, seed), F.lit(n))
-    ranked = _with_ranks(_with_buckets(rows, key, seed), shares, group, key, "inner")
-    first = ranked.filter(F.col("_rank") <= F.col("_take")).select(*df.columns)
-    return df.join(large, is_large, "left_anti").unionByName(first)
+    hashed = df.withColumn("_hash", seeded_hash(seed, key))
+    for within in ([F.col(group), F.substring("_hash", 1, GROUP_DIGITS)], [F.col(group)]):
+        place = F.row_number().over(Window.partitionBy(*within).orderBy("_hash", key))
+        hashed = hashed.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+    return hashed.select(*df.columns)
 
 
 def take_first(df: DataFrame, n: int | Column, key: str, seed: int | str = SEED) -> DataFrame:
-    """The first n rows in seeded order."""
-    cut = _cut(df, n, key, seed)
-    near = _with_buckets(df, key, seed).withColumn("_cut", cut).filter(F.col("_bucket") <= F.col("_cut.bucket"))
-    ranked = near.withColumn("_rank", _rank_in_bucket([], key))
-    return ranked.filter(
-        (F.col("_bucket") < F.col("_cut.bucket")) | (F.col("_rank") <= F.col("_cut.take"))
-    ).select(*df.columns)
+    """The first n rows in seeded order; those before the part that holds row n are taken without a shuffle."""
+    hashed = df.withColumn("_hash", seeded_hash(seed, key)).withColumn("_cut", _cut(df, n, key, seed))
+    part = F.substring("_hash", 1, 2 * BUCKET_DIGITS)
+    clear = hashed.filter(part < F.col("_cut.part"))
+    edge = hashed.filter(part == F.col("_cut.part")).withColumn("_rank", _rank_in_part(key))
+    return union_all(clear.select(*df.columns), edge.filter(F.col("_rank") <= F.col("_cut.take")).select(*df.columns))
+
+
+def _rank_in_part(key: str) -> Column:
+    return F.row_number().over(Window.partitionBy(F.substring("_hash", 1, 2 * BUCKET_DIGITS)).orderBy("_hash", key))
 
 
 def _cut(df: DataFrame, n: int | Column, key: str, seed: int | str) -> Column:
-    """Scalar subquery: the bucket in which row n lies and its rows to take; n may use ``_size``."""
-    return _cut_of(_bucket_counts(df, [], key, seed), F.lit(n) if isinstance(n, int) else n)
+    """Scalar subquery: the part in which row n lies and its rows to take; n may use ``_size``.
+
+    The bucket follows from the counts of all buckets, the part from those of the bucket's parts.
+    """
+    bucket = _cut_of(_bucket_counts(df, [], key, seed), F.lit(n) if isinstance(n, int) else n)
+    inside = df.select(seeded_hash(seed, key).alias("_hash")).withColumn("_cut", bucket)
+    inside = inside.filter(F.substring("_hash", 1, BUCKET_DIGITS) == F.col("_cut.bucket"))
+    parts = inside.groupBy(F.substring("_hash", 1, 2 * BUCKET_DIGITS).alias("_bucket"), F.col("_cut.take").alias("_quota")).count()
+    counted = _running(parts.select("_bucket", "_quota", "count"), [], F.sum("count"), F.max("_quota").alias("_quota"))
+    part = counted.filter((F.col("_before") < F.col("_quota")) & (F.col("_quota") <= F.col("_upto")))
+    return part.select(F.struct(F.col("_bucket").alias("part"), (F.col("_quota") - F.col("_before")).alias("take"))).scalar()
 
 
 def _cut_of(counts: DataFrame, n: Column) -> Column:
@@ -162,12 +175,12 @@ def remaining_rows(df: DataFrame, sampled: DataFrame, key: str) -> DataFrame:
 def global_rank(df: DataFrame, key: str, seed: int | str | None = None, alias: str = "rank") -> DataFrame:
     """Exact position, from 1, in seeded order (seed None: the order of ``md5(key)``).
 
-    The offsets are one row per bucket, at most 4096 by construction, hence the broadcast.
+    The offsets are one row per bucket, at most 65536 by construction, hence the broadcast.
     """
     seed = "" if seed is None else seed
-    offsets = _bucket_counts(df, [], key, seed).select("_bucket", "_before")
+    offsets = _bucket_counts(df, [], key, seed, RANK_DIGITS).select("_bucket", "_before")
     return (
-        _with_buckets(df, key, seed)
+        _with_buckets(df, key, seed, RANK_DIGITS)
         .join(F.broadcast(offsets), "_bucket")
         .withColumn(alias, F.col("_before") + _rank_in_bucket([], key))
         .select(*df.columns, alias)
@@ -215,15 +228,13 @@ def train_val_split(
 ) -> DataFrame:
     """Exactly the first ``int(frac * n)`` rows in seeded order are ``train``, the others ``validation``.
 
-    Only the bucket of the cut is ranked; all other rows get their side without a shuffle.
+    Only the part that holds the cut is ranked; all other rows get their side without a shuffle.
     """
     cut = _cut(df, F.floor(F.lit(frac) * F.col("_size").cast("double")), key, seed)
-    hashed = _with_buckets(df, key, seed).withColumn("_cut", cut)
-    clear = hashed.filter(F.coalesce(F.col("_bucket") != F.col("_cut.bucket"), F.lit(True))).withColumn(
-        alias, F.when(F.col("_bucket") < F.col("_cut.bucket"), F.lit("train")).otherwise(F.lit("validation"))
-    )
-    edge = hashed.filter(F.col("_bucket") == F.col("_cut.bucket")).withColumn(
-        alias,
-        F.when(_rank_in_bucket([], key) <= F.col("_cut.take"), F.lit("train")).otherwise(F.lit("validation")),
-    )
-    return clear.unionByName(edge).select(*df.columns, alias)
+    hashed = df.withColumn("_hash", seeded_hash(seed, key)).withColumn("_cut", cut)
+    part, last = F.substring("_hash", 1, 2 * BUCKET_DIGITS), F.col("_cut.part")
+    side = lambda first: F.when(first, F.lit("train")).otherwise(F.lit("validation"))
+    clear = hashed.filter(F.coalesce(part != last, F.lit(True))).withColumn(alias, side(part < last))
+    edge = hashed.filter(part == last).withColumn("_rank", _rank_in_part(key))
+    edge = edge.withColumn(alias, side(F.col("_rank") <= F.col("_cut.take")))
+    return clear.select(*df.columns, alias).unionByName(edge.select(*df.columns, alias))

@@ -11,6 +11,7 @@ from litquarry.functions.templates import (
     CANCER_PHRASES, GENERAL_PHRASES, GENERAL_TOPICS, NEGATIVE_PROMPT, NEGATIVE_SYSTEM,
 )
 from litquarry.functions.text import MISSING
+from litquarry.operators.joins import union_all
 from litquarry.operators.sampling import SEED, global_rank, take_first
 
 # Fixed value: share of general topics.
@@ -42,19 +43,15 @@ def plan_negatives(
     pick = hash_number(seeded_hash(f"{seed}:topic", key))
     share = hash_number(seeded_hash(f"{seed}:kind", key)) / F.lit(float(2**32))
     general_pick = F.get(F.array(*[F.lit(t) for t in general]), (pick % len(general)).cast("int"))
-    planned = (
-        wanted.withColumn("is_cancer", share >= GENERAL_SHARE)
-        .withColumn("_general", general_pick)
-        .withColumn("_pick", F.when(F.col("is_cancer"), pick % n_topics))
+    planned = wanted.withColumn("is_cancer", share >= GENERAL_SHARE)
+    of_cancer = planned.filter("is_cancer").withColumn("_pick", pick % n_topics)
+    named = of_cancer.join(numbered, F.col("_pick") == F.col("_number"), "left").select(
+        key, "is_cancer", F.col(topic).alias("topic"), F.col(topic).alias("disease")
     )
-    chosen = planned.join(numbered, planned["_pick"] == numbered["_number"], "left")
-    return chosen.select(
-        key,
-        "is_cancer",
-        F.coalesce(F.when(F.col("is_cancer"), F.col(topic)), F.col("_general")).alias("topic"),
-        F.when(F.col("is_cancer"), F.col(topic)).otherwise(F.lit(MISSING)).alias("disease"),
-        F.lit(MISSING).alias("genes"),
+    others = planned.filter("not is_cancer").select(
+        key, "is_cancer", general_pick.alias("topic"), F.lit(MISSING).alias("disease")
     )
+    return union_all(named, others).withColumn("genes", F.lit(MISSING))
 
 
 def negative_prompt(topic: Column | str = "topic", is_cancer: Column | str = "is_cancer") -> Column:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from litquarry.operators.filters import (
     ABSTRACT_CATEGORIES, CANCER_AREA, DISEASE_TYPE, GENE_TYPE, HUMAN_NAMES,
     disease_area_filter, is_species, literature_filter,
 )
 from litquarry.operators.joins import attach_abstracts, attach_dimension, combine_evidence, restrict_to, union_all
-from litquarry.operators.rollups import distinct_keys, distinct_organisms, joined_labels, rollup_labels
+from litquarry.operators.rollups import distinct_organisms, joined_labels, rollup_labels
 from litquarry.operators.sampling import MAX_PER_LABEL, SAMPLE_TARGET, SEED, cap_per_group, stratified_sample
 from litquarry.session import materialize
 
@@ -49,9 +49,13 @@ def combined_evidence(
     disease_type: str = DISEASE_TYPE,
     gene_type: str = GENE_TYPE,
 ) -> DataFrame:
-    """pmid, gene, disease_name and each organism list: the roll-ups joined step by step."""
-    by_disease = disease_evidence(matches, diseases, disease_type)
-    keys = distinct_keys(by_disease, "pmid")
+    """pmid, gene, disease_name and each organism list: the roll-ups joined step by step.
+
+    The filtered matches and the diseases are written once; the diseases' keys are unique already.
+    """
+    matches = materialize(matches.select("pmid", "type", "keywordId", "organisms"), "matches")
+    by_disease = materialize(disease_evidence(matches, diseases, disease_type), "disease_evidence")
+    keys = by_disease.select("pmid")
     genes = gene_evidence(matches, symbols, keys, gene_type)
     return combine_evidence(genes, by_disease, organism_evidence(matches, keys))
 
@@ -118,14 +122,29 @@ def build_corpus(
     area: str = CANCER_AREA,
     exclude_names: Sequence[str] = tuple(ABSTRACT_CATEGORIES),
     species: Sequence[str] = tuple(HUMAN_NAMES),
+    funnel: dict[str, Observation] | None = None,
 ) -> DataFrame:
     """Labelled abstracts from raw tables: filter, evidence, sample, title and abstract.
 
     The labelled pmids are written once, because sampling reads them several times,
     and so is the sample, whose size lets Spark look up its abstracts without moving all.
+    Into a given ``funnel`` go the rows of each stage, counted as they pass; see ``funnel_table``.
     """
-    matches = literature_filter(matches, section, (disease_type, gene_type))
+    def counted(df: DataFrame, stage: str) -> DataFrame:
+        if funnel is None:
+            return df
+        funnel[stage] = Observation(stage)
+        return df.observe(funnel[stage], F.count(F.lit(1)).alias("rows"))
+
+    matches = counted(literature_filter(counted(matches, "matches"), section, (disease_type, gene_type)), "filtered")
     diseases = disease_area_filter(diseases, area, exclude_names=exclude_names)
-    labelled = materialize(labelled_pmids(matches, diseases, symbols, disease_type, gene_type, species), "labelled")
-    sample = materialize(sample_evidence(labelled, target, cap, seed), "sample")
+    found = labelled_pmids(matches, diseases, symbols, disease_type, gene_type, species)
+    labelled = materialize(counted(found, "labelled"), "labelled")
+    sample = materialize(counted(sample_evidence(labelled, target, cap, seed), "sampled"), "sample")
     return attach_abstracts(sample, pubmed)
+
+
+def funnel_table(spark: SparkSession, funnel: dict[str, Observation]) -> DataFrame:
+    """Stage and rows of a corpus build that has run, one row for each of its few stages."""
+    counts = [(stage, observed.get["rows"]) for stage, observed in funnel.items()]
+    return spark.createDataFrame(counts, "stage string, rows bigint")

@@ -10,6 +10,7 @@ from litquarry.operators import rollups
 from litquarry.operators.extraction import explode_genes
 from litquarry.operators.filters import detail_table, drop_if_all_null, valid_gene
 from litquarry.operators.ontology import THRESHOLD, map_back, map_indications
+from litquarry.session import materialize
 
 
 def gene_rows(
@@ -17,12 +18,16 @@ def gene_rows(
     ontology: DataFrame,
     groups: DataFrame,
     threshold: int = THRESHOLD,
-    method: str = "wratio",
+    method: str = "levenshtein",
 ) -> tuple[DataFrame, DataFrame]:
-    """One row per gene with its mapped indication, and the mapping itself."""
-    rows = drop_if_all_null(explode_genes(extractions), ["Disease", "Genes"])
-    mapping = map_indications(rows, ontology, "Disease", threshold, method)
-    return map_back(rows, mapping, groups), mapping
+    """One row per gene with its mapped indication, and the mapping itself; both are written tables.
+
+    The genes are written before they are mapped, since the mapping reads them too and the
+    extractions may come from answers that must not be asked for again.
+    """
+    rows = materialize(drop_if_all_null(explode_genes(extractions), ["Disease", "Genes"]), "genes")
+    mapping = materialize(map_indications(rows, ontology, "Disease", threshold, method), "mapping")
+    return materialize(map_back(rows, mapping, groups), "gene_rows"), mapping
 
 
 def gene_mart(
@@ -32,9 +37,9 @@ def gene_mart(
     types: Sequence[str] | None = None,
     min_count: int = 5,
     threshold: int = THRESHOLD,
-    method: str = "wratio",
+    method: str = "levenshtein",
 ) -> dict[str, DataFrame]:
-    """The tables of the dashboard, by name."""
+    """The tables of the dashboard, by name, each from the written gene rows and mapping."""
     rows, mapping = gene_rows(extractions, ontology, groups, threshold, method)
     with_gene = valid_gene(rows)
     totals = rollups.type_totals(with_gene)

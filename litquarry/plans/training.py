@@ -16,12 +16,12 @@ from litquarry.session import materialize
 
 
 def negative_examples(plan: DataFrame, fn: Callable[[str], str], key: str = "id") -> DataFrame:
-    """The plan's abstracts from the caller's function: key, abstract, disease, genes.
+    """The plan's abstracts from the caller's function, asked once: key, abstract, disease, genes.
 
     A failed one is left out, so that a plan over the remaining keys asks for it again.
     """
     prompted = render_negative_prompt(plan).withColumn("prompt", F.element_at("messages", -1)["content"])
-    answered = extract_batch(prompted, fn)
+    answered = materialize(extract_batch(prompted, fn), "answers")
     return answered.filter(F.col("response") != QUERY_ERROR).select(
         key, strip("response").alias("abstract"), "disease", "genes"
     )

@@ -12,6 +12,7 @@ from litquarry.functions.binding import bind
 from litquarry.functions.text import MISSING, join_sections
 from litquarry.operators.filters import clean_gene_symbols
 from litquarry.operators.joins import union_all
+from litquarry.session import materialize
 
 CSV_OPTIONS = {
     "header": "true",
@@ -72,11 +73,26 @@ def read_pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
         citation["PMID"]["_VALUE"].alias("pmid"),
         citation["Article"]["ArticleTitle"].alias("title"),
         join_sections(citation["Article"]["Abstract"]["AbstractText"]).alias("abstract"),
-        F.input_file_name().alias("_file"),
-        F.monotonically_increasing_id().alias("_position"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
     )
-    last = F.max_by(F.struct("title", "abstract"), F.struct("_file", "_position"))
-    return records.groupBy("pmid").agg(last.alias("_record")).select("pmid", "_record.*")
+    placed = _placed(materialize(records, "articles"))
+    last = placed.groupBy(F.col("pmid").alias("_pmid")).agg(F.max("_position").alias("_last"))
+    chosen = placed.join(last, F.col("pmid").eqNullSafe(F.col("_pmid")) & (F.col("_position") == F.col("_last")))
+    return chosen.select("pmid", "title", "abstract")
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows with their `_position`: a number in the order of file names, places in files and rows.
+
+    Only the parts of files are put in order, one row each; the records themselves stay where they are.
+    """
+    first = rows.groupBy("_file", "_start").agg(F.min("_at").alias("_first"))
+    number = F.row_number().over(Window.orderBy("_file", "_start")).cast("bigint") - 1
+    parts = first.withColumn("_number", number)
+    position = F.shiftleft("_number", 33) + F.col("_at") - F.col("_first")
+    return rows.join(parts, ["_file", "_start"]).withColumn("_position", position)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -99,14 +115,11 @@ def read_ontology(spark: SparkSession, path: str) -> DataFrame:
 
     Several documents count in the order of their names, each from a number of its own on.
     """
-    rows = spark.read.schema(schemas.TUMOR_TYPES).json(path, multiLine=True)
-    placed = rows.select(
-        F.monotonically_increasing_id().alias("_at"), F.input_file_name().alias("_file"), *schemas.TUMOR_TYPES.names
+    rows = spark.read.schema(schemas.TUMOR_TYPES).json(path, multiLine=True).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"), *schemas.TUMOR_TYPES.names,
     )
-    first = placed.groupBy("_file").agg(F.min("_at").alias("_first"))
-    files = first.withColumn("_number", F.row_number().over(Window.orderBy("_file")).cast("bigint") - 1)
-    ordinal = F.shiftleft("_number", 33) + F.col("_at") - F.col("_first")
-    return placed.join(files, "_file").select(ordinal.alias("ordinal"), *schemas.TUMOR_TYPES.names)
+    return _placed(rows).select(F.col("_position").alias("ordinal"), *schemas.TUMOR_TYPES.names)
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -9,7 +9,9 @@ from litquarry.functions.templates import EXTRACTION_PROMPT, GENERAL_TOPICS, NEG
 from litquarry.operators import synthesis
 from litquarry.operators.filters import species_filter
 from litquarry.plans import corpus
-from litquarry.plans.extraction import extract_from_pages
+from litquarry.operators.extraction import split_at_headers
+from litquarry.plans.extraction import answer_pages, extract_and_reject, extract_from_pages
+from litquarry.plans.mart import gene_mart
 from litquarry.plans.training import build_training_set
 
 
@@ -90,6 +92,36 @@ def test_pages_to_extractions(spark):
     assert rows(got) == [("123 Poster Session A", "x", '["A"]')]
 
 
+def test_every_prompt_is_asked_once(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def fn(prompt):
+        with open(log, "a") as file:
+            file.write(prompt + "\n")
+        return "no json" if "BAD" in prompt else '{"Disease": "melanoma", "Genes": ["A", "B"]}'
+
+    pages = spark.createDataFrame([("d", i, f"12{i} Poster Session {'BAD' if i % 4 == 0 else 'A'}") for i in range(10)], "doc_id string, page_no int, text string")
+    parsed, rejected = extract_and_reject(answer_pages(pages, "[[[abstract]]]", fn))
+    tumors = spark.createDataFrame([(0, "melanoma", "MEL", "Skin")], "ordinal int, name string, code string, mainType string")
+    tables = gene_mart(parsed, tumors, spark.createDataFrame([], "mainType string, top_group string"))
+    assert (parsed.count(), rejected.count()) == (7, 3)
+    assert all(table.collect() is not None for table in tables.values())
+    with open(log) as file:
+        assert sorted(file.read().splitlines()) == sorted(r["text"] for r in pages.collect())
+
+
+def test_pieces_across_pages(spark):
+    pages = spark.createDataFrame(
+        [("d", 0, "intro 123 Poster Session A"), ("d", 1, "tail of A 456 Oral Abstract Session B"), ("d", 2, "more B"), ("d", 3, "end 789 Poster Session C"),
+         ("e", 0, "no header"), ("e", 1, "nor here"), ("f", 5, "111 Poster Session X"), (None, 0, "222 Poster Session Y")],
+        "doc_id string, page_no int, text string",
+    )
+    assert rows(split_at_headers(pages, across_pages=True)) == sorted([
+        ("d", 0, "123 Poster Session A\ntail of A"), ("d", 1, "456 Oral Abstract Session B\nmore B\nend"), ("d", 2, "789 Poster Session C"),
+        ("f", 0, "111 Poster Session X"), (None, 0, "222 Poster Session Y"),
+    ], key=repr)
+
+
 def test_negative_plan(spark):
     topics = spark.createDataFrame([(f"cancer {i}",) for i in range(7)] + [("cancer 0",)], "cancer_type string")
     ids = spark.range(2000)

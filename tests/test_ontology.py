@@ -1,7 +1,9 @@
 import random
+import re
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
 
 from litquarry.functions import fuzzy
 from litquarry.operators import ontology
@@ -113,12 +115,50 @@ def test_score_of_exactly_the_threshold_is_no_match(spark):
     assert ontology.match_fuzzy(df, as_ontology(spark, ["abcde"]), method="wratio").count() == 0
 
 
-def test_slices_of_a_large_ontology_give_the_same(spark, monkeypatch):
+def test_blocks_of_any_size_give_the_same(spark, monkeypatch):
     names = random_names(6, 90)
     df = spark.createDataFrame([(t,) for t in random_names(7, 80)], "cleaned string")
-    whole = rows(ontology.match_fuzzy(df, as_ontology(spark, names)))
-    monkeypatch.setattr(ontology, "CANDIDATES_PER_SLICE", 13)
-    assert rows(ontology.match_fuzzy(df, as_ontology(spark, names))) == whole
+    whole = rows(ontology.match_fuzzy(df, as_ontology(spark, names), method="wratio"))
+    score = lambda a, b: fuzzy.weighted_ratio(fuzzy.normalise(a), fuzzy.normalise(b))
+    expected = {t: brute_force(t, names, 80, score) for t in {r[0] for r in df.collect()} if t}
+    assert {r[0]: (r[2][0], r[1]) for r in whole} == {t: (names[h[0]], h[1]) for t, h in expected.items() if h}
+    monkeypatch.setattr(ontology, "BLOCK", 13)
+    assert rows(ontology.match_fuzzy(df, as_ontology(spark, names), method="wratio")) == whole
+
+
+def test_names_are_compared_in_their_normal_form(spark):
+    df = spark.createDataFrame([("nsclc lungs",), ("nonsmall cell lung cancers",)], "cleaned string")
+    found = ontology.match_fuzzy(df, as_ontology(spark, ["NSCLC Lung", "Non-Small Cell Lung Cancer"]))
+    assert {r["cleaned"]: r["match"]["matched_name"] for r in found.collect()} == {
+        "nsclc lungs": "NSCLC Lung", "nonsmall cell lung cancers": "Non-Small Cell Lung Cancer",
+    }
+
+
+def test_a_common_ending_joins_few_pairs(spark):
+    rng = random.Random(9)
+    stem = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(4, 14)))
+    names = sorted({f"{stem()} carcinoma" for _ in range(96)})
+    texts = sorted({f"{stem()} carcinoma" for _ in range(200)} | {n + "s" for n in names})
+    df = spark.createDataFrame([(t,) for t in texts], "cleaned string")
+    found = ontology.match_fuzzy(df, as_ontology(spark, names))
+    assert {r["cleaned"]: r["match"]["matched_name"] for r in found.collect()}.items() >= {n + "s": n for n in names}.items()
+    joined = compared_pairs(spark, df, names)
+    assert joined < 0.1 * len(names) * len(texts)
+
+
+def compared_pairs(spark, texts, names):
+    """Pairs that come out of the segment join, by a score that lets all of them pass."""
+    from unittest import mock
+
+    candidates = ontology.match_candidates(as_ontology(spark, names)).select("text", ontology._place().alias("_place"))
+    with mock.patch.object(ontology.fuzzy, "levenshtein_score", lambda left, right: F.lit(100.0)):
+        return ontology._levenshtein_scores(texts, candidates, "cleaned", 80).count()
+
+
+def test_no_text_is_sorted_to_aggregate(spark, tumors):
+    df = spark.createDataFrame([("melanomas",)], "Disease string")
+    assert "SortAggregate" not in plan_of(ontology.match_candidates(tumors))
+    assert "SortAggregate" not in plan_of(ontology.map_indications(df, tumors))
 
 
 def test_mapping_of_every_kind(spark, tumors):
@@ -133,8 +173,6 @@ def test_mapping_of_every_kind(spark, tumors):
 
 
 def test_gene_mart(spark, tumors):
-    from pyspark.sql import functions as F
-
     data = [
         ("1 a", "melanoma", '"A, B"'), ("2 b", "breast cancer", '["A"]'), ("3 c", "n/a", '"n/a"'), ("4 d", "zzz", '"A"'),
         ("5 e", "melanoma", "[]"), ("x f", None, '["n/a"]'),
@@ -154,3 +192,4 @@ def test_gene_mart(spark, tumors):
     assert rows(tables["indications"]) == [("Breast Cancer", "breast cancer"), ("Melanoma", "melanoma")]
     assert rows(tables["main_types"]) == [("Breast Cancer",), ("Melanoma",), (None,)]
     assert tables["rows"].count() == 5
+    assert not any(re.search("levenshtein|from_json|try_variant", plan_of(table)) for table in tables.values())

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -114,3 +114,23 @@ def test_null_key_is_not_lost(spark):
 def test_hash_number_range(spark):
     values = [r[0] for r in spark.range(500).select(hash_number(seeded_hash(1, "id"))).collect()]
     assert 0 <= min(values) and max(values) < 2**32 and len(set(values)) == 500
+
+
+@pytest.mark.parametrize("digits", [1, 2])
+def test_cuts_do_not_depend_on_the_size_of_buckets(spark, strata, monkeypatch, digits):
+    keys = spark.range(700).selectExpr("CAST(id AS STRING) AS key")
+    ordered = [r["key"] for r in sampling.seeded_order(keys, "key", 3).collect()]
+    monkeypatch.setattr(sampling, "BUCKET_DIGITS", digits)
+    monkeypatch.setattr(sampling, "RANK_DIGITS", digits)
+    for n in (0, 1, 350, 699, 700, 900):
+        assert sorted(r["key"] for r in sampling.take_first(keys, n, "key", 3).collect()) == sorted(ordered[:n])
+    split = sampling.train_val_split(keys, "key", 0.95, 3)
+    assert sorted(r["key"] for r in split.filter("split = 'train'").collect()) == sorted(ordered[:665])
+    ranked = {r["key"]: r["rank"] for r in sampling.global_rank(keys, "key", 3).collect()}
+    assert [ranked[k] for k in ordered] == list(range(1, 701))
+
+
+def test_cap_reads_its_input_once(spark, tmp_path):
+    spark.range(100).selectExpr("CAST(id AS STRING) AS pmid", "id % 3 AS g").write.parquet(str(tmp_path / "t"))
+    plan = plan_of(sampling.cap_per_group(spark.read.parquet(str(tmp_path / "t")), "g", 5))
+    assert plan.count("Scan parquet") == 2 and "WindowGroupLimit" in plan  # once in the tree, once in its details
