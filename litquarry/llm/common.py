@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable, Hashable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+Model = TypeVar("Model")
+
 SPACE = "[ \\x09-\\x0D]+"
 """White space of every word and normalisation rule here: space and the five ASCII controls."""
 
@@ -28,3 +34,19 @@ def power_of_two(least: int) -> int:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+_model: list = []
+
+
+def worker_model(key: Hashable, make: Callable[[], Model]) -> Model:
+    """The model that this worker process works with, made when ``key`` is new.
+
+    Workers live on from stage to stage; only the last model is held, so a pipeline needs the
+    memory of one.
+    """
+    if not _model or _model[0] != key:
+        _model.clear()
+        gc.collect()
+        _model.extend([key, make()])
+    return _model[1]

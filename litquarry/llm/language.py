@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,11 +9,11 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from litquarry.llm.common import documents, fold, text_or_empty
+from litquarry.llm.common import documents, fold, text_or_empty, worker_model
 from litquarry.llm.registry import query
 from litquarry.llm.texts import code_points, parts
 
-REFERENCE_CHARS = 60_000
+REFERENCE_CHARS = 24_000
 """Lower-cased letters and spaces of labelled text per language that an automaton is built from."""
 SAMPLE_DOCS = 400
 """Labelled documents per language these are taken from, chosen by a hash of their id."""
@@ -125,12 +124,11 @@ def suffix_automaton(text: list[int], width: int) -> np.ndarray:
         last = new
     for state, edges in enumerate(step):
         table[state, list(edges)] = list(edges.values())
-    return table[: len(step)]
+    return table[: len(step)].copy()
 
 
-@functools.lru_cache(maxsize=2)
 def automata(reference: Reference) -> Automata:
-    return Automata(reference)
+    return worker_model(("automata", reference), lambda: Automata(reference))
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, chars: int = REFERENCE_CHARS) -> Reference:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
-from litquarry.llm.common import documents, text_or_empty
+from litquarry.llm.common import documents, text_or_empty, worker_model
 from litquarry.llm.registry import query
 from litquarry.session import materialize
 
@@ -25,7 +25,7 @@ CELL_PIECES = 30_000
 """Pieces packed by one task, on average."""
 ROUNDS = 4
 """Most rounds in which cells without a certificate exchange documents."""
-WORDS_HELD = 500_000
+WORDS_HELD = 200_000
 """Entries a worker's word table may reach before it starts anew."""
 
 _BREAK = re.compile("[\x20\x09-\x0d]+")
@@ -112,12 +112,11 @@ class Learned(dict):
         return found
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path)
+    return worker_model(("encoder", path), lambda: Encoder(path))
 
 
 def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -11,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litquarry.llm.common import documents
+from litquarry.llm.common import documents, worker_model
 from litquarry.llm.registry import query
 
 MODEL = "piece_bpe_32k.model"
@@ -233,9 +232,8 @@ def _keys(grid: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(grid.astype(">u2")).view(f"S{2 * DEPTH}").ravel()
 
 
-@functools.lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
-    return Pieces(path)
+    return worker_model(("pieces", path), lambda: Pieces(path))
 
 
 def _parts(texts: list[str | None]) -> Iterator[list[str | None]]:

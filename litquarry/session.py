@@ -11,6 +11,11 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="litquarry-")
+
+
 def local_session(app: str = "litquarry", cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
     return (
@@ -22,15 +27,11 @@ def local_session(app: str = "litquarry", cpus: str | int = "*", shuffle_partiti
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", _own_folder())
         .getOrCreate()
     )
 
 
-@cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="litquarry-")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -450,10 +450,8 @@ def test_similar_lines(spark):
 
 
 def test_similarity_equals_python(spark):
-    from pyspark.sql import functions as F
-
     pairs = [("abcdefgh ijkl mnop", "abcdefgh ijkl mnoq"), ("aaaaaaaaaa", "aaaaaaa"), ("ñandú über alles gut", "ñandú über alles gut!")]
-    found = spark.createDataFrame(pairs, "a string, b string").select(line_dedup.similarity(F.col("a"), F.col("b")).alias("s")).collect()
+    found = line_dedup.with_similarity(spark.createDataFrame(pairs, "a string, b string"), "a", "b", "s").collect()
     for (a, b), r in zip(pairs, found):
         x, y = ({t[j:j + 5] for j in range(len(t) - 4)} for t in (a, b))
         assert r["s"] == pytest.approx(len(x & y) / len(x | y))
