@@ -22,6 +22,11 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def known_id(doc_id: str) -> Column:
+    """The id as a key for plain equality: null as the largest number, which also puts it last."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
+
+
 def fold(doc_id: str, parts: int) -> Column:
     """crc32 of the id's decimal text, modulo ``parts``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % parts

@@ -25,7 +25,7 @@ CELL_PIECES = 30_000
 """Pieces packed by one task, on average."""
 ROUNDS = 4
 """Most rounds in which cells without a certificate exchange documents."""
-WORDS_HELD = 200_000
+WORDS_HELD = 300_000
 """Entries a worker's word table may reach before it starts anew."""
 
 _BREAK = re.compile("[\x20\x09-\x0d]+")
