@@ -10,7 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from litquarry.llm.common import documents, text_or_empty
+from litquarry.llm.common import documents, known_id, text_or_empty
 from litquarry.llm.components import components
 from litquarry.llm.registry import query
 from litquarry.session import materialize
@@ -102,12 +102,12 @@ def _meet(frame: DataFrame, width: int) -> DataFrame:
 
 
 def near_components(prints: DataFrame) -> DataFrame:
-    """(fp, component_id): the smallest doc_id that each fingerprint reaches, from rows of (doc_id, fp)."""
+    """(fp, root, component_id): each fingerprint's component and the smallest doc_id in it, from rows of (doc_id, fp)."""
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     linked = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
     rooted = distinct.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(smallest, "root").select("fp", "component_id")
+    return rooted.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def simhash_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -134,23 +134,19 @@ def near_dedup(docs: DataFrame, words: int = WORDS) -> DataFrame:
     ids come last. All columns are kept, whatever their names. Rows without a word are one
     component, so one of them stays.
     """
-    fp, digest, row = "__simhash_fp", "__simhash_text", "__simhash_row"
-    marked = with_fingerprint(docs, fp, words).withColumn(digest, F.xxhash64(text_or_empty()))
-    prints = materialize(marked.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(fp).alias("fp"), F.col(digest).alias("digest")), "prints")
-    found = near_components(prints)
-    rank = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), "digest", "fp", "doc_id")
+    digest, known, row = "__simhash_text", "__simhash_id", "__simhash_row"
+    marked = docs.withColumn(digest, F.xxhash64(text_or_empty())).withColumn(known, known_id("doc_id"))
+    keyed = marked.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), "text")
+    prints = materialize(with_fingerprint(keyed, "fp", words).drop("text"), "prints")
     keep = (
-        prints.join(found, "fp").select(F.coalesce("component_id", "fp").alias("component"), F.col("component_id").isNull().alias("unnamed"), rank.alias("rank"))
-        .groupBy("component", "unnamed").agg(F.min("rank").alias("rank"))
-        .select(F.col("rank.doc_id").alias("__simhash_id"), F.col("rank.fp").alias(fp), F.col("rank.digest").alias(digest))
-    )
-    first = Window.partitionBy(fp, digest, "doc_id").orderBy("doc_id")
-    stays = marked.alias("d").join(
-        keep.alias("k"),
-        (F.col(f"d.{fp}") == F.col(f"k.{fp}")) & (F.col(f"d.{digest}") == F.col(f"k.{digest}")) & F.col("d.doc_id").eqNullSafe(F.col("k.__simhash_id")),
-        "left_semi",
+        prints.join(near_components(prints), "fp").groupBy("root")
+        .agg(F.min(F.struct("doc_id", "digest")).alias("first"))
+        .select(F.col("first.doc_id").alias(known), F.col("first.digest").alias(digest))
     )
-    return stays.withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1).drop(fp, digest, row)
+    keep = materialize(keep, "kept")
+    first = Window.partitionBy(known, digest).orderBy(digest)
+    once = marked.withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1)
+    return once.join(keep, [known, digest], "left_semi").drop(digest, known, row)
 
 
 @query()

@@ -90,6 +90,12 @@ def test_near_stage_keeps_one_of_a_group(docs):
     assert kept.count(3) == 1 and 4 not in kept and 5 not in kept  # texts without a word are one group
 
 
+def test_near_stage_tells_rows_without_an_id_apart(spark):
+    rows = [(None, "one two three four five"), (None, "six seven eight nine ten"), (None, "six seven eight nine ten"), (5, "alpha beta gamma delta")]
+    kept = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert sorted(r["text"] for r in kept) == sorted({t for _, t in rows})
+
+
 def test_line_stage(docs):
     kept = line_dedup.dedup_lines(docs).collect()
     by_id = [(r["doc_id"], r["text"]) for r in kept]
