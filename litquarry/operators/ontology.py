@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from litquarry.functions import fuzzy
 from litquarry.functions.text import clean_indication, strip
 from litquarry.operators.joins import apply_mapping, top_level_group
+from litquarry.session import materialize
 
 # The scoring code travels with the task, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(fuzzy)
@@ -91,16 +92,17 @@ def match_fuzzy(
 ) -> DataFrame:
     """Distinct texts with the best `match` scoring above the threshold; the earliest wins a tie.
 
-    ``levenshtein`` finds pairs by an index that misses none. ``wratio`` is the weighted ratio of
+    Candidates and scores, which are read several times, are written once. ``levenshtein`` finds pairs by an index that misses none. ``wratio`` is the weighted ratio of
     difflib; a shared letter pair is all that a score above the threshold implies, so no index
     spares comparisons: every text is compared with every candidate, in blocks. Use it for small
     vocabularies.
     """
     texts = indications.select(F.col(on)).filter(F.col(on) != "").distinct()
-    candidates = match_candidates(ontology)
+    candidates = materialize(match_candidates(ontology), "candidates")
     scored = {"wratio": _weighted_scores, "levenshtein": _levenshtein_scores}[method](
         texts, candidates.select("text", _place().alias("_place")), on, threshold
     )
+    scored = materialize(scored, "scored")
     top = scored.groupBy(F.col(on).alias("_on")).agg(F.max("score").alias("_top"))
     tied = scored.join(top, (F.col(on) == F.col("_on")) & (F.col("score") == F.col("_top")))
     first = tied.groupBy(on, "score").agg(F.min("_place").alias("_first"))

@@ -10,9 +10,9 @@ from litquarry.operators import joins
 FOLDER = "/root/testdata/sf0.001"
 WRITES = {name for name in queries if name.endswith("_files")} | {
     "incremental_ingest", "saved_answers", "corpus_build", "corpus_funnel", "training_set", "stratified_sample", "exported_order",
-    "section_per_file", "page_extraction", "generated_negatives",
+    "section_per_file", "page_extraction", "generated_negatives", "ontology_fuzzy_weighted",
 }
-PYTHON = {"extract_batch", "ontology_fuzzy_weighted"}
+PYTHON = {"extract_batch"}
 
 
 @pytest.mark.parametrize("name", sorted(set(queries) - WRITES))
