@@ -24,3 +24,12 @@ def test_pairs_in_one_band_are_found_whatever_its_leaders(spark):
     by_hash = {r["h1"]: r["norm"][:-1] for r in lines.collect()}
     links = [(by_hash[r["a"]], by_hash[r["b"]]) for r in line_dedup.similar_lines(docs, lines).collect() if r["a"] != r["b"]]
     assert {a for a, b in links} == {f[:-1] for f in firsts} and all(a == b for a, b in links)
+
+
+def test_short_lines_and_lines_without_spaces(spark):
+    draw = random.Random(2)
+    made = [words(draw, 3, 14) for _ in range(60)] + ["https://" + words(draw, 1, 40) for _ in range(60)]
+    made += [words(draw, 1, 45).translate({ord(c): ord(c) + 0x3d0 for c in string.ascii_lowercase}) for _ in range(60)]
+    found = line_dedup.decisions(table(spark, [t for m in made for t in (m, "#" + m[1:])])).collect()
+    gone = sorted(r["doc_id"] for r in found if r["n_dropped"])
+    assert all(i % 2 for i in gone) and len(gone) >= 0.97 * len(made)
