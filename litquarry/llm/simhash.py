@@ -1,4 +1,4 @@
-"""Near duplicates by SimHash, found through deletion-variant signatures."""
+"""Near duplicates by SimHash, found through deletion-variant signatures; the pipeline's stage by MinHash."""
 
 from __future__ import annotations
 
@@ -10,8 +10,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from litquarry.functions.binding import bind
+from litquarry.llm.alike import alike_links, sized
 from litquarry.llm.common import documents, known_id, text_or_empty
 from litquarry.llm.components import components
+from litquarry.llm.line_dedup import normalised
 from litquarry.llm.registry import query
 from litquarry.session import materialize
 
@@ -20,6 +23,14 @@ WORDS = 3
 DISTANCE = 3
 """Most differing bits of a link."""
 SEED = 42
+NEAR_WORDS = 5
+"""Words in a shingle of the pipeline's stage."""
+NEAR_SIMILARITY = 0.8
+"""Least Jaccard similarity of near copies."""
+NEAR_POINTS = 5
+"""Points of the hashes' circle; a document has one band before and one after each."""
+NEAR_BAND = 3
+"""Hashes that make a band."""
 
 _HASH = partial(xxhash.xxh64_intdigest, seed=SEED)
 _CHUNK = 1 << 15
@@ -30,18 +41,46 @@ def fingerprint(text: str, words: int = WORDS) -> int:
     found = text.encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return 0
-    joined = b" ".join(found)
     if len(found) <= words:
-        return int(np.uint64(_HASH(joined)).astype(np.int64))
+        return int(np.uint64(_HASH(b" ".join(found))).astype(np.int64))
+    total = np.zeros(64, np.int64)
+    for part in _shingle_hashes(found, words):
+        bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        total += bits.sum(axis=0, dtype=np.int32)
+    return int(np.packbits(2 * total > len(found) - words + 1).view(">i8")[0])
+
+
+def _shingle_hashes(found: list[bytes], words: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of ``words`` words, in parts; fewer words are one shingle."""
+    joined = b" ".join(found)
+    words = min(words, len(found))
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-    starts = (ends[:-words + 1] - np.fromiter(map(len, found[:len(found) - words + 1]), np.int64)).tolist()
+    starts = np.concatenate([[0], ends + 1])[:len(found) - words + 1].tolist()
     ends = ends[words - 1:].tolist()
-    total = np.zeros(64, np.int64)
     for low in range(0, len(starts), _CHUNK):
-        part = [_HASH(joined[a:b]) for a, b in zip(starts[low:low + _CHUNK], ends[low:low + _CHUNK])]
-        bits = np.unpackbits(np.array(part, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        total += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * total > len(starts)).view(">i8")[0])
+        yield np.array([_HASH(joined[a:b]) for a, b in zip(starts[low:low + _CHUNK], ends[low:low + _CHUNK])], np.uint64)
+
+
+def near_bands(norm: str, words: int = NEAR_WORDS) -> list[int]:
+    """The band keys of a normalised text: the hashes of its distinct shingles next to each point of their circle, on each side."""
+    found = norm.encode("utf-8", "surrogatepass").split(b" ")
+    hashes = np.unique(np.concatenate(list(_shingle_hashes(found, words))))
+    keys = []
+    for i in range(NEAR_POINTS):
+        above = int(np.searchsorted(hashes, np.uint64(i * ((1 << 64) // NEAR_POINTS))))
+        for places in (above + np.arange(NEAR_BAND), above - 1 - np.arange(NEAR_BAND)):
+            keys.append(_HASH(bytes([len(keys)]) + hashes[places % len(hashes)].tobytes()))
+    return np.array(keys, np.uint64).astype(np.int64).tolist()
+
+
+def word_shingles(norm: Column, words: int = NEAR_WORDS) -> Column:
+    """Hashes of the shingles of a normalised text, an array; fewer words are one shingle."""
+
+    def hashes(found: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(found) - words + 1))
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(found, i, F.lit(words))))
+
+    return bind(F.split(norm, " "), hashes)
 
 
 def with_fingerprint(docs: DataFrame, name: str, words: int = WORDS) -> DataFrame:
@@ -127,19 +166,41 @@ def simhash_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
 
 
-def near_dedup(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def near_dedup(docs: DataFrame, words: int = NEAR_WORDS) -> DataFrame:
     """The documents without near duplicates: of each component the row with the smallest doc_id stays.
 
-    Ties, such as repeated rows, go to the smaller digest of the text and then to any one row; null
-    ids come last. All columns are kept, whatever their names. Rows without a word are one
-    component, so one of them stays.
+    Documents are near duplicates at a Jaccard similarity of NEAR_SIMILARITY or more of their
+    distinct shingles of ``words`` words, in lower case with single spaces; MinHash bands propose
+    pairs and the shingles decide. Ties, such as repeated rows, go to the smaller digest of the
+    text and then to any one row; null ids come last. All columns are kept, whatever their names.
+    Rows without a word are one component, so one of them stays.
     """
-    digest, known, row = "__simhash_text", "__simhash_id", "__simhash_row"
+    digest, known, row = "__near_text", "__near_id", "__near_row"
     marked = docs.withColumn(digest, F.xxhash64(text_or_empty())).withColumn(known, known_id("doc_id"))
-    keyed = marked.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), "text")
-    prints = materialize(with_fingerprint(keyed, "fp", words).drop("text"), "prints")
+    norm = normalised(text_or_empty())
+
+    @F.pandas_udf("array<long>")
+    def signatures(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([near_bands(t, words) for t in texts])
+
+    keyed = marked.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), norm.alias("norm"))
+    prints = materialize(
+        keyed.select("doc_id", "digest", F.xxhash64("norm").alias("h1"), signatures("norm").alias("bands")), "prints"
+    )
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        place = F.struct("doc_id", "digest")
+        places = prints.join(sized(wanted), "h1").groupBy("h1").agg(F.min(place).alias("place"))
+        places = materialize(places.select("place.*").distinct(), "places")
+        held = marked.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), "text").join(sized(places), ["doc_id", "digest"])
+        texts = held.select(normalised(text_or_empty()).alias("norm"))
+        return texts.groupBy(F.xxhash64("norm").alias("h1")).agg(F.min("norm").alias("norm"))
+
+    banded = materialize(prints.select("h1", F.explode("bands").alias("band")).distinct(), "banded")
+    linked = materialize(components(alike_links(banded, texts_of, lambda t: word_shingles(t, words), NEAR_SIMILARITY)), "linked")
     keep = (
-        prints.join(near_components(prints), "fp").groupBy("root")
+        prints.join(sized(linked), F.col("h1") == F.col("node"), "left").groupBy(F.coalesce("root", "h1").alias("root"))
         .agg(F.min(F.struct("doc_id", "digest")).alias("first"))
         .select(F.col("first.doc_id").alias(known), F.col("first.digest").alias(digest))
     )

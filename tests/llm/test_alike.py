@@ -5,7 +5,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from litquarry.llm import line_dedup
+from litquarry.llm import line_dedup, simhash
 
 
 def words(draw, n, size):
@@ -33,3 +33,18 @@ def test_short_lines_and_lines_without_spaces(spark):
     found = line_dedup.decisions(table(spark, [t for m in made for t in (m, "#" + m[1:])])).collect()
     gone = sorted(r["doc_id"] for r in found if r["n_dropped"])
     assert all(i % 2 for i in gone) and len(gone) >= 0.97 * len(made)
+
+
+def test_near_stage_takes_copies_of_four_fifths(spark):
+    draw = random.Random(3)
+    made = [words(draw, 200, 6).split() for _ in range(40)]
+
+    def copy(text, places):
+        return [w + "#" if i in places else w for i, w in enumerate(text)]
+
+    near = [copy(t, {20, 60, 100, 140}) for t in made]  # 176 of 216 shingles
+    far = [copy(t, {20, 60, 100, 140, 180}) for t in ([w + "*" for w in t] for t in made)]
+    other = [[w + "*" for w in t] for t in made]  # 171 of 221 shingles with far
+    kept = simhash.near_dedup(table(spark, [" ".join(t) for t in made + near + other + far])).collect()
+    ids = {r["doc_id"] for r in kept}
+    assert ids >= set(range(40)) | set(range(80, 160)) and len(ids) <= 122
