@@ -17,8 +17,8 @@ REFERENCE_CHARS = 24_000
 """Lower-cased letters and spaces of labelled text per language that an automaton is built from."""
 SAMPLE_DOCS = 400
 """Labelled documents per language these are taken from, chosen by a hash of their id."""
-MAX_LANGUAGES = 64
-"""Languages learned: the most frequent labels."""
+GROUP_CELLS = 100_000_000
+"""Cells of a transition table, four bytes each: more languages than fit are parsed in groups, a table at a time."""
 BLOCK = 512
 """Characters parsed on their own: a phrase ends at the end of a block."""
 BATCH_BLOCKS = 4_096
@@ -27,6 +27,8 @@ SALTS = 256
 UNKNOWN = "und"
 
 Reference = tuple[tuple[str, str], ...]
+Machine = tuple[int, np.ndarray, np.ndarray, np.ndarray]
+"""States of an automaton, and of each transition the state, the character's code point and the next state."""
 _OTHER = regex.compile(r"\P{L}+")
 
 
@@ -43,21 +45,20 @@ class Automata:
     match; states are numbered across the references and ``roots`` has each one's root.
     """
 
-    def __init__(self, reference: Reference):
+    def __init__(self, reference: Reference, machines: list[Machine] | None = None):
+        machines = machines or [suffix_automaton([ord(c) for c in text]) for _, text in reference]
         self.languages = [name for name, _ in reference]
         self.alphabet = {c: i for i, c in enumerate(sorted(set("".join(t for _, t in reference))), 1)}
-        tables, self.roots, size = [], [], 0
-        for _, text in reference:
-            table = suffix_automaton([self.alphabet[c] for c in text], len(self.alphabet) + 1)
-            table[table >= 0] += size
-            self.roots.append(size)
-            tables.append(table)
-            size += len(table)
-        self.step = np.concatenate(tables)
-        self.flat = self.step.ravel()
         self.codes = np.zeros(0x110000, np.uint16)
         for c, i in self.alphabet.items():
             self.codes[ord(c)] = i
+        self.roots, size = [], 0
+        self.step = np.full((sum(m[0] for m in machines), len(self.alphabet) + 1), -1, np.int32)
+        for states, start, chars, end in machines:
+            self.step[start + size, self.codes[chars]] = end + size
+            self.roots.append(size)
+            size += states
+        self.flat = self.step.ravel()
 
     def phrases(self, blocks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of the greedy parse of each block, a row, by each language, a column.
@@ -93,9 +94,36 @@ class Automata:
         return found
 
 
-def suffix_automaton(text: list[int], width: int) -> np.ndarray:
-    """Transitions of the smallest automaton that reads the factors of ``text``; -1 where there is none."""
-    table = np.full((2 * len(text) + 2, width), -1, np.int32)
+class Languages:
+    """The automata of all languages, as transitions; iterated, the tables of one group of languages after another.
+
+    A character that no reference of a group has is one that each of them lacks, so a language's
+    phrases do not depend on its group.
+    """
+
+    def __init__(self, reference: Reference, cells: int = GROUP_CELLS):
+        self.languages = [name for name, _ in reference]
+        self.groups: list[list[tuple[tuple[str, str], Machine]]] = []
+        states, alphabet = 0, set()
+        for name, text in reference:
+            machine = suffix_automaton([ord(c) for c in text])
+            states, alphabet = states + machine[0], alphabet | set(text)
+            if not self.groups or states * (len(alphabet) + 1) > cells:
+                self.groups.append([])
+                states, alphabet = machine[0], set(text)
+            self.groups[-1].append(((name, text), machine))
+        self.only = self._table(self.groups[0]) if len(self.groups) == 1 else None
+
+    def _table(self, group: list[tuple[tuple[str, str], Machine]]) -> Automata:
+        return Automata(tuple(r for r, _ in group), [m for _, m in group])
+
+    def __iter__(self) -> Iterator[Automata]:
+        for group in self.groups:
+            yield self.only or self._table(group)
+
+
+def suffix_automaton(text: list[int]) -> Machine:
+    """The smallest automaton that reads the factors of ``text``."""
     link, longest = [-1], [0]
     step: list[dict[int, int]] = [{}]
     last = 0
@@ -122,17 +150,17 @@ def suffix_automaton(text: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    for state, edges in enumerate(step):
-        table[state, list(edges)] = list(edges.values())
-    return table[: len(step)].copy()
+    start = np.repeat(np.arange(len(step), dtype=np.int32), [len(edges) for edges in step])
+    chars = np.fromiter((c for edges in step for c in edges), np.int32, len(start))
+    return len(step), start, chars, np.fromiter((s for edges in step for s in edges.values()), np.int32, len(start))
 
 
-def automata(reference: Reference) -> Automata:
-    return worker_model(("automata", reference), lambda: Automata(reference))
+def automata(reference: Reference) -> Languages:
+    return worker_model(("automata", reference), lambda: Languages(reference))
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, chars: int = REFERENCE_CHARS) -> Reference:
-    """(language, reference text) of the labelled rows of ``docs``, the most frequent language first.
+    """(language, reference text) of every label of the rows of ``docs``, the most frequent language first.
 
     The reference is a bounded sample: the first ``chars`` letters of at most ``sample_docs``
     documents per language, in the order of a hash of the id, each giving an equal share or less.
@@ -145,8 +173,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, chars: int = REFERENC
     for key in (["lang", "salt"], ["lang"]):
         place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
         sample = sample.withColumn("place", place).filter(F.col("place") <= sample_docs)
-    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    rows = sample.join(frequent, "lang").select("count", "lang", "place", "text").collect()
+    rows = sample.join(labelled.groupBy("lang").count(), "lang").select("count", "lang", "place", "text").collect()
     texts: dict[str, str] = {}
     for _, lang, _, text in sorted(rows, key=lambda r: (-r["count"], r["lang"], r["place"])):
         have = texts.get(lang, "")
@@ -155,7 +182,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, chars: int = REFERENC
     return tuple((lang, text) for lang, text in texts.items() if text.strip())
 
 
-def scores(texts: list[str], model: Automata) -> tuple[list[str], list[float]]:
+def scores(texts: list[str], model: Languages) -> tuple[list[str], list[float]]:
     """Language and score of each text: the fewest phrases win, ties go to the more frequent language."""
     joined = [letters(t) for t in texts]
     owner, lengths = [], []
@@ -164,15 +191,19 @@ def scores(texts: list[str], model: Automata) -> tuple[list[str], list[float]]:
             owner.append(i)
             lengths.append(min(BLOCK, len(text) - low))
     total = np.zeros((len(texts), len(model.languages)), np.int64)
-    codes = model.codes[code_points("".join(joined))]
+    points = code_points("".join(joined))
     owners, sizes = np.asarray(owner, np.int64), np.asarray(lengths, np.int64)
     ends = np.cumsum(sizes)
-    for low in range(0, len(owners), BATCH_BLOCKS):
-        part = sizes[low:low + BATCH_BLOCKS]
-        grid = np.zeros((len(part), BLOCK), np.uint16)
-        inside = np.arange(BLOCK) < part[:, None]
-        grid[inside] = codes[(ends[low] - part[0]):ends[low + len(part) - 1]]
-        np.add.at(total, owners[low:low + len(part)], model.phrases(grid, part))
+    first = 0
+    for table in model:
+        codes, counts = table.codes[points], total[:, first:first + len(table.languages)]
+        for low in range(0, len(owners), BATCH_BLOCKS):
+            part = sizes[low:low + BATCH_BLOCKS]
+            grid = np.zeros((len(part), BLOCK), np.uint16)
+            inside = np.arange(BLOCK) < part[:, None]
+            grid[inside] = codes[(ends[low] - part[0]):ends[low + len(part) - 1]]
+            np.add.at(counts, owners[low:low + len(part)], table.phrases(grid, part))
+        first += len(table.languages)
     names, values = [], []
     for text, phrases in zip(joined, total.tolist()):
         if not text or not phrases:
