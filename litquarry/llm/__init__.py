@@ -6,5 +6,5 @@ say it, the SQL. Nothing else in the library imports this subpackage.
 
 from litquarry.llm.registry import oracles, queries  # noqa: F401
 from litquarry.llm import (  # noqa: F401
-    decontamination, exact_dedup, language, line_dedup, packing, quality_classifier, quality_rules, secrets, sentencepieces, sharding, simhash, vector_codes,
+    decontamination, exact_dedup, language, line_dedup, packing, prefix_trie, quality_classifier, quality_rules, secrets, sentencepieces, sharding, simhash, vector_codes,
 )
