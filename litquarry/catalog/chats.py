@@ -12,7 +12,8 @@ from litquarry.functions.templates import (
     CANCER_PHRASES, EXTRACTION_PROMPT, GENERAL_PHRASES, GENERAL_TOPICS, NEGATIVE_PROMPT,
 )
 from litquarry.operators import chat, synthesis
-from litquarry.plans.training import build_training_set, negative_examples
+from litquarry.plans.training import build_training_set, fill_negatives, negative_examples
+from litquarry.session import scratch_path
 
 PROMPT_SQL = f"replace({quoted(EXTRACTION_PROMPT)}, '[[[abstract]]]', abstract)"
 
@@ -242,3 +243,17 @@ def generated_negatives(spark, folder):
         return f"\nA text of {len(prompt)} characters "
 
     return negative_examples(plan(spark, folder), write)
+
+
+@query(f"""WITH {PROMPTS} SELECT id, 'A text of ' || length(prompt) || ' characters' AS abstract, disease, genes FROM prompts
+  WHERE NOT contains(topic, 'anvil') ORDER BY md5('123:' || id), id LIMIT (SELECT count(*) // 2 FROM documents)""")
+def filled_negatives(spark, folder):
+    """Exactly half as many examples as there are ids, whatever topics the stand-in fails on."""
+
+    def write(prompt):
+        if "anvil" in prompt:
+            raise ValueError("refused")
+        return f"A text of {len(prompt)} characters"
+
+    ids = s.table(spark, folder, "documents").select(F.col("doc_id").alias("id"))
+    return fill_negatives(ids, topics(spark, folder), write, ids.count() // 2, scratch_path(spark, "negatives"))

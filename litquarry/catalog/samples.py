@@ -92,11 +92,8 @@ def corpora(spark, folder):
     return real, synthetic
 
 
-MIXED = """real_rows AS (SELECT 'real:' || doc_id AS key, 'real' AS origin, text FROM documents
-  ORDER BY md5('123:real:' || doc_id), key LIMIT 8000),
-synthetic_rows AS (SELECT 'synthetic:' || item_id AS key, 'synthetic' AS origin, text FROM benchmark
-  ORDER BY md5('123:synthetic:' || item_id), key LIMIT 4000),
-mixed AS (SELECT * FROM real_rows UNION ALL SELECT * FROM synthetic_rows)"""
+MIXED = """mixed AS (SELECT 'real:' || doc_id AS key, 'real' AS origin, text FROM documents
+  UNION ALL SELECT 'synthetic:' || item_id, 'synthetic', text FROM benchmark)"""
 
 
 @query(f"""WITH {MIXED} SELECT key, origin, text, row_number() OVER (ORDER BY md5('9:' || key), key) AS position

@@ -8,8 +8,9 @@ from litquarry.catalog import stand_ins as s
 from litquarry.catalog.registry import query
 from litquarry.functions import answers, text
 from litquarry.functions.templates import EXTRACTION_PROMPT
-from litquarry.operators import extraction, filters
+from litquarry.operators import answer_store, extraction, filters
 from litquarry.plans.extraction import extract_from_pages
+from litquarry.session import scratch_path
 
 HEADER = "[A-Z][a-z]+[.] "
 
@@ -78,6 +79,34 @@ def split_across_pages(spark, folder):
     return extraction.split_at_headers(pages, "text", HEADER, across_pages=True, doc="doc", page="page")
 
 
+PAGE_CHARS = 40
+
+
+@query(f'WITH {PIECES} SELECT doc_id, piece_no, "Abstract" FROM pieces')
+def split_at_cut_headers(spark, folder):
+    """Documents cut to pages of a few characters, so that headers are cut at every place."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.lit(PAGE_CHARS))
+    cut = F.posexplode(F.transform(starts, lambda at: F.substr("text", at, F.lit(PAGE_CHARS))))
+    pages = documents(spark, folder).select("doc_id", cut.alias("page", "text"))
+    return extraction.split_at_headers(pages, "text", HEADER, across_pages=True, page="page", between="")
+
+
+@query(f"""WITH shown AS (SELECT doc_id // 5 AS doc, CASE WHEN doc_id % 3 > 0 THEN (doc_id % 5) // 2 END AS page, text FROM documents
+    UNION ALL SELECT doc_id // 5, CASE WHEN doc_id % 3 > 0 THEN (doc_id % 5) // 2 END, text FROM documents WHERE doc_id % 7 = 0),
+  known AS (SELECT * FROM shown QUALIFY count(DISTINCT text) OVER (PARTITION BY doc, page) = 1),
+  joined AS (SELECT doc, string_agg(text, chr(10) ORDER BY page NULLS FIRST) AS text FROM known GROUP BY 1),
+  cut AS (SELECT doc, string_split(regexp_replace(text, '({HEADER})', chr(57344) || '\\1', 'g'), chr(57344))[2:] AS pieces FROM joined)
+  SELECT doc, unnest(range(len(pieces)))::INT AS piece_no, trim(unnest(pieces), {TRIM}) AS "Abstract" FROM cut""")
+def split_across_repeated_pages(spark, folder):
+    """Pages without a number come first, and a page that is there twice counts twice."""
+    number = F.when(F.col("doc_id") % 3 > 0, F.floor(F.col("doc_id") % 5 / 2))
+    shown = documents(spark, folder).select(F.floor(F.col("doc_id") / 5).alias("doc"), number.alias("page"), "text", "doc_id")
+    shown = shown.unionByName(shown.filter("doc_id % 7 = 0")).drop("doc_id")
+    alone = shown.groupBy("doc", "page").agg(F.count_distinct("text").alias("n")).filter("n = 1")
+    pages = shown.alias("s").join(alone.alias("a"), F.expr("s.doc = a.doc and s.page <=> a.page"), "left_semi")
+    return extraction.split_at_headers(pages, "text", HEADER, across_pages=True, doc="doc", page="page")
+
+
 @query(f"""SELECT doc_id, trim(chr(160) || text || chr(9), {TRIM}) AS stripped,
   array_to_string(string_split(text, chr(10)), ' ') AS joined FROM documents""")
 def strip_and_join(spark, folder):
@@ -191,6 +220,22 @@ def extract_batch(spark, folder):
     return extraction.extract_batch(documents(spark, folder), model(), "text").select("doc_id", "response")
 
 
+@query("""SELECT doc_id, CASE WHEN contains(text, '@') OR length(text) % 2 = 1 THEN 'second ' ELSE 'first ' END || length(text) AS response
+  FROM documents""")
+def resumed_answers(spark, folder):
+    """A run in which many calls fail, and one that goes on from its answers and asks for the others only."""
+
+    def flaky(prompt):
+        if "@" in prompt or len(prompt) % 2:
+            raise ConnectionError("no answer")
+        return f"first {len(prompt)}"
+
+    store, prompts = scratch_path(spark, "answer_store"), documents(spark, folder)
+    answer_store.ask_missing(prompts, flaky, store, "text", per_round=300)
+    found = answer_store.resume_answers(prompts, lambda prompt: f"second {len(prompt)}", store, "text", per_round=300)
+    return found.select("doc_id", "response")
+
+
 @query(f"""WITH {PIECES} SELECT "Abstract" AS abstract, 'n/a' AS "Disease",
   '"' || (length("Abstract") + {len('Text: ')}) || '"' AS "Genes" FROM pieces WHERE NOT contains("Abstract", '@')""")
 def page_extraction(spark, folder):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from litquarry.functions.text import SESSION_HEADER, render_prompt
+from litquarry.operators.answer_store import resume_answers
 from litquarry.operators.extraction import extract_batch, parse_responses, rejected_responses, split_at_headers
 from litquarry.session import materialize
 
@@ -17,16 +18,14 @@ def answer_pages(
 ) -> DataFrame:
     """Abstracts of the pages with the caller's answer to their prompt, as a written table.
 
-    Each prompt is asked once, whatever is done with the result. ``saved`` names where the
-    answers are kept; an intermediate table holds them otherwise.
+    Each prompt is asked once, whatever is done with the result. ``saved`` names an append-only
+    table of answers that outlives the run: prompts it has are not asked again, so a lost run
+    goes on where it stopped, and failed calls are repeated by the next run.
     """
     abstracts = split_at_headers(pages, text, header, across_pages=across_pages)
     prompted = abstracts.withColumn("prompt", render_prompt(template, "Abstract"))
-    answers = extract_batch(prompted, fn).drop("prompt")
-    if saved is None:
-        return materialize(answers, "answers")
-    answers.write.mode("overwrite").parquet(saved)
-    return pages.sparkSession.read.schema(answers.schema).parquet(saved)
+    answers = extract_batch(prompted, fn) if saved is None else resume_answers(prompted, fn, saved)
+    return materialize(answers.drop("prompt"), "answers")
 
 
 def extract_and_reject(answers: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,8 +11,11 @@ from litquarry.operators.chat import build_chat, repair_chat
 from litquarry.operators.extraction import QUERY_ERROR, extract_batch
 from litquarry.operators.filters import drop_blank
 from litquarry.operators.sampling import SEED, TRAIN_SHARE, mix_corpora, number_copies, train_val_split
-from litquarry.operators.synthesis import render_negative_prompt
-from litquarry.session import materialize
+from litquarry.operators.synthesis import plan_negatives, render_negative_prompt
+from litquarry.session import materialize, saved_table
+
+PATIENCE = 5
+"""Rounds without any new example after which filling up stops."""
 
 
 def negative_examples(plan: DataFrame, fn: Callable[[str], str], key: str = "id") -> DataFrame:
@@ -27,6 +30,30 @@ def negative_examples(plan: DataFrame, fn: Callable[[str], str], key: str = "id"
     )
 
 
+def fill_negatives(
+    ids: DataFrame, topics: DataFrame, fn: Callable[[str], str], n: int, store: str, key: str = "id", seed: int | str = SEED,
+    patience: int = PATIENCE, **planned,
+) -> DataFrame:
+    """Negative examples appended to the table at ``store`` until it holds ``n`` of them.
+
+    Each round plans exactly the missing number of untried ids, in seeded order, asks for them and
+    appends those that succeeded; the next round replaces the others by further ids. It ends at the
+    target, when the ids run out, or after ``patience`` rounds in a row that brought nothing. A
+    run that is lost goes on from the saved rounds and tries failed ids again.
+    """
+    spark = ids.sparkSession
+    schema = f"`{key}` {ids.schema[key].dataType.simpleString()}, abstract string, disease string, genes string"
+    untried = materialize(ids.select(key).distinct().join(saved_table(spark, store, schema), key, "left_anti"), "untried")
+    have, idle = saved_table(spark, store, schema).count(), 0
+    while have < n and idle < patience and not untried.isEmpty():
+        plan = materialize(plan_negatives(untried, topics, n=n - have, key=key, seed=seed, **planned), "plan")
+        negative_examples(plan, fn, key).write.mode("append").parquet(store)
+        now = saved_table(spark, store, schema).count()
+        have, idle = now, 0 if now > have else idle + 1
+        untried = materialize(untried.join(plan, key, "left_anti"), "untried")
+    return saved_table(spark, store, schema)
+
+
 def keyed_examples(df: DataFrame, disease: str, gene: str, origin: str, key: str | None = None) -> DataFrame:
     """Examples with an abstract: key, origin, abstract, disease_name, gene.
 

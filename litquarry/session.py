@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 @cache
@@ -77,3 +77,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def saved_table(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """The rows saved at a path so far; none where nothing has been written yet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)

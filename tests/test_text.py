@@ -173,3 +173,44 @@ def test_failed_answers_keep_their_row(spark):
     assert rows(extraction.extract_batch(df, fn)) == [
         (1, "ok", "fine"), (2, "bad", "Error querying model"), (None, None, "Error querying model"),
     ]
+
+
+def test_headers_cut_by_page_ends(spark):
+    """Random pages of a document against the pieces of its joined text."""
+    import random
+    import re
+
+    from litquarry.operators.extraction import pieces_across_pages
+
+    draw = random.Random(1)
+    header = r"\d{3,}\s+(?:Poster|Oral) Session"
+    pages, expected = [], {}
+    for doc in range(60):
+        bits = ["123 Poster Session", "4567  Oral Session", " a ", "12 Poster", "Session", "x\n", "é", "99", "  ", "￿"]
+        whole = "".join(draw.choice(bits[:9 if doc % 5 else 10]) for _ in range(draw.randint(0, 25)))
+        between = "\n" if doc % 2 else ""
+        cut, at = [], 0
+        while at < len(whole) or not cut:
+            size = draw.choice([0, 1, 3, 8, 30])
+            cut.append(whole[at:at + size])
+            at += size
+        pages += [(between, doc, None if i == 0 else i, t if t or draw.random() < 0.5 else None) for i, t in enumerate(cut)]
+        joined = between.join(cut)
+        starts = [m.start() for m in re.finditer(header, joined)] + [len(joined)]
+        expected |= {(doc, i): joined[a:b].strip() for i, (a, b) in enumerate(zip(starts, starts[1:]))}
+    found = {}
+    for between in ("", "\n"):
+        part = spark.createDataFrame([p[1:] for p in pages if p[0] == between], "doc_id long, page_no long, text string").repartition(3)
+        found |= {(r["doc_id"], r["piece_no"]): r["Abstract"] for r in pieces_across_pages(part, header=header, between=between, header_chars=40).collect()}
+    assert found == expected
+
+
+def test_repeated_and_unnumbered_pages(spark):
+    from litquarry.operators.extraction import split_at_headers
+
+    pages = [("d", 0, "1234 Poster Session a"), ("d", 1, "more a"), ("d", 1, "more a"), ("d", None, "intro 111 Poster Session first"), (None, None, "222 Poster Session n")]
+    df = spark.createDataFrame(pages, "doc_id string, page_no long, text string").repartition(3)
+    assert sorted(map(tuple, split_at_headers(df, across_pages=True).collect()), key=repr) == sorted([
+        ("d", 0, "111 Poster Session first"), ("d", 1, "1234 Poster Session a\nmore a\nmore a"), (None, 0, "222 Poster Session n"),
+    ], key=repr)
+    assert split_at_headers(df.limit(0), across_pages=True).collect() == []
