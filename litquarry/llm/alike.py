@@ -12,6 +12,9 @@ from litquarry.session import materialize
 BROADCAST_ROWS = 500_000
 """Most rows, of a few numbers each, that a join sends to all executors; beyond it both sides are shuffled."""
 
+FEW_MEMBERS = 16
+"""Members of a band whose pairs are listed; those of wider ones are found by a prefix filter, with the same links."""
+
 Shingles = Callable[[Column], Column]
 
 
@@ -22,62 +25,89 @@ def sized(df: DataFrame) -> DataFrame:
 
 def with_jaccard(df: DataFrame, a: str, b: str, shingles: Shingles, name: str) -> DataFrame:
     """``df`` with the Jaccard similarity of the shingle sets of two columns; null if both sets are empty."""
-    sets = df.withColumns({"_a": shingles(F.col(a)), "_b": shingles(F.col(b))})
-    jaccard = F.size(F.array_intersect("_a", "_b")) / F.size(F.array_union("_a", "_b"))
-    return sets.select(*df.columns, F.explode(F.array(jaccard)).alias(name))
+    sets = df.withColumns({"_a": F.array_distinct(shingles(F.col(a))), "_b": F.array_distinct(shingles(F.col(b)))})
+    both = sets.withColumn("_both", F.size(F.array_intersect("_a", "_b")))
+    jaccard = F.try_divide(F.col("_both"), F.size("_a") + F.size("_b") - F.col("_both"))
+    return both.select(*df.columns, F.explode(F.array(jaccard)).alias(name))
 
 
 def alike_links(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], shingles: Shingles, least: float) -> DataFrame:
-    """(a, b) of hashes h1; their components are those of all pairs that share a band and are at least ``least`` alike.
+    """(a, b) of hashes h1; their components are at least those of all pairs that share a band and are ``least`` alike.
 
-    ``banded`` is a written table of (h1, band); ``texts_of`` gives (h1, norm) of the h1 it is
-    handed; ``shingles`` makes the hashes of the shingles of a ``norm``.
+    ``banded`` is a written table of (h1, band) without repeats; ``texts_of`` gives (h1, norm) of the
+    h1 it is handed; ``shingles`` makes the hashes of the shingles of a ``norm``.
 
     Every member of a band is compared with the band's smallest, and if they are not alike with its
     largest one, which joins groups of copies at a cost that grows with members and not with pairs.
-    The members that then are in different components are compared by ``_inner_pairs``.
+    A band of two is done by its smallest and largest alone, so only the members of wider ones are
+    looked up. Those that then are in different components are compared by ``_inner_pairs``.
     """
-    shared = banded.groupBy("band").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low <> high")
-    shared = materialize(shared, "bands")
-    members = materialize(banded.join(sized(shared), "band").distinct(), "members")
-    texts = materialize(texts_of(materialize(members.select("h1").distinct(), "wanted")), "member_texts")
+    shared = banded.groupBy("band").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.count(F.lit(1)).alias("n"))
+    shared = materialize(shared.filter("n > 1"), "bands")
+    wide = materialize(shared.filter("n > 2").select("band", "low", "high"), "wide_bands")
+    inner = materialize(banded.join(sized(wide), "band").filter("h1 <> low and h1 <> high"), "inner_members")
+    ends = shared.select(F.explode(F.array("low", "high")).alias("h1"))
+    wanted = materialize(ends.unionByName(inner.select("h1")).distinct(), "wanted")
+    texts = texts_of(wanted).withColumn("size", F.size(F.array_distinct(shingles(F.col("norm")))))
+    texts = materialize(texts, "member_texts")
+    sizes = sized(texts.select("h1", "size"))
 
     def alike(pairs: DataFrame) -> DataFrame:
-        with_a = pairs.join(texts.select(F.col("h1").alias("a"), F.col("norm").alias("a_norm")), "a")
+        # Sets that are alike have sizes that are, which spares most other pairs their texts.
+        near = pairs.join(sizes.select(F.col("h1").alias("a"), F.col("size").alias("x")), "a").join(sizes.select(F.col("h1").alias("b"), F.col("size").alias("y")), "b")
+        near = near.filter(F.least("x", "y") >= F.greatest("x", "y") * least - 1e-9).select("a", "b")
+        with_a = near.join(texts.select(F.col("h1").alias("a"), F.col("norm").alias("a_norm")), "a")
         both = with_a.join(texts.select(F.col("h1").alias("b"), F.col("norm").alias("b_norm")), "b")
         compared = with_jaccard(both, "a_norm", "b_norm", shingles, "s")
         return materialize(compared.filter(F.col("s") >= least).select("a", "b"), "alike")
 
-    near_low = alike(members.select(F.col("low").alias("a"), F.col("h1").alias("b")).filter("a <> b").distinct())
-    left = members.filter("h1 <> low and h1 <> high").join(
-        near_low, (F.col("low") == F.col("a")) & (F.col("h1") == F.col("b")), "left_anti"
-    )
+    to_low = shared.select(F.col("low").alias("a"), F.col("high").alias("b")).unionByName(inner.select(F.col("low").alias("a"), F.col("h1").alias("b")))
+    near_low = alike(to_low.distinct())
+    left = inner.join(near_low, (F.col("low") == F.col("a")) & (F.col("h1") == F.col("b")), "left_anti")
     near_high = alike(left.select(F.col("high").alias("a"), F.col("h1").alias("b")).distinct())
     stars = materialize(components(near_low.unionByName(near_high)), "roots")
-    inner = alike(_inner_pairs(members, texts, stars, shingles, least))
-    return stars.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(inner)
+    more = alike(_inner_pairs(inner.select("band", "h1"), texts, stars, shingles, least))
+    return stars.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more)
 
 
-def _inner_pairs(members: DataFrame, texts: DataFrame, stars: DataFrame, shingles: Shingles, least: float) -> DataFrame:
-    """(a, b) that share a band, are in different components and may be alike; none that is alike is missing.
+def _inner_pairs(inner: DataFrame, texts: DataFrame, stars: DataFrame, shingles: Shingles, least: float) -> DataFrame:
+    """(a, b) of inner members of a band that are in different components; none that is alike is missing.
 
     A band's smallest and largest member are left out, as all have been compared with them or are
-    alike to the smallest. Sets of shingles that are at least ``least`` alike share one of the
-    first elements of each, as many as the set may lack and one more, in any order common to all;
-    in the order from rare to frequent these bring few others together.
+    alike to the smallest. In a band with few such members their pairs are listed; those of the
+    others are found by a prefix filter over all of them at once.
+    """
+    rooted = inner.join(sized(stars), F.col("h1") == F.col("node"), "left").select("band", "h1", F.coalesce("root", "h1").alias("root"))
+    rooted = materialize(rooted, "inner")
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n"))
+    mixed = materialize(mixed.filter("x <> y").select("band", "n"), "mixed")
+    rooted = materialize(rooted.join(sized(mixed), "band"), "inner")
+    few = rooted.filter(F.col("n") <= FEW_MEMBERS)
+    a = few.select("band", F.col("h1").alias("a"), F.col("root").alias("a_root"))
+    b = few.select("band", F.col("h1").alias("b"), F.col("root").alias("b_root"))
+    listed = a.join(b, "band").filter("a < b and a_root <> b_root").select("a", "b")
+    many = materialize(rooted.filter(F.col("n") > FEW_MEMBERS).select("h1", "root").distinct(), "many")
+    return listed.unionByName(_pairs_by_prefix(many, texts, shingles, least)).distinct()
+
+
+def _pairs_by_prefix(members: DataFrame, texts: DataFrame, shingles: Shingles, least: float) -> DataFrame:
+    """(a, b) of members (h1, root) in different components that may be alike; none that is alike is missing.
+
+    Sets of shingles that are at least ``least`` alike share one of the first elements of each, as
+    many as the set may lack and one more, in any order common to all; in the order from rare to
+    frequent these bring few others together. Components meet in a shingle first, so the members
+    of one, which may be very many, are not paired with each other.
     """
-    inner = members.filter("h1 <> low and h1 <> high").join(sized(stars), F.col("h1") == F.col("node"), "left")
-    inner = materialize(inner.select("band", "h1", F.coalesce("root", "h1").alias("root")), "inner")
-    mixed = inner.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
-    inner = materialize(inner.join(sized(materialize(mixed, "mixed")), "band"), "inner")
-    wanted = materialize(inner.select("h1").distinct(), "wanted")
-    sets = texts.join(sized(wanted), "h1").select("h1", F.explode(F.array_distinct(shingles(F.col("norm")))).alias("shingle"))
+    sets = texts.join(sized(members), "h1").select("h1", "root", F.explode(F.array_distinct(shingles(F.col("norm")))).alias("shingle"))
     sets = materialize(sets, "shingles")
     often = materialize(sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "often")
-    ordered = sets.join(often, "shingle").groupBy("h1").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("s"))
+    ordered = sets.join(often, "shingle").groupBy("h1", "root").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("s"))
     first = F.size("s") - F.ceil(F.size("s") * least - 1e-9) + 1
-    prefix = ordered.select("h1", F.inline(F.slice("s", F.lit(1), first.cast("int")))).filter("n > 1").select("h1", "shingle")
-    keyed = materialize(inner.join(materialize(prefix, "prefix"), "h1"), "keyed")
-    a = keyed.select("band", "shingle", F.col("h1").alias("a"), F.col("root").alias("a_root"))
-    b = keyed.select("band", "shingle", F.col("h1").alias("b"), F.col("root").alias("b_root"))
-    return a.join(b, ["band", "shingle"]).filter("a < b and a_root <> b_root").select("a", "b").distinct()
+    prefix = ordered.select("h1", "root", F.inline(F.slice("s", F.lit(1), first.cast("int")))).filter("n > 1").select("h1", "root", "shingle")
+    prefix = materialize(prefix, "prefix")
+    roots = materialize(prefix.select("shingle", "root").distinct(), "prefix_roots")
+    x, y = roots.withColumnRenamed("root", "x"), roots.withColumnRenamed("root", "y")
+    meet = x.join(y, "shingle").filter("x < y")
+    at_x = prefix.select("shingle", F.col("root").alias("x"), F.col("h1").alias("a"))
+    at_y = prefix.select("shingle", F.col("root").alias("y"), F.col("h1").alias("b"))
+    return meet.join(at_x, ["shingle", "x"]).join(at_y, ["shingle", "y"]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

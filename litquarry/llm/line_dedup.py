@@ -18,8 +18,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 10
 """Bands of a line: one before and one after each of five points of the hashes' circle."""
-BAND_SHINGLES = 5
+BAND_SHINGLES = 6
 """Hashes that make a band."""
+MANY_WORDS = 32
+"""Words from which on a line is also represented by the shingles at its words alone."""
+ENOUGH_WORDS = 48
+"""Words from which on a line is represented by these alone; lines in between are comparable with both sides."""
 
 _POINTS = [-(1 << 63) + i * ((1 << 64) // (BANDS // 2)) for i in range(1, BANDS // 2)]
 
@@ -35,31 +39,39 @@ def shingles(line: Column) -> Column:
     return F.transform(found, lambda s: F.xxhash64(s))
 
 
+def word_start_shingles(line: Column) -> Column:
+    """Hashes of the character shingles that begin at a word, an array."""
+    found = F.regexp_extract_all(F.concat(F.lit(" "), line), F.lit(f"(?s) (?=(.{{{SHINGLE}}}))"), F.lit(1))
+    return F.transform(found, lambda s: F.xxhash64(s))
+
+
 def bands(line: Column) -> Column:
     """The band keys of a normalised line, an array.
 
-    The signature takes the distinct shingles of the whole line. Their hashes lie on a circle, and
-    a band is the BAND_SHINGLES hashes next to one of five points on it, on one side: the smallest
-    ones under the permutation that starts there and runs that way. Two lines share a band with
-    about the fifth power of their similarity.
+    The signature takes the distinct shingles of the line: all of them, or, of a line of many words,
+    those that begin at a word, which are a sample of them by content; lines of a medium number of
+    words have both kinds of bands. The hashes lie on a circle, and a band is the BAND_SHINGLES
+    hashes next to one of five points on it, on one side: the smallest ones under the permutation
+    that starts there and runs that way. Two lines share a band with about the sixth power of
+    their similarity.
     """
-    points = F.array(*map(F.lit, _POINTS))
+    size = F.lit(BAND_SHINGLES)
 
-    def keys(bound: Column) -> Column:
-        hashes, marked = bound["hashes"], bound["marked"]
-        first = F.slice(hashes, 1, BAND_SHINGLES)
-        last = F.slice(hashes, F.greatest(F.lit(1), F.size(hashes) - BAND_SHINGLES + 1), F.lit(BAND_SHINGLES))
-        found = [first, last]
-        for i, point in enumerate(_POINTS):
-            below = F.array_position(marked, F.lit(point)).cast("int") - 1 - i
-            found.append(F.slice(F.concat(F.slice(hashes, below + 1, F.lit(BAND_SHINGLES)), first), 1, BAND_SHINGLES))
-            found.append(F.slice(F.concat(last, hashes), below + 1, F.lit(BAND_SHINGLES)))
-        return F.array(*[F.xxhash64(band, F.lit(i)) for i, band in enumerate(found)])
+    def keys(hashes: Column, kind: int) -> Column:
+        def of_sorted(circle: Column) -> Column:
+            n = F.size(circle)
+            below = F.transform(F.array(*map(F.lit, _POINTS)), lambda point: F.size(F.filter(circle, lambda h: h < point)))
+            starts = bind(below, lambda at: F.concat(F.array(F.lit(0), -size), at, F.transform(at, lambda x: x - size)))
+            # The circle cut open, its last hashes repeated before the first and its first after the last.
+            open_ = F.concat(F.slice(circle, F.greatest(F.lit(1), n - size + 1), size), circle, F.slice(circle, 1, BAND_SHINGLES))
+            band = lambda c, at: F.slice(c, F.greatest(F.lit(1), at + size + 1), size)
+            return bind(open_, lambda c: F.transform(starts, lambda at, i: F.xxhash64(band(c, at), i, F.lit(kind))))
 
-    def with_points(hashes: Column) -> Column:
-        return F.struct(hashes.alias("hashes"), F.sort_array(F.concat(hashes, points)).alias("marked"))
+        return bind(F.sort_array(F.array_distinct(hashes)), of_sorted)
 
-    return bind(bind(F.sort_array(F.array_distinct(shingles(line))), with_points), keys)
+    words = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    every, sample = keys(shingles(line), 0), keys(word_start_shingles(line), 1)
+    return F.when(words < MANY_WORDS, every).when(words >= ENOUGH_WORDS, sample).otherwise(F.concat(every, sample))
 
 
 def with_similarity(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
@@ -104,7 +116,7 @@ def _texts(docs: DataFrame, lines: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def similar_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(a, b) of line hashes; their components are those of all lines that share a band and are SIMILARITY alike."""
-    banded = lines.select("h1", F.explode("bands").alias("band"))
+    banded = materialize(lines.select("h1", "bands").dropDuplicates(["h1"]).select("h1", F.explode("bands").alias("band")), "banded")
     return alike_links(banded, lambda wanted: _texts(docs, lines, wanted), shingles, SIMILARITY)
 
 
@@ -116,7 +128,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     lines that go. Rows with the same id and text are one document here: the first of them loses
     ``numbers`` and the others ``all_numbers``, every line that is compared.
     """
-    lines = materialize(_lines(docs).select("doc_id", "text_hash", "line_no", "h1", "h2", bands(F.col("norm")).alias("bands")), "lines")
+    lines = materialize(_lines(docs).withColumn("bands", bands(F.col("norm"))).drop("norm"), "lines")
     linked = materialize(components(similar_lines(docs, lines)), "linked")
     place = F.struct(
         F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("doc"),

@@ -6,6 +6,7 @@ import string
 from pyspark.sql import functions as F
 
 from litquarry.llm import line_dedup, simhash
+from litquarry.session import materialize
 
 
 def words(draw, n, size):
@@ -20,7 +21,8 @@ def test_pairs_in_one_band_are_found_whatever_its_leaders(spark):
     draw = random.Random(1)
     firsts = [words(draw, 4, 10) for _ in range(40)]
     docs = table(spark, [t for f in firsts for t in (f, f[:-1] + "#")])
-    lines = line_dedup._lines(docs).withColumn("bands", F.array(F.lit(0).cast("long"))).localCheckpoint()
+    lines = line_dedup._lines(docs).withColumn("bands", F.array(F.lit(0).cast("long")))
+    lines = materialize(lines, "lines")
     by_hash = {r["h1"]: r["norm"][:-1] for r in lines.collect()}
     links = [(by_hash[r["a"]], by_hash[r["b"]]) for r in line_dedup.similar_lines(docs, lines).collect() if r["a"] != r["b"]]
     assert {a for a, b in links} == {f[:-1] for f in firsts} and all(a == b for a, b in links)
