@@ -86,8 +86,12 @@ def _inner_pairs(inner: DataFrame, texts: DataFrame, stars: DataFrame, shingles:
     a = few.select("band", F.col("h1").alias("a"), F.col("root").alias("a_root"))
     b = few.select("band", F.col("h1").alias("b"), F.col("root").alias("b_root"))
     listed = a.join(b, "band").filter("a < b and a_root <> b_root").select("a", "b")
-    many = materialize(rooted.filter(F.col("n") > FEW_MEMBERS).select("h1", "root").distinct(), "many")
-    return listed.unionByName(_pairs_by_prefix(many, texts, shingles, least)).distinct()
+    wide = rooted.filter(F.col("n") > FEW_MEMBERS)
+    many = materialize(wide.select("h1", "root").distinct(), "many")
+    found = _pairs_by_prefix(many, texts, shingles, least).distinct()
+    of_a, of_b = wide.select("band", F.col("h1").alias("a")), wide.select("band", F.col("h1").alias("b"))
+    together = found.join(of_a, "a").join(of_b, ["band", "b"]).select("a", "b")
+    return listed.unionByName(together).distinct()
 
 
 def _pairs_by_prefix(members: DataFrame, texts: DataFrame, shingles: Shingles, least: float) -> DataFrame:
