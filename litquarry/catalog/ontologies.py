@@ -178,6 +178,45 @@ def ontology_fuzzy_weighted(spark, folder):
     return found.select("cleaned", "score", "match.matched_name", "match.code")
 
 
+TOKEN_SCORES = """names AS (SELECT p_name, min(p_partkey) AS ordinal FROM part GROUP BY p_name),
+  words AS (SELECT *, string_split(p_name, ' ')[1] AS first, string_split(p_name, ' ')[2] AS second FROM names),
+  texts AS (SELECT DISTINCT unnest([second || ' ' || first || 's', first || ' ' || second || ' tumour', second || ' none']) AS cleaned FROM words),
+  tokens AS (SELECT t, list_sort(list_distinct(string_split(t, ' '))) AS words, array_to_string(list_sort(string_split(t, ' ')), ' ') AS sorted
+    FROM (SELECT cleaned AS t FROM texts UNION SELECT p_name FROM names)),
+  pairs AS (SELECT cleaned, p_name, ordinal, a.words AS a, b.words AS b, a.sorted AS x, b.sorted AS y
+    FROM texts, names, tokens AS a, tokens AS b WHERE a.t = cleaned AND b.t = p_name),
+  scored AS (SELECT cleaned, p_name, ordinal, greatest(
+      200.0::DOUBLE * length(array_to_string(list_intersect(a, b), '')) / (length(array_to_string(a, '')) + length(array_to_string(b, ''))),
+      100.0::DOUBLE * (1.0::DOUBLE - levenshtein(x, y)::DOUBLE / greatest(length(x), length(y)))) AS score FROM pairs)"""
+
+
+def token_texts(spark, folder):
+    """Names with their words in another order and misspelt, with another word, and with one word only; and all names."""
+    names = s.table(spark, folder, "part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("ordinal"))
+    tumors = names.select("ordinal", "name", F.concat(F.lit("C"), "ordinal").alias("code"), F.lit(None).cast("string").alias("mainType"))
+    words = F.split("name", " ")
+    texts = F.array(
+        F.concat(words[1], F.lit(" "), words[0], F.lit("s")), F.concat("name", F.lit(" tumour")), F.concat(words[1], F.lit(" none"))
+    )
+    return names.select(F.explode(texts).alias("cleaned")), tumors
+
+
+@query(f"""WITH {TOKEN_SCORES} SELECT cleaned, score, p_name AS matched_name, 'C' || ordinal AS code FROM scored WHERE score > 70
+  QUALIFY row_number() OVER (PARTITION BY cleaned ORDER BY score DESC, ordinal) = 1""")
+def ontology_fuzzy_tokens(spark, folder):
+    """Matches by words in any order, in columns only."""
+    found = ontology.match_fuzzy(*token_texts(spark, folder), threshold=70, method="tokens")
+    return found.select("cleaned", "score", "match.matched_name", "match.code")
+
+
+@query(f"""WITH {TOKEN_SCORES} SELECT cleaned, CAST(row_number() OVER (PARTITION BY cleaned ORDER BY score DESC, ordinal) AS INTEGER) AS rank,
+  score, p_name AS matched_name FROM scored WHERE score > 50 QUALIFY rank <= 5""")
+def ontology_five_best(spark, folder):
+    """The five best candidates of each text, ties in the order of the ontology."""
+    found = ontology.best_candidates(*token_texts(spark, folder), k=5, threshold=50, method="tokens")
+    return found.select("cleaned", "rank", "score", "match.matched_name")
+
+
 @query(f'WITH {NEAR} SELECT "Disease", matched_name, code, "mainType" FROM mapping')
 def map_indications(spark, folder):
     return mapping(spark, folder)

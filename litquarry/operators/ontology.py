@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from litquarry.functions import fuzzy
 from litquarry.functions.text import clean_indication, strip
+from litquarry.operators import token_match
 from litquarry.operators.joins import apply_mapping, top_level_group
 from litquarry.session import materialize
 
@@ -92,23 +93,43 @@ def match_fuzzy(
 ) -> DataFrame:
     """Distinct texts with the best `match` scoring above the threshold; the earliest wins a tie.
 
-    Candidates and scores, which are read several times, are written once. ``levenshtein`` finds pairs by an index that misses none. ``wratio`` is the weighted ratio of
+    Candidates and scores, which are read several times, are written once. ``levenshtein`` finds pairs by an index that misses none. ``tokens`` is for
+    texts whose words are in another order or come with others: the better of the token-set score
+    and of Levenshtein between the sorted words, each by an index that misses none. ``wratio`` is the weighted ratio of
     difflib; a shared letter pair is all that a score above the threshold implies, so no index
     spares comparisons: every text is compared with every candidate, in blocks. Use it for small
     vocabularies.
     """
-    texts = indications.select(F.col(on)).filter(F.col(on) != "").distinct()
-    candidates = materialize(match_candidates(ontology), "candidates")
-    scored = {"wratio": _weighted_scores, "levenshtein": _levenshtein_scores}[method](
-        texts, candidates.select("text", _place().alias("_place")), on, threshold
-    )
-    scored = materialize(scored, "scored")
+    scored, candidates = _scored(indications, ontology, on, threshold, method)
     top = scored.groupBy(F.col(on).alias("_on")).agg(F.max("score").alias("_top"))
     tied = scored.join(top, (F.col(on) == F.col("_on")) & (F.col("score") == F.col("_top")))
     first = tied.groupBy(on, "score").agg(F.min("_place").alias("_first"))
     return first.join(candidates, F.col("_first") == _place()).select(on, "score", "match")
 
 
+def best_candidates(
+    indications: DataFrame, ontology: DataFrame, on: str = "cleaned", k: int = 5, threshold: int = THRESHOLD, method: str = "levenshtein"
+) -> DataFrame:
+    """The ``k`` best candidates of each distinct text above the threshold: text, rank from 1, score, match.
+
+    Ties go to the earlier candidate. Only k rows of a text leave a task, however many score.
+    """
+    scored, candidates = _scored(indications, ontology, on, threshold, method)
+    order = Window.partitionBy(on).orderBy(F.col("score").desc(), "_place")
+    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    matches = candidates.select(_place().alias("_candidate"), "match")
+    return ranked.join(matches, F.col("_place") == F.col("_candidate")).select(on, "rank", "score", "match")
+
+
+def _scored(indications: DataFrame, ontology: DataFrame, on: str, threshold: int, method: str) -> tuple[DataFrame, DataFrame]:
+    """(text, score, _place) of the pairs above the threshold, and the candidates; both written."""
+    texts = indications.select(F.col(on)).filter(F.col(on) != "").distinct()
+    candidates = materialize(match_candidates(ontology), "candidates")
+    scores = {"wratio": _weighted_scores, "levenshtein": _levenshtein_scores, "tokens": _token_scores}[method]
+    scored = scores(texts, candidates.select("text", _place().alias("_place")), on, threshold)
+    return materialize(scored, "scored"), candidates
+
+
 def normal_form(text: Column) -> Column:
     """A candidate as indications are cleaned: lower case, without special characters."""
     return strip(F.lower(F.regexp_replace(text, r"(?U)[^a-zA-Z0-9\s\x1c-\x1f]", "")))
@@ -170,6 +191,18 @@ def _levenshtein_scores(texts: DataFrame, candidates: DataFrame, on: str, thresh
     return scored.join(names, "_name").select(on, "score", "_place")
 
 
+def _token_scores(texts: DataFrame, candidates: DataFrame, on: str, threshold: int) -> DataFrame:
+    """Text, score and place of all pairs whose words are alike as a set or, sorted, by Levenshtein."""
+    named = candidates.select(normal_form(F.col("text")).alias("_name"), "_place").filter(F.col("_name") != "")
+    sets = token_match.token_set_pairs(texts.select(F.col(on).alias("text")), named.select(F.col("_name").alias("name")), threshold)
+    of_sets = sets.join(named, F.col("name") == F.col("_name")).select(F.col("text").alias(on), "score", "_place")
+    ordered = materialize(texts.select(on, token_match.in_order(F.col(on)).alias("_ordered")), "ordered_texts")
+    names = named.select(token_match.in_order(F.col("_name")).alias("text"), "_place")
+    edits = _levenshtein_scores(ordered.select("_ordered").filter("_ordered <> ''").distinct(), names, "_ordered", threshold)
+    of_edits = edits.join(ordered, "_ordered").select(on, "score", "_place")
+    return of_sets.unionByName(of_edits).groupBy(on, "_place").agg(F.max("score").alias("score"))
+
+
 def _weighted_scores(texts: DataFrame, candidates: DataFrame, on: str, threshold: int) -> DataFrame:
     """Text, score and place of each text's best candidate in each block of candidates."""
     n_texts = F.greatest(F.lit(1), F.ceil(texts.agg(F.count(F.lit(1))).scalar() / BLOCK))

@@ -193,3 +193,51 @@ def test_gene_mart(spark, tumors):
     assert rows(tables["main_types"]) == [("Breast Cancer",), ("Melanoma",), (None,)]
     assert tables["rows"].count() == 5
     assert not any(re.search("levenshtein|from_json|try_variant", plan_of(table)) for table in tables.values())
+
+
+@pytest.mark.parametrize("threshold", [50, 70, 90])
+def test_token_matches_equal_brute_force(spark, threshold):
+    import random
+
+    draw = random.Random(threshold)
+    vocabulary = ["carcinoma", "cell", "small", "lung", "of", "non", "adeno", "b", "lymphoma", "large"]
+    make = lambda: " ".join(draw.choice(vocabulary) for _ in range(draw.randint(1, 5)))
+    names = sorted({make() for _ in range(60)})
+    texts = [make() for _ in range(80)] + [make() + "x" for _ in range(40)] + ["", " ", "unknown"]
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    def score(a, b):
+        x, y = set(a.split()), set(b.split())
+        shared = 200 * sum(map(len, x & y)) / (sum(map(len, x)) + sum(map(len, y)))
+        a, b = " ".join(sorted(a.split())), " ".join(sorted(b.split()))
+        return max(shared, 100 * (1 - edits(a, b) / max(len(a), len(b))))
+
+    expected = {}
+    for text in {t for t in texts if t.split()}:
+        above = sorted((-score(text, n), i) for i, n in enumerate(names) if score(text, n) > threshold)
+        expected |= {(text, rank): (names[i], pytest.approx(-s)) for rank, (s, i) in enumerate(above[:5], 1)}
+    df = spark.createDataFrame([(t,) for t in texts], "cleaned string")
+    found = ontology.best_candidates(df, as_ontology(spark, names), threshold=threshold, method="tokens").collect()
+    assert {(r["cleaned"], r["rank"]): (r["match"]["matched_name"], r["score"]) for r in found} == expected
+    best = ontology.match_fuzzy(df, as_ontology(spark, names), threshold=threshold, method="tokens").collect()
+    assert {(r["cleaned"], 1): (r["match"]["matched_name"], r["score"]) for r in best} == {k: v for k, v in expected.items() if k[1] == 1}
+
+
+def test_token_pairs_meet_in_rare_words_only(spark):
+    from conftest import plan_of
+
+    from litquarry.operators import token_match
+
+    names = spark.createDataFrame([(f"kind{i} tumour",) for i in range(300)], "name string")
+    texts = spark.createDataFrame([(f"tumour kind{i}",) for i in range(300)], "text string")
+    pairs = token_match.token_set_pairs(texts, names, 80)
+    plan = plan_of(pairs)
+    assert pairs.count() == 300 and not any(n in plan for n in ("EvalPython", "InPandas", "NestedLoop", "Cartesian"))
