@@ -226,11 +226,22 @@ def extraction_files(spark, folder):
 
 @query(f'WITH {ontologies.TUMORS} SELECT row_number() OVER (ORDER BY ordinal) - 1 AS ordinal, name, code, "mainType" FROM tumors')
 def ontology_files(spark, folder):
-    """The ontology as one JSON array document; the position in it is kept."""
+    """The ontology as JSON array documents in order, read in parts; the position is kept."""
     path = scratch_path(spark, "ontology")
-    types = ontologies.tumor_types(spark, folder).orderBy("ordinal").coalesce(1)
+    types = ontologies.tumor_types(spark, folder).orderBy("ordinal")
     sinks.write_json_array(types.select(*schemas.TUMOR_TYPES.names), path)
-    return tables.read_ontology(spark, path)
+    return tables.read_ontology(spark, path, layout="lines")
+
+
+@query(f'WITH {ontologies.TUMORS} SELECT row_number() OVER (ORDER BY ordinal) - 1 AS ordinal, name, code, "mainType" FROM tumors')
+def indented_array_files(spark, folder):
+    """The ontology as indented JSON arrays of fifty elements, cut between their elements wherever a block begins."""
+    path, row = scratch_path(spark, "ontology"), F.struct(*schemas.TUMOR_TYPES.names)
+    types = ontologies.tumor_types(spark, folder).withColumn("part", F.lpad(F.floor(F.col("ordinal") / 50), 9, "0"))
+    texts = types.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("ordinal", F.to_json(row, {"ignoreNullFields": "false"}).alias("text")))).alias("all"))
+    texts = texts.select("part", F.array_join(F.transform("all", lambda x: F.regexp_replace(x["text"], r"^\{|\}$", "")), "\n  },\n  {\n    ").alias("body"))
+    texts.select("part", F.concat(F.lit("[\n  {\n    "), "body", F.lit("\n  }\n]"))).write.partitionBy("part").text(path)
+    return tables.read_ontology(spark, path, layout=2)
 
 
 @query("""SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag IN ('A', 'R')""")

@@ -105,21 +105,63 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_extractions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Extraction results from JSON arrays, or with ``lines`` from JSON lines, which Spark can split."""
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str, layout: str | int) -> DataFrame:
+    """`position`, from 0, and `element`, a struct, of JSON arrays of objects that are laid out for splitting.
+
+    ``layout`` is ``"lines"`` for arrays with one element on a line, as ``write_json_array`` makes them, or the
+    number of spaces of an indented document, whose elements are the objects at the first indent. No
+    JSON text has a line break in a string, so both kinds of separators are certain, and Spark
+    reads one file by many tasks. An element that is not exactly one JSON object is an error;
+    documents of any other layout are read as a whole by ``read_extractions`` and ``read_ontology``.
+    Positions go on from one document to the next, in the order of their names.
+    """
+    if layout == "lines":
+        rows = spark.read.text(path)
+        element = F.regexp_replace(F.regexp_replace("value", r"^\s*\[?\s*", ""), r"\s*[,\]]?\s*$", "")
+        kept = element != ""
+    else:
+        pad = " " * int(layout)
+        rows = spark.read.text(path, lineSep=f"\n{pad}}},\n{pad}{{")
+        body = F.regexp_replace("value", r"^\s*\[\s*\{|\}\s*\]\s*$", "")
+        element = F.concat(F.lit("{"), body, F.lit("}"))
+        kept = ~F.col("value").rlike(r"^\s*(\[\s*\]\s*)?$")
+    placed = rows.filter(kept).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"), element.alias("_text"),
+    )
+    wrong = F.raise_error(F.concat(F.lit("no JSON object: "), F.left("_text", F.lit(200))))
+    checked = F.when(is_json_object(F.col("_text")), F.from_json("_text", schema, STRICT_JSON)).otherwise(wrong)
+    parts = placed.groupBy("_file", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("_file", "_start", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    position = F.col("_before") + F.col("_at") - F.col("_first")
+    return placed.join(parts, ["_file", "_start"]).select(position.alias("position"), checked.alias("element"))
+
+
+def read_extractions(spark: SparkSession, path: str, lines: bool = False, layout: str | int | None = None) -> DataFrame:
+    """Extraction results from JSON arrays, or with ``lines`` from JSON lines.
+
+    Spark splits JSON lines, and arrays whose ``layout`` is told; an array of any layout is read by one task.
+    """
+    if layout is not None:
+        return read_json_array(spark, path, schemas.EXTRACTIONS, layout).select("element.*")
     return spark.read.schema(schemas.EXTRACTIONS).json(path, multiLine=not lines)
 
 
-def read_ontology(spark: SparkSession, path: str) -> DataFrame:
+def read_ontology(spark: SparkSession, path: str, layout: str | int | None = None) -> DataFrame:
     """Tumour types of a JSON array document, with their position in it, from 0, as `ordinal`.
 
-    Several documents count in the order of their names, each from a number of its own on.
+    A document whose ``layout`` is told, see ``read_json_array``, is read by many tasks. Several documents
+    count in the order of their names: with a layout on from one to the next, else each from a number of its own on.
     """
+    names = schemas.TUMOR_TYPES.names
+    if layout is not None:
+        return read_json_array(spark, path, schemas.TUMOR_TYPES, layout).select(F.col("position").alias("ordinal"), "element.*")
     rows = spark.read.schema(schemas.TUMOR_TYPES).json(path, multiLine=True).select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_at"), *schemas.TUMOR_TYPES.names,
+        F.monotonically_increasing_id().alias("_at"), *names,
     )
-    return _placed(rows).select(F.col("_position").alias("ordinal"), *schemas.TUMOR_TYPES.names)
+    return _placed(rows).select(F.col("_position").alias("ordinal"), *names)
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -221,3 +221,37 @@ def test_answers_are_saved_and_not_asked_again(spark, tmp_path):
     assert rows(got) == [(1, "p1", "P1"), (2, "p2", "P2"), (3, "p3", "Error querying model")]
     with open(log) as file:
         assert sorted(file.read().split()) == ["p1", "p2", "p3"]
+
+
+@pytest.mark.parametrize("layout, written", [("lines", None), (4, 4), (1, 1)])
+def test_one_array_is_read_by_many_tasks(spark, tmp_path, layout, written):
+    import json
+
+    rows = [{"name": f"n}},\n{{ {i}]" if i % 7 == 0 else f"n{i}", "code": ["x", None][i % 2], "mainType": "m [a, b],"} for i in range(500)]
+    path = tmp_path / "array.json"
+    if written:
+        path.write_text(json.dumps(rows, indent=written))
+    else:
+        path.write_text("[" + ",\n".join(map(json.dumps, rows)) + "]\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        parts = tables.read_json_array(spark, str(path), "name string, code string, mainType string", layout)
+        assert parts.rdd.getNumPartitions() > 5
+        found = tables.read_ontology(spark, str(path), layout).orderBy("ordinal").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r["ordinal"] for r in found] == list(range(500))
+    assert [r.asDict() for r in found] == [{"ordinal": i, **r} for i, r in enumerate(rows)]
+
+
+@pytest.mark.parametrize("layout, text, n", [("lines", "[]", 0), (4, "[]", 0), ("lines", '[\n{"name": "a"}\n]', 1), (4, '[\n    {\n        "name": "a"\n    }\n]', 1)])
+def test_small_arrays(spark, tmp_path, layout, text, n):
+    (tmp_path / "array.json").write_text(text)
+    assert tables.read_ontology(spark, str(tmp_path / "array.json"), layout).count() == n
+
+
+def test_an_element_that_is_no_object_is_an_error(spark, tmp_path):
+    (tmp_path / "array.json").write_text('[{"name": "a"},\n{"name": }]')
+    with pytest.raises(Exception, match="no JSON object"):
+        tables.read_ontology(spark, str(tmp_path / "array.json"), "lines").collect()
