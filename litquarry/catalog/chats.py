@@ -12,8 +12,10 @@ from litquarry.functions.templates import (
     CANCER_PHRASES, EXTRACTION_PROMPT, GENERAL_PHRASES, GENERAL_TOPICS, NEGATIVE_PROMPT,
 )
 from litquarry.operators import chat, synthesis
-from litquarry.plans.training import build_training_set, fill_negatives, negative_examples
+from litquarry.plans.training import build_training_set, fill_negatives, negative_examples, repair_in_place
 from litquarry.session import scratch_path
+from litquarry.sources.sinks import write_chat_lines
+from litquarry.sources.tables import read_chat_lines
 
 PROMPT_SQL = f"replace({quoted(EXTRACTION_PROMPT)}, '[[[abstract]]]', abstract)"
 
@@ -131,6 +133,16 @@ def repair_counts(spark, folder):
     return outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("samples"))
 
 
+@query(f"WITH {REPAIRED} SELECT status, count(*) AS samples FROM state WHERE status = 'kept' GROUP BY status")
+def replaced_chat_files(spark, folder):
+    """Chat files replaced by their repaired form: what is read back needs no more repair."""
+    path = scratch_path(spark, "chat")
+    write_chat_lines(tool_samples(spark, folder), path, "doc_id")
+    repair_in_place(spark, path)
+    outcomes = chat.repair_outcomes(read_chat_lines(spark, path), "raw")
+    return outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("samples"))
+
+
 ARGUMENTS = """samples AS (SELECT event_id, event_type, CASE event_type
     WHEN 'view' THEN '{"b": 1.0, "a": [' || user_id || ', 2e5, NaN]}' WHEN 'click' THEN '{"a": 1, "a": ' || user_id || '}'
     WHEN 'purchase' THEN ' {"n": 12345678901234567890123456789012345678901234567890}' || chr(10)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from litquarry.functions.text import null_to_na, strip
 from litquarry.operators.chat import build_chat, repair_chat
@@ -13,6 +13,8 @@ from litquarry.operators.filters import drop_blank
 from litquarry.operators.sampling import SEED, TRAIN_SHARE, mix_corpora, number_copies, train_val_split
 from litquarry.operators.synthesis import plan_negatives, render_negative_prompt
 from litquarry.session import materialize, saved_table
+from litquarry.sources.sinks import replace_lines, write_chat_lines
+from litquarry.sources.tables import read_chat_lines
 
 PATIENCE = 5
 """Rounds without any new example after which filling up stops."""
@@ -96,3 +98,16 @@ def build_training_set(
     mixed = materialize(mix_corpora(real, synthetic, n_real, n_synth, "key", seed), "mixed")
     split = train_val_split(mixed, "key", frac, f"{seed}:split")
     return repair_chat(build_chat(split, template), "key", seed).select("key", "origin", "messages", "split")
+
+
+def repair_in_place(spark: SparkSession, path: str, seed: int | str = SEED) -> int:
+    """Replace the chat lines at ``path`` by those that are kept, repaired; returns how many these are.
+
+    Calls get their ids from the line's digest. The repaired samples are written before the files
+    they come from are touched.
+    """
+    samples = read_chat_lines(spark, path).withColumn("line_digest", F.sha2("raw", 256)).drop("raw")
+    kept = materialize(repair_chat(samples, "line_digest", seed), "repaired")
+    rows = kept.count()
+    replace_lines(spark, path, lambda new: write_chat_lines(kept, new, "line_digest", seed=seed), rows)
+    return rows

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from litquarry.functions.answers import chat_line
 from litquarry.functions.hashing import seeded_hash
@@ -41,6 +42,31 @@ def write_chat_lines(
     _shuffled_lines(df, key, seed, [], messages).write.mode(mode).text(path)
 
 
+def replace_lines(spark: SparkSession, path: str, write: Callable[[str], None], rows: int) -> None:
+    """Put what ``write`` writes in the place of the text folder or file at ``path``, as a whole.
+
+    The new lines go to a folder beside it and must be ``rows`` many before anything is renamed. The
+    old ones keep a name of their own until the new ones are in place, and come back if they cannot
+    be put there; if writing or counting fails, the path is as it was.
+    """
+    mark = uuid.uuid4().hex
+    new, old, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.new-{mark}", f"{path}.old-{mark}", path))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        write(new.toString())
+        found = spark.read.text(new.toString()).count()
+        if found != rows:
+            raise ValueError(f"{found} lines were written instead of {rows}; {path} is left as it was")
+        if not files.rename(place, old):
+            raise OSError(f"cannot rename {path}")
+        if not files.rename(new, place):
+            files.rename(old, place)
+            raise OSError(f"cannot put {new} in the place of {path}")
+    finally:
+        files.delete(new, True)
+    files.delete(old, True)
+
+
 def export_splits(
     df: DataFrame, path: str, key: str = "key", messages: str = "messages", split: str = "split", seed: int | str = SEED
 ) -> None:

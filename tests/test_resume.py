@@ -115,3 +115,28 @@ def test_filling_up_stops_without_progress(spark, tmp_path):
 
     assert fill_negatives(spark.range(1_000), topics, down, 10, store, patience=2).count() == 0
     assert len(asked(log)) == 20
+
+
+def test_a_failing_replacement_leaves_the_files(spark, tmp_path):
+    from litquarry.plans.training import repair_in_place
+    from litquarry.sources.sinks import replace_lines
+
+    lines = ['{"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]}', "no json"]
+    path = str(tmp_path / "chat.jsonl")
+
+    def write(new, texts=lines):
+        spark.createDataFrame([(t,) for t in texts], "value string").write.text(new)
+
+    write(path)
+    with pytest.raises(ValueError, match="1 lines"):
+        replace_lines(spark, path, lambda new: write(new, lines[:1]), 2)
+
+    def fails(new):
+        write(new)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        replace_lines(spark, path, fails, 2)
+    assert sorted(r["value"] for r in spark.read.text(path).collect()) == sorted(lines)
+    assert repair_in_place(spark, path) == 1 and spark.read.text(path).count() == 1
+    assert [p.name for p in tmp_path.iterdir() if p.name.startswith("chat")] == ["chat.jsonl"]
