@@ -9,8 +9,7 @@ from litquarry.catalog.registry import query
 from litquarry.catalog.texts import clean_sql
 from litquarry.operators import extraction, filters, joins, ontology, rollups
 from litquarry.plans import mart
-
-
+from litquarry.session import materialize
 
 
 def tumor_types(spark, folder):
@@ -254,6 +253,20 @@ def count_matrix(spark, folder):
     return rollups.count_matrix(filters.valid_gene(gene_table(spark, folder)), values=MAIN_TYPES)
 
 
+@query("""WITH cells AS (SELECT l_suppkey, l_partkey, count(*) AS n FROM lineitem GROUP BY ALL),
+  columns AS (SELECT l_partkey, row_number() OVER (ORDER BY md5(':' || l_partkey), l_partkey) - 1 AS place
+    FROM (SELECT DISTINCT l_partkey FROM lineitem))
+  SELECT l_suppkey, place // 64 AS block, string_agg((place % 64) || ':' || n, ',' ORDER BY place) AS cells
+  FROM cells JOIN columns USING (l_partkey) GROUP BY 1, 2""")
+def blocked_matrix(spark, folder):
+    """A matrix of suppliers and parts, with more columns than a pivot should have, in blocks of 64."""
+    lines = s.table(spark, folder, "lineitem").select("l_suppkey", "l_partkey")
+    columns = materialize(rollups.matrix_columns(lines, "l_partkey", 64), "matrix_columns")
+    found = rollups.blocked_matrix(lines, columns, "l_suppkey", "l_partkey")
+    cells = F.zip_with("positions", "counts", lambda p, n: F.concat_ws(":", p.cast("string"), n.cast("string")))
+    return found.select("l_suppkey", "block", F.array_join(cells, ",").alias("cells"))
+
+
 @query(f"""WITH {MART} SELECT "Main_Type", count(*) AS total, count(DISTINCT "Abstract_Number") AS abstracts
   FROM with_gene WHERE "Main_Type" IS NOT NULL GROUP BY "Main_Type" """)
 def type_totals(spark, folder):

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from litquarry.operators.filters import valid_gene
+from litquarry.operators.sampling import global_rank
+
+BLOCK_COLUMNS = 1_000
+"""Columns of a block of the blocked matrix."""
 
 
 def joined_labels(value: Column | str, sep: str = ", ") -> Column:
@@ -64,6 +68,29 @@ def count_matrix(
     return pivoted.agg(F.count(F.lit(1))).na.fill(0)
 
 
+def matrix_columns(df: DataFrame, col: str = "Main_Type", width: int = BLOCK_COLUMNS) -> DataFrame:
+    """Each column of the blocked matrix: value, block and position in it, both from 0, in the order of the value's digest."""
+    values = df.filter(F.col(col).isNotNull()).select(col).distinct()
+    place = F.col("_number") - 1
+    numbered = global_rank(values, col, None, "_number")
+    return numbered.select(col, F.floor(place / width).alias("block"), (place % width).cast("int").alias("position"))
+
+
+def blocked_matrix(
+    df: DataFrame, columns: DataFrame, row: str = "Genes", col: str = "Main_Type"
+) -> DataFrame:
+    """The count matrix for any number of columns: row, block, positions and counts of the cells that are not zero.
+
+    ``columns`` are those of ``matrix_columns``. A pivot makes one column of each value and stops at
+    Spark's limit of them; here a row of the result holds the cells of one block of columns,
+    sorted by position, so none is longer than a block is wide. Rows with a null in ``row`` or ``col``
+    are left out, as from the pivot.
+    """
+    cells = gene_counts(df, row, col).join(columns, col)
+    sparse = cells.groupBy(row, "block").agg(F.array_sort(F.collect_list(F.struct("position", "count"))).alias("_cells"))
+    return sparse.select(row, "block", F.col("_cells.position").alias("positions"), F.col("_cells.count").alias("counts"))
+
+
 def type_totals(counts: DataFrame, col: str = "Main_Type", distinct_on: str | None = None) -> DataFrame:
     """Gene rows per main type; with ``distinct_on``, distinct values of that column instead."""
     kept = counts.filter(F.col(col).isNotNull())

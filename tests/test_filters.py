@@ -109,3 +109,22 @@ def test_count_matrix_and_long_form(spark):
 def test_funnel_counts_in_one_row(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "a int")
     assert rows(rollups.funnel(df, big=F.col("a") > 1, missing=F.col("a").isNull())) == [(3, 1, 1)]
+
+
+def test_blocked_matrix_equals_the_pivot_and_has_no_column_limit(spark):
+    few = spark.createDataFrame([("g", "a"), ("g", "a"), ("g", "b"), ("h", "c"), (None, "a"), ("h", None)], "Genes string, Main_Type string")
+    columns = rollups.matrix_columns(few, width=2)
+    names = {(r["block"], r["position"]): r["Main_Type"] for r in columns.collect()}
+    assert sorted(names) == [(0, 0), (0, 1), (1, 0)]
+    cells = {
+        (r["Genes"], names[r["block"], p]): n
+        for r in rollups.blocked_matrix(few, columns).collect() for p, n in zip(r["positions"], r["counts"])
+    }
+    pivot = {(r["Genes"], t): r[t] for r in rollups.count_matrix(few).collect() for t in "abc" if r[t]}
+    assert cells == pivot == {("g", "a"): 2, ("g", "b"): 1, ("h", "c"): 1}
+
+    many = spark.range(20_000).selectExpr("concat('g', id % 3) AS Genes", "concat('t', id) AS Main_Type")
+    found = rollups.blocked_matrix(many, rollups.matrix_columns(many)).collect()
+    assert sum(map(sum, (r["counts"] for r in found))) == 20_000 and len(found) == 60
+    assert all(list(r["positions"]) == sorted(set(r["positions"])) and r["positions"][-1] < 1_000 for r in found)
+    assert rollups.blocked_matrix(few.limit(0), columns).collect() == []
