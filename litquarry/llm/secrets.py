@@ -274,6 +274,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every span replaced by ``mark``; overlapping spans are replaced as one.
 
     All rows and columns are kept; a text without a span, null texts included, stays as it is.
+    n_chars, where there is one, follows a text that changes.
     """
     field = train(docs)
 
@@ -282,7 +283,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         for texts in batches:
             yield pd.Series([None if t is None else replace(t, scan(t, field)[1], mark) for t in texts], dtype="object")
 
-    return docs.withColumn("text", redacted(F.col("text")))
+    name = next(n for n in ("redacted" + "_" * i for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+    out = docs.withColumn(name, redacted(F.col("text")))
+    if "n_chars" in docs.columns:
+        length = F.length(name).cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col(name).eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(length))
+    return out.withColumn("text", F.col(name)).drop(name)
 
 
 def replace(text: str, spans: list[tuple[int, int, str]], mark: str) -> str:

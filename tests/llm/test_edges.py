@@ -105,7 +105,9 @@ def test_line_stage(docs):
 
 
 def test_redaction_keeps_rows(docs):
-    kept = {str(r["doc_id"]) + str(r["text"])[:3]: r["text"] for r in secrets.redact(docs).collect()}
+    rows = secrets.redact(docs.withColumn("redacted", F.lit(1))).collect()
+    kept = {str(r["doc_id"]) + str(r["text"])[:3]: r["text"] for r in rows}
+    assert [r["n_chars"] for r in rows if r["doc_id"] == 9] == [len(kept["9<|e"])] and [r["n_chars"] for r in rows if r["doc_id"] == 6] == [7]
     assert kept["9<|e"] == "<|endoftext|> [SECRET] [SECRET]"
     assert "abcdefghijkl0123" not in kept["Noneder"]
     assert kept["3Non"] is None and kept["4"] == ""
