@@ -263,6 +263,24 @@ def incremental_ingest(spark, folder):
     return found
 
 
+@query("""SELECT 4 AS files, count(*) AS rows_in, count(*) FILTER (l_linestatus = 'F' AND l_returnflag IN ('A', 'R')) AS rows_kept
+  FROM lineitem""")
+def ingest_totals(spark, folder):
+    """Files and rows of two runs of an ingest: two files of line items in each, one file a batch."""
+    src, out, checkpoint, totals = (scratch_path(spark, n) for n in ("arrivals", "ingested", "progress", "totals"))
+    lines = s.table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("pmid"), F.col("l_returnflag").alias("type"), F.col("l_linestatus").alias("section")
+    )
+    wanted = lambda matches: filters.literature_filter(matches, s.SECTION, (s.DISEASE, s.GENE), columns=["pmid", "type"])
+    for run in range(2):
+        for part in (2 * run, 2 * run + 1):
+            sinks.write_table(lines.filter(F.pmod(F.xxhash64("pmid"), F.lit(4)) == part).coalesce(1), f"{src}/{part}.parquet")
+        ingest.ingest_new_files(
+            spark, f"{src}/*.parquet", out, checkpoint, lines.schema, files_per_batch=1, transform=wanted, totals=totals
+        )
+    return ingest.ingest_totals(spark, totals)
+
+
 @query("""SELECT doc_id, CASE WHEN contains(text, '@') THEN 'Error querying model'
   ELSE '{"Disease": "n/a", "Genes": "' || length(text) || '"}' END AS response FROM documents""")
 def saved_answers(spark, folder):

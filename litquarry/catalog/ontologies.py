@@ -267,6 +267,21 @@ def blocked_matrix(spark, folder):
     return found.select("l_suppkey", "block", F.array_join(cells, ",").alias("cells"))
 
 
+@query(f"""WITH {MART} SELECT "Genes", "Main_Type", grouping("Genes", "Main_Type")::INTEGER AS level, count(*) AS rows,
+  count("Main_Type") AS typed FROM with_gene GROUP BY GROUPING SETS (("Genes", "Main_Type"), ("Genes"), ("Main_Type"))""")
+def gene_cube(spark, folder):
+    """All counts of the dashboard in one table."""
+    return rollups.gene_cube(gene_table(spark, folder))
+
+
+@query(f"""WITH {MART} SELECT "Genes", {', '.join(f"count(*) FILTER (\"Main_Type\" = '{t}') AS {t}" for t in MAIN_TYPES)},
+  count(*) AS total FROM with_gene WHERE "Main_Type" IS NOT NULL GROUP BY "Genes" """)
+def cube_matrix(spark, folder):
+    """The matrix and the genes' totals, both from the written cube."""
+    cube = materialize(rollups.gene_cube(gene_table(spark, folder)), "gene_cube")
+    return rollups.cube_matrix(cube, MAIN_TYPES).join(rollups.cube_popular(cube, min_count=1), "Genes")
+
+
 @query(f"""WITH {MART} SELECT "Main_Type", count(*) AS total, count(DISTINCT "Abstract_Number") AS abstracts
   FROM with_gene WHERE "Main_Type" IS NOT NULL GROUP BY "Main_Type" """)
 def type_totals(spark, folder):

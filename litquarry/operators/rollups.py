@@ -102,6 +102,55 @@ def most_common_type(totals: DataFrame, col: str = "Main_Type") -> DataFrame:
     return totals.orderBy(F.desc("total"), col).limit(1)
 
 
+def gene_cube(df: DataFrame, row: str = "Genes", col: str = "Main_Type") -> DataFrame:
+    """Counts per gene and type, per gene and per type in one table: row, col, level, rows and typed rows.
+
+    ``level`` is the grouping id: CELLS, BY_ROW or BY_COLUMN; ``typed`` leaves out rows whose type is null, and a
+    null type is a group of its own. The gene rows are shuffled once, by gene and type; the grouping sets
+    go over those counts. Rows without a valid gene are left out.
+    """
+    cells = valid_gene(df, row).groupBy(row, col).agg(F.count(F.lit(1)).alias("rows"))
+    cells = cells.withColumn("typed", F.when(F.col(col).isNotNull(), F.col("rows")).otherwise(0))
+    return cells.groupingSets([[row, col], [row], [col]], row, col).agg(
+        F.grouping_id().cast("int").alias("level"), F.sum("rows").alias("rows"), F.sum("typed").alias("typed")
+    )
+
+
+CELLS, BY_ROW, BY_COLUMN = 0, 1, 2
+"""Levels of a cube: grouping ids of (row, col), of the row alone and of the column alone."""
+
+
+def cube_cells(cube: DataFrame, row: str = "Genes", col: str = "Main_Type") -> DataFrame:
+    """What ``gene_counts`` gives of the cube's rows."""
+    return cube.filter((F.col("level") == CELLS) & F.col(col).isNotNull()).select(row, col, F.col("rows").alias("count"))
+
+
+def cube_matrix(cube: DataFrame, values: Sequence[str], row: str = "Genes", col: str = "Main_Type") -> DataFrame:
+    """What ``count_matrix`` gives of the cube's rows."""
+    return cube_cells(cube, row, col).groupBy(row).pivot(col, list(values)).agg(F.sum("count")).na.fill(0)
+
+
+def cube_totals(cube: DataFrame, col: str = "Main_Type") -> DataFrame:
+    """What ``type_totals`` gives of the cube's rows."""
+    return cube.filter((F.col("level") == BY_COLUMN) & F.col(col).isNotNull()).select(col, F.col("rows").alias("total"))
+
+
+def cube_types(cube: DataFrame, col: str = "Main_Type") -> DataFrame:
+    """The distinct types of the cube's rows in order, null too where a row has none."""
+    return cube.filter(F.col("level") == BY_COLUMN).select(col).orderBy(col)
+
+
+def cube_popular(
+    cube: DataFrame, types: Sequence[str] | None = None, min_count: int = 5, row: str = "Genes", col: str = "Main_Type"
+) -> DataFrame:
+    """What ``popular_genes`` gives of the cube's rows."""
+    if types is None:
+        totals = cube.filter((F.col("level") == BY_ROW) & (F.col("typed") > 0)).select(row, F.col("typed").alias("total"))
+    else:
+        totals = cube_cells(cube, row, col).filter(F.col(col).isin(*types)).groupBy(row).agg(F.sum("count").alias("total"))
+    return totals.filter(F.col("total") >= min_count).orderBy(F.desc("total"), row)
+
+
 def popular_genes(
     df: DataFrame,
     types: Sequence[str] | None = None,

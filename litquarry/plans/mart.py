@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from litquarry.operators import rollups
 from litquarry.operators.extraction import explode_genes
-from litquarry.operators.filters import detail_table, drop_if_all_null, valid_gene
+from litquarry.operators.filters import detail_table, drop_if_all_null
 from litquarry.operators.ontology import THRESHOLD, map_back, map_indications
 from litquarry.session import materialize
 
@@ -39,18 +39,21 @@ def gene_mart(
     threshold: int = THRESHOLD,
     method: str = "levenshtein",
 ) -> dict[str, DataFrame]:
-    """The tables of the dashboard, by name, each from the written gene rows and mapping."""
+    """The tables of the dashboard, by name, from the written gene rows and mapping.
+
+    All counts are slices of one written cube of them, so the gene rows are shuffled once.
+    """
     rows, mapping = gene_rows(extractions, ontology, groups, threshold, method)
-    with_gene = valid_gene(rows)
-    totals = rollups.type_totals(with_gene)
+    cube = materialize(rollups.gene_cube(rows), "gene_cube")
+    totals = rollups.cube_totals(cube)
     return {
         "rows": rows,
         "mapping": mapping,
         "indications": rollups.group_indications(mapping, "Disease", "mainType"),
-        "main_types": rollups.distinct_values(with_gene, "Main_Type", ordered=True),
-        "gene_counts": rollups.gene_counts(with_gene),
+        "main_types": rollups.cube_types(cube),
+        "gene_counts": rollups.cube_cells(cube),
         "totals": totals,
         "most_common": rollups.most_common_type(totals),
-        "popular": rollups.popular_genes(rows, types, min_count),
+        "popular": rollups.cube_popular(cube, types, min_count),
         "detail": detail_table(rows),
     }

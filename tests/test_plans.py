@@ -4,12 +4,12 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from litquarry.catalog import queries
+from litquarry.catalog import ontologies, queries
 from litquarry.operators import joins
 
 FOLDER = "/root/testdata/sf0.001"
 WRITES = {name for name in queries if name.endswith("_files")} | {
-    "incremental_ingest", "saved_answers", "corpus_build", "corpus_funnel", "training_set", "stratified_sample", "exported_order",
+    "incremental_ingest", "ingest_totals", "saved_answers", "corpus_build", "corpus_funnel", "training_set", "stratified_sample", "exported_order",
     "section_per_file", "page_extraction", "generated_negatives", "ontology_fuzzy_weighted",
 }
 PYTHON = {"extract_batch"}
@@ -78,3 +78,12 @@ def test_evidence_is_one_scan_and_one_shuffle_on_pmid(spark):
     symbols = spark.createDataFrame([], "ENSG string, HUGO string")
     plan = plan_of(labelled_pmids(matches, diseases, symbols).select(F.col("pmid")))
     assert plan.count("hashpartitioning(pmid") == 1
+
+
+def test_counts_of_the_mart_shuffle_the_gene_rows_once(spark):
+    from litquarry.plans.mart import gene_mart
+
+    tables = gene_mart(*(part(spark, FOLDER) for part in (ontologies.extractions, ontologies.tumor_types, ontologies.groups)))
+    for name in ("main_types", "gene_counts", "totals", "most_common", "popular"):
+        assert "gene_cube-" in plan_of(tables[name]) and "gene_rows-" not in plan_of(tables[name])
+    assert "Exchange" not in plan_of(tables["gene_counts"]) and "Exchange" not in plan_of(tables["totals"])

@@ -151,6 +151,20 @@ def test_ingest_processes_each_file_once(spark, tmp_path):
     assert rows(ingest.ingest_new_files(spark, *paths).select("pmid")) == [("a",), ("b",), ("c",), ("d",)]
 
 
+def test_ingest_totals_of_runs(spark, tmp_path):
+    paths, totals = [str(tmp_path / p) for p in ("in", "out", "progress")], str(tmp_path / "totals")
+    assert rows(ingest.ingest_totals(spark, totals)) == [(0, 0, 0)]
+    for names in ("ab", "", "cde"):
+        for name in names:
+            write_matches(spark, tmp_path, name, name)
+        ingest.ingest_new_files(spark, *paths, files_per_batch=2, totals=totals)
+    assert rows(ingest.ingest_totals(spark, totals)) == [(5, 10, 5)]
+    saved = spark.read.parquet(totals)
+    assert sorted(rows(saved)) == [(0, 2, 4, 2), (1, 2, 4, 2), (2, 1, 2, 1)]
+    saved.filter("batch = 1").write.mode("append").parquet(totals)  # a batch repeated after a lost run
+    assert rows(ingest.ingest_totals(spark, totals)) == [(5, 10, 5)]
+
+
 def test_section_is_tested_file_by_file(spark, tmp_path):
     bare = spark.createDataFrame([("1", "t", "k", "DS", ["h"])], "pmid string, text string, keywordId string, type string, organisms array<string>")
     for order in ("ab", "ba"):
