@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import struct
@@ -23,8 +24,6 @@ END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 CELL_PIECES = 30_000
 """Pieces packed by one task, on average."""
-ROUNDS = 4
-"""Most rounds in which cells without a certificate exchange documents."""
 WORDS_HELD = 300_000
 """Entries a worker's word table may reach before it starts anew."""
 
@@ -216,27 +215,27 @@ def _pack_cells(pieces: DataFrame, capacity: int) -> DataFrame:
     return pieces.select("piece_id", "length", "cell").groupBy("cell").applyInPandas(one_cell, PLAN)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(piece_id, sequence_id, offset) of each piece, from (piece_id, length).
 
     Pieces are dealt by hash to cells, each packed best-fit decreasing and certified when its bins
     are as few as its lower bound. A certified cell keeps all bins but the emptiest one; a cell
     with a gap keeps its full bins. The documents of the other bins are pooled and dealt anew, so
-    cells exchange documents, and packed again. This goes on while a round saves bins, at most
-    ``rounds`` times; the packing before the last round stands if that one saved none.
+    cells exchange documents, and packed again. This goes on while a round saves bins; the packing
+    before the last round stands if that one saved none.
     """
     cells = max(1, -(-pieces.count() // CELL_PIECES))
     todo = pieces.withColumn("cell", F.pmod(F.xxhash64("piece_id"), F.lit(cells)))
     done: list[DataFrame] = []
     pooled, pooled_bins = None, None
-    for number in range(rounds + 1):
+    for number in itertools.count():
         packed = materialize(_pack_cells(todo, capacity).withColumn("round", F.lit(number)), "packed")
         if pooled is not None and packed.select("cell", "bin").distinct().count() >= pooled_bins:
             done.append(pooled)
             break
         loose = packed.filter("loose")
         size, loose_cells = loose.agg(F.count(F.lit(1)), F.countDistinct("cell")).first()
-        if number == rounds or loose_cells < 2 and cells == 1:
+        if loose_cells < 2 and cells == 1:
             done.append(packed)
             break
         done.append(packed.filter("not loose"))
