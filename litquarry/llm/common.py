@@ -18,6 +18,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def free_prefix(columns: list[str]) -> str:
+    """Underscores that no column's name begins with, for helper columns."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -7,9 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from litquarry.llm.common import documents, fold, text_or_empty, worker_model
+from litquarry.llm.common import documents, fold, free_prefix, text_or_empty, worker_model
 from litquarry.llm.registry import query
 from litquarry.llm.texts import code_points, parts
 
@@ -18,12 +18,14 @@ REFERENCE_CHARS = 24_000
 SAMPLE_DOCS = 400
 """Labelled documents per language these are taken from, chosen by a hash of their id."""
 GROUP_CELLS = 100_000_000
-"""Cells of a transition table, four bytes each: more languages than fit are parsed in groups, a table at a time."""
+"""Cells of the tables held at once, four bytes each: more languages than fit are parsed in groups."""
+DENSE_CELLS = 50_000_000
+"""Cells of one language's table; a language with more, by its many letters, keeps its transitions sorted instead."""
 BLOCK = 512
 """Characters parsed on their own: a phrase ends at the end of a block."""
 BATCH_BLOCKS = 4_096
-SALTS = 256
-"""Parts of a language in each of which the sample is drawn before it is drawn from the parts' samples."""
+SALTS = (256, 16, 1)
+"""Parts of a language in which the sample is drawn, each time from the samples of the parts before."""
 UNKNOWN = "und"
 
 Reference = tuple[tuple[str, str], ...]
@@ -37,28 +39,63 @@ def letters(text: str) -> str:
     return _OTHER.sub(" ", text.lower()).strip()
 
 
+def transitions(machine: Machine) -> int:
+    """Cells of a machine's table over its own letters, or of its sorted transitions where that is smaller or must be."""
+    states, _, chars, _ = machine
+    cells = states * (len(np.unique(chars)) + 1)
+    return cells if cells <= DENSE_CELLS else 3 * len(chars)
+
+
+class Table:
+    """The transitions of one suffix automaton over its own letters; ``letters`` are their code points in order.
+
+    A state is reached by the factors of the reference that end there, so walking from the root,
+    state 0, as long as there is a transition finds the longest match. Letter 0 has none.
+    """
+
+    def __init__(self, machine: Machine):
+        states, start, chars, end = machine
+        self.letters = np.unique(chars)
+        self.width = len(self.letters) + 1
+        keys = start.astype(np.int64) * self.width + np.searchsorted(self.letters, chars) + 1
+        self.root = np.full(self.width, -1, np.int32)
+        self.root[keys[start == 0]] = end[start == 0]
+        self.keys = None
+        if states * self.width <= DENSE_CELLS:
+            self.ends = np.full(states * self.width, -1, np.int32)
+            self.ends[keys] = end
+        else:
+            order = np.argsort(keys)
+            self.keys, self.ends = np.append(keys[order], -1), np.append(end[order], np.int32(-1))
+
+    def step(self, states: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The next states, -1 where there is none."""
+        wanted = states * self.width + letters
+        if self.keys is None:
+            return self.ends[wanted]
+        at = np.searchsorted(self.keys[:-1], wanted)
+        return np.where(self.keys[at] == wanted, self.ends[at], np.int32(-1))
+
+
 class Automata:
-    """Suffix automata of several reference texts as one transition table.
+    """Suffix automata of several reference texts, and one numbering of all their letters.
 
-    ``step[state, c]`` is the next state or -1. A state is reached by the factors of its reference
-    that end there, so walking from the root as long as there is a transition finds the longest
-    match; states are numbered across the references and ``roots`` has each one's root.
+    A text is numbered once, by ``codes``; each language translates the numbers to its own letters,
+    so its table is as wide as its own alphabet and does not grow with the other languages'.
     """
 
     def __init__(self, reference: Reference, machines: list[Machine] | None = None):
         machines = machines or [suffix_automaton([ord(c) for c in text]) for _, text in reference]
         self.languages = [name for name, _ in reference]
-        self.alphabet = {c: i for i, c in enumerate(sorted(set("".join(t for _, t in reference))), 1)}
-        self.codes = np.zeros(0x110000, np.uint16)
-        for c, i in self.alphabet.items():
-            self.codes[ord(c)] = i
-        self.roots, size = [], 0
-        self.step = np.full((sum(m[0] for m in machines), len(self.alphabet) + 1), -1, np.int32)
-        for states, start, chars, end in machines:
-            self.step[start + size, self.codes[chars]] = end + size
-            self.roots.append(size)
-            size += states
-        self.flat = self.step.ravel()
+        self.tables = [Table(m) for m in machines]
+        alphabet = np.unique(np.concatenate([table.letters for table in self.tables]))
+        self.codes = np.zeros(0x110000, np.uint32 if len(alphabet) > 0xFFFF else np.uint16)
+        self.codes[alphabet] = np.arange(1, len(alphabet) + 1)
+        self.own = []
+        for table in self.tables:
+            own = np.zeros(len(alphabet) + 1, np.int32)
+            own[self.codes[table.letters]] = np.arange(1, table.width)
+            self.own.append(own)
 
     def phrases(self, blocks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of the greedy parse of each block, a row, by each language, a column.
@@ -67,35 +104,32 @@ class Automata:
         the character starts the next one at the root. A character that the reference lacks is a
         phrase of its own.
         """
-        width = self.step.shape[1]
         order = np.argsort(-lengths, kind="stable")
         blocks, lengths = np.ascontiguousarray(blocks[order].T), lengths[order]
         active = np.searchsorted(-lengths, -np.arange(blocks.shape[0]), side="left")
-        out = np.zeros((len(self.roots), len(lengths)), np.int32)
-        for k, root in enumerate(self.roots):
-            start = self.step[root]
-            state = np.full(len(lengths), root, np.int64)
-            count = out[k]
+        out = np.zeros((len(self.tables), len(lengths)), np.int32)
+        for table, own, count in zip(self.tables, self.own, out):
+            state = np.zeros(len(lengths), np.int64)
             for t in range(blocks.shape[0]):
                 n = active[t]
                 if not n:
                     break
-                c = blocks[t, :n]
-                at = self.flat[state[:n] * width + c]
+                c = own[blocks[t, :n]]
+                at = table.step(state[:n], c)
                 ended = np.flatnonzero(at < 0)
-                again = start[c[ended]]
+                again = table.root[c[ended]]
                 unread = again < 0
-                count[ended] += (state[ended] != root) + unread.astype(np.int32)
-                at[ended] = np.where(unread, root, again)
+                count[ended] += (state[ended] != 0) + unread.astype(np.int32)
+                at[ended] = np.where(unread, 0, again)
                 state[:n] = at
-            count += state != root
-        found = np.empty((len(lengths), len(self.roots)), np.int32)
+            count += state != 0
+        found = np.empty((len(lengths), len(self.tables)), np.int32)
         found[order] = out.T
         return found
 
 
 class Languages:
-    """The automata of all languages, as transitions; iterated, the tables of one group of languages after another.
+    """The automata of all languages; iterated, the tables of one group of languages after another.
 
     A character that no reference of a group has is one that each of them lacks, so a language's
     phrases do not depend on its group.
@@ -104,13 +138,14 @@ class Languages:
     def __init__(self, reference: Reference, cells: int = GROUP_CELLS):
         self.languages = [name for name, _ in reference]
         self.groups: list[list[tuple[tuple[str, str], Machine]]] = []
-        states, alphabet = 0, set()
+        held = 0
         for name, text in reference:
             machine = suffix_automaton([ord(c) for c in text])
-            states, alphabet = states + machine[0], alphabet | set(text)
-            if not self.groups or states * (len(alphabet) + 1) > cells:
+            size = transitions(machine)
+            if not self.groups or held + size > cells:
                 self.groups.append([])
-                states, alphabet = machine[0], set(text)
+                held = 0
+            held += size
             self.groups[-1].append(((name, text), machine))
         self.only = self._table(self.groups[0]) if len(self.groups) == 1 else None
 
@@ -164,14 +199,16 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, chars: int = REFERENC
 
     The reference is a bounded sample: the first ``chars`` letters of at most ``sample_docs``
     documents per language, in the order of a hash of the id, each giving an equal share or less.
-    Rows without a text or a language teach nothing.
+    Rows without a language or without a letter in their text teach nothing; a text's share begins
+    at its first letter, so every label with a letter in any of its texts is learned.
     """
-    labelled = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    labelled = docs.filter(F.col("text").rlike("\\p{L}") & F.col("lang").isNotNull())
     order = [F.xxhash64("doc_id"), "doc_id", "text"]
     share = -(-chars // sample_docs) * 8
-    sample = labelled.select("doc_id", "lang", F.substring("text", 1, share).alias("text"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
-    for key in (["lang", "salt"], ["lang"]):
-        place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    sample = labelled.select("doc_id", "lang", _from_first_letter(share).alias("text"))
+    for salts in SALTS:
+        part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(salts))
+        place = F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))
         sample = sample.withColumn("place", place).filter(F.col("place") <= sample_docs)
     rows = sample.join(labelled.groupBy("lang").count(), "lang").select("count", "lang", "place", "text").collect()
     texts: dict[str, str] = {}
@@ -179,7 +216,11 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, chars: int = REFERENC
         have = texts.get(lang, "")
         if len(have) < chars:
             texts[lang] = (have + " " + letters(text))[:chars]
-    return tuple((lang, text) for lang, text in texts.items() if text.strip())
+    return tuple(texts.items())
+
+
+def _from_first_letter(size: int) -> Column:
+    return F.substring(F.regexp_replace("text", "^\\P{L}+", ""), 1, size)
 
 
 def scores(texts: list[str], model: Languages) -> tuple[list[str], list[float]]:
@@ -199,7 +240,7 @@ def scores(texts: list[str], model: Languages) -> tuple[list[str], list[float]]:
         codes, counts = table.codes[points], total[:, first:first + len(table.languages)]
         for low in range(0, len(owners), BATCH_BLOCKS):
             part = sizes[low:low + BATCH_BLOCKS]
-            grid = np.zeros((len(part), BLOCK), np.uint16)
+            grid = np.zeros((len(part), BLOCK), codes.dtype)
             inside = np.arange(BLOCK) < part[:, None]
             grid[inside] = codes[(ends[low] - part[0]):ends[low + len(part) - 1]]
             np.add.at(counts, owners[low:low + len(part)], table.phrases(grid, part))
@@ -260,7 +301,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language can be told: those without any letter go. All columns are kept."""
-    name = "__language"
+    name = free_prefix(docs.columns) + "language"
     found = with_language(docs, learn(learned_rows(docs)), name)
     return found.filter(F.col(name)["lang_pred"] != UNKNOWN).drop(name)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from litquarry.functions.binding import bind
 from litquarry.llm.alike import BROADCAST_ROWS, alike_links, sized, with_jaccard
-from litquarry.llm.common import documents, known_id, text_or_empty
+from litquarry.llm.common import documents, free_prefix, known_id, text_or_empty
 from litquarry.llm.components import components
 from litquarry.llm.registry import query
 from litquarry.session import materialize
@@ -160,19 +160,20 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_drops(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """``rows``, with __id and __hash of their documents, and the new column __gone of line numbers, null for none.
+def _with_drops(rows: DataFrame, docs: DataFrame, own: str) -> DataFrame:
+    """``rows``, with ``own`` id and hash of their documents, and the new column ``own`` gone of line numbers, null for none.
 
     Copies are numbered and joined by the same two columns, so the texts move once.
     """
+    key = [own + "id", own + "hash"]
     drops = dropped_lines(docs).select(
-        known_id("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-        F.col("numbers").alias("__numbers"), F.col("all_numbers").alias("__all_numbers"),
+        known_id("doc_id").alias(key[0]), F.col("text_hash").alias(key[1]),
+        F.col("numbers").alias(own + "numbers"), F.col("all_numbers").alias(own + "all_numbers"),
     )
-    copy = Window.partitionBy("__id", "__hash").orderBy("__hash")
-    gone = F.when(F.col("__copy") == 1, F.col("__numbers")).otherwise(F.col("__all_numbers"))
-    joined = rows.withColumn("__copy", F.row_number().over(copy)).join(drops, ["__id", "__hash"], "left")
-    return joined.withColumn("__gone", gone).drop("__copy", "__numbers", "__all_numbers")
+    copy = Window.partitionBy(*key).orderBy(key[1])
+    gone = F.when(F.col(own + "copy") == 1, F.col(own + "numbers")).otherwise(F.col(own + "all_numbers"))
+    joined = rows.withColumn(own + "copy", F.row_number().over(copy)).join(drops, key, "left")
+    return joined.withColumn(own + "gone", gone).drop(*[own + name for name in ("copy", "numbers", "all_numbers")])
 
 
 def _document() -> tuple[Column, Column]:
@@ -192,7 +193,7 @@ def decisions(docs: DataFrame) -> DataFrame:
     text_hash = _document()[1]
     rows = docs.select("doc_id", known_id("doc_id").alias("__id"), text_hash.alias("__hash"), (F.length(text_or_empty()) - F.length(F.replace(text_or_empty(), F.lit("\n"), F.lit(""))) + 1).alias("n_lines"))
     gone = F.coalesce(F.array_sort("__gone"), F.array().cast("array<int>"))
-    return _with_drops(rows, docs).select("doc_id", "n_lines", F.size(gone).alias("n_dropped"), gone.alias("dropped_lines"))
+    return _with_drops(rows, docs, "__").select("doc_id", "n_lines", F.size(gone).alias("n_dropped"), gone.alias("dropped_lines"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -200,15 +201,16 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     All columns are kept, whatever their names; n_chars, where there is one, follows the text.
     """
-    text_hash = _document()[1]
-    marked = _with_drops(docs.withColumn("__id", known_id("doc_id")).withColumn("__hash", text_hash), docs)
-    lost = F.size(F.coalesce("__gone", F.array().cast("array<int>"))) > 0
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("__gone", i)), "\n")
-    out = marked.withColumn("__lost", lost).withColumn("text", F.when(F.col("__lost"), left).otherwise(F.col("text")))
+    own = free_prefix(docs.columns)
+    gone, goes = own + "gone", own + "lost"
+    marked = _with_drops(docs.withColumn(own + "id", known_id("doc_id")).withColumn(own + "hash", _document()[1]), docs, own)
+    lost = F.size(F.coalesce(gone, F.array().cast("array<int>"))) > 0
+    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(gone, i)), "\n")
+    out = marked.withColumn(goes, lost).withColumn("text", F.when(F.col(goes), left).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__lost"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(goes), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     blank = F.col("text").rlike("^[ \\x09-\\x0D]*$")
-    return out.filter(~(F.col("__lost") & blank)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.filter(~(F.col(goes) & blank)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @query()

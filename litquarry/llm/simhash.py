@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from litquarry.functions.binding import bind
 from litquarry.llm.alike import alike_links, sized
-from litquarry.llm.common import documents, known_id, text_or_empty
+from litquarry.llm.common import documents, free_prefix, known_id, text_or_empty
 from litquarry.llm.components import components
 from litquarry.llm.line_dedup import normalised
 from litquarry.llm.registry import query
@@ -175,7 +175,7 @@ def near_dedup(docs: DataFrame, words: int = NEAR_WORDS) -> DataFrame:
     text and then to any one row; null ids come last. All columns are kept, whatever their names.
     Rows without a word are one component, so one of them stays.
     """
-    digest, known, row = "__near_text", "__near_id", "__near_row"
+    digest, known, row = (free_prefix(docs.columns) + name for name in ("text", "id", "row"))
     marked = docs.withColumn(digest, F.xxhash64(text_or_empty())).withColumn(known, known_id("doc_id"))
     norm = normalised(text_or_empty())
 
