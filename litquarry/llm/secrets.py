@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import string
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from litquarry.llm.common import documents, text_or_empty
 from litquarry.llm.crf import Crf, fit
 from litquarry.llm.registry import query
+from litquarry.session import materialize
 
 # The base patterns, their least lengths, and the order of kinds.
 ASSIGN = re.compile(
@@ -28,10 +32,13 @@ KINDS = ["assign", "access", "hex", "crf"]
 TRAIN_DOCS = 1_000
 """Documents that may hold a base span, and as many others, that the field is fitted on."""
 TRAIN_CHARS = 4_000
-"""Characters of such a document that it is fitted on."""
+"""Characters of such a document that it is fitted on: those around its first possible base span, or marked character."""
 CHAIN = 64
 """Tokens of a chain that it is fitted on."""
 MAY_MATCH = "(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"
+VALUE = string.ascii_letters + string.digits
+VALUE_SIZES = (16, 40)
+"""Characters, and least and most of them, of the values that stand in for those of base spans in training."""
 LEAST_VALUE = 8
 """Characters that a tagged span needs to be reported; it also needs a digit."""
 
@@ -173,33 +180,68 @@ def weak_labels(chain: list[tuple[int, int]], spans: list[tuple[int, int, str]])
     return tags
 
 
-def examples(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    spans, flags = base_spans(text), file_features(text)
+def redrawn(text: str, spans: list[tuple[int, int, str]]) -> tuple[str, list[tuple[int, int, str]]]:
+    """The text with other random values in place of those of the spans, and the spans' new places.
+
+    What stands around a value stays. Of overlapping spans the first is redrawn. The values depend on the text alone.
+    """
+    draw = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    out, at, moved = "", 0, []
+    for start, end, kind in spans:
+        if start < at:
+            continue
+        low = ASSIGN.match(text, start).start(2) if kind == "assign" else start
+        begin = len(out) + start - at
+        out += text[at:low] + "".join(draw.choices(VALUE, k=draw.randint(*VALUE_SIZES)))
+        moved.append((begin, len(out), kind))
+        at = end
+    return out + text[at:], moved
+
+
+def examples(text: str, kinds: Sequence[str] = KINDS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The chains of a text with their tags, and again with redrawn values, so that not their patterns are learned alone.
+
+    Chains with a base span of another kind than ``kinds`` are left out.
+    """
+    known = [s for s in base_spans(text) if s[2] in kinds]
     out = []
-    for chain in chains(text):
-        rows, shift = _framed(features(text, chain, flags), text, chain)
-        tags = np.zeros(len(rows), np.int64)
-        tags[shift:shift + len(chain)] = weak_labels(chain, spans)
-        out.append((rows[:CHAIN], tags[:CHAIN]))
+    for text, spans in [(text, known)] + [redrawn(text, known)] * bool(known):
+        flags = file_features(text)
+        hidden = [(a, b) for a, b, kind in base_spans(text) if kind not in kinds]
+        for chain in chains(text):
+            if any(start < b and a < end for start, end in chain for a, b in hidden):
+                continue
+            rows, shift = _framed(features(text, chain, flags), text, chain)
+            tags = np.zeros(len(rows), np.int64)
+            tags[shift:shift + len(chain)] = weak_labels(chain, spans)
+            out.append((rows[:CHAIN], tags[:CHAIN]))
     return out
 
 
-def train(docs: DataFrame) -> Crf:
-    """The field, fitted on a bounded sample that base spans label.
+def training_texts(docs: DataFrame) -> list[str]:
+    """The bounded sample, the same in every run: windows of TRAIN_CHARS characters of whole texts.
+
+    TRAIN_DOCS documents in which a base pattern may match, wherever in their text, and as many that
+    only hold marked tokens, in the order of a hash of the text; of equal texts one counts.
+    """
+    order, text = F.xxhash64("text"), F.col("text")
+    seen = docs.filter(text.rlike(_MARK.pattern)).select(order.alias("order"), text.rlike(MAY_MATCH).alias("hit"))
+    seen = materialize(seen, "marked")
+    chosen = [seen.filter(F.col("hit") == hit).select("order", "hit").distinct().orderBy("order").limit(TRAIN_DOCS) for hit in (True, False)]
+    chosen = materialize(chosen[0].unionByName(chosen[1]), "chosen")
+    first = F.regexp_instr(text, F.when(F.col("hit"), F.lit(MAY_MATCH)).otherwise(F.lit(_MARK.pattern)))
+    window = F.substring(text, F.greatest(first - TRAIN_CHARS // 2, F.lit(1)), F.lit(TRAIN_CHARS))
+    held = docs.select("text", order.alias("order")).join(F.broadcast(chosen), "order")
+    windows = held.select("order", "hit", window.alias("window")).groupBy("hit", "order").agg(F.min("window").alias("window"))
+    return [row["window"] for row in windows.orderBy(F.desc("hit"), "order").collect()]
+
+
+def train(docs: DataFrame, kinds: Sequence[str] = KINDS) -> Crf:
+    """The field, fitted on a bounded sample that base spans of ``kinds`` label.
 
-    The sample is the first TRAIN_CHARS characters of TRAIN_DOCS documents in which a base pattern
-    may match and of as many that only hold marked tokens, in the order of a hash of the text.
     Chains among plain tokens alone stand for the rest of the corpus.
     """
-    text = F.substring(text_or_empty(), 1, TRAIN_CHARS)
-    marked = docs.select(text.alias("text")).filter(F.col("text").rlike(_MARK.pattern)).withColumn("order", F.xxhash64("text"))
-    ranked = marked.groupBy("order").agg(F.max(F.col("text").rlike(MAY_MATCH)).alias("hit"))
-    data = []
-    for hit in (True, False):
-        chosen = ranked.filter(F.col("hit") == hit).orderBy("order").limit(TRAIN_DOCS)
-        rows = marked.join(F.broadcast(chosen), "order").dropDuplicates(["order"]).orderBy("order").collect()
-        for row in rows:
-            data += examples(row["text"])
+    data = [example for text in training_texts(docs) for example in examples(text, kinds)]
     plain = (PLAIN[None].repeat(4, 0), np.zeros(4, np.int64))
     return fit(data + [plain] * (1 + len(data) // 4), 3)
 
