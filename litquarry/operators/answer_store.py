@@ -14,7 +14,11 @@ DIGEST = "prompt_digest"
 SCHEMA = f"{DIGEST} string, response string"
 
 ROUND_PROMPTS = 100_000
-"""Prompts asked before their answers are saved, on average."""
+"""Prompts a task asks before their answers are saved, on average; fewer where all cores would not have a task."""
+JOBS = 16
+"""Most jobs of a run."""
+DIRECT = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+"""Files go to their place when their task ends, not when all have."""
 
 
 def prompt_digest(prompt: Column | str) -> Column:
@@ -32,10 +36,12 @@ def ask_missing(
     """Ask every prompt that the table at ``store`` lacks and append its answer; returns how many it lacked.
 
     Equal prompts are asked once, null ones never. The missing prompts are written in order of their
-    digest and asked in rounds, each a range of digests whose answers are appended before the next
-    round starts: a run that is lost leaves all earlier rounds behind, and the next run asks the
-    rest only. A failed call stores nothing, so the next run asks it again. Only a task that Spark
-    repeats after losing an executor may ask its prompts a second time.
+    digest and asked in at most JOBS ranges of digests, one after the other, by tasks of ``per_round``
+    prompts. A task's answers are in the table as soon as it ends (``DIRECT``; a committer that
+    ignores this puts them there with their range), so a lost run leaves behind all but those of the
+    tasks that it lost, and the next run asks the rest only. The jobs stay few however many prompts there
+    are. A failed call stores nothing, so the next run asks it again. Only a task that Spark
+    repeats after losing an executor may ask its prompts a second time; its file has the same name.
     """
     spark = prompted.sparkSession
     wanted = prompted.filter(F.col(prompt).isNotNull()).select(prompt_digest(prompt).alias(DIGEST), F.col(prompt).alias("prompt"))
@@ -43,12 +49,14 @@ def ask_missing(
     missing = materialize(missing.orderBy(DIGEST), "missing_prompts")
     n = missing.count()
     rounds = math.ceil(n / per_round)
-    ends = [f"{(1 << 64) * i // rounds:016x}" for i in range(1, rounds)]
+    jobs = min(rounds, JOBS)
+    tasks = max(math.ceil(rounds / max(jobs, 1)), min(spark.sparkContext.defaultParallelism, n))
+    ends = [f"{(1 << 64) * i // jobs:016x}" for i in range(1, jobs)]
     for low, high in zip([None, *ends], [*ends, None] if n else []):
         batch = missing if low is None else missing.filter(F.col(DIGEST) >= low)
         batch = batch if high is None else batch.filter(F.col(DIGEST) < high)
-        answers = extract_batch(batch, fn, "prompt", "response").select(DIGEST, "response")
-        answers.filter(F.col("response") != QUERY_ERROR).write.mode("append").parquet(store)
+        answers = extract_batch(batch.repartition(tasks, DIGEST), fn, "prompt", "response").select(DIGEST, "response")
+        answers.filter(F.col("response") != QUERY_ERROR).write.mode("append").options(**DIRECT).parquet(store)
     return n
 
 

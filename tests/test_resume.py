@@ -80,6 +80,27 @@ def test_failed_calls_are_repeated_by_the_next_run_only(spark, tmp_path):
     assert run(fails) == ["first"] * 6 + ["second"] * 3 and len(asked(log)) == 9
 
 
+def jobs_of(spark, group, run):
+    """How many Spark jobs a call starts."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_stay_few_and_rounds_small(spark):
+    prompts = spark.range(3_000).selectExpr("id", "'prompt ' || id AS prompt")
+    few, many = scratch_path(spark, "store"), scratch_path(spark, "store")
+    at_10 = jobs_of(spark, "ten rounds", lambda: answer_store.ask_missing(prompts, str, few, per_round=300))
+    at_100 = jobs_of(spark, "a hundred rounds", lambda: answer_store.ask_missing(prompts, str, many, per_round=30))
+    assert at_100 < 2 * at_10 + 20
+    found = answer_store.stored_answers(spark, many)
+    assert found.count() == 3_000 and found.select("prompt_digest").distinct().count() == 3_000
+    assert found.groupBy("_metadata.file_path").count().agg({"count": "max"}).first()[0] < 120  # about 30 a task
+
+
 def test_no_prompts(spark):
     none = spark.createDataFrame([(1, None)], "id int, prompt string")
     store = scratch_path(spark, "store")
