@@ -86,32 +86,38 @@ def _inner_pairs(inner: DataFrame, texts: DataFrame, stars: DataFrame, shingles:
     a = few.select("band", F.col("h1").alias("a"), F.col("root").alias("a_root"))
     b = few.select("band", F.col("h1").alias("b"), F.col("root").alias("b_root"))
     listed = a.join(b, "band").filter("a < b and a_root <> b_root").select("a", "b")
-    wide = rooted.filter(F.col("n") > FEW_MEMBERS)
-    many = materialize(wide.select("h1", "root").distinct(), "many")
-    found = _pairs_by_prefix(many, texts, shingles, least).distinct()
-    of_a, of_b = wide.select("band", F.col("h1").alias("a")), wide.select("band", F.col("h1").alias("b"))
-    together = found.join(of_a, "a").join(of_b, ["band", "b"]).select("a", "b")
-    return listed.unionByName(together).distinct()
+    wide = rooted.filter(F.col("n") > FEW_MEMBERS).select("band", "h1", "root")
+    return listed.unionByName(_pairs_by_prefix(wide, texts, shingles, least)).distinct()
 
 
 def _pairs_by_prefix(members: DataFrame, texts: DataFrame, shingles: Shingles, least: float) -> DataFrame:
-    """(a, b) of members (h1, root) in different components that may be alike; none that is alike is missing.
+    """(a, b) of members (band, h1, root) of a band in different components that may be alike; none that is alike is missing.
 
-    Sets of shingles that are at least ``least`` alike share one of the first elements of each, as
-    many as the set may lack and one more, in any order common to all; in the order from rare to
-    frequent these bring few others together. Components meet in a shingle first, so the members
+    A band has an order of its own, from the shingles that few of its members hold to those that many
+    hold, so what its members have in common comes last. Of two sets that are alike, the first shingle
+    they share is early in both: the smaller set lacks at most a ninth of its shingles (at a
+    similarity of 0.8) and the larger one a fifth, so those first ones and one more are enough. Members that
+    share less than that, however many, do not meet. Components meet in a shingle first, so the members
     of one, which may be very many, are not paired with each other.
     """
-    sets = texts.join(sized(members), "h1").select("h1", "root", F.explode(F.array_distinct(shingles(F.col("norm")))).alias("shingle"))
-    sets = materialize(sets, "shingles")
-    often = materialize(sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "often")
-    ordered = sets.join(often, "shingle").groupBy("h1", "root").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("s"))
-    first = F.size("s") - F.ceil(F.size("s") * least - 1e-9) + 1
-    prefix = ordered.select("h1", "root", F.inline(F.slice("s", F.lit(1), first.cast("int")))).filter("n > 1").select("h1", "root", "shingle")
-    prefix = materialize(prefix, "prefix")
-    roots = materialize(prefix.select("shingle", "root").distinct(), "prefix_roots")
-    x, y = roots.withColumnRenamed("root", "x"), roots.withColumnRenamed("root", "y")
-    meet = x.join(y, "shingle").filter("x < y")
-    at_x = prefix.select("shingle", F.col("root").alias("x"), F.col("h1").alias("a"))
-    at_y = prefix.select("shingle", F.col("root").alias("y"), F.col("h1").alias("b"))
-    return meet.join(at_x, ["shingle", "x"]).join(at_y, ["shingle", "y"]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    held = texts.select("h1", F.array_distinct(shingles(F.col("norm"))).alias("held"))
+    sets = members.join(held, "h1").select("band", "h1", "root", F.explode("held").alias("shingle"))
+    often = sets.groupBy("band", "shingle").agg(F.count(F.lit(1)).alias("n"))
+    ordered = sets.join(often, ["band", "shingle"]).groupBy("band", "h1", "root").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("s"))
+    size, both = F.size("s"), 2 * least / (1 + least)
+    short, long = (size - F.ceil(size * share - 1e-9) + 1 for share in (both, least))
+    early = ordered.select("band", "h1", "root", size.alias("size"), short.alias("short"), F.posexplode(F.slice("s", F.lit(1), long.cast("int"))).alias("at", "e"))
+    early = early.filter("e.n > 1").select("band", "h1", "root", "size", "at", (F.col("at") < F.col("short")).alias("short"), F.col("e.shingle").alias("shingle"))
+    early = materialize(early, "prefix")
+    roots = early.groupBy("band", "shingle", "root").agg(F.max("short").alias("short"))
+    x, y = roots.filter("short").select("band", "shingle", F.col("root").alias("x")), roots.select("band", "shingle", F.col("root").alias("y"))
+    meet = x.join(y, ["band", "shingle"]).filter("x <> y")
+
+    def side(rows: DataFrame, root: str, name: str) -> DataFrame:
+        return rows.select("band", "shingle", F.col("root").alias(root), F.col("h1").alias(name), F.col("size").alias(name + "_size"), F.col("at").alias(name + "_at"))
+
+    found = meet.join(side(early.filter("short"), "x", "a"), ["band", "shingle", "x"]).join(side(early, "y", "b"), ["band", "shingle", "y"])
+    rest = F.least(F.col("a_size") - F.col("a_at"), F.col("b_size") - F.col("b_at"))
+    shared = (F.col("a_size") + F.col("b_size")) * (both / 2)
+    near = found.filter("a_size <= b_size").filter((F.col("a_size") >= F.col("b_size") * least - 1e-9) & (rest >= shared - 1e-9))
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -1,4 +1,4 @@
-"""Near duplicates by SimHash, found through deletion-variant signatures; the pipeline's stage by MinHash."""
+"""Near duplicates by SimHash, found through deletion-variant signatures; the pipeline's stage adds MinHash."""
 
 from __future__ import annotations
 
@@ -166,16 +166,24 @@ def simhash_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
 
 
-def near_dedup(docs: DataFrame, words: int = NEAR_WORDS) -> DataFrame:
+def _of_linked_prints(prints: DataFrame) -> DataFrame:
+    """(a, b) of hashes h1: a star over the texts of each component of fingerprints."""
+    rooted = prints.select("h1", "fp").distinct().join(near_components(prints.select("doc_id", "fp")), "fp").select("h1", "root")
+    rooted = materialize(rooted, "rooted")
+    return rooted.join(rooted.groupBy("root").agg(F.min("h1").alias("a")), "root").select("a", F.col("h1").alias("b")).filter("a <> b")
+
+
+def near_dedup(docs: DataFrame, words: int = NEAR_WORDS, fingerprints: bool = False) -> DataFrame:
     """The documents without near duplicates: of each component the row with the smallest doc_id stays.
 
     Documents are near duplicates at a Jaccard similarity of NEAR_SIMILARITY or more of their
     distinct shingles of ``words`` words, in lower case with single spaces; MinHash bands propose
-    pairs and the shingles decide. Ties, such as repeated rows, go to the smaller digest of the
+    pairs and the shingles decide. With ``fingerprints``, as in the pipeline, those whose SimHash fingerprints
+    ``simhash_components`` links are near duplicates too, and components are those of both kinds of links. Ties, such as repeated rows, go to the smaller digest of the
     text and then to any one row; null ids come last. All columns are kept, whatever their names.
     Rows without a word are one component, so one of them stays.
     """
-    digest, known, row = (free_prefix(docs.columns) + name for name in ("text", "id", "row"))
+    digest, known, row, print_ = (free_prefix(docs.columns) + name for name in ("text", "id", "row", "print"))
     marked = docs.withColumn(digest, F.xxhash64(text_or_empty())).withColumn(known, known_id("doc_id"))
     norm = normalised(text_or_empty())
 
@@ -184,9 +192,10 @@ def near_dedup(docs: DataFrame, words: int = NEAR_WORDS) -> DataFrame:
         for texts in batches:
             yield pd.Series([near_bands(t, words) for t in texts])
 
-    keyed = marked.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), norm.alias("norm"))
+    printed = with_fingerprint(marked, print_) if fingerprints else marked.withColumn(print_, F.lit(0).cast("long"))
+    keyed = printed.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), F.col(print_).alias("fp"), norm.alias("norm"))
     prints = materialize(
-        keyed.select("doc_id", "digest", F.xxhash64("norm").alias("h1"), signatures("norm").alias("bands")), "prints"
+        keyed.select("doc_id", "digest", "fp", F.xxhash64("norm").alias("h1"), signatures("norm").alias("bands")), "prints"
     )
 
     def texts_of(wanted: DataFrame) -> DataFrame:
@@ -198,16 +207,21 @@ def near_dedup(docs: DataFrame, words: int = NEAR_WORDS) -> DataFrame:
         return texts.groupBy(F.xxhash64("norm").alias("h1")).agg(F.min("norm").alias("norm"))
 
     banded = materialize(prints.select("h1", F.explode("bands").alias("band")).distinct(), "banded")
-    linked = materialize(components(alike_links(banded, texts_of, lambda t: word_shingles(t, words), NEAR_SIMILARITY)), "linked")
+    links_ = alike_links(banded, texts_of, lambda t: word_shingles(t, words), NEAR_SIMILARITY)
+    linked = materialize(components(links_.unionByName(_of_linked_prints(prints)) if fingerprints else links_), "linked")
     keep = (
         prints.join(sized(linked), F.col("h1") == F.col("node"), "left").groupBy(F.coalesce("root", "h1").alias("root"))
         .agg(F.min(F.struct("doc_id", "digest")).alias("first"))
         .select(F.col("first.doc_id").alias(known), F.col("first.digest").alias(digest))
     )
     keep = materialize(keep, "kept")
+    # Only rows that repeat id and text are numbered, so that all other texts stay where they are.
+    repeated = prints.groupBy("doc_id", "digest").count().filter("count > 1").select(F.col("doc_id").alias(known), F.col("digest").alias(digest))
+    repeated = sized(materialize(repeated, "repeated"))
     first = Window.partitionBy(known, digest).orderBy(digest)
-    once = marked.withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1)
-    return once.join(keep, [known, digest], "left_semi").drop(digest, known, row)
+    kept = marked.join(sized(keep), [known, digest], "left_semi")
+    again = kept.join(repeated, [known, digest], "left_semi").withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1)
+    return kept.join(repeated, [known, digest], "left_anti").unionByName(again.drop(row)).drop(digest, known)
 
 
 @query()

@@ -5,7 +5,8 @@ import string
 
 from pyspark.sql import functions as F
 
-from litquarry.llm import line_dedup, simhash
+import corpus_pipeline
+from litquarry.llm import alike, line_dedup, simhash
 from litquarry.session import materialize
 
 
@@ -50,3 +51,40 @@ def test_near_stage_takes_copies_of_four_fifths(spark):
     kept = simhash.near_dedup(table(spark, [" ".join(t) for t in made + near + other + far])).collect()
     ids = {r["doc_id"] for r in kept}
     assert ids >= set(range(40)) | set(range(80, 160)) and len(ids) <= 122
+
+
+def test_near_stage_takes_what_fingerprints_link(spark):
+    draw = random.Random(4)
+    base, pairs = words(draw, 24, 6).split(), []
+    for i in range(400):
+        made = [w + str(i) for w in base[:20]] + base[20:]
+        other = made[:19] + ["x" + made[19]] + made[20:]  # three of 20 five-word shingles fewer than alike
+        pairs.append((" ".join(made), " ".join(other)))
+    linked = [(a, b) for a, b in pairs if (simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count() <= simhash.DISTANCE]
+    assert linked
+    texts = [t for pair in linked for t in pair]
+    kept = [r["doc_id"] for r in corpus_pipeline.remove_near_copies(spark, table(spark, texts), "").collect()]
+    assert not any(i % 2 for i in kept)
+
+
+def test_lines_of_one_template_do_not_meet_in_it(spark):
+    draw = random.Random(5)
+    template = words(draw, 8, 8)
+    made = [template + " " + words(draw, 3, 8) for _ in range(60)]
+    made += [m[:-1] + "#" for m in made[:20]]
+    texts = spark.createDataFrame(list(enumerate(made)), "h1 long, norm string")
+    members = texts.selectExpr("0L AS band", "h1", "h1 AS root")
+    found = {tuple(r) for r in alike._pairs_by_prefix(members, texts, line_dedup.shingles, 0.8).collect()}
+    assert found >= {(i, 60 + i) for i in range(20)} and len(found) < 40
+
+
+def test_prefix_pairs_miss_none(spark):
+    draw = random.Random(6)
+    base = words(draw, 7, 6)
+    made = sorted({"".join(draw.choice("xyz") if draw.random() < p else c for c in base[: draw.randint(36, 48)]) for p in (0.01, 0.03) for _ in range(80)})
+    texts = spark.createDataFrame(list(enumerate(made)), "h1 long, norm string")
+    members = texts.selectExpr("0L AS band", "h1", "h1 AS root")
+    sets = [{m[i:i + 5] for i in range(len(m) - 4)} for m in made]
+    alike_ = {(i, j) for j in range(len(made)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9}
+    found = {tuple(r) for r in alike._pairs_by_prefix(members, texts, line_dedup.shingles, 0.8).collect()}
+    assert alike_ and found >= alike_
