@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from litquarry.functions.answers import chat_line
-from litquarry.functions.hashing import seeded_hash
+from litquarry.functions.hashing import hash_number, seeded_hash
 from litquarry.operators.sampling import SEED
 from litquarry.session import materialize
 from litquarry.sources.tables import CSV_OPTIONS
@@ -30,9 +30,15 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def _shuffled_lines(df: DataFrame, key: str, seed: int | str, first: list[str], messages: str) -> DataFrame:
-    """Chat lines in the seeded order of the key, after the columns of ``first``: files in name order follow it."""
+    """Chat lines in the seeded order of the key, after the columns of ``first``: files in name order follow it.
+
+    The digests are spread evenly, so equal ranges of them are the partitions. A sort would render
+    all lines a second time to sample its ranges.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(chat_line(df, messages).alias("value"), *first, seeded_hash(seed, key).alias("_hash"), F.col(key).alias("_key"))
-    return rows.orderBy(*first, "_hash", "_key").select("value", *first)
+    part = F.floor(hash_number(F.col("_hash")) * parts / (1 << 32)).cast("int")
+    return rows.repartitionById(parts, part).sortWithinPartitions(*first, "_hash", "_key").select("value", *first)
 
 
 def write_chat_lines(

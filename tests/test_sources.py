@@ -269,3 +269,20 @@ def test_an_element_that_is_no_object_is_an_error(spark, tmp_path):
     (tmp_path / "array.json").write_text('[{"name": "a"},\n{"name": }]')
     with pytest.raises(Exception, match="no JSON object"):
         tables.read_ontology(spark, str(tmp_path / "array.json"), "lines").collect()
+
+
+def test_shuffled_lines_are_rendered_once_and_in_order(spark, tmp_path):
+    from conftest import plan_of
+
+    messages = "array(named_struct('role', 'user', 'content', 'text ' || id)) AS messages"
+    samples = spark.range(500).selectExpr("id AS doc_id", messages, "if(id % 5 = 0, 'a', 'b') AS split")
+    lines = sinks._shuffled_lines(samples, "doc_id", 123, ["split"], "messages")
+    assert "rangepartitioning" not in plan_of(lines)  # a range sort renders all lines to sample them
+    path = str(tmp_path / "splits")
+    sinks.export_splits(samples, path, "doc_id")
+    for split in "ab":
+        files = sorted((tmp_path / "splits" / f"split={split}").glob("part-*"))
+        texts = [json.loads(line)["messages"][0]["content"] for f in files for line in f.read_text().splitlines()]
+        wanted = [i for i in range(500) if (i % 5 == 0) == (split == "a")]
+        wanted.sort(key=lambda i: hashlib.md5(f"123:{i}".encode()).hexdigest())
+        assert texts == [f"text {i}" for i in wanted]
