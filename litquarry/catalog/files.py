@@ -274,7 +274,7 @@ def ingest_totals(spark, folder):
     wanted = lambda matches: filters.literature_filter(matches, s.SECTION, (s.DISEASE, s.GENE), columns=["pmid", "type"])
     for run in range(2):
         for part in (2 * run, 2 * run + 1):
-            sinks.write_table(lines.filter(F.pmod(F.xxhash64("pmid"), F.lit(4)) == part).coalesce(1), f"{src}/{part}.parquet")
+            sinks.write_table(lines.filter(F.pmod(F.xxhash64("pmid"), F.lit(4)) == part).repartition(1), f"{src}/{part}.parquet")
         ingest.ingest_new_files(
             spark, f"{src}/*.parquet", out, checkpoint, lines.schema, files_per_batch=1, transform=wanted, totals=totals
         )
