@@ -13,7 +13,7 @@ BROADCAST_ROWS = 500_000
 """Most rows, of a few numbers each, that a join sends to all executors; beyond it both sides are shuffled."""
 
 FEW_MEMBERS = 16
-"""Members of a band whose pairs are listed; those of wider ones are found by a prefix filter, with the same links."""
+"""Members of a band whose pairs are listed; those of wider ones are found by what sets them apart from a center, with the same links."""
 
 Shingles = Callable[[Column], Column]
 
@@ -34,13 +34,14 @@ def with_jaccard(df: DataFrame, a: str, b: str, shingles: Shingles, name: str) -
 def alike_links(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], shingles: Shingles, least: float) -> DataFrame:
     """(a, b) of hashes h1; their components are at least those of all pairs that share a band and are ``least`` alike.
 
-    ``banded`` is a written table of (h1, band) without repeats; ``texts_of`` gives (h1, norm) of the
-    h1 it is handed; ``shingles`` makes the hashes of the shingles of a ``norm``.
+    ``banded`` is a written table of (h1, band) without repeats; ``texts_of`` gives (h1, norm, times) of the
+    h1 it is handed, ``times`` being how often each is found; ``shingles`` makes the hashes of the shingles of a ``norm``.
 
     Every member of a band is compared with the band's smallest, and if they are not alike with its
     largest one, which joins groups of copies at a cost that grows with members and not with pairs.
     A band of two is done by its smallest and largest alone, so only the members of wider ones are
-    looked up. Those that then are in different components are compared by ``_inner_pairs``.
+    looked up. Of those that then are in different components, all pairs are listed in a band of few, and
+    the others are found by ``_meet_early``.
     """
     shared = banded.groupBy("band").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.count(F.lit(1)).alias("n"))
     shared = materialize(shared.filter("n > 1"), "bands")
@@ -66,58 +67,102 @@ def alike_links(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], s
     left = inner.join(near_low, (F.col("low") == F.col("a")) & (F.col("h1") == F.col("b")), "left_anti")
     near_high = alike(left.select(F.col("high").alias("a"), F.col("h1").alias("b")).distinct())
     stars = materialize(components(near_low.unionByName(near_high)), "roots")
-    more = alike(_inner_pairs(inner.select("band", "h1"), texts, stars, shingles, least))
-    return stars.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more)
+    mixed = _mixed(inner.select("band", "h1"), stars)
+    few = mixed.filter(F.col("n") <= FEW_MEMBERS)
+    a = few.select("band", F.col("h1").alias("a"), F.col("root").alias("a_root"))
+    b = few.select("band", F.col("h1").alias("b"), F.col("root").alias("b_root"))
+    listed = a.join(b, "band").filter("a < b and a_root <> b_root").select("a", "b")
+    apart = _from_center(mixed.filter(F.col("n") > FEW_MEMBERS).select("band", "h1", "root"), texts, shingles)
+    # Those that are alike with their center are linked by it, so they count as of its component.
+    to_center = F.size("apart") <= (F.col("size") + F.col("base")) * ((1 - least) / (1 + least)) + 1e-9
+    center_root = apart.filter("h1 = center").select("center", F.col("root").alias("center_root"))
+    joined = apart.join(center_root, "center").withColumn("root", F.when(to_center, F.col("center_root")).otherwise(F.col("root")))
+    near_center = apart.filter(to_center & F.expr("h1 <> center")).select(F.col("center").alias("a"), F.col("h1").alias("b"))
+    more = alike(listed.unionByName(_meet_early(joined.drop("center_root"), least)).distinct())
+    return stars.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(near_center).unionByName(more)
 
 
-def _inner_pairs(inner: DataFrame, texts: DataFrame, stars: DataFrame, shingles: Shingles, least: float) -> DataFrame:
-    """(a, b) of inner members of a band that are in different components; none that is alike is missing.
+def _mixed(inner: DataFrame, stars: DataFrame) -> DataFrame:
+    """(band, h1, root, n) of the inner members of bands that hold more than one component, n being a band's inner members.
 
     A band's smallest and largest member are left out, as all have been compared with them or are
-    alike to the smallest. In a band with few such members their pairs are listed; those of the
-    others are found by a prefix filter over all of them at once.
+    alike to the smallest.
     """
     rooted = inner.join(sized(stars), F.col("h1") == F.col("node"), "left").select("band", "h1", F.coalesce("root", "h1").alias("root"))
     rooted = materialize(rooted, "inner")
     mixed = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n"))
     mixed = materialize(mixed.filter("x <> y").select("band", "n"), "mixed")
-    rooted = materialize(rooted.join(sized(mixed), "band"), "inner")
-    few = rooted.filter(F.col("n") <= FEW_MEMBERS)
-    a = few.select("band", F.col("h1").alias("a"), F.col("root").alias("a_root"))
-    b = few.select("band", F.col("h1").alias("b"), F.col("root").alias("b_root"))
-    listed = a.join(b, "band").filter("a < b and a_root <> b_root").select("a", "b")
-    wide = rooted.filter(F.col("n") > FEW_MEMBERS).select("band", "h1", "root")
-    return listed.unionByName(_pairs_by_prefix(wide, texts, shingles, least)).distinct()
+    return materialize(rooted.join(sized(mixed), "band"), "inner")
+
+
+def _from_center(members: DataFrame, texts: DataFrame, shingles: Shingles) -> DataFrame:
+    """(center, h1, root, size, base, apart) of members (band, h1, root): in which shingles each differs from its band's center.
+
+    The center is the member whose text is found most often, by the column ``times`` of ``texts`` if
+    it has one, and then the smallest; bands of one center are one group. ``apart`` holds the shingles
+    that only one of the two has, ``size`` and ``base`` count those of the member and of the center.
+    """
+    times = F.col("times") if "times" in texts.columns else F.lit(1)
+    ranked = members.join(texts.select("h1", (-times).alias("rank")), "h1")
+    centers = ranked.groupBy("band").agg(F.min(F.struct("rank", "h1")).alias("c")).select("band", F.col("c.h1").alias("center"))
+    grouped = materialize(members.join(centers, "band").select("center", "h1", "root").distinct(), "centers")
+    with_base = grouped.join(texts.select(F.col("h1").alias("center"), F.col("norm").alias("_base")), "center")
+    both = with_base.join(texts.select("h1", F.col("norm").alias("_own")), "h1")
+    sets = both.withColumns({"_own": F.array_distinct(shingles(F.col("_own"))), "_base": F.array_distinct(shingles(F.col("_base")))})
+    apart = F.concat(F.array_except("_own", "_base"), F.array_except("_base", "_own"))
+    return materialize(sets.select("center", "h1", "root", F.size("_own").alias("size"), F.size("_base").alias("base"), apart.alias("apart")), "apart")
 
 
 def _pairs_by_prefix(members: DataFrame, texts: DataFrame, shingles: Shingles, least: float) -> DataFrame:
-    """(a, b) of members (band, h1, root) of a band in different components that may be alike; none that is alike is missing.
-
-    A band has an order of its own, from the shingles that few of its members hold to those that many
-    hold, so what its members have in common comes last. Of two sets that are alike, the first shingle
-    they share is early in both: the smaller set lacks at most a ninth of its shingles (at a
-    similarity of 0.8) and the larger one a fifth, so those first ones and one more are enough. Members that
-    share less than that, however many, do not meet. Components meet in a shingle first, so the members
-    of one, which may be very many, are not paired with each other.
+    """(a, b) of members (band, h1, root) of a band in different components that may be alike; none that is alike is missing."""
+    return _meet_early(_from_center(members, texts, shingles), least)
+
+
+def _meet_early(apart: DataFrame, least: float) -> DataFrame:
+    """(a, b) of the members of ``_from_center`` that have one center, different roots and may be alike; none that is alike is missing.
+
+    What two sets differ in is what their differences from the center do not share, so two that are
+    alike share some of these, unless both are alike with the center (then they are near). How many at
+    least follows from the size of a set and of its difference, and if the other one is not near,
+    it is about half of the difference. A difference is put in order, from the shingles that few members
+    of the group differ in to those that many do, and so many of its last ones can be left out, as the
+    first shared one is before them. What the group has in common is in no difference, so members
+    meet in what sets them apart. Components meet in a shingle first, if the sizes and places of
+    their members allow it, so the members of one, which may be very many, are not paired with each other.
     """
-    held = texts.select("h1", F.array_distinct(shingles(F.col("norm"))).alias("held"))
-    sets = members.join(held, "h1").select("band", "h1", "root", F.explode("held").alias("shingle"))
-    often = sets.groupBy("band", "shingle").agg(F.count(F.lit(1)).alias("n"))
-    ordered = sets.join(often, ["band", "shingle"]).groupBy("band", "h1", "root").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("s"))
-    size, both = F.size("s"), 2 * least / (1 + least)
-    short, long = (size - F.ceil(size * share - 1e-9) + 1 for share in (both, least))
-    early = ordered.select("band", "h1", "root", size.alias("size"), short.alias("short"), F.posexplode(F.slice("s", F.lit(1), long.cast("int"))).alias("at", "e"))
-    early = early.filter("e.n > 1").select("band", "h1", "root", "size", "at", (F.col("at") < F.col("short")).alias("short"), F.col("e.shingle").alias("shingle"))
-    early = materialize(early, "prefix")
-    roots = early.groupBy("band", "shingle", "root").agg(F.max("short").alias("short"))
-    x, y = roots.filter("short").select("band", "shingle", F.col("root").alias("x")), roots.select("band", "shingle", F.col("root").alias("y"))
-    meet = x.join(y, ["band", "shingle"]).filter("x <> y")
-
-    def side(rows: DataFrame, root: str, name: str) -> DataFrame:
-        return rows.select("band", "shingle", F.col("root").alias(root), F.col("h1").alias(name), F.col("size").alias(name + "_size"), F.col("at").alias(name + "_at"))
-
-    found = meet.join(side(early.filter("short"), "x", "a"), ["band", "shingle", "x"]).join(side(early, "y", "b"), ["band", "shingle", "y"])
-    rest = F.least(F.col("a_size") - F.col("a_at"), F.col("b_size") - F.col("b_at"))
-    shared = (F.col("a_size") + F.col("b_size")) * (both / 2)
-    near = found.filter("a_size <= b_size").filter((F.col("a_size") >= F.col("b_size") * least - 1e-9) & (rest >= shared - 1e-9))
-    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    far = (1 - least) / (1 + least)
+    # Of all sizes that an alike set can have, the one that asks for the fewest shared shingles.
+    other = F.greatest(F.least(F.col("base"), F.col("size") / least), F.col("size") * least)
+    by_size = F.ceil((F.size("apart") + F.abs(other - F.col("base")) - (F.col("size") + other) * far) / 2 - 1e-9)
+    # The other's difference can be smaller by no more than the two may differ.
+    need = F.greatest(by_size, F.ceil(F.size("apart") - F.col("size") * (far * (1 + 1 / least)) - 1e-9))
+    with_far = F.ceil((F.size("apart") + (F.col("base") - F.col("size")) * far) / 2 - 1e-9)
+    sets = apart.select("center", "h1", "root", "size", F.size("apart").alias("n"), need.alias("need"), F.greatest(need, with_far, F.lit(1)).alias("with_far"), "apart")
+    own = ["center", "h1", "root", "size", "n", "need", "with_far"]
+    each = sets.select(*own, F.explode("apart").alias("shingle"))
+    often = each.groupBy("center", "shingle").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    # Shingles of one member alone come first and meet none; only their number counts.
+    ordered = each.join(often, ["center", "shingle"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("s"))
+    early = ordered.select(*own, (F.col("n") - F.size("s")).alias("alone"), F.posexplode("s").alias("at", "e"))
+    early = early.select(*own, (F.col("alone") + F.col("at")).alias("at"), F.col("e.shingle").alias("shingle"))
+    kind = F.when(F.col("at") > F.col("n") - F.col("with_far"), "late").when(F.col("need") <= 0, "near").otherwise("far")
+    early = early.withColumn("kind", kind).filter("kind <> 'late' or need > 0 and at <= n - need")
+    near = sets.filter("need <= 0").select(*own, F.lit(0).alias("at"), F.lit(0).cast("long").alias("shingle"), F.lit("all near").alias("kind"))
+    early = materialize(early.unionByName(near).drop("need", "with_far"), "prefix")
+    spans = [F.min("size").alias("low"), F.max("size").alias("high"), F.min("n").alias("least_n"), F.max(F.col("n") - F.col("at")).alias("rest")]
+    roots = early.groupBy("center", "shingle", "root", "kind").agg(*spans)
+    x, y = (roots.select("center", "shingle", *[F.col(c).alias(f"{c}_{i}") for c in ("root", "kind", "low", "high", "least_n", "rest")]) for i in "xy")
+    meets = "kind_x = kind_y and kind_x in ('far', 'all near') and root_x < root_y or kind_x = 'near' and kind_y in ('far', 'late') and root_x <> root_y"
+    fit = (F.col("high_x") >= F.col("low_y") * least - 1e-9) & (F.col("high_y") >= F.col("low_x") * least - 1e-9)
+    left = F.least("rest_x", "rest_y") >= (F.col("least_n_x") + F.col("least_n_y") - (F.col("high_x") + F.col("high_y")) * far) / 2 - 1e-9
+    meet = x.join(y, ["center", "shingle"]).filter(meets).filter(fit & left).select("center", "shingle", "root_x", "kind_x", "root_y", "kind_y")
+
+    def side(i: str, name: str) -> DataFrame:
+        given = (("root", "root_" + i), ("kind", "kind_" + i), ("h1", name), ("size", name + "_size"), ("n", name + "_n"), ("at", name + "_at"))
+        return early.select("center", "shingle", *[F.col(c).alias(to) for c, to in given])
+
+    found = meet.join(side("x", "a"), ["center", "shingle", "root_x", "kind_x"]).join(side("y", "b"), ["center", "shingle", "root_y", "kind_y"])
+    rest = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
+    shared = (F.col("a_n") + F.col("b_n") - (F.col("a_size") + F.col("b_size")) * far) / 2
+    alike_sizes = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * least - 1e-9
+    return found.filter(alike_sizes & (rest >= shared - 1e-9)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -96,11 +96,11 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h1, norm) of the wanted lines, each read from the first document that holds it."""
+    """(h1, norm, times) of the wanted lines, each read from the first document that holds it."""
     place = F.struct("doc_id", "text_hash", "line_no")
-    places = lines.join(sized(wanted), "h1").groupBy("h1").agg(F.min(place).alias("place"))
-    by_document = places.select("h1", "place.*").groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("line_no", "h1")).alias("places")
+    places = lines.join(sized(wanted), "h1").groupBy("h1").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("times"))
+    by_document = places.select("h1", "times", "place.*").groupBy("doc_id", "text_hash").agg(
+        F.collect_list(F.struct("line_no", "h1", "times")).alias("places")
     )
     by_document = materialize(by_document.select(F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), "places"), "places")
     if wanted.count() <= BROADCAST_ROWS:
@@ -110,8 +110,8 @@ def _texts(docs: DataFrame, lines: DataFrame, wanted: DataFrame) -> DataFrame:
         by_document, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))
     )
     cut = held.select("places", F.split("text", "\n", -1).alias("lines"))
-    found = F.transform("places", lambda p: F.struct(p["h1"].alias("h1"), normalised(F.get("lines", p["line_no"])).alias("norm")))
-    return cut.select(F.inline(found)).filter(F.xxhash64("norm") == F.col("h1")).groupBy("h1").agg(F.min("norm").alias("norm"))
+    found = F.transform("places", lambda p: F.struct(p["h1"].alias("h1"), p["times"].alias("times"), normalised(F.get("lines", p["line_no"])).alias("norm")))
+    return cut.select(F.inline(found)).filter(F.xxhash64("norm") == F.col("h1")).groupBy("h1").agg(F.min("norm").alias("norm"), F.max("times").alias("times"))
 
 
 def similar_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:

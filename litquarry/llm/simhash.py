@@ -200,11 +200,11 @@ def near_dedup(docs: DataFrame, words: int = NEAR_WORDS, fingerprints: bool = Fa
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         place = F.struct("doc_id", "digest")
-        places = prints.join(sized(wanted), "h1").groupBy("h1").agg(F.min(place).alias("place"))
-        places = materialize(places.select("place.*").distinct(), "places")
+        places = prints.join(sized(wanted), "h1").groupBy("h1").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("times"))
+        places = materialize(places.groupBy("place").agg(F.max("times").alias("times")).select("place.*", "times"), "places")
         held = marked.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), "text").join(sized(places), ["doc_id", "digest"])
-        texts = held.select(normalised(text_or_empty()).alias("norm"))
-        return texts.groupBy(F.xxhash64("norm").alias("h1")).agg(F.min("norm").alias("norm"))
+        texts = held.select(normalised(text_or_empty()).alias("norm"), "times")
+        return texts.groupBy(F.xxhash64("norm").alias("h1")).agg(F.min("norm").alias("norm"), F.max("times").alias("times"))
 
     banded = materialize(prints.select("h1", F.explode("bands").alias("band")).distinct(), "banded")
     links_ = alike_links(banded, texts_of, lambda t: word_shingles(t, words), NEAR_SIMILARITY)

@@ -88,3 +88,18 @@ def test_prefix_pairs_miss_none(spark):
     alike_ = {(i, j) for j in range(len(made)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9}
     found = {tuple(r) for r in alike._pairs_by_prefix(members, texts, line_dedup.shingles, 0.8).collect()}
     assert alike_ and found >= alike_
+
+
+def test_members_of_one_center_meet_in_what_sets_them_apart(spark):
+    draw = random.Random(7)
+    base = words(draw, 25, 8).split()
+    near = [" ".join(base[:i] + [words(draw, 1, 8)] + base[i + 1:]) for i in range(25) for _ in range(6)]
+    cut = [" ".join(base[2:i] + [words(draw, 1, 8)] + base[i + 1:j] + base[j + 1:]) for i in range(4, 12) for j in range(14, 24)]
+    made = [" ".join(base)] + near + cut
+    texts = spark.createDataFrame([(i, t, 9 if i == 0 else 1) for i, t in enumerate(made)], "h1 long, norm string, times long")
+    members = texts.selectExpr("0L AS band", "h1", f"IF(h1 <= {len(near)}, 0L, h1) AS root")
+    sets = [{m[i:i + 5] for i in range(len(m) - 4)} for m in made]
+    alike_ = {(i, j) for j in range(len(near) + 1, len(made)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9}
+    found = {tuple(r) for r in alike._pairs_by_prefix(members, texts, line_dedup.shingles, 0.8).collect()}
+    assert alike_ and found >= alike_
+    assert len(found) < len(cut) * len(near) / 12
