@@ -11,6 +11,9 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 @cache
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="litquarry-")
@@ -72,11 +75,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
     Cuts the lineage and survives lost executors; the file sizes also give later
-    joins exact statistics to choose a broadcast by.
+    joins exact statistics to choose a broadcast by. The shuffle files of the write go when it
+    ends (from Spark 4.1 on), as nothing but the table is read again.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_FILE_CLEANUP, "false")
+    spark.conf.set(_FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FILE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def saved_table(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
