@@ -85,8 +85,7 @@ PAGE_CHARS = 40
 @query(f'WITH {PIECES} SELECT doc_id, piece_no, "Abstract" FROM pieces')
 def split_at_cut_headers(spark, folder):
     """Documents cut to pages of a few characters, so that headers are cut at every place."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.lit(PAGE_CHARS))
-    cut = F.posexplode(F.transform(starts, lambda at: F.substr("text", at, F.lit(PAGE_CHARS))))
+    cut = F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PAGE_CHARS}}}"), F.lit(0)))
     pages = documents(spark, folder).select("doc_id", cut.alias("page", "text"))
     return extraction.split_at_headers(pages, "text", HEADER, across_pages=True, page="page", between="")
 

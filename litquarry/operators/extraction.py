@@ -17,6 +17,8 @@ QUERY_ERROR = "Error querying model"
 
 HEADER_CHARS = 200
 """Characters a header may have that is cut by the end of a page."""
+SHEET_CHARS = 1 << 15
+"""Characters of neighbouring short pages that are put together before headers are looked for."""
 
 
 def split_at_headers(
@@ -45,13 +47,14 @@ def pieces_across_pages(
     document. A header may be cut by the ends of pages anywhere, if it has at most
     ``header_chars`` characters; one that begins inside another is none.
 
-    Every page has a row number, and only the short ends of pages are put in order: a page learns what
+    Short pages are first put together to sheets, see ``_sheets``; a sheet or a long page is a page
+    from then on. Every page has a row number, and only the short ends of pages are put in order: a page learns what
     follows it, and how much of its own beginning belongs to a header of an earlier page. Headers
     are then found page by page and numbered over a document from their counts, and only the parts
     of one piece come together in a row.
     """
     columns = [F.col(doc).alias("doc"), F.col(page).alias("page"), F.coalesce(F.col(text), F.lit("")).alias("text")]
-    pages = materialize(df.select(*columns, F.monotonically_increasing_id().alias("row")), "pages")
+    pages = _sheets(materialize(df.select(*columns, F.monotonically_increasing_id().alias("row")), "pages"), between, 3 * header_chars)
     order = Window.partitionBy("doc").orderBy(F.col("page").asc_nulls_first(), "hash", "row")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     ends = pages.select(
@@ -84,6 +87,34 @@ def pieces_across_pages(
     return grouped.select(F.col("doc").alias(doc), "piece_no", joined.alias(alias))
 
 
+def _sheets(pages: DataFrame, between: str, short: int) -> DataFrame:
+    """Pages (doc, page, text, row) of the same texts, runs of pages of up to ``short`` characters being joined to one.
+
+    ``page`` is then the place of a run's first page and ``row`` one of its rows, and no run has more than SHEET_CHARS
+    characters, an empty page counting as one, and those of one short page, so that a page of few characters costs no row of its own later on. Only short texts
+    are put in order; a long page stays where it is and learns its place.
+    """
+    size = F.length("text").cast("long")
+    order = Window.partitionBy("doc").orderBy(F.col("page").asc_nulls_first(), "hash", "row")
+    start = F.sum(F.greatest(F.col("size") + len(between), F.lit(1))).over(order)
+    longs = F.sum(F.when(F.col("own").isNull(), 1).otherwise(0)).over(order)
+    own = F.when(size <= short, F.col("text"))
+    thin = pages.select("doc", "page", "row", F.xxhash64("text").alias("hash"), F.when(own.isNotNull(), size).otherwise(0).alias("size"), own.alias("own"))
+    placed = thin.select(
+        "doc", "row", "own", F.row_number().over(order).alias("place"), longs.alias("longs"), F.floor(start / SHEET_CHARS).alias("sheet"),
+    )
+    run = F.when(F.col("own").isNull(), -1).otherwise(F.col("sheet")).alias("sheet")
+    found = placed.groupBy("doc", "longs", run).agg(
+        F.min("place").alias("place"), F.min("row").alias("row"), F.max(F.when(F.col("own").isNull(), F.col("row"))).alias("long_row"),
+        F.array_sort(F.collect_list(F.when(F.col("own").isNotNull(), F.struct("place", "own")))).alias("run"),
+    )
+    text = F.when(F.col("long_row").isNull(), F.array_join(F.transform("run", lambda p: p["own"]), between))
+    sheets = materialize(found.select("doc", F.col("place").cast("long").alias("page"), "row", "long_row", text.alias("text")), "sheets")
+    whole = pages.filter(size > short).select(F.col("row").alias("long_row"), F.col("text").alias("whole"))
+    long_pages = sheets.filter("long_row is not null").drop("text").join(whole, "long_row").select("doc", "page", "row", F.col("whole").alias("text"))
+    return sheets.filter("long_row is null").drop("long_row").unionByName(materialize(long_pages, "long_pages"))
+
+
 def _begun(parts: Column, ahead: Column) -> Column:
     """How many of the last parts begin in the last ``ahead`` characters of all, and how many characters they have."""
 

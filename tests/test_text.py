@@ -214,3 +214,40 @@ def test_repeated_and_unnumbered_pages(spark):
         ("d", 0, "111 Poster Session first"), ("d", 1, "1234 Poster Session a\nmore a\nmore a"), (None, 0, "222 Poster Session n"),
     ], key=repr)
     assert split_at_headers(df.limit(0), across_pages=True).collect() == []
+
+
+def test_short_pages_are_put_together(spark, monkeypatch):
+    """Sheets of any size give the pieces of the joined text, beside long pages and empty ones."""
+    import random
+    import re
+
+    from litquarry.operators import extraction
+
+    draw = random.Random(2)
+    header = r"\d{3,}\s+(?:Poster|Oral) Session"
+    pages, expected = [], {}
+    for doc in range(40):
+        bits = ["123 Poster Session", "4567  Oral Session", " a ", "12 Poster", "Session", "x\n", "é", "99", "  "]
+        whole = "".join(draw.choice(bits) for _ in range(draw.randint(0, 90)))
+        cut, at = [], 0
+        while at < len(whole) or not cut:
+            size = draw.choice([0, 1, 3, 8, 30, 150])
+            cut.append(whole[at:at + size])
+            at += size
+        pages += [(doc, i, t) for i, t in enumerate(cut)]
+        starts = [m.start() for m in re.finditer(header, whole)] + [len(whole)]
+        expected |= {(doc, i): whole[a:b].strip() for i, (a, b) in enumerate(zip(starts, starts[1:]))}
+    df = spark.createDataFrame(pages, "doc_id long, page_no long, text string").repartition(3)
+    written = {}
+
+    def kept(table, name, write=extraction.materialize):
+        written[name] = write(table, name)
+        return written[name]
+
+    monkeypatch.setattr(extraction, "materialize", kept)
+    for chars in (16, 1 << 15):
+        monkeypatch.setattr(extraction, "SHEET_CHARS", chars, raising=False)
+        found = extraction.pieces_across_pages(df, header=header, between="", header_chars=40).collect()
+        assert {(r["doc_id"], r["piece_no"]): r["Abstract"] for r in found} == expected
+    long_pages = sum(len(t) > 120 for _, _, t in pages)
+    assert written["page_joints"].count() <= 40 + 2 * long_pages < len(pages) / 2
