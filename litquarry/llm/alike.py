@@ -140,8 +140,8 @@ def _meet_early(apart: DataFrame, least: float) -> DataFrame:
     sets = apart.select("center", "h1", "root", "size", F.size("apart").alias("n"), need.alias("need"), F.greatest(need, with_far, F.lit(1)).alias("with_far"), "apart")
     own = ["center", "h1", "root", "size", "n", "need", "with_far"]
     each = sets.select(*own, F.explode("apart").alias("shingle"))
-    often = each.groupBy("center", "shingle").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    # Shingles of one member alone come first and meet none; only their number counts.
+    often = each.groupBy("center", "shingle").agg(F.count(F.lit(1)).alias("times"), F.max(F.col("need") > 0).alias("far")).filter("times > 1 and far").drop("far")
+    # Shingles of one member alone, or of near ones alone, come first and meet none; only their number counts.
     ordered = each.join(often, ["center", "shingle"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("s"))
     early = ordered.select(*own, (F.col("n") - F.size("s")).alias("alone"), F.posexplode("s").alias("at", "e"))
     early = early.select(*own, (F.col("alone") + F.col("at")).alias("at"), F.col("e.shingle").alias("shingle"))
