@@ -173,6 +173,29 @@ def _of_linked_prints(prints: DataFrame) -> DataFrame:
     return rooted.join(rooted.groupBy("root").agg(F.min("h1").alias("a")), "root").select("a", F.col("h1").alias("b")).filter("a <> b")
 
 
+def signed(texts: DataFrame, words: int, fingerprints: bool) -> DataFrame:
+    """doc_id, digest, fp, h1 and bands of rows of (doc_id, digest, text, norm); ``fp`` is 0 without ``fingerprints``.
+
+    Both signatures come from one UDF: each one of its own would hold a Python worker for each core,
+    and workers live on with what they have learned in later stages.
+    """
+    kind = "fp long, bands array<long>"
+
+    @F.pandas_udf(kind)
+    def of_both(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for given, norms in batches:
+            yield pd.DataFrame({"fp": pd.Series([fingerprint(t) for t in given], dtype="int64"), "bands": [near_bands(t, words) for t in norms]})
+
+    @F.pandas_udf(kind)
+    def of_norm(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for norms in batches:
+            yield pd.DataFrame({"fp": np.zeros(len(norms), np.int64), "bands": [near_bands(t, words) for t in norms]})
+
+    found = of_both("text", "norm") if fingerprints else of_norm("norm")
+    signatures = texts.select("doc_id", "digest", F.xxhash64("norm").alias("h1"), found.alias("found"))
+    return signatures.select("doc_id", "digest", "found.fp", "h1", "found.bands")
+
+
 def near_dedup(docs: DataFrame, words: int = NEAR_WORDS, fingerprints: bool = False) -> DataFrame:
     """The documents without near duplicates: of each component the row with the smallest doc_id stays.
 
@@ -183,20 +206,15 @@ def near_dedup(docs: DataFrame, words: int = NEAR_WORDS, fingerprints: bool = Fa
     text and then to any one row; null ids come last. All columns are kept, whatever their names.
     Rows without a word are one component, so one of them stays.
     """
-    digest, known, row, print_ = (free_prefix(docs.columns) + name for name in ("text", "id", "row", "print"))
+    digest, known, row = (free_prefix(docs.columns) + name for name in ("text", "id", "row"))
     marked = docs.withColumn(digest, F.xxhash64(text_or_empty())).withColumn(known, known_id("doc_id"))
     norm = normalised(text_or_empty())
 
-    @F.pandas_udf("array<long>")
-    def signatures(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([near_bands(t, words) for t in texts])
-
-    printed = with_fingerprint(marked, print_) if fingerprints else marked.withColumn(print_, F.lit(0).cast("long"))
-    keyed = printed.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), F.col(print_).alias("fp"), norm.alias("norm"))
-    prints = materialize(
-        keyed.select("doc_id", "digest", "fp", F.xxhash64("norm").alias("h1"), signatures("norm").alias("bands")), "prints"
+    prints = signed(
+        marked.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), text_or_empty().alias("text"), norm.alias("norm")),
+        words, fingerprints,
     )
+    prints = materialize(prints, "prints")
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         place = F.struct("doc_id", "digest")

@@ -1,11 +1,13 @@
 """Near copies that bands bring together, in lines and documents."""
 
 import random
+import re
 import string
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from conftest import plan_of
 from litquarry.llm import alike, line_dedup, simhash
 from litquarry.session import materialize
 
@@ -103,3 +105,11 @@ def test_members_of_one_center_meet_in_what_sets_them_apart(spark):
     found = {tuple(r) for r in alike._pairs_by_prefix(members, texts, line_dedup.shingles, 0.8).collect()}
     assert alike_ and found >= alike_
     assert len(found) < len(cut) * len(near) / 12
+
+
+def test_near_signatures_take_one_python_worker_a_task(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(simhash, "materialize", lambda df, name: written.setdefault(name, plan_of(df)) and materialize(df, name))
+    texts = ["a b c d e f", "a b c d e f", None, "ÄÖ Ü x"]
+    corpus_pipeline.remove_near_copies(spark, table(spark, texts), "").collect()
+    assert len(re.findall(r"^\(\d+\) ArrowEvalPython", written["prints"], re.M)) == 1
