@@ -134,7 +134,8 @@ def _meet(frame: DataFrame, width: int) -> DataFrame:
     ])).alias("v")).select("fp", "v.*")
     off = variants.filter("not bit").select("key", F.col("fp").alias("a"))
     on = variants.filter("bit").select("key", F.col("fp").alias("b"))
-    apart = off.join(on, "key").filter(_near()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # Spark sizes the variants by the table they are made of, which is 32 times smaller, and would broadcast them.
+    apart = off.join(on.hint("merge"), "key").filter(_near()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     equal = cut.select("fp", F.shiftleft("place", half).bitwiseOR(F.col("bits")).alias("same"), F.col("other").alias("rest"))
     shared = equal.groupBy("same").count().filter("count > 1").select("same")
     return apart.unionByName(_meet(materialize(equal.join(shared, "same", "left_semi"), "segments"), half))

@@ -113,3 +113,14 @@ def test_near_signatures_take_one_python_worker_a_task(spark, monkeypatch):
     texts = ["a b c d e f", "a b c d e f", None, "ÄÖ Ü x"]
     corpus_pipeline.remove_near_copies(spark, table(spark, texts), "").collect()
     assert len(re.findall(r"^\(\d+\) ArrowEvalPython", written["prints"], re.M)) == 1
+
+
+def broadcasts(plan, key):
+    """The joins of a plan whose first key is ``key`` and that send a side to all executors."""
+    return re.findall(rf"^\(\d+\) BroadcastHashJoin.*\nLeft keys \[\d\]: \[{key}#", plan, re.M)
+
+
+def test_exploded_variants_are_not_broadcast(spark):
+    prints = materialize(spark.range(500).select(F.xxhash64("id").alias("fp")), "fingerprints")
+    plan = plan_of(simhash.links(prints))
+    assert re.search(r"SortMergeJoin.*\nLeft keys \[1\]: \[key#", plan) and not broadcasts(plan, "key")
