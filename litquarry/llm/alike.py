@@ -142,7 +142,8 @@ def _meet_early(apart: DataFrame, least: float) -> DataFrame:
     each = sets.select(*own, F.explode("apart").alias("shingle"))
     often = each.groupBy("center", "shingle").agg(F.count(F.lit(1)).alias("times"), F.max(F.col("need") > 0).alias("far")).filter("times > 1 and far").drop("far")
     # Shingles of one member alone, or of near ones alone, come first and meet none; only their number counts.
-    ordered = each.join(often, ["center", "shingle"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("s"))
+    # Spark sizes exploded rows, and rows that repeat their columns, by files that are far smaller, and would broadcast them.
+    ordered = each.hint("merge").join(often, ["center", "shingle"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("s"))
     early = ordered.select(*own, (F.col("n") - F.size("s")).alias("alone"), F.posexplode("s").alias("at", "e"))
     early = early.select(*own, (F.col("alone") + F.col("at")).alias("at"), F.col("e.shingle").alias("shingle"))
     kind = F.when(F.col("at") > F.col("n") - F.col("with_far"), "late").when(F.col("need") <= 0, "near").otherwise("far")
@@ -159,7 +160,7 @@ def _meet_early(apart: DataFrame, least: float) -> DataFrame:
 
     def side(i: str, name: str) -> DataFrame:
         given = (("root", "root_" + i), ("kind", "kind_" + i), ("h1", name), ("size", name + "_size"), ("n", name + "_n"), ("at", name + "_at"))
-        return early.select("center", "shingle", *[F.col(c).alias(to) for c, to in given])
+        return early.select("center", "shingle", *[F.col(c).alias(to) for c, to in given]).hint("merge")
 
     found = meet.join(side("x", "a"), ["center", "shingle", "root_x", "kind_x"]).join(side("y", "b"), ["center", "shingle", "root_y", "kind_y"])
     rest = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))

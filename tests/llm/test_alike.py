@@ -124,3 +124,17 @@ def test_exploded_variants_are_not_broadcast(spark):
     prints = materialize(spark.range(500).select(F.xxhash64("id").alias("fp")), "fingerprints")
     plan = plan_of(simhash.links(prints))
     assert re.search(r"SortMergeJoin.*\nLeft keys \[1\]: \[key#", plan) and not broadcasts(plan, "key")
+
+
+def test_exploded_differences_are_not_broadcast(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(alike, "materialize", lambda df, name: written.setdefault(name, plan_of(df)) and materialize(df, name))
+    draw = random.Random(8)
+    base = words(draw, 25, 8).split()
+    made = [" ".join(base[:i] + [words(draw, 3, 8)] + base[i + 6:]) for i in range(20)]
+    texts = spark.createDataFrame(list(enumerate(made)), "h1 long, norm string")
+    members = texts.selectExpr("0L AS band", "h1", "h1 AS root")
+    pairs = alike._pairs_by_prefix(members, texts, line_dedup.shingles, 0.8)
+    assert not broadcasts(written["prefix"], "center")
+    found = plan_of(pairs)
+    assert found.count("\nLeft keys [4]: [center#") == 2 and not re.search(r"BroadcastHashJoin.*\nLeft keys \[4\]: \[center#", found)
