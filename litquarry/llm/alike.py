@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from litquarry.llm.components import components
-from litquarry.session import materialize
+from litquarry.session import TURNS, discard, in_turns, materialize, materialize_all
 
 BROADCAST_ROWS = 500_000
 """Most rows, of a few numbers each, that a join sends to all executors; beyond it both sides are shuffled."""
@@ -15,6 +15,9 @@ BROADCAST_ROWS = 500_000
 FEW_MEMBERS = 16
 """Members of a band whose pairs are listed; those of wider ones are found by what sets them apart from a center, with the same links."""
 
+TURN_ROWS = 5_000_000
+"""Rows of (h1, band) from which on they are shuffled in turns."""
+
 Shingles = Callable[[Column], Column]
 
 
@@ -31,11 +34,11 @@ def with_jaccard(df: DataFrame, a: str, b: str, shingles: Shingles, name: str) -
     return both.select(*df.columns, F.explode(F.array(jaccard)).alias(name))
 
 
-def alike_links(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], shingles: Shingles, least: float) -> DataFrame:
+def alike_links(banded: DataFrame, texts_of: Callable[[DataFrame], list[DataFrame]], shingles: Shingles, least: float) -> DataFrame:
     """(a, b) of hashes h1; their components are at least those of all pairs that share a band and are ``least`` alike.
 
-    ``banded`` is a written table of (h1, band) without repeats; ``texts_of`` gives (h1, norm, times) of the
-    h1 it is handed, ``times`` being how often each is found; ``shingles`` makes the hashes of the shingles of a ``norm``.
+    ``banded`` is a written table of (h1, band) without repeats, which goes when it has been read; ``texts_of`` gives (h1, norm, times) of the
+    h1 it is handed, in parts without a common h1, ``times`` being how often each is found; ``shingles`` makes the hashes of the shingles of a ``norm``.
 
     Every member of a band is compared with the band's smallest, and if they are not alike with its
     largest one, which joins groups of copies at a cost that grows with members and not with pairs.
@@ -43,24 +46,35 @@ def alike_links(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], s
     looked up. Of those that then are in different components, all pairs are listed in a band of few, and
     the others are found by ``_meet_early``.
     """
-    shared = banded.groupBy("band").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.count(F.lit(1)).alias("n"))
-    shared = materialize(shared.filter("n > 1"), "bands")
+    parts = in_turns(banded, F.col("band"), min(TURNS, 1 + banded.count() // TURN_ROWS))
+    counted = [p.groupBy("band").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.count(F.lit(1)).alias("n")) for p in parts]
+    shared = materialize_all([p.filter("n > 1") for p in counted], "bands")
     wide = materialize(shared.filter("n > 2").select("band", "low", "high"), "wide_bands")
-    inner = materialize(banded.join(sized(wide), "band").filter("h1 <> low and h1 <> high"), "inner_members")
+    few_wide = sized(wide)
+    inner = materialize_all([p.join(few_wide, "band").filter("h1 <> low and h1 <> high") for p in parts], "inner_members")
+    discard(banded, wide)
     ends = shared.select(F.explode(F.array("low", "high")).alias("h1"))
     wanted = materialize(ends.unionByName(inner.select("h1")).distinct(), "wanted")
-    texts = texts_of(wanted).withColumn("size", F.size(F.array_distinct(shingles(F.col("norm")))))
-    texts = materialize(texts, "member_texts")
+    texts = [t.withColumn("size", F.size(F.array_distinct(shingles(F.col("norm"))))) for t in texts_of(wanted)]
+    texts = materialize_all(texts, "member_texts")
+    discard(wanted)
     sizes = sized(texts.select("h1", "size"))
+    n_texts = texts.count()
 
     def alike(pairs: DataFrame) -> DataFrame:
         # Sets that are alike have sizes that are, which spares most other pairs their texts.
         near = pairs.join(sizes.select(F.col("h1").alias("a"), F.col("size").alias("x")), "a").join(sizes.select(F.col("h1").alias("b"), F.col("size").alias("y")), "b")
-        near = near.filter(F.least("x", "y") >= F.greatest("x", "y") * least - 1e-9).select("a", "b")
-        with_a = near.join(texts.select(F.col("h1").alias("a"), F.col("norm").alias("a_norm")), "a")
-        both = with_a.join(texts.select(F.col("h1").alias("b"), F.col("norm").alias("b_norm")), "b")
-        compared = with_jaccard(both, "a_norm", "b_norm", shingles, "s")
-        return materialize(compared.filter(F.col("s") >= least).select("a", "b"), "alike")
+        near = materialize(near.filter(F.least("x", "y") >= F.greatest("x", "y") * least - 1e-9).select("a", "b"), "pairs")
+        # Pairs may be far more than texts, so no more of them than there are texts are shuffled with both at a time.
+        turns = 1 + max(0, near.count() - 1) // max(1, n_texts)
+        compared = []
+        for some, own in zip(in_turns(near, F.col("a"), turns), in_turns(texts, F.col("h1"), turns), strict=True):
+            with_a = some.join(own.select(F.col("h1").alias("a"), F.col("norm").alias("a_norm")), "a")
+            both = with_a.join(texts.select(F.col("h1").alias("b"), F.col("norm").alias("b_norm")), "b")
+            compared.append(with_jaccard(both, "a_norm", "b_norm", shingles, "s").filter(F.col("s") >= least).select("a", "b"))
+        found = materialize_all(compared, "alike")
+        discard(near)
+        return found
 
     to_low = shared.select(F.col("low").alias("a"), F.col("high").alias("b")).unionByName(inner.select(F.col("low").alias("a"), F.col("h1").alias("b")))
     near_low = alike(to_low.distinct())
@@ -79,6 +93,7 @@ def alike_links(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], s
     joined = apart.join(center_root, "center").withColumn("root", F.when(to_center, F.col("center_root")).otherwise(F.col("root")))
     near_center = apart.filter(to_center & F.expr("h1 <> center")).select(F.col("center").alias("a"), F.col("h1").alias("b"))
     more = alike(listed.unionByName(_meet_early(joined.drop("center_root"), least)).distinct())
+    discard(texts, shared, inner, near_low, near_high, mixed)
     return stars.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(near_center).unionByName(more)
 
 
@@ -92,7 +107,9 @@ def _mixed(inner: DataFrame, stars: DataFrame) -> DataFrame:
     rooted = materialize(rooted, "inner")
     mixed = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n"))
     mixed = materialize(mixed.filter("x <> y").select("band", "n"), "mixed")
-    return materialize(rooted.join(sized(mixed), "band"), "inner")
+    held = materialize(rooted.join(sized(mixed), "band"), "inner")
+    discard(rooted, mixed)
+    return held
 
 
 def _from_center(members: DataFrame, texts: DataFrame, shingles: Shingles) -> DataFrame:
@@ -110,7 +127,9 @@ def _from_center(members: DataFrame, texts: DataFrame, shingles: Shingles) -> Da
     both = with_base.join(texts.select("h1", F.col("norm").alias("_own")), "h1")
     sets = both.withColumns({"_own": F.array_distinct(shingles(F.col("_own"))), "_base": F.array_distinct(shingles(F.col("_base")))})
     apart = F.concat(F.array_except("_own", "_base"), F.array_except("_base", "_own"))
-    return materialize(sets.select("center", "h1", "root", F.size("_own").alias("size"), F.size("_base").alias("base"), apart.alias("apart")), "apart")
+    found = materialize(sets.select("center", "h1", "root", F.size("_own").alias("size"), F.size("_base").alias("base"), apart.alias("apart")), "apart")
+    discard(grouped)
+    return found
 
 
 def _pairs_by_prefix(members: DataFrame, texts: DataFrame, shingles: Shingles, least: float) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from litquarry.session import materialize
+from litquarry.session import discard, materialize
 
 
 def _fixed(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
@@ -30,8 +30,9 @@ def components(links: DataFrame) -> DataFrame:
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new, new_mark = _fixed(small.unionByName(smallest.select("u", F.col("m").alias("v"))), "stars")
-        if new_mark == mark:
+        discard(edges)
+        edges, done, mark = new, new_mark == mark, new_mark
+        if done:
             break
-        edges, mark = new, new_mark
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

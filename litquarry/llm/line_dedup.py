@@ -9,7 +9,7 @@ from litquarry.llm.alike import BROADCAST_ROWS, alike_links, sized, with_jaccard
 from litquarry.llm.common import documents, free_prefix, known_id, text_or_empty
 from litquarry.llm.components import components
 from litquarry.llm.registry import query
-from litquarry.session import materialize
+from litquarry.session import TURNS, discard, in_turns, materialize, materialize_all
 
 LEAST_CHARS = 20
 """Characters a line needs, after normalisation, to be compared; shorter lines always stay."""
@@ -25,6 +25,9 @@ MANY_WORDS = 32
 ENOUGH_WORDS = 48
 """Words from which on a line is represented by these alone; lines in between are comparable with both sides."""
 
+TURN_ROWS = 1_000_000
+"""Lines from which on their signatures are shuffled in turns."""
+
 _POINTS = [-(1 << 63) + i * ((1 << 64) // (BANDS // 2)) for i in range(1, BANDS // 2)]
 
 
@@ -95,28 +98,34 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _texts(docs: DataFrame, lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h1, norm, times) of the wanted lines, each read from the first document that holds it."""
+def _texts(docs: DataFrame, lines: DataFrame, wanted: DataFrame) -> list[DataFrame]:
+    """(h1, norm, times) of the wanted lines, each read from the first document that holds it; in parts if the documents are shuffled."""
     place = F.struct("doc_id", "text_hash", "line_no")
     places = lines.join(sized(wanted), "h1").groupBy("h1").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("times"))
     by_document = places.select("h1", "times", "place.*").groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("line_no", "h1", "times")).alias("places")
     )
     by_document = materialize(by_document.select(F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), "places"), "places")
-    if wanted.count() <= BROADCAST_ROWS:
-        by_document = F.broadcast(by_document)
+    few = wanted.count() <= BROADCAST_ROWS
     doc_id, text_hash = _document()
-    held = docs.select(doc_id.alias("doc_id"), text_hash.alias("text_hash"), "text").join(
-        by_document, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))
-    )
-    cut = held.select("places", F.split("text", "\n", -1).alias("lines"))
-    found = F.transform("places", lambda p: F.struct(p["h1"].alias("h1"), p["times"].alias("times"), normalised(F.get("lines", p["line_no"])).alias("norm")))
-    return cut.select(F.inline(found)).filter(F.xxhash64("norm") == F.col("h1")).groupBy("h1").agg(F.min("norm").alias("norm"), F.max("times").alias("times"))
+    held = docs.select(doc_id.alias("doc_id"), text_hash.alias("text_hash"), "text")
+
+    def of(some: DataFrame, places: DataFrame) -> DataFrame:
+        if few:
+            places = F.broadcast(places)
+        cut = some.join(places, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))).select("places", F.split("text", "\n", -1).alias("lines"))
+        found = F.transform("places", lambda p: F.struct(p["h1"].alias("h1"), p["times"].alias("times"), normalised(F.get("lines", p["line_no"])).alias("norm")))
+        return cut.select(F.inline(found)).filter(F.xxhash64("norm") == F.col("h1")).groupBy("h1").agg(F.min("norm").alias("norm"), F.max("times").alias("times"))
+
+    turns = 1 if few else TURNS
+    parts = zip(in_turns(held, F.col("text_hash"), turns), in_turns(by_document, F.col("w_hash"), turns), strict=True)
+    return [of(some, places) for some, places in parts]
 
 
 def similar_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(a, b) of line hashes; their components are those of all lines that share a band and are SIMILARITY alike."""
-    banded = materialize(lines.select("h1", "bands").dropDuplicates(["h1"]).select("h1", F.explode("bands").alias("band")), "banded")
+    parts = in_turns(lines.select("h1", "bands"), F.col("h1"), min(TURNS, 1 + lines.count() // TURN_ROWS))
+    banded = materialize_all([p.dropDuplicates(["h1"]).select("h1", F.explode("bands").alias("band")) for p in parts], "banded")
     return alike_links(banded, lambda wanted: _texts(docs, lines, wanted), shingles, SIMILARITY)
 
 
@@ -152,12 +161,14 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     again = lines.join(
         sized(repeated), F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash")), "left_semi"
     ).select("doc_id", "text_hash", "line_no", F.lit(False).alias("goes"))
-    return materialize(
+    drops = materialize(
         gone.unionByName(again).groupBy("doc_id", "text_hash").agg(
             F.collect_set(F.when(F.col("goes"), F.col("line_no"))).alias("numbers"), F.collect_set("line_no").alias("all_numbers")
         ),
         "drops",
     )
+    discard(lines, linked, groups, first, kept, repeated)
+    return drops
 
 
 def _with_drops(rows: DataFrame, docs: DataFrame, own: str) -> DataFrame:

@@ -11,12 +11,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from litquarry.functions.binding import bind
-from litquarry.llm.alike import alike_links, sized
+from litquarry.llm.alike import BROADCAST_ROWS, alike_links, sized
 from litquarry.llm.common import documents, free_prefix, known_id, text_or_empty
 from litquarry.llm.components import components
 from litquarry.llm.line_dedup import normalised
 from litquarry.llm.registry import query
-from litquarry.session import materialize
+from litquarry.session import TURNS, discard, in_turns, materialize
 
 WORDS = 3
 """Words in a shingle of the query's contract."""
@@ -217,13 +217,20 @@ def near_dedup(docs: DataFrame, words: int = NEAR_WORDS, fingerprints: bool = Fa
     )
     prints = materialize(prints, "prints")
 
-    def texts_of(wanted: DataFrame) -> DataFrame:
+    def texts_of(wanted: DataFrame) -> list[DataFrame]:
         place = F.struct("doc_id", "digest")
         places = prints.join(sized(wanted), "h1").groupBy("h1").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("times"))
         places = materialize(places.groupBy("place").agg(F.max("times").alias("times")).select("place.*", "times"), "places")
-        held = marked.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), "text").join(sized(places), ["doc_id", "digest"])
-        texts = held.select(normalised(text_or_empty()).alias("norm"), "times")
-        return texts.groupBy(F.xxhash64("norm").alias("h1")).agg(F.min("norm").alias("norm"), F.max("times").alias("times"))
+        few = places.count() <= BROADCAST_ROWS
+        rows = marked.select(F.col(known).alias("doc_id"), F.col(digest).alias("digest"), "text")
+
+        def of(some: DataFrame, places: DataFrame) -> DataFrame:
+            held = some.join(F.broadcast(places) if few else places, ["doc_id", "digest"]).select(normalised(text_or_empty()).alias("norm"), "times")
+            return held.groupBy(F.xxhash64("norm").alias("h1")).agg(F.min("norm").alias("norm"), F.max("times").alias("times"))
+
+        turns = 1 if few else TURNS
+        parts = zip(in_turns(rows, F.col("digest"), turns), in_turns(places, F.col("digest"), turns), strict=True)
+        return [of(some, of_some) for some, of_some in parts]
 
     banded = materialize(prints.select("h1", F.explode("bands").alias("band")).distinct(), "banded")
     links_ = alike_links(banded, texts_of, lambda t: word_shingles(t, words), NEAR_SIMILARITY)
@@ -237,6 +244,7 @@ def near_dedup(docs: DataFrame, words: int = NEAR_WORDS, fingerprints: bool = Fa
     # Only rows that repeat id and text are numbered, so that all other texts stay where they are.
     repeated = prints.groupBy("doc_id", "digest").count().filter("count > 1").select(F.col("doc_id").alias(known), F.col("digest").alias(digest))
     repeated = sized(materialize(repeated, "repeated"))
+    discard(prints, linked)
     first = Window.partitionBy(known, digest).orderBy(digest)
     kept = marked.join(sized(keep), [known, digest], "left_semi")
     again = kept.join(repeated, [known, digest], "left_semi").withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1)

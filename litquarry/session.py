@@ -7,8 +7,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 _FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -49,6 +50,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _given_paths: list[str] = []
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+TURNS = 4
+"""Most parts of a large table that are shuffled one after the other."""
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -66,11 +71,15 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _given_paths[before:]:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            _remove(spark, path)
         del _given_paths[before:]
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
@@ -78,15 +87,35 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     joins exact statistics to choose a broadcast by. The shuffle files of the write go when it
     ends (from Spark 4.1 on), as nothing but the table is read again.
     """
-    spark = df.sparkSession
+    return materialize_all([df], name)
+
+
+def materialize_all(frames: list[DataFrame], name: str) -> DataFrame:
+    """``materialize`` of the union of ``frames``, written one after the other, so that only one has shuffle files at a time."""
+    spark = frames[0].sparkSession
     path = scratch_path(spark, name)
     before = spark.conf.get(_FILE_CLEANUP, "false")
     spark.conf.set(_FILE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        for df in frames:
+            df.write.mode("append").parquet(path)
     finally:
         spark.conf.set(_FILE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(frames[0].schema).parquet(path)
+    _written[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that ``materialize`` returned and that no unwritten result reads; other DataFrames are left alone."""
+    for table in tables:
+        if path := _written.pop(table, None):
+            _remove(table.sparkSession, path)
+
+
+def in_turns(df: DataFrame, key: Column, turns: int) -> list[DataFrame]:
+    """``df`` in disjoint parts by a column that is a hash; rows with one key are in one part."""
+    return [df.filter(F.pmod(key, F.lit(turns)) == i) for i in range(turns)] if turns > 1 else [df]
 
 
 def saved_table(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:

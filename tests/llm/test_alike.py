@@ -1,5 +1,6 @@
 """Near copies that bands bring together, in lines and documents."""
 
+import os
 import random
 import re
 import string
@@ -7,9 +8,10 @@ import string
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from conftest import plan_of
+from conftest import plan_of, rows
+from litquarry import session
 from litquarry.llm import alike, line_dedup, simhash
-from litquarry.session import materialize
+from litquarry.session import materialize, materialize_all
 
 
 def words(draw, n, size):
@@ -138,3 +140,44 @@ def test_exploded_differences_are_not_broadcast(spark, monkeypatch):
     assert not broadcasts(written["prefix"], "center")
     found = plan_of(pairs)
     assert found.count("\nLeft keys [4]: [center#") == 2 and not re.search(r"BroadcastHashJoin.*\nLeft keys \[4\]: \[center#", found)
+
+
+def test_lines_in_turns_and_tables_that_go(spark, monkeypatch):
+    draw = random.Random(9)
+    firsts = [words(draw, 9, 7) for _ in range(60)]
+    docs = table(spark, ["\n".join([t, draw.choice(firsts), t[:-1] + "#"]) for t in firsts] + [None, "x", firsts[0]])
+    at_once = rows(line_dedup.decisions(docs))
+    turns = {}
+    for module in (alike, line_dedup):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(module, "TURN_ROWS", 1)
+        monkeypatch.setattr(module, "materialize_all", lambda frames, name: turns.setdefault(name, len(frames)) and materialize_all(frames, name))
+    before = len(session._given_paths)
+    assert rows(line_dedup.decisions(docs)) == at_once
+    assert all(turns[name] == session.TURNS for name in ("banded", "bands", "inner_members", "member_texts"))
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in session._given_paths[before:] if os.path.exists(p.removeprefix("file://"))}
+    assert "drops" in left and not left & {"lines", "banded", "bands", "inner_members", "member_texts", "line_groups", "first", "stays"}
+
+
+def test_near_copies_in_turns(spark, monkeypatch):
+    draw = random.Random(10)
+    made = [words(draw, 60, 6) for _ in range(30)]
+    docs = table(spark, made + [t[:-1] + "#" for t in made] + ["#" + t[1:] for t in made] + made[:3] + [None])
+    at_once = rows(simhash.near_dedup(docs))
+    for module in (alike, simhash):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(alike, "TURN_ROWS", 1)
+    assert len(at_once) == len(made) + 1 and rows(simhash.near_dedup(docs)) == at_once
+
+
+def test_more_pairs_than_texts_are_compared_in_turns(spark, monkeypatch):
+    draw = random.Random(11)
+    firsts = [words(draw, 4, 10) for _ in range(6)]
+    made = [t for f in firsts for t in (f, f[:-1] + "#")]
+    texts = spark.createDataFrame(list(enumerate(made)), "h1 long, norm string")
+    turns = {}
+    monkeypatch.setattr(alike, "materialize_all", lambda frames, name: turns.update({name: max(turns.get(name, 0), len(frames))}) or materialize_all(frames, name))
+    banded = materialize(texts.selectExpr("h1", "0L AS band"), "banded")
+    found = rows(alike.alike_links(banded, lambda wanted: [texts.join(wanted, "h1", "left_semi")], line_dedup.shingles, 0.8))
+    assert turns["alike"] > 1
+    assert {tuple(sorted(r)) for r in found if r[0] != r[1]} == {(i, i + 1) for i in range(0, len(made), 2)}
