@@ -181,3 +181,12 @@ def test_more_pairs_than_texts_are_compared_in_turns(spark, monkeypatch):
     found = rows(alike.alike_links(banded, lambda wanted: [texts.join(wanted, "h1", "left_semi")], line_dedup.shingles, 0.8))
     assert turns["alike"] > 1
     assert {tuple(sorted(r)) for r in found if r[0] != r[1]} == {(i, i + 1) for i in range(0, len(made), 2)}
+
+
+def test_tables_of_the_stages_go_when_the_next_is_written(spark, monkeypatch, tmp_path):
+    spark.range(5).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(i), lambda spark, docs, sf_dir: docs.filter("id > 0")) for i in range(4)])
+    before = len(session._given_paths)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 4
+    stages = [p for p in session._given_paths[before:] if "/stage-" in p]
+    assert [os.path.exists(p.removeprefix("file://")) for p in stages] == [False, False, True]
